@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 from millrace.operators.cleaning import first_per_key
 from millrace.operators.windows import Order
@@ -30,7 +29,7 @@ class CopyResult:
 
 
 def conditional_copy(
-    spark: SparkSession, source: str, folder: str, schema: StructType, stem: str, stamp: str
+    spark: SparkSession, source: str, folder: str, schema: str, stem: str, stamp: str
 ) -> CopyResult:
     """Typed copy to a stamped target if the source exists, else SourceMissing.
 

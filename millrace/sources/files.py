@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -12,7 +11,7 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True)
 
 
-def read_csv_multiline(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_csv_multiline(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Quoted line breaks and doubled quotes.
 
     Such a file cannot be split, so one file is one task: write many files.
@@ -27,12 +26,12 @@ def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_typed(
-    spark: SparkSession, path: str, schema: StructType, corrupt: str | None = None
+    spark: SparkSession, path: str, schema: str, corrupt: str | None = None
 ) -> DataFrame:
-    """An explicit schema; with `corrupt`, malformed lines are kept in that column."""
+    """An explicit schema (DDL text); with `corrupt`, malformed lines are kept in that column."""
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if corrupt:
-        schema = StructType([*schema.fields, StructField(corrupt, StringType())])
+        schema = f"{schema}, `{corrupt}` string"
         reader = reader.option("columnNameOfCorruptRecord", corrupt)
     return reader.schema(schema).csv(path)
 
@@ -41,7 +40,7 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def rows_to_table(spark: SparkSession, rows: list, schema: StructType | str) -> DataFrame:
+def rows_to_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """Typed literal rows, for master data and tests."""
     return spark.createDataFrame(rows, schema)
 
