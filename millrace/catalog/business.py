@@ -101,6 +101,10 @@ def _flat(spark, sf):
     return superstore.flat_sales(tables.star(spark, sf))
 
 
+def _sales(spark, sf):
+    return superstore.sales_rows(tables.star(spark, sf))
+
+
 def _segments(spark, sf):
     return tables.customers(spark, sf).withColumnRenamed("city", "segment")
 
@@ -126,7 +130,7 @@ def ss_overview(spark, sf):
         f.n AS num_orders FROM flat_by_customer f JOIN cust c ON c.customer_id = f.customer_id"""),
 )
 def ss_customer_sales(spark, sf):
-    return superstore.customer_sales(_flat(spark, sf), _segments(spark, sf))
+    return superstore.customer_sales(_sales(spark, sf), _segments(spark, sf))
 
 
 @query(
@@ -134,7 +138,7 @@ def ss_customer_sales(spark, sf):
     star("SELECT customer_id, n AS num_orders FROM flat_by_customer WHERE n = 1"),
 )
 def ss_one_order(spark, sf):
-    return superstore.single_order_customers(_flat(spark, sf))
+    return superstore.single_order_customers(_sales(spark, sf))
 
 
 @query(
@@ -143,7 +147,7 @@ def ss_one_order(spark, sf):
         FROM flat GROUP BY category"""),
 )
 def ss_category_sales(spark, sf):
-    return superstore.category_sales(_flat(spark, sf), _goods(spark, sf))
+    return superstore.category_sales(_sales(spark, sf), _goods(spark, sf))
 
 
 @query(
@@ -152,7 +156,7 @@ def ss_category_sales(spark, sf):
         GROUP BY sub_category ORDER BY total_profit DESC, sub_category LIMIT 8"""),
 )
 def ss_top_subcategory(spark, sf):
-    return superstore.top_sub_categories(_flat(spark, sf), _goods(spark, sf))
+    return superstore.top_sub_categories(_sales(spark, sf), _goods(spark, sf))
 
 
 @query(

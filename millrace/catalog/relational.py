@@ -448,8 +448,8 @@ def join_band_residual(spark, sf):
 # --- sub-queries -----------------------------------------------------------------------------
 
 
-def _flat(spark, sf):
-    return superstore.flat_sales(tables.star(spark, sf))
+def _sales(spark, sf):
+    return superstore.sales_rows(tables.star(spark, sf))
 
 
 @query(
@@ -458,7 +458,7 @@ def _flat(spark, sf):
         (SELECT CAST(sum(sales) AS DOUBLE) / count(*) FROM flat)"""),
 )
 def sub_scalar_filter(spark, sf):
-    return superstore.above_average_sales(_flat(spark, sf))
+    return superstore.above_average_sales(_sales(spark, sf))
 
 
 @query(
@@ -467,7 +467,7 @@ def sub_scalar_filter(spark, sf):
         WHERE f.sales = (SELECT max(g.sales) FROM flat g WHERE g.customer_id = f.customer_id)"""),
 )
 def sub_correlated_max(spark, sf):
-    return superstore.biggest_sale_per_customer(_flat(spark, sf))
+    return superstore.biggest_sale_per_customer(_sales(spark, sf))
 
 
 @query(
@@ -477,7 +477,7 @@ def sub_correlated_max(spark, sf):
         (SELECT CAST(sum(round(sales, 2)) AS DOUBLE) / count(*) FROM flat_by_customer)"""),
 )
 def sub_cte_vs_avg(spark, sf):
-    return superstore.big_spenders(_flat(spark, sf))
+    return superstore.big_spenders(_sales(spark, sf))
 
 
 @query(
@@ -511,7 +511,7 @@ def sub_scalar_select(spark, sf):
 )
 def cte_join_window(spark, sf):
     segments = tables.customers(spark, sf).withColumnRenamed("city", "segment")
-    return superstore.ranked_with_segment(_flat(spark, sf), segments)
+    return superstore.ranked_with_segment(_sales(spark, sf), segments)
 
 
 # --- aggregates ---------------------------------------------------------------------------------
@@ -738,7 +738,7 @@ def sort_multi(spark, sf):
         ORDER BY total_sales DESC, customer_id LIMIT 5"""),
 )
 def topk(spark, sf):
-    return superstore.leaders(_flat(spark, sf), 5)
+    return superstore.leaders(_sales(spark, sf), 5)
 
 
 @query(
@@ -747,7 +747,7 @@ def topk(spark, sf):
         ORDER BY total_sales, customer_id LIMIT 5"""),
 )
 def bottomk(spark, sf):
-    return superstore.leaders(_flat(spark, sf), 5, bottom=True)
+    return superstore.leaders(_sales(spark, sf), 5, bottom=True)
 
 
 @query(

@@ -9,6 +9,7 @@ from millrace.catalog.registry import money, pct, query, star
 from millrace.functions import exprs as X
 from millrace.operators import windows as W
 from millrace.plans import commerce, superstore
+from millrace.session import staged
 from millrace.sources import tables
 
 _TIES = ["order_id", "line_number", "product_id", "supplier_id", "quantity"]
@@ -37,7 +38,7 @@ def win_order_seq(spark, sf):
         "customer_id", "order_id", "order_date", X.rounded("revenue").alias("order_value")
     )
     return W.row_numbers(
-        values, [("order_date", False), ("order_id", False)], ["customer_id"], "order_seq"
+        staged(values), [("order_date", False), ("order_id", False)], ["customer_id"], "order_seq"
     )
 
 
@@ -47,7 +48,7 @@ def win_order_seq(spark, sf):
         FROM flat_by_customer"""),
 )
 def win_rank(spark, sf):
-    return superstore.ranked_customers(superstore.flat_sales(tables.star(spark, sf)))
+    return superstore.ranked_customers(superstore.sales_rows(tables.star(spark, sf)))
 
 
 @query(
@@ -77,7 +78,7 @@ def win_ntile(spark, sf):
     spend = commerce.customer_totals(tables.star(spark, sf), ("P",)).select(
         "customer_id", F.round("revenue", 2).alias("value")
     )
-    tiled = W.ntiles(spend, 4, [("value", False), ("customer_id", False)], out="spend_quartile")
+    tiled = W.ntiles(staged(spend), 4, [("value", False), ("customer_id", False)], out="spend_quartile")
     return tiled.select(
         "customer_id", F.col("value").cast("double").alias("total_spend"), "spend_quartile"
     )
@@ -129,7 +130,7 @@ def win_running_rows(spark, sf):
         {money('sum(sales) OVER (ORDER BY order_date)')} AS running_total FROM flat"""),
 )
 def win_running_range(spark, sf):
-    return superstore.running_sales(superstore.flat_sales(tables.star(spark, sf)))
+    return superstore.running_sales(superstore.sales_rows(tables.star(spark, sf)))
 
 
 @query(

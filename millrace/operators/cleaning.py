@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.windows import Order, _range_key, prefix_sums
+from millrace.session import staged
 
 
 def drop_null(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -30,8 +31,9 @@ def exact_median(df: DataFrame, value: str, keys: Sequence[str] = (), out: str =
     built-in exact percentile does.
     """
     keys = list(keys)
-    counts = (
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = staged(
+        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")),
+        "values",
     )
     pos = prefix_sums(counts, [(value, False)], {"_upto": F.col("_n")}, keys, {"_all": "_upto"})
     start = F.col("_upto") - F.col("_n")

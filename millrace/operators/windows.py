@@ -6,6 +6,9 @@ per-range totals (at most `splits` per group) are accumulated, and the two are
 joined on (group, range).  The cut points come from a bounded sample chosen by
 hash, so they repeat when a lost task is recomputed, and they only decide where
 the work is cut: the result is exact for any cut.
+
+The input is read three times (sample, totals, rows).  That is cheap for a scan; a
+caller whose input is a join or an aggregate passes it through `staged` first.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import staged
+
 SAMPLE_PER_SPLIT = 32
 MAX_SPLITS = 4096
 
@@ -179,7 +184,7 @@ def ranks(
     """
     keys = list(keys)
     by = keys + [n for n, _ in order if n not in keys]
-    values = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    values = staged(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), "values")
     summed = prefix_sums(
         values,
         order,
@@ -236,7 +241,7 @@ def running_range_total(
     """Running total in which rows with the same order value share one figure."""
     keys = list(keys)
     by = keys + [n for n, _ in order]
-    values = df.groupBy(*by).agg(F.sum(measure).alias("_s"))
+    values = staged(df.groupBy(*by).agg(F.sum(measure).alias("_s")), "values")
     summed = prefix_sums(values, order, {out: F.col("_s")}, keys, splits=splits)
     lookup = summed.select(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(by)], out)
     on = F.lit(True)
@@ -254,6 +259,14 @@ def calendar_window(*partition: str, order: str) -> Window:
     return Window.partitionBy(*(partition or [F.lit(0)])).orderBy(order)
 
 
+def running_by_period(df: DataFrame, period: str, measure: Column, out: str) -> DataFrame:
+    """running_range_total for a calendar column: the totals per period fit one task."""
+    totals = df.groupBy(F.col(period).alias("_p")).agg(F.sum(measure).alias("_s"))
+    upto = calendar_window(order="_p").rowsBetween(Window.unboundedPreceding, 0)
+    running = totals.select("_p", F.sum("_s").over(upto).alias(out))
+    return df.join(running, F.col(period).eqNullSafe(F.col("_p"))).drop("_p")
+
+
 def distinct_per_key(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Distinct values of the group on each of its rows.
 

@@ -16,6 +16,7 @@ from millrace.operators.cleaning import (
     not_after,
     repair_order,
 )
+from millrace.session import staged
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def clean_products(raw: DataFrame) -> DataFrame:
     )
     known = drop_null(typed, ["product_id", "name"])
     priced = known.where(null_or("price", F.col("price") > 0))
-    return fill_const(fill_median(priced, "price"), {"stock_qty": 0, "category": "Uncategorised"})
+    return fill_const(fill_median(staged(priced), "price"), {"stock_qty": 0, "category": "Uncategorised"})
 
 
 def clean_orders(raw: DataFrame, customers: DataFrame, as_of: str) -> DataFrame:
@@ -101,7 +102,7 @@ def clean_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame) ->
         null_or("unit_price", F.col("unit_price") > 0)
     )
     clipped = sane.withColumn("discount", clip("discount", 0.0, 1.0, 0.0))
-    return fill_median(fill_const(clipped, {"quantity": 1}), "unit_price")
+    return fill_median(staged(fill_const(clipped, {"quantity": 1})), "unit_price")
 
 
 def clean_catalogue(raw: DataFrame, quantity: Column) -> DataFrame:

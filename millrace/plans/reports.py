@@ -13,6 +13,7 @@ from millrace.operators.relational import check_limit, top_k
 from millrace.operators.windows import calendar_window, ranks
 from millrace.plans import cohort, commerce, segments
 from millrace.plans.commerce import EXCLUDED, frequency_segment
+from millrace.session import staged
 from millrace.sources.tables import Star
 
 
@@ -54,7 +55,7 @@ def top_customers(s: Star, o: Options) -> DataFrame:
 def top_products(s: Star, o: Options) -> DataFrame:
     """Sorted by revenue, ranked by quantity: the rank has to look at all products."""
     ranked = ranks(
-        commerce.product_totals(s, o.excluded), [("units", True)], rank="Qty_Rank"
+        staged(commerce.product_totals(s, o.excluded)), [("units", True)], rank="Qty_Rank"
     )
     top = top_k(ranked, o.limit, F.desc("revenue"), F.asc("product_id"))
     return top.select(

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from millrace.functions.exprs import mean_of, rounded
 from millrace.operators.relational import above_average, rows_at_group_max, top_k
-from millrace.operators.windows import Order, ranks, row_numbers, running_range_total
+from millrace.operators.windows import Order, ranks, row_numbers, running_by_period
+from millrace.session import staged
 from millrace.sources.copying import split_dimension
 from millrace.sources.tables import Star
 
 
-def flat_sales(s: Star) -> DataFrame:
-    """One row per sold line with customer and product attributes beside it.
+def sales_rows(s: Star) -> DataFrame:
+    """One row per sold line with its order's date and customer.
 
     `profit` is what is left of the sale above 95 % of the line's list value.
     """
@@ -31,7 +32,11 @@ def flat_sales(s: Star) -> DataFrame:
         .cast("decimal(18,4)")
         .alias("profit"),
     )
-    orders = s.orders.select("order_id", "order_date", "customer_id")
+    return facts.join(s.orders.select("order_id", "order_date", "customer_id"), "order_id")
+
+
+def flat_sales(s: Star) -> DataFrame:
+    """The sales rows with customer and product attributes beside them."""
     segments = s.customers.select("customer_id", F.col("city").alias("segment"))
     goods = s.products.select(
         "product_id",
@@ -39,7 +44,7 @@ def flat_sales(s: Star) -> DataFrame:
         "category",
         F.col("brand").alias("sub_category"),
     )
-    return facts.join(orders, "order_id").join(segments, "customer_id").join(goods, "product_id")
+    return sales_rows(s).join(segments, "customer_id").join(goods, "product_id")
 
 
 @dataclass(frozen=True)
@@ -112,22 +117,21 @@ def numbered_in_category(sales: DataFrame, products: DataFrame, ties: list[str])
     """Row number per category by sales; a category holds a large part of all rows."""
     rows = sales.join(products.select("product_id", "product_name", "category"), "product_id")
     order: Order = [("sales", True), *[(t, False) for t in ties]]
-    return row_numbers(rows, order, ["category"]).select(
+    return row_numbers(staged(rows), order, ["category"]).select(
         "category", "product_name", rounded("sales").alias("sales"), "row_num"
     )
 
 
 def ranked_customers(sales: DataFrame) -> DataFrame:
-    return ranks(totals_by_customer(sales), [("sales", True)], rank="rank").select(
+    totals = staged(totals_by_customer(sales).select("customer_id", "sales"))
+    return ranks(totals, [("sales", True)], rank="rank").select(
         "customer_id", rounded("sales").alias("total_sales"), "rank"
     )
 
 
 def running_sales(sales: DataFrame) -> DataFrame:
     """Running total by date over the sales rows; rows of one day share the figure."""
-    return running_range_total(
-        sales, [("order_date", False)], F.col("sales"), "total"
-    ).select(
+    return running_by_period(sales, "order_date", F.col("sales"), "total").select(
         "order_date",
         "order_id",
         rounded("sales").alias("sale"),
@@ -143,7 +147,7 @@ def ranked_with_segment(sales: DataFrame, customers: DataFrame) -> DataFrame:
         rounded("profit").alias("total_profit"),
     )
     return (
-        ranks(totals, [("value", True)], rank="sales_rank")
+        ranks(staged(totals), [("value", True)], rank="sales_rank")
         .join(customers.select("customer_id", "segment"), "customer_id")
         .select(
             "sales_rank",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan in this package assumes.  They only steer the
 # physical plan (adaptive skew handling, time zone), never the result, except
@@ -54,3 +54,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write a derived frame to the shared folder once and go on from the files.
+
+    For frames an operator reads several times (a range-cut window takes three passes):
+    the joins behind them run once, a lost executor costs a re-read instead of the whole
+    lineage, and column pruning still reaches the scan.  Plain scans need no staging.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
