@@ -1 +1,152 @@
+"""Set operations, upsert and batch change."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.catalog.registry import query, star
+from millrace.operators import merge as M
+from millrace.operators.cleaning import latest_per_key
+from millrace.operators.quality import Rules
+from millrace.operators.relational import union_all
+from millrace.sources import tables
+
+CUT = "2000-01-01"
+KEYS = ["order_id", "line_number"]
+_TIES = ["product_id", "supplier_id", "quantity", "price"]
+
+
+@query(
+    "set_union_all",
+    """SELECT 'customer' AS kind, c_custkey AS id, c_name AS name FROM customer
+        UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier
+        UNION ALL SELECT 'part', p_partkey, p_name FROM part""",
+)
+def set_union_all(spark, sf):
+    def named(table, key, name):
+        return tables.load(spark, sf, table).select(
+            F.lit(table).alias("kind"), F.col(key).alias("id"), F.col(name).alias("name")
+        )
+
+    return union_all(
+        [
+            named("customer", "c_custkey", "c_name"),
+            named("supplier", "s_suppkey", "s_name"),
+            named("part", "p_partkey", "p_name"),
+        ]
+    )
+
+
+# Master: the newest version of each line shipped before the cut.  Increment: the newest
+# version shipped since.  Lines sent again are updates, lines first seen are inserts.
+def _lines(spark, sf):
+    return tables.items(spark, sf).select(
+        *KEYS, "product_id", "supplier_id", "quantity", F.col("gross").alias("price"), "ship_date"
+    )
+
+
+def _master(spark, sf):
+    old = _lines(spark, sf).where(F.col("ship_date") < F.lit(CUT).cast("date"))
+    return latest_per_key(old, KEYS, "ship_date", _TIES)
+
+
+def _increment(spark, sf):
+    new = _lines(spark, sf).where(F.col("ship_date") >= F.lit(CUT).cast("date"))
+    return latest_per_key(new, KEYS, "ship_date", _TIES)
+
+
+_NEWEST = """QUALIFY row_number() OVER (PARTITION BY order_id, line_number ORDER BY ship_date DESC,
+    product_id DESC, supplier_id DESC, quantity DESC, price DESC) = 1"""
+_SIDES = f""", l AS (SELECT order_id, line_number, product_id, supplier_id, quantity, gross AS price, ship_date FROM item),
+    m AS (SELECT * FROM l WHERE ship_date < DATE '{CUT}' {_NEWEST}),
+    s AS (SELECT * FROM l WHERE ship_date >= DATE '{CUT}' {_NEWEST})"""
+
+
+@query(
+    "merge_upsert",
+    star(f"""{_SIDES} SELECT coalesce(s.order_id, m.order_id) AS order_id, coalesce(s.line_number, m.line_number) AS line_number,
+        coalesce(s.product_id, m.product_id) AS product_id, coalesce(s.supplier_id, m.supplier_id) AS supplier_id,
+        coalesce(s.quantity, m.quantity) AS quantity, CAST(coalesce(s.price, m.price) AS DOUBLE) AS price,
+        coalesce(s.ship_date, m.ship_date) AS ship_date
+        FROM m FULL JOIN s ON s.order_id = m.order_id AND s.line_number = m.line_number"""),
+)
+def merge_upsert(spark, sf):
+    merged = M.upsert(_master(spark, sf), _increment(spark, sf), KEYS)
+    return merged.withColumn("price", F.col("price").cast("double"))
+
+
+@query(
+    "merge_tag",
+    star(f"""{_SIDES} SELECT s.order_id, s.line_number, s.ship_date,
+        CASE WHEN m.order_id IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS operation
+        FROM s LEFT JOIN m ON s.order_id = m.order_id AND s.line_number = m.line_number"""),
+)
+def merge_tag(spark, sf):
+    return M.tag_changes(_master(spark, sf), _increment(spark, sf), KEYS).select(
+        *KEYS, "ship_date", "operation"
+    )
+
+
+@query(
+    "merge_validate",
+    star(f"""{_SIDES}, k AS (SELECT s.order_id AS s, m.order_id AS m FROM s LEFT JOIN m
+            ON s.order_id = m.order_id AND s.line_number = m.line_number)
+        SELECT (SELECT count(*) FROM m) AS rows_before, (SELECT count(*) FROM k WHERE m IS NOT NULL) AS updated_rows,
+        (SELECT count(*) FROM k WHERE m IS NULL) AS inserted_rows,
+        (SELECT count(*) FROM m) + (SELECT count(*) FROM k WHERE m IS NULL) AS rows_after"""),
+)
+def merge_validate(spark, sf):
+    return M.merge_counts(_master(spark, sf), _increment(spark, sf), KEYS)
+
+
+# The pending orders arrive as one batch on top of the others.
+@query(
+    "batch_order_apply",
+    star("""SELECT 'order' AS kind, order_id AS id, CAST(amount AS DOUBLE) AS value FROM ord
+        UNION ALL SELECT 'item', order_id, CAST(sum(quantity) AS DOUBLE) FROM item GROUP BY order_id
+        UNION ALL SELECT 'stock', p.product_id, CAST(p.stock * 1000 - coalesce(s.q, 0) AS DOUBLE) FROM prod p
+        LEFT JOIN (SELECT i.product_id, sum(i.quantity) AS q FROM item i JOIN ord o ON o.order_id = i.order_id
+        WHERE o.status = 'P' GROUP BY 1) s ON s.product_id = p.product_id"""),
+)
+def batch_order_apply(spark, sf):
+    s = tables.star(spark, sf)
+    pending = s.orders.where("status = 'P'")
+    settled = s.orders.where("status <> 'P'")
+    new_items = s.items.join(pending.select("order_id"), "order_id", "left_semi")
+    old_items = s.items.join(pending.select("order_id"), "order_id", "left_anti")
+    stock = s.products.select("product_id", (F.col("stock") * 1000).cast("long").alias("stock"))
+    order_rules = Rules(
+        not_null=["order_id", "customer_id", "order_date"],
+        checks={"amount": F.col("amount") >= 0},
+        unique={"order_id": (["order_id"], ["order_date", "customer_id", "amount"])},
+        foreign={"customer_id": (s.customers, "customer_id")},
+    )
+    item_rules = Rules(
+        not_null=["order_id", "product_id"],
+        checks={
+            "quantity": F.col("quantity") > 0,
+            "price": F.col("gross") > 0,
+            "discount": F.col("discount").between(0, 1),
+        },
+        foreign={"order_id": (pending, "order_id"), "product_id": (s.products, "product_id")},
+    )
+    orders, items, left = M.apply_order_batch(
+        settled, old_items, stock, pending, new_items, order_rules, item_rules
+    )
+    return union_all(
+        [
+            orders.select(
+                F.lit("order").alias("kind"),
+                F.col("order_id").alias("id"),
+                F.col("amount").cast("double").alias("value"),
+            ),
+            items.groupBy("order_id")
+            .agg(F.sum("quantity").cast("double").alias("value"))
+            .select(F.lit("item").alias("kind"), F.col("order_id").alias("id"), "value"),
+            left.select(
+                F.lit("stock").alias("kind"),
+                F.col("product_id").alias("id"),
+                F.col("stock").cast("double").alias("value"),
+            ),
+        ]
+    )

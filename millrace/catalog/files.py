@@ -1 +1,324 @@
+"""Readers, writers, snapshot tables and the conditional copy.
 
+Each query writes what it needs to a new folder below the shared scratch folder and
+returns what it reads back, so the statement to match is the one on the source table.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from millrace.catalog import dirt
+from millrace.catalog.quality import SALES_FILE_SQL, raw, sales_file
+from millrace.catalog.registry import money, query, star
+from millrace.operators import quality as Q
+from millrace.operators.cleaning import drop_null, latest_per_key
+from millrace.plans import superstore
+from millrace.session import scratch_dir, staged
+from millrace.sources import copying, files, schemas, sinks, snapshots, tables
+
+
+def _customer_csv(spark, sf):
+    path = scratch_dir(spark, "customer-csv")
+    sinks.write_csv(tables.load(spark, sf, "customer"), path)
+    return path
+
+
+# --- readers ----------------------------------------------------------------------
+
+
+@query("src_csv_infer", "SELECT * FROM customer")
+def src_csv_infer(spark, sf):
+    df = files.read_csv_inferred(spark, _customer_csv(spark, sf))
+    return df.withColumn("c_custkey", F.col("c_custkey").cast("long"))
+
+
+@query("src_csv_multiline", "SELECT doc_id, md5(text) AS text_md5, length(text) AS chars, lang FROM documents")
+def src_csv_multiline(spark, sf):
+    """Texts with line breaks and quotes survive the round trip."""
+    path = scratch_dir(spark, "documents-csv")
+    docs = tables.load(spark, sf, "documents").select("doc_id", "text", "lang")
+    sinks.write_csv(docs, path)
+    back = files.read_csv_multiline(spark, path, "doc_id long, text string, lang string")
+    return back.select(
+        "doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("chars"), "lang"
+    )
+
+
+@query(
+    "src_csv_strings",
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+        CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""",
+)
+def src_csv_strings(spark, sf):
+    return files.read_csv_strings(spark, _customer_csv(spark, sf))
+
+
+@query(
+    "src_csv_schema",
+    f"""WITH {raw('products')} SELECT TRY_CAST(product_id AS BIGINT) AS product_id, name, category,
+        TRY_CAST(price AS DOUBLE) AS price, TRY_CAST(stock_qty AS INTEGER) AS stock_qty,
+        (product_id IS NOT NULL AND TRY_CAST(product_id AS BIGINT) IS NULL)
+        OR (price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL) AS malformed FROM raw_products""",
+)
+def src_csv_schema(spark, sf):
+    path = scratch_dir(spark, "products-csv")
+    rows = dirt.frame(spark, sf, dirt.RAW_PRODUCTS).drop("created_at")
+    sinks.write_csv(rows, path)
+    typed = files.read_csv_typed(
+        spark, path, "product_id long, name string, category string, price double, stock_qty int", "bad_line"
+    )
+    return typed.withColumn("malformed", F.col("bad_line").isNotNull()).drop("bad_line")
+
+
+@query("src_parquet", "SELECT * FROM orders")
+def src_parquet(spark, sf):
+    return files.read_parquet(spark, f"{sf}/orders.parquet")
+
+
+@query(
+    "src_rows",
+    """SELECT m.label, count(*) AS orders FROM orders JOIN (VALUES ('F', 'finished'), ('O', 'open'), ('P', 'pending'))
+        m(code, label) ON m.code = o_orderstatus GROUP BY m.label""",
+)
+def src_rows(spark, sf):
+    """Typed literal rows as master data beside the orders."""
+    states = files.rows_to_table(
+        spark, [("F", "finished"), ("O", "open"), ("P", "pending")], "status string, label string"
+    )
+    counts = tables.orders(spark, sf).groupBy("status").agg(F.count(F.lit(1)).alias("orders"))
+    return counts.join(states, "status").select("label", "orders")
+
+
+def _in_namespace(spark, label, work):
+    """Run `work` with a new namespace current, and step back."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    before = spark.catalog.currentDatabase()
+    sinks.use_namespace(spark, name, scratch_dir(spark, name))
+    try:
+        return work(name)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+@query("src_table", "SELECT * FROM supplier")
+def src_table(spark, sf):
+    def work(name):
+        sinks.overwrite_table(tables.load(spark, sf, "supplier"), f"{name}.supplier_master")
+        sinks.analyze_table(spark, f"{name}.supplier_master", ["s_suppkey"])
+        return spark.table(f"{name}.supplier_master")
+
+    return _in_namespace(spark, "care", work)
+
+
+@query(
+    "src_view_sql",
+    """SELECT p_type, count(*) AS products, CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) AS list_value
+        FROM part WHERE p_size > 10 GROUP BY p_type""",
+)
+def src_view_sql(spark, sf):
+    tables.load(spark, sf, "part").createOrReplaceTempView("millrace_part")
+    return spark.sql(
+        """SELECT p_type, count(*) AS products,
+            CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) AS list_value
+        FROM millrace_part WHERE p_size > 10 GROUP BY p_type"""
+    )
+
+
+@query("src_namespace", "SELECT n_name, n_regionkey FROM nation")
+def src_namespace(spark, sf):
+    """The unqualified name is found because the namespace is current."""
+
+    def work(name):
+        sinks.overwrite_table(tables.load(spark, sf, "nation"), "nation_master")
+        return spark.table(f"{spark.catalog.currentDatabase()}.nation_master").select(
+            "n_name", "n_regionkey"
+        )
+
+    return _in_namespace(spark, "geo", work)
+
+
+@query("src_file_metadata")
+def src_file_metadata(spark, sf):
+    """Facts of every table file with the structure of the sales-order file."""
+    facts = files.file_metadata(spark, sf, "*.parquet")
+    shape = files.file_structure(tables.load(spark, sf, "orders")).select(
+        F.lit("orders.parquet").alias("item_name"), "column_count", F.to_json("structure").alias("structure")
+    )
+    return facts.join(shape, "item_name", "left")
+
+
+@query("src_file_md5")
+def src_file_md5(spark, sf):
+    return files.file_md5(spark, sf, "*.parquet")
+
+
+# --- writers -----------------------------------------------------------------------------
+
+
+@query("sink_csv", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def sink_csv(spark, sf):
+    path = scratch_dir(spark, "supplier-csv")
+    sinks.write_csv(tables.load(spark, sf, "supplier"), path)
+    return files.read_csv_typed(
+        spark, path, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"
+    )
+
+
+@query("sink_parquet", star("SELECT order_id, customer_id, order_date, status FROM ord"))
+def sink_parquet(spark, sf):
+    path = scratch_dir(spark, "orders")
+    rows = tables.orders(spark, sf).select("order_id", "customer_id", "order_date", "status")
+    sinks.write_parquet(rows, path, ["status"])
+    return files.read_parquet(spark, path)
+
+
+@query(
+    "sink_table_overwrite",
+    star("SELECT customer_id, name, country, (SELECT count(*) FROM cust) AS rows_written FROM cust"),
+)
+def sink_table_overwrite(spark, sf):
+    """Written twice, the second time with another column: the table follows."""
+
+    def work(name):
+        rows = tables.customers(spark, sf)
+        sinks.overwrite_table(rows.select("customer_id", "name"), f"{name}.customer_master")
+        n = sinks.overwrite_table(rows.select("customer_id", "name", "country"), f"{name}.customer_master")
+        return spark.table(f"{name}.customer_master").withColumn("rows_written", F.lit(n).cast("long"))
+
+    return _in_namespace(spark, "shop", work)
+
+
+def _publish_lines(spark, sf):
+    """Raw lines as version 0, then the table cleaned over itself as version 1."""
+    root = scratch_dir(spark, "lines")
+    lines = tables.items(spark, sf).select(
+        "order_id", "line_number", "product_id", "supplier_id", "quantity", "ship_date"
+    )
+    snapshots.publish(lines, root, "WRITE")
+    known = drop_null(snapshots.read(spark, root), ["order_id", "line_number"])
+    latest = latest_per_key(
+        known, ["order_id", "line_number"], "ship_date", ["product_id", "supplier_id", "quantity"]
+    )
+    snapshots.publish(latest, root, "CLEAN")
+    return root
+
+
+_CLEANED = """SELECT order_id, line_number, product_id, supplier_id, quantity, ship_date FROM item
+    QUALIFY row_number() OVER (PARTITION BY order_id, line_number
+    ORDER BY ship_date DESC, product_id DESC, supplier_id DESC, quantity DESC) = 1"""
+
+
+@query("sink_snapshot", star(_CLEANED))
+def sink_snapshot(spark, sf):
+    return snapshots.read(spark, _publish_lines(spark, sf))
+
+
+@query(
+    "tbl_history",
+    star(f"""SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS row_count FROM item
+        UNION ALL SELECT 1, 'CLEAN', count(*) FROM ({_CLEANED})"""),
+)
+def tbl_history(spark, sf):
+    log = snapshots.history(spark, _publish_lines(spark, sf))
+    return log.select("version", "operation", "row_count")
+
+
+@query(
+    "sink_json_report",
+    star(f"""SELECT count(*) AS total_rows, {money('sum(sales)')} AS total_sales, {money('max(sales)')} AS max_sales FROM flat"""),
+)
+def sink_json_report(spark, sf):
+    path = scratch_dir(spark, "report")
+    stats = Q.summary_stats(superstore.sales_rows(tables.star(spark, sf)), "sales", "profit")
+    sinks.write_json_report(stats, path)
+    return spark.read.schema("total_rows long, total_sales double, max_sales double").json(path)
+
+
+# --- jobs -----------------------------------------------------------------------------------
+
+
+@query(
+    "pipe_conditional_copy",
+    star(f"""{SALES_FILE_SQL} SELECT CAST("Row ID" AS INTEGER) AS row_id, "Order ID" AS order_id, "City" AS city,
+        TRY_CAST("Sales" AS DOUBLE) AS sales, TRY_CAST("Quantity" AS INTEGER) AS quantity,
+        CAST("Discount" AS DOUBLE) + 0 AS discount, (SELECT count(*) FROM file) AS rows_copied FROM file"""),
+)
+def pipe_conditional_copy(spark, sf):
+    """The sales file, then its typed copy to a stamped target."""
+    source, folder = scratch_dir(spark, "sales-file"), scratch_dir(spark, "processed")
+    sinks.write_csv(sales_file(spark, sf), source)
+    done = copying.conditional_copy(
+        spark, source, folder, schemas.SALES_FILE, "superstore", "20010901_000000"
+    )
+    copied = spark.read.schema(schemas.SALES_FILE).option("header", True).csv(done.target)
+    return copied.select(
+        F.col("Row ID").alias("row_id"),
+        F.col("Order ID").alias("order_id"),
+        F.col("City").alias("city"),
+        F.col("Sales").alias("sales"),
+        F.col("Quantity").alias("quantity"),
+        F.col("Discount").alias("discount"),
+        F.lit(done.rows_copied).cast("long").alias("rows_copied"),
+    )
+
+
+@query(
+    "pipe_normalise",
+    star(f"""SELECT 'customer' AS part, customer_id AS id, segment AS label, count(*) AS sales_rows FROM flat GROUP BY 2, 3
+        UNION ALL SELECT 'product', product_id, concat_ws('/', product_name, category, sub_category), count(*)
+        FROM flat GROUP BY 2, 3"""),
+)
+def pipe_normalise(spark, sf):
+    """Both dimensions with the number of fact rows that point to each key."""
+    flat = staged(superstore.flat_sales(tables.star(spark, sf)))
+    order = [(c, False) for c in ("order_id", "line_number", "product_id", "supplier_id", "quantity")]
+    split = superstore.normalise(flat, order)
+    uses = lambda key: split.sales.groupBy(key).agg(F.count(F.lit(1)).alias("sales_rows"))
+    people = split.customers.join(uses("customer_id"), "customer_id").select(
+        F.lit("customer").alias("part"), F.col("customer_id").alias("id"),
+        F.col("segment").alias("label"), "sales_rows",
+    )
+    goods = split.products.join(uses("product_id"), "product_id").select(
+        F.lit("product").alias("part"), F.col("product_id").alias("id"),
+        F.concat_ws("/", "product_name", "category", "sub_category").alias("label"), "sales_rows",
+    )
+    return people.unionByName(goods)
+
+
+@query(
+    "src_format_compare",
+    """SELECT 'csv' AS format, count(*) AS row_count FROM orders UNION ALL SELECT 'parquet', count(*) FROM orders""",
+)
+def src_format_compare(spark, sf):
+    """The same rows written and counted in both formats; the bench times the reads."""
+    rows = tables.load(spark, sf, "orders")
+    csv, parquet = scratch_dir(spark, "orders-csv"), scratch_dir(spark, "orders-parquet")
+    sinks.write_csv(rows, csv)
+    sinks.write_parquet(rows, parquet)
+    counted = Q.table_counts(
+        {"csv": files.read_csv_strings(spark, csv), "parquet": files.read_parquet(spark, parquet)}
+    )
+    return counted.withColumnRenamed("tbl", "format")
+
+
+@query(
+    "clean_parquet_to_csv",
+    star("""SELECT order_id, customer_id, status, CAST(amount AS DOUBLE) * 1.18::DOUBLE AS final_price FROM ord
+        WHERE order_id % 17 <> 0"""),
+)
+def clean_parquet_to_csv(spark, sf):
+    """Parquet in, rows without a user out, CSV written and read back."""
+    parquet, csv = scratch_dir(spark, "input"), scratch_dir(spark, "output")
+    user = F.when(F.col("order_id") % 17 != 0, F.col("customer_id"))
+    rows = tables.orders(spark, sf).select(
+        "order_id", user.alias("customer_id"), "status",
+        (F.col("amount").cast("double") * F.lit(1.18)).alias("final_price"),
+    )
+    sinks.write_parquet(rows, parquet)
+    sinks.write_csv(drop_null(files.read_parquet(spark, parquet), ["customer_id"]), csv)
+    return files.read_csv_typed(
+        spark, csv, "order_id long, customer_id long, status string, final_price double"
+    )

@@ -102,17 +102,24 @@ def apply_order_batch(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Append a batch of orders with their items and lower the stock, or change nothing.
 
-    One broken rule anywhere rejects the whole batch: the count of bad rows is a
-    scalar subquery that every appended row and every stock change depends on.
+    One broken rule anywhere, or one product sold beyond its stock, rejects the whole
+    batch: the number of faults is a scalar subquery that every appended row and every
+    stock change depends on.
     """
-    bad = (
+    sold = new_items.groupBy("product_id").agg(F.sum("quantity").alias("_sold"))
+    short = stock.join(sold, "product_id").where(F.col("stock") < F.col("_sold"))
+    broken = (
         apply_rules(new_orders, order_rules)
         .select("reasons")
         .unionByName(apply_rules(new_items, item_rules).select("reasons"))
-        .agg(F.count_if(F.size("reasons") > 0))
+        .where(F.size("reasons") > 0)
+    )
+    bad = (
+        broken.select(F.lit(1).alias("fault"))
+        .unionByName(short.select(F.lit(1).alias("fault")))
+        .agg(F.count("fault"))
         .scalar()
     )
-    sold = new_items.groupBy("product_id").agg(F.sum("quantity").alias("_sold"))
     lowered = stock.join(sold, "product_id", "left").withColumn(
         "stock",
         F.when((bad == 0) & F.col("_sold").isNotNull(), F.col("stock") - F.col("_sold")).otherwise(

@@ -44,9 +44,6 @@ def conditional_copy(
 
 
 def split_dimension(flat: DataFrame, key: str, attributes: list[str], order: Order) -> DataFrame:
-    """One row per key out of a flat fact file; the first in `order` wins.
-
-    Distinct attribute rows first: a flat file repeats them on every fact.
-    """
-    rows = flat.select(key, *attributes, *[n for n, _ in order]).distinct()
+    """One row per key out of a flat fact file; the first in `order` wins."""
+    rows = flat.select(*dict.fromkeys([key, *attributes, *[n for n, _ in order]]))
     return first_per_key(rows, [key], order).select(key, *attributes)

@@ -7,10 +7,17 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str) -> int:
-    """CSV with header, overwrite; returns the rows written."""
+    """CSV with header, overwrite, blanks kept; returns the rows written."""
     seen = Observation()
     watched = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    watched.write.mode("overwrite").option("header", True).csv(path)
+    (
+        watched.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return seen.get["rows"]
 
 
