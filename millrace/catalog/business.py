@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.registry import AS_OF, EXCLUDED, big, mean, money, pct, query, star
+from millrace.catalog.registry import AS_OF, EXCLUDED, big, half_up, mean, money, pct, query, star
 from millrace.functions.exprs import MONEY
 from millrace.plans import cohort, commerce, reports, segments, shop, superstore
 from millrace.sources import tables
@@ -348,7 +348,7 @@ def com_quartiles(spark, sf):
     return commerce.spend_quartiles(tables.star(spark, sf), EXCLUDED)
 
 
-_GROWTH = "CASE WHEN {p} <> 0 THEN round((revenue - {p}) * 100.0::DOUBLE / {p}, 2) END"
+_GROWTH = "CASE WHEN {p} <> 0 THEN " + half_up("(revenue - {p}) * 100.0::DOUBLE / {p}", 2) + " END"
 
 
 @query(
@@ -567,7 +567,7 @@ query(
     "rep_aov",
     star(f""", s AS (SELECT *, CAST(revenue AS DOUBLE) / n AS own FROM spend_of)
         SELECT {_FREQ} AS "Segment", {_tier('revenue', segments.SPEND_REPORT_LABELS)} AS "Spend_Tier",
-        count(*) AS "Customers", round(avg(own), 2) AS "Avg_Order_Value" FROM s GROUP BY 1, 2"""),
+        count(*) AS "Customers", {half_up('avg(own)', 2)} AS "Avg_Order_Value" FROM s GROUP BY 1, 2"""),
 )(_report("aov"))
 
 query(

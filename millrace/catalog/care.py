@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import dirt
 from millrace.catalog.quality import _canon, raw
-from millrace.catalog.registry import big, query
+from millrace.catalog.registry import big, half_up, query
 from millrace.functions import exprs as X
 from millrace.plans import care
 from millrace.session import staged
@@ -64,19 +64,19 @@ _SILVER = f"""{_CLEAN},
         FROM valid v JOIN people p ON p.patient_id = v.patient_id JOIN codes c ON c.diagnosis_id = v.diagnosis_id
         JOIN comorb m ON m.patient_id = v.patient_id)"""
 
-_STATS = """count(*) AS total_admissions, round(avg(readmission_flag), 4) AS readmission_rate,
-    round(avg(length_of_stay), 2) AS avg_los"""
+_STATS = f"""count(*) AS total_admissions, {half_up('avg(readmission_flag)', 4)} AS readmission_rate,
+    {half_up('avg(length_of_stay)', 2)} AS avg_los"""
 
 _GOLD = f"""{_SILVER},
     dia0 AS (SELECT category AS diagnosis_category, {_STATS}, {big('sum(readmission_flag)')} AS total_readmissions
         FROM silver GROUP BY category),
     dia AS (SELECT *, dense_rank() OVER (ORDER BY readmission_rate DESC) AS readmission_rank FROM dia0),
     dep0 AS (SELECT department, {_STATS} FROM silver GROUP BY department),
-    dep1 AS (SELECT *, round(readmission_rate * 100 + avg_los * 2, 2) AS performance_score FROM dep0),
+    dep1 AS (SELECT *, {half_up('readmission_rate * 100 + avg_los * 2', 2)} AS performance_score FROM dep0),
     dep AS (SELECT *, dense_rank() OVER (ORDER BY performance_score DESC) AS performance_rank FROM dep1),
     ages AS (SELECT age_group, count(DISTINCT patient_id) AS patient_count, {_STATS} FROM silver GROUP BY age_group),
     risk0 AS (SELECT patient_id, name, age, age_group, count(*) AS total_admissions,
-        {big('sum(readmission_flag)')} AS total_readmissions, round(avg(length_of_stay), 2) AS avg_los,
+        {big('sum(readmission_flag)')} AS total_readmissions, {half_up('avg(length_of_stay)', 2)} AS avg_los,
         max(comorbidity_index) AS comorbidity_index FROM silver GROUP BY patient_id, name, age, age_group),
     risk AS (SELECT *, CASE WHEN total_readmissions >= 3 THEN 'High' WHEN total_readmissions >= 1 THEN 'Medium'
         ELSE 'Low' END AS risk_category, dense_rank() OVER (ORDER BY total_readmissions DESC) AS risk_rank FROM risk0)"""
@@ -221,7 +221,7 @@ def gold_summary(spark, sf):
     "bronze_check",
     f"""WITH {raw('patients', 'admissions')}, p AS (SELECT DISTINCT patient_id, age FROM raw_patients)
         SELECT CASE WHEN age >= 65 THEN 'elderly' ELSE 'non_elderly' END AS age_group,
-        round(avg(readmitted_within_30_days), 4) AS readmission_rate FROM raw_admissions a
+        {half_up('avg(readmitted_within_30_days)', 4)} AS readmission_rate FROM raw_admissions a
         JOIN p ON p.patient_id = a.patient_id GROUP BY 1""",
 )
 def bronze_check(spark, sf):
@@ -303,8 +303,8 @@ def join_gold_silver_table(spark, sf):
     "sql_header",
     f"""WITH {_GOLD} SELECT (SELECT count(DISTINCT patient_id) FROM silver) AS total_patients,
         (SELECT count(*) FROM silver) AS total_admissions,
-        (SELECT round(avg(readmission_flag), 4) FROM silver) AS overall_readmission_rate,
-        (SELECT round(avg(length_of_stay), 2) FROM silver) AS overall_avg_los,
+        (SELECT {half_up('avg(readmission_flag)', 4)} FROM silver) AS overall_readmission_rate,
+        (SELECT {half_up('avg(length_of_stay)', 2)} FROM silver) AS overall_avg_los,
         (SELECT count(*) FROM risk WHERE risk_category = 'High') AS high_risk_patients""",
 )
 def sql_header(spark, sf):

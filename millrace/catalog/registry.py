@@ -80,12 +80,21 @@ def money(expr: str, digits: int = 2) -> str:
     return f"CAST(round({expr}, {digits}) AS DOUBLE)"
 
 
+def half_up(expr: str, digits: int) -> str:
+    """Round a double half away from zero in decimal, as Spark does.
+
+    DuckDB's own round() on doubles takes 16.685 down, because the binary value lies a
+    little below it.
+    """
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+
+
 def mean(total: str, count: str, digits: int = 2) -> str:
-    return f"round(CAST({total} AS DOUBLE) / CAST({count} AS DOUBLE), {digits})"
+    return half_up(f"CAST({total} AS DOUBLE) / CAST({count} AS DOUBLE)", digits)
 
 
 def pct(part: str, whole: str) -> str:
-    return f"round(CAST({part} AS DOUBLE) * 100.0::DOUBLE / CAST({whole} AS DOUBLE), 2)"
+    return half_up(f"CAST({part} AS DOUBLE) * 100.0::DOUBLE / CAST({whole} AS DOUBLE)", 2)
 
 
 def big(expr: str) -> str:
