@@ -318,7 +318,10 @@ def join_star(spark, sf):
         facts.join(s.customers.select("customer_id", "city"), "customer_id")
         .join(s.products.select("product_id", "category"), "product_id")
         .groupBy("city", "category")
-        .agg(F.count(F.lit(1)).alias("lines"), X.rounded(F.sum("revenue")).alias("revenue"))
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            X.rounded(X.money_sum("revenue_units", 4)).alias("revenue"),
+        )
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from itertools import chain
 
 from pyspark.sql import Column
@@ -32,6 +33,24 @@ def line_gross(quantity: Column | str, unit_price: Column | str) -> Column:
     return _c(quantity).cast("decimal(10,0)") * _c(unit_price).cast(MONEY)
 
 
+def cents(col: Column | str) -> Column:
+    """A two-decimal amount held as double, in whole cents."""
+    return F.rint(_c(col) * F.lit(100.0)).cast("long")
+
+
+def money_sum(units: Column | str, scale: int) -> Column:
+    """Exact sum of amounts held as whole 10^-scale units, as a decimal.
+
+    Adding decimals allocates an object per row.  Here the high and the low 20 bits are
+    added as two plain integers: the high part cannot overflow before the total passes
+    10^24 units, the low part not before 8 * 10^12 rows.
+    """
+    u = _c(units)
+    high, low = F.sum(F.shiftright(u, 20)), F.sum(u.bitwiseAND(F.lit((1 << 20) - 1)))
+    total = high.cast("decimal(19,0)") * F.lit(1 << 20) + low.cast("decimal(19,0)")
+    return (total * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(34,{scale})")
+
+
 def rounded(col: Column | str, digits: int = 2) -> Column:
     """Round half away from zero and hand the value out as a double."""
     return F.round(_c(col), digits).cast("double")

@@ -259,9 +259,12 @@ def calendar_window(*partition: str, order: str) -> Window:
     return Window.partitionBy(*(partition or [F.lit(0)])).orderBy(order)
 
 
-def running_by_period(df: DataFrame, period: str, measure: Column, out: str) -> DataFrame:
-    """running_range_total for a calendar column: the totals per period fit one task."""
-    totals = df.groupBy(F.col(period).alias("_p")).agg(F.sum(measure).alias("_s"))
+def running_by_period(df: DataFrame, period: str, total: Column, out: str) -> DataFrame:
+    """running_range_total for a calendar column: the totals per period fit one task.
+
+    `total` is an aggregate, like F.sum("x").
+    """
+    totals = df.groupBy(F.col(period).alias("_p")).agg(total.alias("_s"))
     upto = calendar_window(order="_p").rowsBetween(Window.unboundedPreceding, 0)
     running = totals.select("_p", F.sum("_s").over(upto).alias(out))
     return df.join(running, F.col(period).eqNullSafe(F.col("_p"))).drop("_p")

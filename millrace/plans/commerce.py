@@ -17,6 +17,7 @@ from millrace.functions.exprs import (
     growth_pct,
     label_of,
     mean_of,
+    money_sum,
     month_start,
     pct,
     rounded,
@@ -43,7 +44,7 @@ def sold_items(s: Star, excluded: Sequence[str] = EXCLUDED, *extra: str) -> Data
 def order_values(s: Star, excluded: Sequence[str] = EXCLUDED) -> DataFrame:
     """One row per counted order that has items: revenue, units, lines."""
     per_order = s.items.groupBy("order_id").agg(
-        F.sum("revenue").alias("revenue"),
+        money_sum("revenue_units", 4).alias("revenue"),
         F.sum("quantity").alias("units"),
         F.count(F.lit(1)).alias("lines"),
     )
@@ -82,8 +83,8 @@ def product_totals(s: Star, excluded: Sequence[str] = EXCLUDED) -> DataFrame:
         .groupBy("product_id")
         .agg(
             F.sum("quantity").alias("units"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("gross").alias("gross"),
+            money_sum("revenue_units", 4).alias("revenue"),
+            money_sum("gross_cents", 2).alias("gross"),
             F.count(F.lit(1)).alias("lines"),
         )
     )
@@ -127,8 +128,8 @@ def revenue_by_category(s: Star, excluded=EXCLUDED) -> DataFrame:
             F.countDistinct("product_id").alias("num_products"),
             F.countDistinct("order_id").alias("num_orders"),
             F.sum("quantity").alias("units_sold"),
-            rounded(F.sum("revenue")).alias("total_revenue"),
-            mean_of(F.sum("gross"), F.count("gross")).alias("avg_unit_price"),
+            rounded(money_sum("revenue_units", 4)).alias("total_revenue"),
+            mean_of(money_sum("gross_cents", 2), F.count("gross_cents")).alias("avg_unit_price"),
         )
         .orderBy(F.desc("total_revenue"))
     )
@@ -417,7 +418,7 @@ def category_months(s: Star, excluded=EXCLUDED) -> DataFrame:
     per_product = (
         sold_items(s, excluded, "order_date")
         .groupBy("product_id", month_start("order_date").alias("month_start"))
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(money_sum("revenue_units", 4).alias("revenue"))
     )
     return (
         per_product.join(s.products.select("product_id", "category"), "product_id")

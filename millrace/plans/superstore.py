@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.exprs import mean_of, rounded
+from millrace.functions.exprs import mean_of, money_sum, rounded
 from millrace.operators.relational import above_average, rows_at_group_max, top_k
 from millrace.operators.windows import Order, ranks, row_numbers, running_by_period
 from millrace.session import staged
@@ -31,6 +31,8 @@ def sales_rows(s: Star) -> DataFrame:
         (F.col("revenue") - F.col("gross") * F.lit(0.95).cast("decimal(3,2)"))
         .cast("decimal(18,4)")
         .alias("profit"),
+        F.col("revenue_units").alias("sales_units"),
+        (F.col("revenue_units") - F.col("gross_cents") * 95).alias("profit_units"),
     )
     return facts.join(s.orders.select("order_id", "order_date", "customer_id"), "order_id")
 
@@ -68,7 +70,7 @@ def overview(flat: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_rows"),
         F.countDistinct("customer_id").alias("customers"),
         F.countDistinct("order_id").alias("orders"),
-        rounded(F.sum("sales")).alias("total_sales"),
+        rounded(money_sum("sales_units", 4)).alias("total_sales"),
     )
 
 
@@ -76,7 +78,10 @@ def totals_by_customer(sales: DataFrame) -> DataFrame:
     """Sales, profit and distinct orders; per order first, so no distinct is needed."""
     return (
         sales.groupBy("customer_id", "order_id")
-        .agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
+        .agg(
+            money_sum("sales_units", 4).alias("sales"),
+            money_sum("profit_units", 4).alias("profit"),
+        )
         .groupBy("customer_id")
         .agg(
             F.sum("sales").alias("sales"),
@@ -131,7 +136,7 @@ def ranked_customers(sales: DataFrame) -> DataFrame:
 
 def running_sales(sales: DataFrame) -> DataFrame:
     """Running total by date over the sales rows; rows of one day share the figure."""
-    return running_by_period(sales, "order_date", F.col("sales"), "total").select(
+    return running_by_period(sales, "order_date", money_sum("sales_units", 4), "total").select(
         "order_date",
         "order_id",
         rounded("sales").alias("sale"),
@@ -177,7 +182,7 @@ def big_spenders(sales: DataFrame) -> DataFrame:
 
 def _by_product(sales: DataFrame) -> DataFrame:
     return sales.groupBy("product_id").agg(
-        F.sum("sales").alias("sales"), F.sum("profit").alias("profit")
+        money_sum("sales_units", 4).alias("sales"), money_sum("profit_units", 4).alias("profit")
     )
 
 

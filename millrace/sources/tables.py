@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.exprs import MONEY, RATE, line_revenue
+from millrace.functions.exprs import MONEY, RATE, cents, line_revenue
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,9 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").cast(MONEY).alias("gross"),
         F.col("l_discount").cast(RATE).alias("discount"),
         line_revenue("l_extendedprice", "l_discount").alias("revenue"),
+        # The same two amounts as whole cents and ten-thousandths, for sums.
+        cents("l_extendedprice").alias("gross_cents"),
+        (cents("l_extendedprice") * (F.lit(100) - cents("l_discount"))).alias("revenue_units"),
         day("l_shipdate").alias("ship_date"),
         F.col("l_returnflag").alias("return_flag"),
     )
