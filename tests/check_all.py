@@ -12,7 +12,7 @@ from tests.oracle import compare, connect  # noqa: E402
 
 
 def main(sf: str, *keys: str) -> int:
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": os.environ.get("PARTITIONS", "8"), "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = f"/root/testdata/sf{sf}"
     con, sql, bad = connect(sf_dir), oracle_sql(), 0
