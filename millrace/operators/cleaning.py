@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.windows import Order, _range_key, prefix_sums
+from millrace.operators.windows import Order, prefix_sums, sort_columns
 from millrace.session import staged
 
 
@@ -61,27 +61,18 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
     """One row per key, the first in `order`; ties need a unique last column.
 
-    A min_by aggregate instead of row_number() = 1: it combines map-side, so a key
-    that holds a third of the rows sends one row per task through the shuffle.
+    Spark turns the filter on the row number into a per-task limit before the shuffle
+    (WindowGroupLimit), so a key that holds a third of the rows sends one row per task.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    ranked = df.select(*keys, F.struct(*rest).alias("_row"), _range_key(df, order).alias("_ord"))
-    best = ranked.groupBy(*keys).agg(F.min_by("_row", "_ord").alias("_row"))
-    return best.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    first = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    return df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
 
 
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], stamp: str, ties: Sequence[str] = ()
 ) -> DataFrame:
     """The newest row per key; equal stamps are decided by the highest `ties`."""
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    ranked = df.select(
-        *keys, F.struct(*rest).alias("_row"), F.struct(stamp, *ties).alias("_ord")
-    )
-    best = ranked.groupBy(*keys).agg(F.max_by("_row", "_ord").alias("_row"))
-    return best.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    return first_per_key(df, keys, [(c, True) for c in (stamp, *ties)])
 
 
 def keep_in_range(df: DataFrame, col: str, cond: Column) -> DataFrame:

@@ -34,6 +34,13 @@ def test_first_and_latest(spark):
     assert rows(C.latest_per_key(once, ["k"], "o"), *df.columns) == rows(once, *df.columns)
 
 
+def test_a_hot_key_is_cut_before_the_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"))
+    plan = C.latest_per_key(df, ["k"], "o")._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan[plan.index("Exchange"):]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+
+
 def test_semi_and_anti_make_the_whole(spark):
     child = spark.createDataFrame([(1, 10), (2, 99), (3, None)], "i int, p int")
     parent = spark.createDataFrame([(10,), (11,)], "key int")
