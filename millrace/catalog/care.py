@@ -160,9 +160,8 @@ def feat_los_bucket(spark, sf):
         SELECT a.admission_id, a.patient_id, n.comorbidity_index FROM adm a JOIN n ON n.patient_id = a.patient_id""",
 )
 def feat_comorbidity(spark, sf):
-    return care.with_comorbidity(
-        _admissions(spark, sf).select("admission_id", "patient_id", "diagnosis_id")
-    ).drop("diagnosis_id")
+    keys = _admissions(spark, sf).select("admission_id", "patient_id", "diagnosis_id")
+    return care.with_comorbidity(staged(keys)).drop("diagnosis_id")
 
 
 @query(
@@ -171,9 +170,8 @@ def feat_comorbidity(spark, sf):
         ORDER BY admission_date, admission_id) - 1 AS prior_admission_count FROM adm""",
 )
 def feat_prior_count(spark, sf):
-    return care.with_prior_count(
-        _admissions(spark, sf).select("admission_id", "patient_id", "admission_date")
-    ).drop("admission_date")
+    keys = _admissions(spark, sf).select("admission_id", "patient_id", "admission_date")
+    return care.with_prior_count(staged(keys)).drop("admission_date")
 
 
 # --- tables -------------------------------------------------------------------------

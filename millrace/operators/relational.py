@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_LIMIT = 1000
@@ -45,11 +45,15 @@ def above_average(df: DataFrame, value: str) -> DataFrame:
 def rows_at_group_max(df: DataFrame, key: str, value: str) -> DataFrame:
     """All rows that reach their group's maximum, ties included.
 
-    The maximum combines map-side and is joined back, one row per key.
+    One pass: the filter on the rank becomes a per-task limit before the shuffle, so of
+    a hot group only each task's best rows travel.
     """
-    best = df.groupBy(F.col(key).alias("_k")).agg(F.max(value).alias("_best"))
-    return df.join(best, (F.col(key) == F.col("_k")) & (F.col(value) == F.col("_best"))).drop(
-        "_k", "_best"
+    best_first = Window.partitionBy(key).orderBy(F.desc(value))
+    return (
+        df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+        .withColumn("_rank", F.rank().over(best_first))
+        .where("_rank = 1")
+        .drop("_rank")
     )
 
 

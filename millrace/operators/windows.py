@@ -7,7 +7,7 @@ joined on (group, range).  The cut points come from a bounded sample chosen by
 hash, so they repeat when a lost task is recomputed, and they only decide where
 the work is cut: the result is exact for any cut.
 
-The input is read three times (sample, totals, rows).  That is cheap for a scan; a
+The input is read for its count, the sample, the totals and the rows.  That is cheap for a scan; a
 caller whose input is a join or an aggregate passes it through `staged` first.
 """
 
@@ -69,9 +69,13 @@ def _with_range(df: DataFrame, order: Order, keys: Sequence[str], splits: int) -
     """Add `_range`: 0..splits-1, rising with `order`."""
     keyed = df.withColumn("_key", _range_key(df, order))
     spread = F.xxhash64(*[F.col(k) for k in keys], F.col("_key"))
-    sample = keyed.select("_key", spread.alias("_h")).orderBy("_h", "_key")
+    wanted = SAMPLE_PER_SPLIT * splits
+    # Only rows with a low hash, about four times as many as wanted, leave their task.
+    rows = df.agg(F.count(F.lit(1)).cast("double")).scalar()
+    low = F.pmod("_h", F.lit(1 << 30)) * rows <= F.lit(4.0 * wanted * (1 << 30))
+    sample = keyed.select("_key", spread.alias("_h")).where(low).orderBy("_h", "_key")
     bounds = (
-        sample.limit(SAMPLE_PER_SPLIT * splits)
+        sample.limit(wanted)
         .agg(F.sort_array(F.collect_list("_key")).alias("s"))
         .select(
             F.transform(

@@ -25,6 +25,7 @@ from millrace.functions.exprs import (
 )
 from millrace.operators.relational import top_k
 from millrace.operators.windows import calendar_window
+from millrace.session import staged
 from millrace.sources.tables import Star
 
 # The order states that do not count as sales.
@@ -33,6 +34,9 @@ QUARTILE_LABELS = {1: "Q1 – Low", 2: "Q2 – Mid-Low", 3: "Q3 – Mid-High", 4
 
 
 def counted(orders: DataFrame, excluded: Sequence[str] = EXCLUDED) -> DataFrame:
+    """Orders in a counted state; a NULL state is not counted, unless nothing is excluded."""
+    if not excluded:
+        return orders
     return orders.where(~F.col("status").isin(*excluded))
 
 
@@ -253,7 +257,7 @@ def revenue_share(s: Star, excluded=EXCLUDED) -> DataFrame:
 def by_status(s: Star) -> DataFrame:
     """All states; the average is per item, not per order."""
     return (
-        order_values(s, excluded=("",))
+        order_values(s, excluded=())
         .groupBy("status")
         .agg(
             F.count(F.lit(1)).alias("num_orders"),
@@ -274,12 +278,14 @@ def ltv_ranking(s: Star, excluded=EXCLUDED, limit: int = 20) -> DataFrame:
     global ones.  The ascending percent rank needs the rows below: all rows minus those
     above minus the ties, and the ties are counted for the leaders' values only.
     """
-    ltv = customer_sales(s, excluded).select(
-        "customer_id",
-        F.col("name").alias("customer_name"),
-        "city",
-        "total_orders",
-        F.round("revenue", 2).alias("value"),
+    ltv = staged(
+        customer_sales(s, excluded).select(
+            "customer_id",
+            F.col("name").alias("customer_name"),
+            "city",
+            "total_orders",
+            F.round("revenue", 2).alias("value"),
+        )
     )
     top = top_k(ltv, limit, F.desc("value"), F.asc("customer_id"))
     down = Window.partitionBy(F.lit(0)).orderBy(F.desc("value"))
@@ -319,8 +325,10 @@ def spend_quartiles(s: Star, excluded=EXCLUDED, limit: int = 30) -> DataFrame:
     The position from the top and the number of customers give the ascending row
     number, and that the tile, without sorting all customers.
     """
-    spend = customer_sales(s, excluded).select(
-        "customer_id", "name", F.round("revenue", 2).alias("value")
+    spend = staged(
+        customer_sales(s, excluded).select(
+            "customer_id", "name", F.round("revenue", 2).alias("value")
+        )
     )
     top = top_k(spend, limit, F.desc("value"), F.desc("customer_id"))
     down = Window.partitionBy(F.lit(0)).orderBy(F.desc("value"), F.desc("customer_id"))

@@ -174,7 +174,7 @@ def big_spenders(sales: DataFrame) -> DataFrame:
     """Customers above the average of the customer totals."""
     totals = totals_by_customer(sales).select("customer_id", F.round("sales", 2).alias("value"))
     return (
-        above_average(totals, "value")
+        above_average(staged(totals), "value")
         .select("customer_id", F.col("value").cast("double").alias("total_sales"))
         .orderBy(F.desc("total_sales"))
     )

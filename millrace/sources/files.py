@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from millrace.functions.exprs import label_of
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -54,10 +59,17 @@ def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     )
 
 
-def file_metadata(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Name, type, size and change time per file; the content is not read."""
-    parts = F.split(F.col("path"), "/")
-    name = F.element_at(parts, -1)
+def file_metadata(
+    spark: SparkSession, path: str, glob: str = "*", schemas: Mapping[str, StructType] | None = None
+) -> DataFrame:
+    """Name, type, size, change time and, where `schemas` has it, the columns per file.
+
+    The content is not read.
+    """
+    name = F.element_at(F.split(F.col("path"), "/"), -1)
+    known = schemas or {}
+    count = label_of(name, {f: len(s.fields) for f, s in known.items()}) if known else F.lit(None)
+    shape = label_of(name, {f: s.simpleString() for f, s in known.items()}) if known else F.lit(None)
     return _files(spark, path, glob).select(
         F.lit(True).alias("file_exists"),
         name.alias("item_name"),
@@ -65,14 +77,8 @@ def file_metadata(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         F.element_at(F.split(name, r"\."), -1).alias("extension"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("last_modified"),
-    )
-
-
-def file_structure(df: DataFrame) -> DataFrame:
-    """Column count and structure of a file's schema next to its row count."""
-    cols = [F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("data_type")) for n, t in df.dtypes]
-    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        "row_count", F.lit(len(cols)).alias("column_count"), F.array(*cols).alias("structure")
+        count.cast("int").alias("column_count"),
+        shape.cast("string").alias("structure"),
     )
 
 

@@ -1,4 +1,4 @@
-"""Run every registered query against its statement: python tests/check_all.py SF [key ...]."""
+"""Run every registered query against its statement: python tests/check_all.py SF-or-folder [key ...]."""
 
 import os
 import sys
@@ -14,7 +14,7 @@ from tests.oracle import compare, connect  # noqa: E402
 def main(sf: str, *keys: str) -> int:
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": os.environ.get("PARTITIONS", "8"), "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if os.path.isdir(sf) else f"/root/testdata/sf{sf}"
     con, sql, bad = connect(sf_dir), oracle_sql(), 0
     runs = queries()
     for key in [k for k in runs if not keys or any(k.startswith(x) for x in keys)]:
