@@ -102,11 +102,14 @@ def merge_validate(spark, sf):
 # The pending orders arrive as one batch on top of the others.
 @query(
     "batch_order_apply",
-    star("""SELECT 'order' AS kind, order_id AS id, CAST(amount AS DOUBLE) AS value FROM ord
-        UNION ALL SELECT 'item', order_id, CAST(sum(quantity) AS DOUBLE) FROM item GROUP BY order_id
-        UNION ALL SELECT 'stock', p.product_id, CAST(p.stock * 1000 - coalesce(s.q, 0) AS DOUBLE) FROM prod p
-        LEFT JOIN (SELECT i.product_id, sum(i.quantity) AS q FROM item i JOIN ord o ON o.order_id = i.order_id
-        WHERE o.status = 'P' GROUP BY 1) s ON s.product_id = p.product_id"""),
+    star(""", s AS (SELECT i.product_id, sum(i.quantity) AS q FROM item i JOIN ord o ON o.order_id = i.order_id
+            WHERE o.status = 'P' GROUP BY 1),
+        ok AS (SELECT count(*) = 0 AS fits FROM prod p JOIN s ON s.product_id = p.product_id WHERE p.stock * 1000 < s.q)
+        SELECT 'order' AS kind, order_id AS id, CAST(amount AS DOUBLE) AS value FROM ord, ok WHERE status <> 'P' OR fits
+        UNION ALL SELECT 'item', order_id, CAST(sum(quantity) AS DOUBLE) FROM item, ok
+            WHERE fits OR order_id NOT IN (SELECT order_id FROM ord WHERE status = 'P') GROUP BY order_id
+        UNION ALL SELECT 'stock', p.product_id, CAST(p.stock * 1000 - CASE WHEN fits THEN coalesce(s.q, 0) ELSE 0 END AS DOUBLE)
+            FROM ok, prod p LEFT JOIN s ON s.product_id = p.product_id"""),
 )
 def batch_order_apply(spark, sf):
     s = tables.star(spark, sf)
