@@ -120,7 +120,9 @@ def biggest_sale_per_customer(sales: DataFrame) -> DataFrame:
 
 def numbered_in_category(sales: DataFrame, products: DataFrame, ties: list[str]) -> DataFrame:
     """Row number per category by sales; a category holds a large part of all rows."""
-    rows = sales.join(products.select("product_id", "product_name", "category"), "product_id")
+    rows = sales.join(
+        products.select("product_id", "product_name", "category"), "product_id"
+    ).select("category", "product_name", "sales", *ties)
     order: Order = [("sales", True), *[(t, False) for t in ties]]
     return row_numbers(staged(rows), order, ["category"]).select(
         "category", "product_name", rounded("sales").alias("sales"), "row_num"
