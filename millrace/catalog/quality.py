@@ -575,9 +575,8 @@ def clean_orders(spark, sf):
     f"WITH {_CLEAN_CUSTOMERS}, {_CLEAN_PRODUCTS}, {_CLEAN_ORDERS}, {_CLEAN_ITEMS} SELECT * FROM clean_items",
 )
 def clean_order_items(spark, sf):
-    items = chains.clean_order_items(
-        _raw(spark, sf, "items"), clean_orders(spark, sf), clean_products(spark, sf)
-    )
+    known = chains.valid_products(_raw(spark, sf, "products"))
+    items = chains.clean_order_items(_raw(spark, sf, "items"), clean_orders(spark, sf), known)
     return _r4(items, "unit_price")
 
 
