@@ -120,7 +120,7 @@ def test_top_k_equals_brute_force(spark, slab, block, spread):
 
 
 def test_products_beyond_doubles_are_exact(spark):
-    rows = [(i, [float(2**24 + i), 1.0 + i]) for i in range(12)]
+    rows = [(i, [float(2**24 + 2 * i), 1.0 + i]) for i in range(12)]
     got = topk.top_k(frame(spark, rows), 3, query_every=3).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute_top(rows, 3, 3, 64)
 
