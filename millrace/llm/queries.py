@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embed, mixing, simhash, topk
+from millrace.llm import embed, mixing, ngram, simhash, tokens, topk, toxicity, warc
 from millrace.llm.common import load
 from millrace.session import configure
 
@@ -50,12 +51,53 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_duplicates(load(spark, sf_dir, "embeddings"), 0.95).withColumnRenamed("id", "vec_id")
 
 
+# The digest is base32 of SHA-1: eight groups of 40 bits, read from the hex form.
+OP2_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+h AS (SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, sha1(body) AS hex FROM p),
+d AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST(('0x' || substr(hex, CAST((i // 8) * 10 + 1 AS BIGINT), 10)) AS BIGINT)
+    >> CAST(35 - 5 * (i % 8) AS INTEGER)) & 31) AS BIGINT) + 1, 1)), '') AS payload_digest FROM h),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN first <> page_id THEN first END AS refers_to FROM f
+"""
+
+
+@query("op2_warc", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_archive(load(spark, sf_dir, "pages"), revisit_bytes=0).withColumnRenamed("id", "page_id")
+
+
+@query("op3_token_ids")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tokens.token_files(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query("op5_kneser_ney")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    model = ngram.train(docs.where(~held_out))
+    found = ngram.scores(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, source,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -89,6 +131,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = toxicity.train(docs, load(spark, sf_dir, "labels"), folds=5, held_out=0)
+    found = toxicity.scored(docs, model)
+    held_out = F.coalesce(toxicity.fold_of(F.col("row.doc_id"), 5) == 0, F.lit(False))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 OP10_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
     FROM embeddings WHERE embedding IS NOT NULL),
