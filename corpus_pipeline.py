@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import mixing, simhash
+from millrace.llm import mixing, pieces, simhash, toxicity
 from millrace.session import configure, staged
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of at least 0.5 go; the model learns from the documents and labels at hand."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), folds=5, held_out=0)
+    return toxicity.scored(docs, model).where("score < 0.5").select("row.*")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash near-duplicate group stays: 3-word shingles, 2 bits."""
     return simhash.keep_one(docs, shingle=3, max_bits=2)
@@ -18,8 +26,23 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, weights=(1, 2, 3), most=3)
 
 
-STAGES = [("simhash_near_dedup", one_of_each_group), ("mix_sources", mixed)]
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, n_tokens, ids, ids_crc32, same_text): piece ids of each text, and whether they decode to it."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(docs, model), model)
+    same = F.col("decoded") == F.coalesce("row.text", F.lit(""))
+    n = F.size("ids").cast("long").alias("n_tokens")
+    return found.select("row.doc_id", "row.lang", "row.source", n, "ids", "ids_crc32", same.alias("same_text"))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("simhash_near_dedup", one_of_each_group),
+    ("mix_sources", mixed),
+    ("sentencepiece", encoded),
+]
 
+# SQL cannot say the stages; tests/llm/test_pipeline.py holds them against plain Python.
 ORACLE_SQL = None
 
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embed, mixing, ngram, simhash, tokens, topk, toxicity, warc
+from millrace.llm import embed, html, mixing, ngram, pieces, simhash, tokens, topk, toxicity, warc
 from millrace.llm.common import load
 from millrace.session import configure
 
@@ -98,6 +98,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_html_text")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages")
+    found = html.main_text(pages, html.train(pages))
+    return found.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, source,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -131,6 +138,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_sentencepiece")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(load(spark, sf_dir, "documents"), model), model)
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids_crc32",
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("same_text"),
+    )
+
+
 @query("op9_toxicity")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")

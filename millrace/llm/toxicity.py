@@ -11,9 +11,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.components import local_roots
 from millrace.session import staged
 
 # The channel: what a sign may stand for, and what each kind of disguise costs (negative log probability).
@@ -176,28 +178,31 @@ class Restorer:
 
 
 class Scorer:
-    """Evidence of a text: the strongest word and the sum over strong words."""
+    """Evidence of a text: the weights of the two strongest features of its restored words."""
 
     def __init__(self, model: CharModel, weights: dict[str, float]):
         self.restorer, self.weights = Restorer(model, weights), weights
-        self.memo: dict[str, float] = {}
+        self.memo: dict[str, tuple] = {}
 
-    def word(self, word: str) -> float:
-        return max((self.weights.get(f, 0.0) for w in self.restorer.readings(word) for f in features(w)), default=0.0)
+    def best(self, words: list[str]) -> tuple:
+        """The two strongest (feature, weight) of some words."""
+        found = {f: self.weights[f] for w in words for f in features(w) if f in self.weights}
+        return tuple(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:2])
 
     def evidence(self, text: str | None) -> tuple[float, float]:
         words = text.lower().split() if text else []
         if len(self.memo) > REMEMBERED:
             self.memo.clear()
-        memo, found = self.memo, []
+        memo, found = self.memo, {}
         for w in set(words):
             x = memo.get(w)
             if x is None:
-                x = memo[w] = self.word(w)
+                x = memo[w] = self.best(self.restorer.readings(w))
             if x:
-                found.append(x)
-        found += [x for w in self.restorer.spaced(words) if (x := max(self.weights.get(f, 0.0) for f in features(w)))]
-        return max(found, default=0.0), math.log1p(math.fsum(found))
+                found.update(x)
+        found.update(self.best(self.restorer.spaced(words)))
+        top = sorted(found.values(), reverse=True)[:2]
+        return tuple(top + [0.0] * (2 - len(top)))
 
 
 def _plain(word: str) -> str:
@@ -230,7 +235,7 @@ def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
 class Model:
     chars: CharModel
     weights: dict[str, float]
-    coefficients: np.ndarray  # of a constant and the two numbers of evidence
+    coefficients: np.ndarray  # of a constant and the two weights of evidence
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.coefficients[0] + evidence @ self.coefficients[1:])))
@@ -241,15 +246,16 @@ def fold_of(id_col: Column, folds: int) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          folds: int = 5, held_out: int = 0, most_toxic: int = 4000, most_clean: int = 12000, least_docs: int = 3) -> Model:
+          folds: int = 5, held_out: int = 0, most_toxic: int = 4000, most_clean: int = 12000, least_docs: int = 4) -> Model:
     """Character model from all texts, word weights and calibration from labelled rows outside the held-out fold.
 
     The classifier is fitted on at most `most_toxic` and `most_clean` labelled documents, those whose ids hash
-    lowest; that bounds all that is collected here.  A feature is a restored word or its first 4 to 6
-    letters; its weight is the lower end of its log odds between toxic and clean documents, so that a
-    rare word needs several documents before it counts.  A logistic fit over the strongest word of a
-    document and the sum of its strong words gives the score.
-    Labels that are null or contradict each other by id count as toxic if any says so; null ids have none.
+    lowest; that bounds all that is collected here.  Of near copies among them one is kept, so that a
+    much copied text counts once.  A feature is a restored word or its first 4 to 6 letters; its weight
+    is the lower end of its log odds between toxic and clean documents, so that a rare word needs
+    several documents before it counts.  A logistic fit over the two strongest features of a document
+    gives the score; it sees each half of the sample through weights learnt on the other half.
+    Labels that are null are left out, an id with several is toxic if any says so; null ids have none.
     """
     chars = char_model(docs, text_col)
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
@@ -261,41 +267,90 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ]
     # At most most_toxic + most_clean rows.
     chosen = F.broadcast(picked[0].unionByName(picked[1]))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sample = staged(rows.join(chosen, "id").repartition(tasks), "sample")
-    totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    base = math.log((toxic + 1) / (clean + 1))
+    signed = staged(rows.repartition(tasks).mapInArrow(_signed, SIGNED), "signed")
+    sample = staged(signed.join(F.broadcast(_one_of_near_copies(signed)), ["id", "sign"], "left_semi"), "sample")
+    totals = {(r["toxic"], r["half"]): r["n"] for r in sample.groupBy("toxic", "half").agg(F.count("*").alias("n")).collect()}
+    size = {(y, h): totals.get((y, h), 0) for y in (0, 1) for h in (0, 1)}
+    toxic, clean = size[1, 0] + size[1, 1], size[0, 0] + size[0, 1]
     if not toxic or not clean:
-        return Model(chars, {}, np.array([base, 0.0, 0.0]))
+        return Model(chars, {}, np.array([math.log((toxic + 1) / (clean + 1)), 0.0, 0.0]))
 
     shared = sample.sparkSession.sparkContext.broadcast(chars)
-    seen = {r["feature"]: r["n"] for r in _document_counts(sample.where("toxic = 1"), shared, None).where(F.col("n") >= least_docs).collect()}
+    seen = _document_counts(sample.where("toxic = 1"), shared, None).where(F.expr(f"n0 + n1 >= {least_docs}"))
+    seen = {r["feature"]: (r["n0"], r["n1"]) for r in seen.collect()}
     wanted = sample.sparkSession.sparkContext.broadcast(set(seen))
-    other = {r["feature"]: r["n"] for r in _document_counts(sample.where("toxic = 0"), shared, wanted).collect()}
-    weights = {}
-    for f, a in seen.items():
-        b = other.get(f, 0)
-        odds = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
-        low = odds - math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-        if low > 0:
-            weights[f] = low
+    other = _document_counts(sample.where("toxic = 0"), shared, wanted).collect()
+    other = {r["feature"]: (r["n0"], r["n1"]) for r in other}
+
+    def weights(halves: tuple[int, ...]) -> dict[str, float]:
+        t, c = (sum(size[y, h] for h in halves) for y in (1, 0))
+        out = {}
+        for f, counts in seen.items():
+            a, b = (sum(x[h] for h in halves) for x in (counts, other.get(f, (0, 0))))
+            low = math.log((a + 0.5) / (t + 1)) - math.log((b + 0.5) / (c + 1)) - math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+            if a >= least_docs and low > 0:
+                out[f] = low
+        return out
 
-    model = Model(chars, weights, np.zeros(3))
-    rows = _evidence(sample.select("toxic", "text"), "toxic", "int", model).collect()
-    x = np.array([[1.0, r["strongest"], r["total"]] for r in rows])
-    return Model(chars, weights, _logistic(x, np.array([r["toxic"] for r in rows], float)))
+    crossed = [
+        r
+        for half in (0, 1)
+        for r in _evidence(
+            sample.where(F.col("half") == half).select("toxic", "text"), "toxic", "int", Model(chars, weights((1 - half,)), np.zeros(3))
+        ).collect()
+    ]
+    x = np.array([[1.0, r["strongest"], r["second"]] for r in crossed])
+    return Model(chars, weights((0, 1)), _logistic(x, np.array([r["toxic"] for r in crossed], float)))
+
+
+SIGNED = "id long, toxic int, half int, sign long, signature array<long>, text string"
+BANDS, ROWS = 6, 4  # smallest shingle hashes, four to a band: near copies agree in some band, other texts hardly ever
+
+
+def _signed(batches):
+    """Rows with a signature of their word triples, from their smallest hashes under a few functions."""
+    rng = np.random.default_rng(7)
+    turns = rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+    for b in batches:
+        signatures = []
+        for t in b["text"].to_pylist():
+            words = (t or "").lower().split()
+            triples = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+            h = np.array([xxhash.xxh64_intdigest(x) for x in triples], np.uint64)
+            low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+            for at in range(0, len(h), 1 << 14):
+                x = h[at : at + (1 << 14), None] * turns
+                low = np.minimum(low, (x ^ (x >> np.uint64(29))).min(0))
+            signatures.append([xxhash.xxh64_intdigest(band.tobytes()) >> 1 for band in low.reshape(BANDS, ROWS)])
+        sign = pa.array([int(s[0]) for s in signatures], pa.int64())
+        half = pa.array([xxhash.xxh64_intdigest(str(i)) % 2 for i in b["id"].to_pylist()], pa.int32())
+        yield pa.record_batch(
+            [b["id"].cast(pa.int64()), b["toxic"], half, sign, pa.array(signatures, pa.list_(pa.int64())), b["text"]],
+            names=[c.split()[0] for c in SIGNED.split(", ")],
+        )
+
+
+def _one_of_near_copies(signed: DataFrame) -> DataFrame:
+    """(id, sign) of one row of each group that shares signature hashes; the sample is bounded, so this is local."""
+    rows = sorted((r["id"], r["sign"], *r["signature"]) for r in signed.select("id", "sign", "signature").collect())
+    first: dict[tuple[int, int], int] = {}
+    links = [(i, first.setdefault((k, h), i)) for i, r in enumerate(rows) for k, h in enumerate(r[2:])]
+    a, b = np.array(links, np.int64).reshape(-1, 2).T
+    root = local_roots(len(rows), a, b)
+    kept = [rows[i][:2] for i in np.flatnonzero(root == np.arange(len(rows)))]
+    return signed.sparkSession.createDataFrame(kept, "id long, sign long")
 
 
 def _document_counts(rows: DataFrame, chars, wanted) -> DataFrame:
-    """(feature, n): in how many documents each feature occurs; only the wanted ones, if given."""
+    """(feature, n0, n1): in how many documents of either half each feature occurs; only the wanted ones, if given."""
 
     def count(batches):
         restorer, memo = Restorer(chars.value), {}
         for b in batches:
-            n: Counter = Counter()
-            for t in b["text"].to_pylist():
+            n: tuple[Counter, Counter] = Counter(), Counter()
+            for half, t in zip(b["half"].to_pylist(), b["text"].to_pylist()):
                 words = (t or "").lower().split()
                 found: set[str] = set()
                 for w in set(words):
@@ -304,12 +359,15 @@ def _document_counts(rows: DataFrame, chars, wanted) -> DataFrame:
                         memo[w] = got if wanted is None else got & wanted.value
                     found |= memo[w]
                 spelt = {f for w in restorer.spaced(words) for f in features(w)}
-                n.update(found | (spelt if wanted is None else spelt & wanted.value))
+                n[half].update(found | (spelt if wanted is None else spelt & wanted.value))
                 if len(memo) > REMEMBERED:
                     memo.clear()
-            yield pa.record_batch([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], names=["feature", "n"])
+            names = list(n[0].keys() | n[1].keys())
+            columns = [pa.array(names, pa.string()), *(pa.array([c[f] for f in names], pa.int64()) for c in n)]
+            yield pa.record_batch(columns, names=["feature", "n0", "n1"])
 
-    return rows.select("text").mapInArrow(count, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    found = rows.select("half", "text").mapInArrow(count, "feature string, n0 long, n1 long")
+    return found.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -327,7 +385,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 
 
 def _evidence(rows: DataFrame, keep: str, kind: str, model: Model) -> DataFrame:
-    """(keep, strongest, total, score) for rows of (keep, text)."""
+    """(keep, strongest, second, score) for rows of (keep, text)."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -336,10 +394,10 @@ def _evidence(rows: DataFrame, keep: str, kind: str, model: Model) -> DataFrame:
             x = np.array([scorer.evidence(t.as_py()) for t in b["text"]], float).reshape(-1, 2)
             yield pa.record_batch(
                 [b[keep], pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(shared.value.score(x))],
-                names=[keep, "strongest", "total", "score"],
+                names=[keep, "strongest", "second", "score"],
             )
 
-    return rows.select(keep, "text").mapInArrow(run, f"`{keep}` {kind}, strongest double, total double, score double")
+    return rows.select(keep, "text").mapInArrow(run, f"`{keep}` {kind}, strongest double, second double, score double")
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
