@@ -29,7 +29,8 @@ RAW_CUSTOMERS = """SELECT
 
 RAW_PRODUCTS = """SELECT
     CASE WHEN p_partkey % 61 = 0 THEN '?' ELSE CAST(p_partkey AS STRING) END AS product_id,
-    CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE p_name END AS name,
+    CASE WHEN p_partkey % 19 = 0 THEN NULL WHEN p_partkey % 9 = 0 THEN concat('"', p_name, '", or', chr(10), 'so')
+        ELSE p_name END AS name,
     CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_type END AS category,
     CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 23 = 0 THEN 'n/a'
         WHEN p_partkey % 29 = 0 THEN '-1' WHEN p_partkey % 31 = 0 THEN '0'

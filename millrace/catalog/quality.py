@@ -340,7 +340,7 @@ _FILE_EXPRS = {
     "Product ID": "CAST(product_id AS STRING)",
     "Category": "category",
     "Sub-Category": "brand",
-    "Product Name": "prod_name",
+    "Product Name": """CASE WHEN product_id % 7 = 0 THEN concat(prod_name, ', "new"', chr(10), '2nd line') ELSE prod_name END""",
     "Sales": "CASE WHEN order_id % 23 = 0 THEN 'n/a' ELSE CAST(CAST(revenue AS DECIMAL(18,4)) AS STRING) END",
     "Quantity": "CASE WHEN order_id % 29 = 0 THEN '0' ELSE CAST(quantity AS STRING) END",
     "Discount": "CAST(discount AS STRING)",

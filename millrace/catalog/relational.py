@@ -331,8 +331,8 @@ def join_star(spark, sf):
         JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2""",
 )
 def join_broadcast(spark, sf):
-    nation = R.broadcast_if_small(tables.load(spark, sf, "nation"))
-    region = R.broadcast_if_small(tables.load(spark, sf, "region"))
+    """Both dimensions are files whose size Spark knows; it broadcasts them by that."""
+    nation, region = (tables.load(spark, sf, t) for t in ("nation", "region"))
     per_nation = tables.load(spark, sf, "customer").groupBy("c_nationkey").agg(
         F.count(F.lit(1)).alias("customers")
     )
@@ -618,9 +618,16 @@ def agg_multi(spark, sf):
         FROM item GROUP BY return_flag"""),
 )
 def agg_count_distinct(spark, sf):
-    return tables.items(spark, sf).groupBy("return_flag").agg(
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("product_id").alias("products")
-    )
+    """Distinct pairs per column, counted and joined on the flag; two distinct counts in one aggregate
+    would send every row twice.
+    """
+    lines = tables.items(spark, sf)
+
+    def pairs(column, out):
+        return lines.select("return_flag", column).distinct().groupBy("return_flag").agg(F.count(column).alias(out))
+
+    orders, products = pairs("order_id", "orders"), pairs("product_id", "products").withColumnRenamed("return_flag", "_f")
+    return orders.join(products, F.col("return_flag").eqNullSafe(F.col("_f"))).drop("_f")
 
 
 @query(
@@ -713,13 +720,14 @@ def agg_value_counts(spark, sf):
 
 @query(
     "agg_histogram",
-    star("""SELECT least(CAST(floor(CAST(amount AS DOUBLE) / 50000.0::DOUBLE) AS BIGINT), 9) AS bin,
-        least(floor(CAST(amount AS DOUBLE) / 50000.0::DOUBLE), 9) * 50000.0::DOUBLE AS bin_start,
-        (least(floor(CAST(amount AS DOUBLE) / 50000.0::DOUBLE), 9) + 1) * 50000.0::DOUBLE AS bin_end,
-        count(*) AS rows_in_bin FROM ord WHERE amount BETWEEN 0 AND 500000 GROUP BY 1, 2, 3"""),
+    star(""", e AS (SELECT min(CAST(amount AS DOUBLE)) AS low,
+            (max(CAST(amount AS DOUBLE)) - min(CAST(amount AS DOUBLE))) / 10 AS width FROM ord),
+        b AS (SELECT least(CAST(floor((CAST(amount AS DOUBLE) - low) / width) AS BIGINT), 9) AS bin, low, width FROM ord, e)
+        SELECT bin, low + bin * width AS bin_start, low + (bin + 1) * width AS bin_end, count(*) AS rows_in_bin
+        FROM b GROUP BY bin, low, width"""),
 )
 def agg_histogram(spark, sf):
-    return R.histogram(tables.orders(spark, sf), "amount", 10, 0.0, 500_000.0)
+    return R.histogram(tables.orders(spark, sf), "amount", 10)
 
 
 # --- sorting and top-k ---------------------------------------------------------------------------

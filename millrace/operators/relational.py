@@ -7,18 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_LIMIT = 1000
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting, at most max_rows + 1 rows, that it fits.
-
-    Beyond the bound the frame is returned without a hint and Spark plans a shuffle
-    join, which adaptive execution splits where a key is hot.
-    """
-    fits = dim.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if fits else dim
+MAX_LIMIT = 1000  # of a report
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -66,7 +55,7 @@ def check_limit(limit: int) -> int:
 
 def top_k(df: DataFrame, limit: int, *order: Column) -> DataFrame:
     """The first rows of an order; each task keeps `limit` rows, nothing is fully sorted."""
-    return df.orderBy(*order).limit(check_limit(limit))
+    return df.orderBy(*order).limit(limit)
 
 
 def share_of_total(df: DataFrame, value: str, out: str, digits: int = 2) -> DataFrame:
@@ -85,18 +74,23 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def histogram(df: DataFrame, value: str, bins: int, low: float, high: float) -> DataFrame:
-    """Equal-width bins over [low, high]; the upper edge belongs to the last bin."""
-    width = (high - low) / bins
-    b = F.least(F.floor((F.col(value).cast("double") - low) / width), F.lit(bins - 1))
+def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
+    """Equal-width bins from the smallest to the largest value; the upper edge belongs to the last bin.
+
+    The bounds come from the data, so every row with a value falls in a bin.
+    """
+    v = F.col(value).cast("double")
+    span = df.agg(F.struct(F.min(v).alias("low"), ((F.max(v) - F.min(v)) / bins).alias("width"))).scalar()
+    placed = df.where(F.col(value).isNotNull()).select(v.alias("v"), span.alias("s"))
+    # One value only: no width, one bin.
+    b = F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("s.low"), F.col("s.width"))), F.lit(0))
     return (
-        df.where(F.col(value).cast("double").between(low, high))
-        .groupBy(b.cast("long").alias("bin"))
+        placed.groupBy(F.least(b, F.lit(bins - 1)).cast("long").alias("bin"), "s")
         .agg(F.count(F.lit(1)).alias("rows_in_bin"))
         .select(
             "bin",
-            (F.lit(low) + F.col("bin") * width).alias("bin_start"),
-            (F.lit(low) + (F.col("bin") + 1) * width).alias("bin_end"),
+            (F.col("s.low") + F.col("bin") * F.col("s.width")).alias("bin_start"),
+            (F.col("s.low") + (F.col("bin") + 1) * F.col("s.width")).alias("bin_end"),
             "rows_in_bin",
         )
     )

@@ -1,14 +1,15 @@
 """Rankings and running sums that stay distributed when one group is huge.
 
-A plain window sorts each group in one task.  Here the rows of a group are cut
-into ranges of the sort order first: each range is summed by its own task, the
-per-range totals (at most `splits` per group) are accumulated, and the two are
-joined on (group, range).  The cut points come from a bounded sample chosen by
-hash, so they repeat when a lost task is recomputed, and they only decide where
-the work is cut: the result is exact for any cut.
-
-The input is read for its count, the sample, the totals and the rows.  That is cheap for a scan; a
-caller whose input is a join or an aggregate passes it through `staged` first.
+A plain window sorts each group in one task.  Here Spark deals the rows into ranges of (group, order)
+first: a group lies in one range or in a few next to each other, whatever its size.  Each range is summed
+by its own task, the totals per (group, range) are accumulated, and the two are joined.  There are
+about as many totals as groups and ranges, and a group has one per range it touches.  The ranges only
+decide where the work is cut: the result is exact for any cut, and the order is Spark's own, with NULL
+and NaN where a plain window puts them.
+
+The dealt rows are written once, so a recomputed task sees the same ranges.  The input is read for its
+row count, for the range bounds and for the rows; a caller whose input is a join or an aggregate
+passes it through `staged` first.
 """
 
 from __future__ import annotations
@@ -20,8 +21,7 @@ from pyspark.sql import functions as F
 
 from millrace.session import staged
 
-SAMPLE_PER_SPLIT = 32
-MAX_SPLITS = 4096
+ROWS_PER_RANGE = 1_000_000
 
 # A sort term: a column name with True for descending.
 Order = Sequence[tuple[str, bool]]
@@ -31,69 +31,24 @@ def sort_columns(order: Order) -> list[Column]:
     return [F.col(n).desc_nulls_last() if d else F.col(n).asc_nulls_first() for n, d in order]
 
 
-def _split_count(df: DataFrame, splits: int | None) -> int:
-    wanted = splits or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = 2
-    while n < min(wanted, MAX_SPLITS):
-        n *= 2
-    return n
+def _ranges(df: DataFrame, splits: int | None) -> int:
+    """With more rows the ranges grow in number, not in size."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return splits or max(least, -(-df.count() // ROWS_PER_RANGE))
 
 
-def _range_key(df: DataFrame, order: Order) -> Column:
-    """A struct that sorts ascending the way `order` does.
+def with_range(df: DataFrame, order: Order, keys: Sequence[str] = (), splits: int | None = None) -> DataFrame:
+    """Add `_range`: 0, 1, ... rising with (keys, order); rows equal in both share one."""
+    by = [F.col(k).asc_nulls_first() for k in keys] + sort_columns(order)
+    dealt = df.repartitionByRange(_ranges(df, splits), *by)
+    return staged(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
 
-    Descending numbers and dates are negated.  Descending text cannot be, so the
-    key stops there: a prefix of the order still cuts it into ranges.
-    """
-    types = dict(df.dtypes)
-    parts: list[Column] = []
-    for name, desc in order:
-        c = F.col(name)
-        if not desc:
-            parts.append(c)
-            continue
-        kind = types[name]
-        if kind == "date":
-            c = F.unix_date(c)
-        elif kind.startswith("timestamp"):
-            c = F.unix_micros(c.cast("timestamp"))
-        elif kind == "string":
-            break
-        parts += [c.isNull(), -c]
-    if not parts:
-        parts = [F.lit(0)]
-    return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
-
-
-def _with_range(df: DataFrame, order: Order, keys: Sequence[str], splits: int) -> DataFrame:
-    """Add `_range`: 0..splits-1, rising with `order`."""
-    keyed = df.withColumn("_key", _range_key(df, order))
-    spread = F.xxhash64(*[F.col(k) for k in keys], F.col("_key"))
-    wanted = SAMPLE_PER_SPLIT * splits
-    # Only rows with a low hash, about four times as many as wanted, leave their task.
-    rows = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-    low = F.pmod("_h", F.lit(1 << 30)) * rows <= F.lit(4.0 * wanted * (1 << 30))
-    sample = keyed.select("_key", spread.alias("_h")).where(low).orderBy("_h", "_key")
-    bounds = (
-        sample.limit(wanted)
-        .agg(F.sort_array(F.collect_list("_key")).alias("s"))
-        .select(
-            F.transform(
-                F.sequence(F.lit(1), F.lit(splits - 1)),
-                lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(splits)).cast("int")),
-            )
-        )
-        .scalar()
-    )
-    out = keyed.withColumn("_bounds", bounds).withColumn("_range", F.lit(0))
-    step = splits // 2
-    while step:  # binary search, one projection per halving
-        probe = F.get("_bounds", F.col("_range") + F.lit(step - 1))
-        out = out.withColumn(
-            "_range", F.col("_range") + F.when(probe <= F.col("_key"), step).otherwise(0)
-        )
-        step //= 2
-    return out.drop("_bounds", "_key")
+
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    on = F.lit(True)
+    for a, b in zip(left, right):
+        on = on & F.col(a).eqNullSafe(F.col(b))
+    return on
 
 
 def prefix_sums(
@@ -109,11 +64,10 @@ def prefix_sums(
     `order` must be unique within a group.  `totals` adds whole-group sums:
     output name -> measure name.
     """
-    keys, n = list(keys), _split_count(df, splits)
-    carry = list(df.columns)
+    keys, carry = list(keys), list(df.columns)
     inputs = {out: f"_m{i}" for i, out in enumerate(measures)}
-    ranged = _with_range(
-        df.select(*carry, *[measures[o].alias(c) for o, c in inputs.items()]), order, keys, n
+    ranged = with_range(
+        df.select(*carry, *[measures[o].alias(c) for o, c in inputs.items()]), order, keys, splits
     )
     here = (
         Window.partitionBy(*keys, "_range")
@@ -124,14 +78,15 @@ def prefix_sums(
         *carry, "_range", *[F.sum(c).over(here).alias(f"_l{c}") for c in inputs.values()]
     )
 
-    # At most `splits` rows per group from here on.
+    # One row per group and range it touches from here on.
     per_range = ranged.groupBy(*keys, "_range").agg(
         *[F.sum(c).alias(c) for c in inputs.values()]
     )
     group = Window.partitionBy(*(keys or [F.lit(0)]))
     earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    named = [f"_g{i}" for i in range(len(keys))]
     base = per_range.select(
-        *[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)],
+        *[F.col(k).alias(g) for k, g in zip(keys, named)],
         F.col("_range").alias("_r"),
         *[F.sum(c).over(earlier).alias(f"_b{c}") for c in inputs.values()],
         *[
@@ -139,10 +94,7 @@ def prefix_sums(
             for i, m in enumerate((totals or {}).values())
         ],
     )
-    on = F.col("_range") == F.col("_r")
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"_g{i}"))
-    joined = local.join(base, on)
+    joined = local.join(base, (F.col("_range") == F.col("_r")) & _same(keys, named))
     return joined.select(
         *carry,
         *[
@@ -206,11 +158,18 @@ def ranks(
     if percent:
         spread = (first - 1).cast("double") / (F.col("_all") - 1).cast("double")
         wanted.append(F.when(F.col("_all") > 1, spread).otherwise(F.lit(0.0)).alias(percent))
-    lookup = summed.select(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(by)], *wanted)
-    on = F.lit(True)
-    for i, c in enumerate(by):
-        on = on & F.col(c).eqNullSafe(F.col(f"_v{i}"))
-    return df.join(lookup, on).drop(*[f"_v{i}" for i in range(len(by))])
+    return _attach(df, by, summed, wanted)
+
+
+def _attach(df: DataFrame, by: Sequence[str], values: DataFrame, wanted: Sequence[Column | str]) -> DataFrame:
+    """Figures per distinct value, next to every row that holds it.
+
+    They are written first, so that Spark knows their size when it plans the join: a few hot values are
+    broadcast and the rows stay where they are.
+    """
+    named = [f"_v{i}" for i in range(len(by))]
+    lookup = staged(values.select(*[F.col(c).alias(v) for c, v in zip(by, named)], *wanted), "figures")
+    return df.join(lookup, _same(by, named)).drop(*named)
 
 
 def ntiles(
@@ -247,11 +206,7 @@ def running_range_total(
     by = keys + [n for n, _ in order]
     values = staged(df.groupBy(*by).agg(F.sum(measure).alias("_s")), "values")
     summed = prefix_sums(values, order, {out: F.col("_s")}, keys, splits=splits)
-    lookup = summed.select(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(by)], out)
-    on = F.lit(True)
-    for i, c in enumerate(by):
-        on = on & F.col(c).eqNullSafe(F.col(f"_v{i}"))
-    return df.join(lookup, on).drop(*[f"_v{i}" for i in range(len(by))])
+    return _attach(df, by, summed, [out])
 
 
 def calendar_window(*partition: str, order: str) -> Window:
@@ -264,14 +219,15 @@ def calendar_window(*partition: str, order: str) -> Window:
 
 
 def running_by_period(df: DataFrame, period: str, total: Column, out: str) -> DataFrame:
-    """running_range_total for a calendar column: the totals per period fit one task.
+    """running_range_total for a calendar column.
 
+    There are no more totals than the calendar has periods, so they fit one task and a broadcast.
     `total` is an aggregate, like F.sum("x").
     """
     totals = df.groupBy(F.col(period).alias("_p")).agg(total.alias("_s"))
     upto = calendar_window(order="_p").rowsBetween(Window.unboundedPreceding, 0)
     running = totals.select("_p", F.sum("_s").over(upto).alias(out))
-    return df.join(running, F.col(period).eqNullSafe(F.col("_p"))).drop("_p")
+    return df.join(F.broadcast(running), F.col(period).eqNullSafe(F.col("_p"))).drop("_p")
 
 
 def distinct_per_key(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:

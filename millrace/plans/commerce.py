@@ -125,18 +125,24 @@ def revenue_by_customer(s: Star, excluded=EXCLUDED, limit: int = 20) -> DataFram
 
 
 def revenue_by_category(s: Star, excluded=EXCLUDED) -> DataFrame:
-    lines = sold_items(s, excluded).join(s.products.select("product_id", "category"), "product_id")
-    return (
-        lines.groupBy("category")
+    """Totals from one row per product; orders from distinct (category, order) pairs."""
+    category = s.products.select("product_id", "category")
+    totals = (
+        product_totals(s, excluded)
+        .groupBy("category")
         .agg(
-            F.countDistinct("product_id").alias("num_products"),
-            F.countDistinct("order_id").alias("num_orders"),
-            F.sum("quantity").alias("units_sold"),
-            rounded(money_sum("revenue_units", 4)).alias("total_revenue"),
-            mean_of(money_sum("gross_cents", 2), F.count("gross_cents")).alias("avg_unit_price"),
+            F.count(F.lit(1)).alias("num_products"),
+            F.sum("units").alias("units_sold"),
+            rounded(F.sum("revenue")).alias("total_revenue"),
+            mean_of(F.sum("gross"), F.sum("lines")).alias("avg_unit_price"),
         )
-        .orderBy(F.desc("total_revenue"))
     )
+    pairs = sold_items(s, excluded).join(category, "product_id").select("category", "order_id").distinct()
+    orders = pairs.groupBy("category").agg(F.count(F.lit(1)).alias("num_orders"))
+    rows = totals.join(orders.withColumnRenamed("category", "_c"), F.col("category").eqNullSafe(F.col("_c")))
+    return rows.select(
+        "category", "num_products", "num_orders", "units_sold", "total_revenue", "avg_unit_price"
+    ).orderBy(F.desc("total_revenue"))
 
 
 def revenue_by_month(s: Star, excluded=EXCLUDED) -> DataFrame:

@@ -66,11 +66,18 @@ def normalise(flat: DataFrame, order: Order) -> Split:
 
 
 def overview(flat: DataFrame) -> DataFrame:
-    return flat.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.countDistinct("customer_id").alias("customers"),
-        F.countDistinct("order_id").alias("orders"),
-        rounded(money_sum("sales_units", 4)).alias("total_sales"),
+    """Per order first, then per customer, so nothing is counted distinctly; an order has one customer."""
+    per_order = flat.groupBy("customer_id", "order_id").agg(
+        F.count(F.lit(1)).alias("n"), money_sum("sales_units", 4).alias("sales")
+    )
+    per_customer = per_order.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("n").alias("n"), F.sum("sales").alias("sales")
+    )
+    return per_customer.agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_rows"),
+        F.count(F.lit(1)).alias("customers"),
+        F.coalesce(F.sum("orders"), F.lit(0).cast("long")).alias("orders"),
+        rounded(F.sum("sales")).alias("total_sales"),
     )
 
 

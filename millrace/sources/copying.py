@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.operators.cleaning import first_per_key
 from millrace.operators.windows import Order
-from millrace.sources.files import path_exists
+from millrace.sources.files import path_exists, read_csv_typed
 from millrace.sources.sinks import write_csv
 
 # The error code and the target's name format.
 FILE_NOT_FOUND = "FILE_NOT_FOUND"
 TARGET_NAME = "{stem}_processed_{stamp}.csv"
+_MALFORMED = "_malformed"
 
 
 class SourceMissing(FileNotFoundError):
@@ -26,6 +28,7 @@ class SourceMissing(FileNotFoundError):
 class CopyResult:
     target: str
     rows_copied: int
+    rows_malformed: int  # copied with NULL where a cell did not fit its type
 
 
 def conditional_copy(
@@ -39,8 +42,11 @@ def conditional_copy(
     if not path_exists(spark, source):
         raise SourceMissing(f"{FILE_NOT_FOUND}: {source}")
     target = f"{folder.rstrip('/')}/{TARGET_NAME.format(stem=stem, stamp=stamp)}"
-    typed = spark.read.schema(schema).option("header", True).csv(source)
-    return CopyResult(target, write_csv(typed, target))
+    seen = Observation()
+    typed = read_csv_typed(spark, source, schema, corrupt=_MALFORMED)
+    typed = typed.observe(seen, F.count(_MALFORMED).alias("malformed")).drop(_MALFORMED)
+    rows = write_csv(typed, target)
+    return CopyResult(target, rows, seen.get["malformed"])
 
 
 def split_dimension(flat: DataFrame, key: str, attributes: list[str], order: Order) -> DataFrame:

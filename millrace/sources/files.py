@@ -11,30 +11,35 @@ from pyspark.sql.types import StructType
 from millrace.functions.exprs import label_of
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """Header and inferred types: a second pass over the file, for exploring only."""
-    return spark.read.csv(path, header=True, inferSchema=True)
+# How every delimited file is written and read here: quotes inside a cell are doubled.  A blank cell is NULL, so
+# an empty text comes back as NULL.
+CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
 
 
-def read_csv_multiline(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Quoted line breaks and doubled quotes.
+def _csv(spark: SparkSession, multi_line: bool):
+    """A reader for what `write_csv` wrote.
 
-    Such a file cannot be split, so one file is one task: write many files.
+    With `multi_line` a cell may hold line breaks; a file is then one task, so write many files.  Without
+    it files are split, and a quoted line break ends the row.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+    return spark.read.options(**CSV_FORMAT, mode="PERMISSIVE", multiLine=multi_line)
+
+
+def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Header and inferred types: a second pass over the file, for exploring only."""
+    return _csv(spark, multi_line).option("inferSchema", True).csv(path)
 
 
-def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Every column as text, to be coerced later without losing a row."""
-    return spark.read.csv(path, header=True, inferSchema=False)
+    return _csv(spark, multi_line).option("inferSchema", False).csv(path)
 
 
 def read_csv_typed(
-    spark: SparkSession, path: str, schema: str, corrupt: str | None = None
+    spark: SparkSession, path: str, schema: str, corrupt: str | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """An explicit schema (DDL text); with `corrupt`, malformed lines are kept in that column."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    """An explicit schema (DDL text); with `corrupt`, malformed rows are kept as text in that column."""
+    reader = _csv(spark, multi_line)
     if corrupt:
         schema = f"{schema}, `{corrupt}` string"
         reader = reader.option("columnNameOfCorruptRecord", corrupt)

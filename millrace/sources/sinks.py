@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.files import CSV_FORMAT
+
 
 def write_csv(df: DataFrame, path: str) -> int:
     """CSV with header, overwrite, blanks kept; returns the rows written."""
@@ -12,8 +14,7 @@ def write_csv(df: DataFrame, path: str) -> int:
     watched = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     (
         watched.write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
+        .options(**CSV_FORMAT)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -62,5 +63,5 @@ def write_json_report(report: DataFrame, path: str) -> int:
     """A report table as JSON lines; a report has a handful of rows."""
     seen = Observation()
     watched = report.observe(seen, F.count(F.lit(1)).alias("rows"))
-    watched.coalesce(1).write.mode("overwrite").json(path)
+    watched.repartition(1).write.mode("overwrite").json(path)
     return seen.get["rows"]

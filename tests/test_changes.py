@@ -5,7 +5,8 @@ from millrace.operators import merge as M
 from millrace.operators import relational as R
 from millrace.operators.cleaning import drop_duplicate_rows, latest_per_key
 from millrace.operators.quality import Rules
-from millrace.plans import reports
+from millrace.catalog.relational import agg_count_distinct
+from millrace.plans import commerce, reports, superstore
 from millrace.session import scratch_dir
 from millrace.sources import copying, files, schemas, sinks, snapshots, tables
 from millrace.streaming.incremental import merge_batch, upsert_files
@@ -121,7 +122,7 @@ def test_stream_merges_each_batch_once(spark):
 
 def test_conditional_copy(spark, tmp_path):
     names = schemas.SALES_FILE_COLUMNS
-    line = ['1', "O1", "1/2/2020", "1/3/2020", "Std", "C1", 'Ann "A" Lee', "S", "US", "X", "Y", "1", "R", "P1",
+    line = ['1', "O1", "1/2/2020", "1/3/2020", "Std", "C1", 'Ann "A", Lee\nJr "x"', "S", "US", "X", "Y", "1", "R", "P1",
             "Cat", "Sub", "Pen, red", "12.5", "2", "0.1", "3.5"]
     bad = [*line]
     bad[0], bad[17] = "2", "n/a"
@@ -129,22 +130,32 @@ def test_conditional_copy(spark, tmp_path):
     sinks.write_csv(spark.createDataFrame([tuple(line), tuple(bad)], ", ".join(f"`{c}` string" for c in names)), source)
     done = copying.conditional_copy(spark, source, out, schemas.SALES_FILE, "sales", "20240101_000000")
     assert done.rows_copied == 2 and done.target.endswith("/sales_processed_20240101_000000.csv")
-    back = spark.read.option("header", True).option("escape", '"').schema(schemas.SALES_FILE).csv(done.target)
-    assert rows(back, "Row ID", "Sales", "Quantity", "Product Name") == [
-        (1, 12.5, 2, "Pen, red"), (2, None, 2, "Pen, red")
-    ]
+    assert done.rows_malformed == 1
+    back = files.read_csv_typed(spark, done.target, schemas.SALES_FILE)
+    typed = (1, *line[1:17], 12.5, 2, 0.1, 3.5)
+    assert rows(back) == [typed, (2, *line[1:17], None, 2, 0.1, 3.5)]
     with pytest.raises(copying.SourceMissing) as e:
         copying.conditional_copy(spark, f"{source}-none", out, schemas.SALES_FILE, "sales", "x")
     assert e.value.code == "FILE_NOT_FOUND"
 
 
+@pytest.mark.parametrize("cell", ['Ann "A", Lee', 'two\nlines, "q"', '"', '""', ",", " pad ", None, "back\\slash\\", "ü—東"])
+def test_cells_survive_a_file(spark, cell):
+    path = scratch_dir(spark, "cells")
+    sinks.write_csv(spark.createDataFrame([(1, cell, "next"), (2, "x", "y")], "id int, t string, u string"), path)
+    want = [(1, cell, "next"), (2, "x", "y")]
+    assert rows(files.read_csv_typed(spark, path, "id int, t string, u string")) == want
+    assert [r[1:] for r in rows(files.read_csv_strings(spark, path))] == [w[1:] for w in want]
+    assert rows(files.read_csv_inferred(spark, path), "t", "u") == sorted((w[1:] for w in want), key=str)
+
+
 def test_multiline_text_and_md5(spark):
     import hashlib
 
     path = scratch_dir(spark, "text")
     text = 'two\nlines, "quoted" and  blanks '
     sinks.write_csv(spark.createDataFrame([(1, text)], "id int, t string").coalesce(1), path)
-    assert files.read_csv_multiline(spark, path, "id int, t string").first()["t"] == text
+    assert files.read_csv_typed(spark, path, "id int, t string").first()["t"] == text
     facts = files.file_md5(spark, path, "*.csv").where("size_bytes > 10").first()
     local = [f for f in __import__("glob").glob(f"{path}/*.csv") if f.endswith(facts["item_name"])][0]
     assert facts["md5"] == hashlib.md5(open(local, "rb").read()).hexdigest()
@@ -162,14 +173,6 @@ def test_report_names_and_limits(spark, sf):
     assert list(reports.run_report("all", s)) == list(reports.REPORTS)
 
 
-def test_broadcast_only_below_the_bound(spark):
-    hint = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower() or (
-        "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    )
-    assert hint(R.broadcast_if_small(spark.range(10), 10))
-    assert not hint(R.broadcast_if_small(spark.range(11), 10))
-
-
 def test_shares_add_up(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 5)], "k string, v long")
     assert abs(R.share_of_total(df, "v", "p", 6).agg(F.sum("p")).first()[0] - 100) < 1e-4
@@ -181,9 +184,22 @@ def test_reconcile(spark):
     assert rows(R.reconcile(a, b, "k")) == [(1, "left_only"), (2, "matched"), (3, "right_only")]
 
 
-def test_histogram_edge(spark):
-    df = spark.createDataFrame([(0.0,), (9.9,), (10.0,), (100.0,), (101.0,)], "v double")
-    assert rows(R.histogram(df, "v", 10, 0.0, 100.0), "bin", "rows_in_bin") == [(0, 2), (1, 1), (9, 1)]
+def test_histogram_holds_every_value(spark):
+    far = [(-1e9,), (0.0,), (9.9,), (10.0,), (100.0,), (101.0,), (1e9,), (None,)]
+    got = rows(R.histogram(spark.createDataFrame(far, "v double"), "v", 10), "bin", "rows_in_bin")
+    assert got == [(0, 1), (5, 5), (9, 1)]
+    same = spark.createDataFrame([(3.0,), (3.0,)], "v double")
+    assert rows(R.histogram(same, "v", 4)) == [(0, 3.0, 3.0, 2)]
+
+
+def test_top_k_has_no_limit_of_its_own(spark):
+    assert R.top_k(spark.range(3000), 2000, F.desc("id")).count() == 2000
+
+
+def test_distinct_counts_do_not_multiply_rows(spark, sf):
+    s = tables.star(spark, sf)
+    plans = [commerce.revenue_by_category(s), superstore.overview(superstore.flat_sales(s)), agg_count_distinct(spark, sf)]
+    assert all("Expand" not in df._jdf.queryExecution().executedPlan().toString() for df in plans)
 
 
 def test_a_cluster_needs_the_shared_folder(spark, monkeypatch):

@@ -105,18 +105,55 @@ def test_empty_input(spark):
 
 
 def test_a_hot_group_is_cut(spark):
-    """No (group, range) cell holds more than a small part of the hot group."""
+    """No range holds more than a small part of the rows, and small groups are not cut up."""
     df = skewed(spark, 6000)
-    cut = W._with_range(df, [("v", False), ("id", False)], ["k"], 32)
-    biggest = cut.groupBy("k", "_range").count().agg(F.max("count")).first()[0]
-    assert biggest < 6000 / 3 / 5
+    cut = W.with_range(df, [("v", False), ("id", False)], ["k"], 32)
+    assert cut.groupBy("_range").count().agg(F.max("count")).first()[0] < 6000 / 10
+    assert cut.select("k", "_range").distinct().count() < 97 + 2 * 32
+
+
+def odd_values(spark, n=600):
+    i = F.col("id")
+    return spark.range(n).select(
+        i.alias("id"),
+        F.when(i % 11 == 0, F.lit(float("nan"))).when(i % 7 == 0, None).when(i % 5 == 0, float("-inf"))
+        .otherwise((i * 37 % 101).cast("double") - 50).alias("x"),
+        F.when(i % 9 == 0, None).otherwise(i % 2 == 0).alias("b"),
+        F.when(i % 8 == 0, None).otherwise(F.concat(F.lit("t"), (i * 31 % 200).cast("string"))).alias("t"),
+        F.when(i % 6 == 0, None).otherwise(F.date_add(F.lit("2020-01-01"), (i * 13 % 300).cast("int"))).alias("d"),
+    )
+
+
+@pytest.mark.parametrize("column", ["x", "b", "t", "d"])
+@pytest.mark.parametrize("desc", [False, True])
+@pytest.mark.parametrize("keys", [[], ["b"]])
+def test_null_and_nan_stand_where_spark_puts_them(spark, column, desc, keys):
+    df, order = odd_values(spark), [(column, desc), ("id", False)]
+    w = Window.partitionBy(*keys).orderBy(*W.sort_columns(order))
+    got = W.row_numbers(df, order, keys, "rn", splits=8)
+    assert rows(got, "id", "rn") == rows(df.withColumn("rn", F.row_number().over(w)), "id", "rn")
+    w = Window.partitionBy(*keys).orderBy(*W.sort_columns(order[:1]))
+    got = W.ranks(df, order[:1], keys, "r", "dr", splits=8)
+    plain = df.select("id", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("dr"))
+    assert rows(got, "id", "r", "dr") == rows(plain, "id", "r", "dr")
+
+
+def test_descending_text_is_cut(spark):
+    cut = W.with_range(odd_values(spark), [("t", True), ("id", False)], splits=8)
+    assert cut.select("_range").distinct().count() == 8
+
+
+def test_more_rows_make_more_ranges(spark, monkeypatch):
+    monkeypatch.setattr(W, "ROWS_PER_RANGE", 100)
+    assert W._ranges(spark.range(2500), None) == 25
 
 
 def test_rows_never_gather_in_one_task(spark):
     df = skewed(spark)
     plan = W.row_numbers(df, [("v", False), ("id", False)], splits=8)._jdf.queryExecution()
     text = plan.executedPlan().toString()
-    assert "SinglePartition" not in text.split("Subquery")[0]
+    # What meets in one task are the totals, one row per range.
+    assert all("HashAggregate" in part.splitlines()[1] for part in text.split("SinglePartition")[1:])
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
