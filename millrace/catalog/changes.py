@@ -9,7 +9,8 @@ from millrace.operators import merge as M
 from millrace.operators.cleaning import latest_per_key
 from millrace.operators.quality import Rules
 from millrace.operators.relational import union_all
-from millrace.sources import tables
+from millrace.session import scratch_dir
+from millrace.sources import snapshots, tables
 
 CUT = "2000-01-01"
 KEYS = ["order_id", "line_number"]
@@ -99,29 +100,39 @@ def merge_validate(spark, sf):
     return M.merge_counts(_master(spark, sf), _increment(spark, sf), KEYS)
 
 
-# The pending orders arrive as one batch on top of the others.
-@query(
-    "batch_order_apply",
-    star(""", s AS (SELECT i.product_id, sum(i.quantity) AS q FROM item i JOIN ord o ON o.order_id = i.order_id
-            WHERE o.status = 'P' GROUP BY 1),
-        ok AS (SELECT count(*) = 0 AS fits FROM prod p JOIN s ON s.product_id = p.product_id WHERE p.stock * 1000 < s.q)
-        SELECT 'order' AS kind, order_id AS id, CAST(amount AS DOUBLE) AS value FROM ord, ok WHERE status <> 'P' OR fits
-        UNION ALL SELECT 'item', order_id, CAST(sum(quantity) AS DOUBLE) FROM item, ok
-            WHERE fits OR order_id NOT IN (SELECT order_id FROM ord WHERE status = 'P') GROUP BY order_id
-        UNION ALL SELECT 'stock', p.product_id, CAST(p.stock * 1000 - CASE WHEN fits THEN coalesce(s.q, 0) ELSE 0 END AS DOUBLE)
-            FROM ok, prod p LEFT JOIN s ON s.product_id = p.product_id"""),
-)
-def batch_order_apply(spark, sf):
+_ITEM_KEY = ("order_id", "line_number", "product_id", "supplier_id")
+
+# The pending orders arrive as one batch on top of the others.  It is applied if no product is sold out and no
+# item comes twice.
+_APPLIED = """, s AS (SELECT i.product_id, sum(i.quantity) AS q FROM item i JOIN ord o ON o.order_id = i.order_id
+        WHERE o.status = 'P' GROUP BY 1),
+    d AS (SELECT 1 FROM item i JOIN ord o ON o.order_id = i.order_id WHERE o.status = 'P'
+        GROUP BY i.order_id, line_number, product_id, supplier_id HAVING count(*) > 1),
+    ok AS (SELECT count(*) = 0 AND (SELECT count(*) FROM d) = 0 AND {} AS fits
+        FROM prod p JOIN s ON s.product_id = p.product_id WHERE p.stock * 1000 < s.q)
+    SELECT 'order' AS kind, order_id AS id, CAST(amount AS DOUBLE) AS value FROM ord, ok WHERE status <> 'P' OR fits {}
+    UNION ALL SELECT 'item', order_id, CAST(sum(quantity) AS DOUBLE) FROM item, ok
+        WHERE fits OR order_id NOT IN (SELECT order_id FROM ord WHERE status = 'P') GROUP BY order_id
+    UNION ALL SELECT 'stock', p.product_id, CAST(p.stock * 1000 - CASE WHEN fits THEN coalesce(s.q, 0) ELSE 0 END AS DOUBLE)
+        FROM ok, prod p LEFT JOIN s ON s.product_id = p.product_id"""
+
+
+def _apply_batch(spark, sf, stored_again):
+    """Orders, items and stock after the batch, stored under one commit and read back.
+
+    With `stored_again` one of the batch's orders is in the stored table already.
+    """
     s = tables.star(spark, sf)
     pending = s.orders.where("status = 'P'")
     settled = s.orders.where("status <> 'P'")
+    if stored_again:
+        settled = settled.unionByName(pending.orderBy("order_id").limit(1))
     new_items = s.items.join(pending.select("order_id"), "order_id", "left_semi")
     old_items = s.items.join(pending.select("order_id"), "order_id", "left_anti")
     stock = s.products.select("product_id", (F.col("stock") * 1000).cast("long").alias("stock"))
     order_rules = Rules(
         not_null=["order_id", "customer_id", "order_date"],
         checks={"amount": F.col("amount") >= 0},
-        unique={"order_id": (["order_id"], ["order_date", "customer_id", "amount"])},
         foreign={"customer_id": (s.customers, "customer_id")},
     )
     item_rules = Rules(
@@ -133,9 +144,12 @@ def batch_order_apply(spark, sf):
         },
         foreign={"order_id": (pending, "order_id"), "product_id": (s.products, "product_id")},
     )
-    orders, items, left = M.apply_order_batch(
-        settled, old_items, stock, pending, new_items, order_rules, item_rules
+    after = M.apply_order_batch(
+        settled, old_items, stock, pending, new_items, order_rules, item_rules, item_key=_ITEM_KEY
     )
+    root = scratch_dir(spark, "shop")
+    snapshots.publish_all(dict(zip(("orders", "items", "stock"), after)), root, "BATCH")
+    orders, items, left = (snapshots.read_table(spark, root, n) for n in ("orders", "items", "stock"))
     return union_all(
         [
             orders.select(
@@ -153,3 +167,17 @@ def batch_order_apply(spark, sf):
             ),
         ]
     )
+
+
+@query("batch_order_apply", star(_APPLIED.format("true", "")))
+def batch_order_apply(spark, sf):
+    return _apply_batch(spark, sf, stored_again=False)
+
+
+@query(
+    "batch_order_reject",
+    star(_APPLIED.format("false", "OR order_id = (SELECT min(order_id) FROM ord WHERE status = 'P')")),
+)
+def batch_order_reject(spark, sf):
+    """One order of the batch is stored already, so nothing of it is applied."""
+    return _apply_batch(spark, sf, stored_again=True)

@@ -427,15 +427,17 @@ def dq_stage_counts(spark, sf):
 
 # --- rules -----------------------------------------------------------------------------
 
-_BATCH = """, b AS (SELECT order_id, CASE WHEN order_id % 37 = 0 THEN NULL WHEN order_id % 29 = 0 THEN -customer_id - 1
+# Every fiftieth order arrives twice, exactly alike.
+_BATCH = """, b0 AS (SELECT order_id, CASE WHEN order_id % 37 = 0 THEN NULL WHEN order_id % 29 = 0 THEN -customer_id - 1
     ELSE customer_id END AS customer_id, CASE WHEN order_id % 41 = 0 THEN 'X' ELSE status END AS status,
     CASE WHEN order_id % 43 = 0 THEN -amount ELSE amount END AS amount,
-    concat('R-', CAST(order_id - CASE WHEN order_id % 11 = 1 THEN 1 ELSE 0 END AS STRING)) AS reference FROM ord)"""
+    concat('R-', CAST(order_id - CASE WHEN order_id % 11 = 1 THEN 1 ELSE 0 END AS STRING)) AS reference FROM ord),
+    b AS (SELECT * FROM b0 UNION ALL SELECT * FROM b0 WHERE order_id % 50 = 0)"""
 
 
 def _batch(spark, sf):
     k = F.col("order_id")
-    return tables.orders(spark, sf).select(
+    rows = tables.orders(spark, sf).select(
         "order_id",
         F.when(k % 37 == 0, F.lit(None)).when(k % 29 == 0, -F.col("customer_id") - 1)
         .otherwise(F.col("customer_id")).alias("customer_id"),
@@ -443,13 +445,14 @@ def _batch(spark, sf):
         F.when(k % 43 == 0, -F.col("amount")).otherwise(F.col("amount")).alias("amount"),
         F.concat(F.lit("R-"), (k - F.when(k % 11 == 1, 1).otherwise(0)).cast("string")).alias("reference"),
     )
+    return rows.unionByName(rows.where(k % 50 == 0))
 
 
 @query(
     "dq_constraints",
     star(f"""{_BATCH} SELECT order_id, concat_ws(',', CASE WHEN customer_id IS NULL THEN 'not_null:customer_id' END,
         CASE WHEN status NOT IN ('F', 'O', 'P') THEN 'check:status' END, CASE WHEN amount < 0 THEN 'check:amount' END,
-        CASE WHEN order_id > min(order_id) OVER (PARTITION BY reference) THEN 'unique:reference' END,
+        CASE WHEN row_number() OVER (PARTITION BY reference ORDER BY order_id) > 1 THEN 'unique:reference' END,
         CASE WHEN customer_id NOT IN (SELECT customer_id FROM cust) THEN 'foreign:customer_id' END) AS reasons
         FROM b"""),
 )

@@ -99,12 +99,14 @@ def apply_order_batch(
     new_items: DataFrame,
     order_rules: Rules,
     item_rules: Rules,
+    order_key: Sequence[str] = ("order_id",),
+    item_key: Sequence[str] = ("order_id", "product_id"),
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Append a batch of orders with their items and lower the stock, or change nothing.
 
-    One broken rule anywhere, or one product sold beyond its stock, rejects the whole
-    batch: the number of faults is a scalar subquery that every appended row and every
-    stock change depends on.
+    One broken rule anywhere, a key that the batch repeats or that is stored already, or one product sold
+    beyond its stock rejects the whole batch: the number of faults is a scalar subquery that every
+    appended row and every stock change depends on.  `publish_batch` stores the three under one commit.
     """
     sold = new_items.groupBy("product_id").agg(F.sum("quantity").alias("_sold"))
     short = stock.join(sold, "product_id").where(F.col("stock") < F.col("_sold"))
@@ -114,12 +116,16 @@ def apply_order_batch(
         .unionByName(apply_rules(new_items, item_rules).select("reasons"))
         .where(F.size("reasons") > 0)
     )
-    bad = (
-        broken.select(F.lit(1).alias("fault"))
-        .unionByName(short.select(F.lit(1).alias("fault")))
-        .agg(F.count("fault"))
-        .scalar()
-    )
+    faults = [broken, short]
+    for stored, new, key in ((orders, new_orders, order_key), (items, new_items, item_key)):
+        keys = new.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+        # The batch is the small side: its keys are looked for in the stored table.
+        faults += [keys.where("_n > 1"), stored.select(*key).join(keys.select(*key), list(key), "left_semi")]
+    fault = F.lit(1).alias("fault")
+    bad = faults[0].select(fault)
+    for f in faults[1:]:
+        bad = bad.unionByName(f.select(fault))
+    bad = bad.agg(F.count("fault")).scalar()
     lowered = stock.join(sold, "product_id", "left").withColumn(
         "stock",
         F.when((bad == 0) & F.col("_sold").isNotNull(), F.col("stock") - F.col("_sold")).otherwise(

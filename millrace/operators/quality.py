@@ -270,7 +270,8 @@ class Rules:
     """What a table's definition would enforce, as data.
 
     checks: name -> condition; NULL passes, as a CHECK constraint lets it.
-    unique: name -> (columns, order); only the first row of a value is accepted.
+    unique: name -> (columns, order); only the first row of a value is accepted, the other columns
+    deciding where `order` ties; of rows equal throughout one is accepted.
     foreign: child column -> (parent, parent key); a NULL child key passes.
     """
 
@@ -284,6 +285,10 @@ def apply_rules(df: DataFrame, rules: Rules) -> DataFrame:
     """Add `reasons`: the names of the broken rules, empty for an accepted row."""
     tests: list[Column] = []
     out = df
+    if rules.unique:
+        # Exact copies meet map-side and come back numbered, so that all but one can be rejected.
+        counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+        out = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).drop("_n")
     for c in rules.not_null:
         tests.append(F.when(F.col(c).isNull(), F.lit(f"not_null:{c}")))
     for name, cond in rules.checks.items():
@@ -291,16 +296,19 @@ def apply_rules(df: DataFrame, rules: Rules) -> DataFrame:
     for i, (name, (cols, order)) in enumerate(rules.unique.items()):
         # First row per value by aggregate, joined back on the value; a window would
         # gather every copy of a hot value in one task.
+        rest = [c for c in df.columns if c not in order and c not in cols]
+        place = F.struct(*order, *rest)
         first = (
             df.groupBy(*cols)
-            .agg(F.min(F.struct(*order)).alias(f"_first{i}"))
+            .agg(F.min(place).alias(f"_first{i}"))
             .select(*[F.col(c).alias(f"_u{i}_{c}") for c in cols], f"_first{i}")
         )
         on = F.lit(True)
         for c in cols:
             on = on & (F.col(c) == F.col(f"_u{i}_{c}"))
         out = out.join(first, on, "left")
-        tests.append(F.when(F.struct(*order) > F.col(f"_first{i}"), F.lit(f"unique:{name}")))
+        again = (place > F.col(f"_first{i}")) | ((F.col("_copy") > 1) & F.col(f"_first{i}").isNotNull())
+        tests.append(F.when(again, F.lit(f"unique:{name}")))
     for i, (child, (parent, key)) in enumerate(rules.foreign.items()):
         known = parent.select(F.col(key).alias(f"_p{i}")).distinct()
         out = out.join(known, F.col(child) == F.col(f"_p{i}"), "left")

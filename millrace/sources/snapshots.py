@@ -7,6 +7,8 @@ that reads its current version, and a writer that dies leaves no trace readers s
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,18 +40,38 @@ def read(spark: SparkSession, root: str, version: int | None = None) -> DataFram
 def publish(df: DataFrame, root: str, operation: str) -> int:
     """Write `df` as the next version and commit it; returns the version.
 
-    Both writes refuse to overwrite: of two writers that pick the same number, the
-    second one fails instead of mixing files.  A directory left by a writer that
-    died before its commit is skipped by taking the next free number.
+    Both writes refuse to overwrite: of two writers that pick the same number, the second one fails
+    instead of mixing files, where the store has an atomic rename or create.  On a store without one, let
+    one writer at a time publish.  A directory left by a writer that died before its commit is skipped
+    by taking the next free number.
     """
-    spark = df.sparkSession
+    return _publish({"": df}, root, operation)
+
+
+def publish_all(tables: Mapping[str, DataFrame], root: str, operation: str) -> int:
+    """Write several tables as one version with one commit: readers see all of them or none."""
+    return _publish(tables, root, operation)
+
+
+def read_table(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """One of the tables of a version written by `publish_all`."""
+    v = current_version(spark, root) if version is None else version
+    if v < 0:
+        raise FileNotFoundError(f"no committed version below {root}")
+    return spark.read.parquet(f"{root}/v={v}/{name}")
+
+
+def _publish(tables: Mapping[str, DataFrame], root: str, operation: str) -> int:
+    spark = next(iter(tables.values())).sparkSession
     version = current_version(spark, root) + 1
     while path_exists(spark, f"{root}/v={version}"):
         version += 1
-    seen = Observation()
-    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    watched.write.mode("errorifexists").parquet(f"{root}/v={version}")
-    rows = seen.get["rows"]
+    rows = 0
+    for name, df in tables.items():
+        seen = Observation()
+        watched = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        watched.write.mode("errorifexists").parquet(f"{root}/v={version}/{name}".rstrip("/"))
+        rows += seen.get["rows"]
     commit = spark.range(1).select(
         F.lit(version).cast("long").alias("version"),
         F.current_timestamp().alias("committed_at"),

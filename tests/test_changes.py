@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from millrace.operators import merge as M
 from millrace.operators import relational as R
 from millrace.operators.cleaning import drop_duplicate_rows, latest_per_key
-from millrace.operators.quality import Rules
+from millrace.operators.quality import Rules, apply_rules
 from millrace.catalog.relational import agg_count_distinct
 from millrace.plans import commerce, reports, superstore
 from millrace.session import scratch_dir
@@ -58,12 +58,12 @@ def test_duplicate_source_key_raises(spark):
         M.upsert(master(spark), twice, ["id"]).count()
 
 
-def batch(spark, quantity, customer=1):
+def batch(spark, quantity, customer=1, order=2, product=6):
     orders = spark.createDataFrame([(1, 1)], "order_id long, customer_id long")
     items = spark.createDataFrame([(1, 5, 1)], "order_id long, product_id long, quantity long")
     stock = spark.createDataFrame([(5, 10), (6, 10)], "product_id long, stock long")
-    new_orders = spark.createDataFrame([(2, customer)], "order_id long, customer_id long")
-    new_items = spark.createDataFrame([(2, 5, quantity), (2, 6, 1)], items.schema)
+    new_orders = spark.createDataFrame([(order, customer)], "order_id long, customer_id long")
+    new_items = spark.createDataFrame([(order, 5, quantity), (order, product, 1)], items.schema)
     people = spark.createDataFrame([(1,)], "customer_id long")
     return M.apply_order_batch(
         orders, items, stock, new_orders, new_items,
@@ -77,12 +77,32 @@ def test_batch_applies_as_a_whole(spark):
     assert (orders.count(), items.count(), rows(stock)) == (2, 3, [(5, 6), (6, 9)])
 
 
-@pytest.mark.parametrize("quantity,customer", [(0, 1), (4, 999), (11, 1)])
-def test_batch_with_a_fault_changes_nothing(spark, quantity, customer):
-    orders, items, stock = batch(spark, quantity, customer)
+@pytest.mark.parametrize("fault", [{"quantity": 0}, {"customer": 999}, {"quantity": 11}, {"order": 1}, {"product": 5}])
+def test_batch_with_a_fault_changes_nothing(spark, fault):
+    """A broken rule, too little stock, an order that is stored already, an item that comes twice."""
+    orders, items, stock = batch(spark, **{"quantity": 4, **fault})
     assert (orders.count(), items.count(), rows(stock)) == (1, 1, [(5, 10), (6, 10)])
 
 
+def test_tables_share_a_commit(spark):
+    root = scratch_dir(spark, "shop")
+    a, b = spark.range(3), spark.range(5)
+    snapshots.publish_all({"a": a, "b": b}, root, "FIRST")
+    snapshots.publish_all({"a": b, "b": a}, root, "SECOND")
+    log = [(r.version, r.operation, r.row_count) for r in snapshots.history(spark, root).collect()]
+    assert log == [(1, "SECOND", 8), (0, "FIRST", 8)]
+    assert snapshots.read_table(spark, root, "a").count() == 5
+    assert snapshots.read_table(spark, root, "a", 0).count() == 3
+
+
+def test_exact_copies_of_a_key_are_rejected(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "d")], "id long, t string")
+    tagged = apply_rules(df, Rules(unique={"id": (["id"], ["id"])}))
+    assert rows(tagged.selectExpr("id", "t", "size(reasons)")) == sorted(
+        [(1, "a", 0), (1, "a", 1), (1, "b", 1), (2, "c", 0), (None, "d", 0), (None, "d", 0)], key=str
+    )
+
+
 def test_snapshot_is_rebuilt_from_itself(spark):
     root = scratch_dir(spark, "snap")
     with pytest.raises(FileNotFoundError):
