@@ -26,17 +26,13 @@ def _admissions(spark, sf):
     return care.clean_admissions(_raw(spark, sf, "admissions"), ORDER["admissions"])
 
 
-def _silver(spark, sf):
+def _silver(spark, sf, columns=care.SILVER_COLUMNS):
+    """The enriched table, or the columns of it a result reads."""
     return care.enrich(
-        _raw(spark, sf, "patients"), _raw(spark, sf, "diagnoses"), _raw(spark, sf, "admissions"), ORDER
+        _raw(spark, sf, "patients"), _raw(spark, sf, "diagnoses"), _raw(spark, sf, "admissions"), ORDER, columns
     )
 
 
-def _silver_table(spark, sf):
-    """The enriched table written first, as the result tables read it more than once."""
-    return staged(_silver(spark, sf), "silver")
-
-
 _ADM_COLS = "admission_id, patient_id, diagnosis_id, department, physician, admission_date, discharge_date, length_of_stay, readmitted_within_30_days"
 
 _CLEAN = f"""{raw('patients', 'diagnoses', 'admissions')},
@@ -184,22 +180,22 @@ def silver_enriched(spark, sf):
 
 @query("gold_by_diagnosis", f"WITH {_GOLD} SELECT * FROM dia")
 def gold_by_diagnosis(spark, sf):
-    return care.by_diagnosis(_silver_table(spark, sf))
+    return care.by_diagnosis(_silver(spark, sf, care.BY_DIAGNOSIS))
 
 
 @query("gold_department", f"WITH {_GOLD} SELECT * FROM dep")
 def gold_department(spark, sf):
-    return care.by_department(_silver_table(spark, sf))
+    return care.by_department(_silver(spark, sf, care.BY_DEPARTMENT))
 
 
 @query("gold_age_group", f"WITH {_GOLD} SELECT * FROM ages")
 def gold_age_group(spark, sf):
-    return care.by_age_group(_silver_table(spark, sf))
+    return care.by_age_group(_silver(spark, sf, care.BY_AGE_GROUP))
 
 
 @query("gold_patient_risk", f"WITH {_GOLD} SELECT * FROM risk")
 def gold_patient_risk(spark, sf):
-    return care.patient_risk(_silver_table(spark, sf))
+    return care.patient_risk(staged(_silver(spark, sf, care.PROFILE), "silver"))
 
 
 @query(
@@ -212,7 +208,8 @@ def gold_patient_risk(spark, sf):
             ORDER BY readmission_rate DESC, diagnosis_category LIMIT 1)""",
 )
 def gold_summary(spark, sf):
-    return care.summary(_silver_table(spark, sf))
+    columns = dict.fromkeys([*care.BY_PATIENT, *care.BY_DEPARTMENT, *care.BY_DIAGNOSIS])
+    return care.summary(staged(_silver(spark, sf, list(columns)), "silver"))
 
 
 @query(
@@ -236,30 +233,30 @@ def bronze_check(spark, sf):
         readmission_rank FROM dia""",
 )
 def sql_diagnosis(spark, sf):
-    table = care.by_diagnosis(_silver_table(spark, sf))
+    table = care.by_diagnosis(_silver(spark, sf, care.BY_DIAGNOSIS))
     return spark.sql("SELECT * FROM {t} ORDER BY readmission_rate DESC", t=table)
 
 
 @query("sql_department", f"WITH {_GOLD} SELECT * FROM dep")
 def sql_department(spark, sf):
-    table = care.by_department(_silver_table(spark, sf))
+    table = care.by_department(_silver(spark, sf, care.BY_DEPARTMENT))
     return spark.sql("SELECT * FROM {t} ORDER BY performance_score DESC", t=table)
 
 
 @query("sql_age", f"WITH {_GOLD} SELECT * FROM ages")
 def sql_age(spark, sf):
-    table = care.by_age_group(_silver_table(spark, sf))
+    table = care.by_age_group(_silver(spark, sf, care.BY_AGE_GROUP))
     return spark.sql("SELECT * FROM {t} ORDER BY readmission_rate DESC", t=table)
 
 
 @query("sql_intervention", f"WITH {_GOLD} SELECT * EXCLUDE (risk_rank) FROM risk WHERE risk_category = 'High'")
 def sql_intervention(spark, sf):
-    return care.intervention_list(care.patient_risk(_silver_table(spark, sf)))
+    return care.intervention_list(care.risk_profile(_silver(spark, sf, care.PROFILE)))
 
 
 @query("sql_los_trend", f"WITH {_SILVER} SELECT admission_month, {_STATS} FROM silver GROUP BY 1")
 def sql_los_trend(spark, sf):
-    return care.stay_trend(_silver_table(spark, sf))
+    return care.stay_trend(_silver(spark, sf, care.BY_MONTH))
 
 
 @query(
@@ -267,7 +264,7 @@ def sql_los_trend(spark, sf):
     f"WITH {_SILVER} SELECT department, category AS diagnosis_category, {_STATS} FROM silver GROUP BY 1, 2",
 )
 def sql_crosstab(spark, sf):
-    return care.department_diagnosis(_silver_table(spark, sf))
+    return care.department_diagnosis(_silver(spark, sf, care.BY_BOTH))
 
 
 @query(
@@ -276,8 +273,8 @@ def sql_crosstab(spark, sf):
         JOIN silver s ON s.patient_id = r.patient_id WHERE r.risk_category = 'High' GROUP BY 1""",
 )
 def sql_highrisk_dept(spark, sf):
-    silver = _silver_table(spark, sf)
-    return care.high_risk_by_department(silver, care.patient_risk(silver))
+    silver = staged(_silver(spark, sf, [*care.BY_PATIENT, "department"]), "silver")
+    return care.high_risk_by_department(silver, care.risk_levels(silver))
 
 
 @query(
@@ -285,11 +282,11 @@ def sql_highrisk_dept(spark, sf):
     f"""WITH {_GOLD} SELECT s.category, count(DISTINCT s.patient_id) AS patients, count(*) AS admissions FROM risk r
         JOIN silver s ON s.patient_id = r.patient_id WHERE r.risk_category <> 'Low' GROUP BY 1""",
 )
-def join_gold_silver_table(spark, sf):
+def join_gold_silver(spark, sf):
     """Admissions are counted per patient and category before they meet the profile."""
-    silver = _silver_table(spark, sf)
+    silver = staged(_silver(spark, sf, [*care.BY_PATIENT, "category"]), "silver")
     pairs = silver.groupBy("patient_id", "category").agg(F.count(F.lit(1)).alias("n"))
-    risky = care.patient_risk(silver).where("risk_category <> 'Low'").select("patient_id")
+    risky = care.risk_levels(silver).where("risk_category <> 'Low'").select("patient_id")
     return (
         pairs.join(risky, "patient_id")
         .groupBy("category")
@@ -306,4 +303,4 @@ def join_gold_silver_table(spark, sf):
         (SELECT count(*) FROM risk WHERE risk_category = 'High') AS high_risk_patients""",
 )
 def sql_header(spark, sf):
-    return care.header(_silver_table(spark, sf))
+    return care.header(_silver(spark, sf, care.BY_PATIENT))

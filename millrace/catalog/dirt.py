@@ -36,6 +36,8 @@ RAW_PRODUCTS = """SELECT
         WHEN p_partkey % 29 = 0 THEN '-1' WHEN p_partkey % 31 = 0 THEN '0'
         ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING) END AS price,
     CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(p_size AS STRING) END AS stock_qty,
+    CASE WHEN p_partkey % 37 = 0 THEN NULL WHEN p_partkey % 43 = 0 THEN 'S-1'
+        ELSE CAST(p_partkey % 100 AS STRING) END AS supplier_id,
     CASE WHEN p_partkey % 41 = 0 THEN 'someday' ELSE concat('2020-01-1', CAST(p_partkey % 10 AS STRING)) END
         AS created_at
     FROM {lineitem} JOIN {part} ON p_partkey = l_partkey"""

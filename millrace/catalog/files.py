@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from millrace.catalog import dirt
-from millrace.catalog.quality import SALES_FILE_SQL, raw, sales_file
+from millrace.catalog.quality import REPORT_SQL, SALES_FILE_SQL, SUMMARY_SQL, raw, sales_csv, sales_file, sales_report
 from millrace.catalog.registry import money, query, star
 from millrace.operators import quality as Q
 from millrace.operators.cleaning import drop_null, latest_per_key
@@ -72,7 +72,7 @@ def src_csv_strings(spark, sf):
 )
 def src_csv_schema(spark, sf):
     path = scratch_dir(spark, "products-csv")
-    rows = dirt.frame(spark, sf, dirt.RAW_PRODUCTS).drop("created_at")
+    rows = dirt.frame(spark, sf, dirt.RAW_PRODUCTS).drop("created_at", "supplier_id")
     sinks.write_csv(rows, path)
     typed = files.read_csv_typed(
         spark, path, "product_id long, name string, category string, price double, stock_qty int", "bad_line"
@@ -100,46 +100,46 @@ def src_rows(spark, sf):
 
 
 def _in_namespace(spark, label, work):
-    """Run `work` with a new namespace current, and step back."""
+    """Run `work` with a new namespace current, step back and take the namespace away.
+
+    Its tables lie in the scratch folder, so what `work` returns can still be read.
+    """
     name = f"{label}_{uuid.uuid4().hex}"
-    before = spark.catalog.currentDatabase()
-    sinks.use_namespace(spark, name, scratch_dir(spark, name))
+    before, tables_at = spark.catalog.currentDatabase(), scratch_dir(spark, f"{label}-tables")
+    sinks.use_namespace(spark, name, scratch_dir(spark, label))
     try:
-        return work(name)
+        return work(name, tables_at)
     finally:
         spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP SCHEMA {name} CASCADE")
 
 
 @query("src_table", "SELECT * FROM supplier")
 def src_table(spark, sf):
-    def work(name):
-        sinks.overwrite_table(tables.load(spark, sf, "supplier"), f"{name}.supplier_master")
+    def work(name, path):
+        sinks.overwrite_table(tables.load(spark, sf, "supplier"), f"{name}.supplier_master", f"{path}/suppliers")
         sinks.analyze_table(spark, f"{name}.supplier_master", ["s_suppkey"])
         return spark.table(f"{name}.supplier_master")
 
     return _in_namespace(spark, "care", work)
 
 
-@query(
-    "src_view_sql",
-    """SELECT p_type, count(*) AS products, CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) AS list_value
-        FROM part WHERE p_size > 10 GROUP BY p_type""",
-)
+_BY_TYPE = """SELECT p_type, count(*) AS products, CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) AS list_value
+    FROM {part} GROUP BY p_type"""
+
+
+@query("src_view_sql", _BY_TYPE.format(part="part"))
 def src_view_sql(spark, sf):
-    tables.load(spark, sf, "part").createOrReplaceTempView("millrace_part")
-    return spark.sql(
-        """SELECT p_type, count(*) AS products,
-            CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) AS list_value
-        FROM millrace_part WHERE p_size > 10 GROUP BY p_type"""
-    )
+    """SQL over a frame that is named for this statement only."""
+    return spark.sql(_BY_TYPE, part=tables.load(spark, sf, "part"))
 
 
 @query("src_namespace", "SELECT n_name, n_regionkey FROM nation")
 def src_namespace(spark, sf):
     """The unqualified name is found because the namespace is current."""
 
-    def work(name):
-        sinks.overwrite_table(tables.load(spark, sf, "nation"), "nation_master")
+    def work(name, path):
+        sinks.overwrite_table(tables.load(spark, sf, "nation"), "nation_master", f"{path}/nations")
         return spark.table(f"{spark.catalog.currentDatabase()}.nation_master").select(
             "n_name", "n_regionkey"
         )
@@ -147,17 +147,49 @@ def src_namespace(spark, sf):
     return _in_namespace(spark, "geo", work)
 
 
-@query("src_file_metadata")
+# One text file per region, its lines in a fixed order, so that a statement can rebuild every byte.
+_REGION_LINES = """regions AS (SELECT n_regionkey AS region, c_custkey,
+        concat_ws('|', CAST(c_custkey AS STRING), c_name, CAST(c_nationkey AS STRING), c_mktsegment) AS line
+        FROM customer JOIN nation ON n_nationkey = c_nationkey),
+    bodies AS (SELECT 'region=' || region AS folder, string_agg(line, chr(10) ORDER BY c_custkey) || chr(10) AS body,
+        count(*) AS lines FROM regions GROUP BY region)"""
+_REGION_SCHEMA = "struct<c_custkey:bigint,c_name:string,c_nationkey:int,c_mktsegment:string>"
+
+
+def _region_files(spark, sf):
+    path = scratch_dir(spark, "regions")
+    people = tables.load(spark, sf, "customer").join(
+        tables.load(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey")
+    )
+    line = F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name", F.col("c_nationkey").cast("string"), "c_mktsegment")
+    rows = people.select(F.col("n_regionkey").alias("region"), "c_custkey", line.alias("line"))
+    dealt = rows.repartition("region").sortWithinPartitions("region", "c_custkey")
+    dealt.select("region", "line").write.partitionBy("region").text(path)
+    return path
+
+
+@query(
+    "src_file_metadata",
+    f"""WITH {_REGION_LINES} SELECT true AS file_exists, folder, 'File' AS item_type, 'txt' AS extension,
+        CAST(octet_length(encode(body)) AS BIGINT) AS size_bytes, 4 AS column_count, '{_REGION_SCHEMA}' AS structure FROM bodies""",
+)
 def src_file_metadata(spark, sf):
-    """Facts and structure of every table file."""
-    names = "region nation customer supplier part orders lineitem events".split()
-    known = {f"{n}.parquet": tables.load(spark, sf, n).schema for n in names}
-    return files.file_metadata(spark, sf, "*.parquet", known)
+    """Facts and structure of every file of a folder."""
+    shape = tables.load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").schema
+    known = {f"region={i}": shape for i in range(tables.load(spark, sf, "region").count())}
+    facts = files.file_metadata(spark, _region_files(spark, sf), "*.txt", known)
+    return facts.drop("item_name", "last_modified")
 
 
-@query("src_file_md5")
+@query(
+    "src_file_md5",
+    f"""WITH {_REGION_LINES} SELECT folder, CAST(octet_length(encode(body)) AS BIGINT) AS size_bytes, md5(body) AS md5,
+        lines FROM bodies""",
+)
 def src_file_md5(spark, sf):
-    return files.file_md5(spark, sf, "*.parquet")
+    path = _region_files(spark, sf)
+    sums = files.file_md5(spark, path, "*.txt").drop("item_name")
+    return sums.join(files.text_fingerprint(spark, path, "*.txt").select("folder", "lines"), "folder")
 
 
 # --- writers -----------------------------------------------------------------------------
@@ -187,10 +219,10 @@ def sink_parquet(spark, sf):
 def sink_table_overwrite(spark, sf):
     """Written twice, the second time with another column: the table follows."""
 
-    def work(name):
+    def work(name, path):
         rows = tables.customers(spark, sf)
-        sinks.overwrite_table(rows.select("customer_id", "name"), f"{name}.customer_master")
-        n = sinks.overwrite_table(rows.select("customer_id", "name", "country"), f"{name}.customer_master")
+        sinks.overwrite_table(rows.select("customer_id", "name"), f"{name}.customer_master", f"{path}/customers")
+        n = sinks.overwrite_table(rows.select("customer_id", "name", "country"), f"{name}.customer_master", f"{path}/customers")
         return spark.table(f"{name}.customer_master").withColumn("rows_written", F.lit(n).cast("long"))
 
     return _in_namespace(spark, "shop", work)
@@ -233,13 +265,21 @@ def tbl_history(spark, sf):
 
 @query(
     "sink_json_report",
-    star(f"""SELECT count(*) AS total_rows, {money('sum(sales)')} AS total_sales, {money('max(sales)')} AS max_sales FROM flat"""),
+    star(f"""{SALES_FILE_SQL}, {REPORT_SQL}, figures AS ({SUMMARY_SQL})
+        SELECT check_name, passed, observed, expected, (SELECT bool_and(passed) FROM report) AS all_passed,
+        '' AS missing_columns, '' AS extra_columns, figures.* FROM report, figures"""),
 )
 def sink_json_report(spark, sf):
+    """The validation report as one JSON document, read back with a row per check."""
     path = scratch_dir(spark, "report")
-    stats = Q.summary_stats(superstore.sales_rows(tables.star(spark, sf)), "sales", "profit")
-    sinks.write_json_report(stats, path)
-    return spark.read.schema("total_rows long, total_sales double, max_sales double").json(path)
+    rows, size = sales_csv(spark, sf)
+    summary = Q.summary_stats(rows, "Sales", "Profit")
+    document = Q.report_document(sales_report(rows, size), rows.columns, schemas.SALES_FILE_COLUMNS, summary)
+    sinks.write_json_report(document, path)
+    back = spark.read.schema(document.schema).json(path)
+    return back.select(
+        F.col("passed").alias("all_passed"), "missing_columns", "extra_columns", F.inline("checks"), "summary.*"
+    )
 
 
 # --- jobs -----------------------------------------------------------------------------------

@@ -29,10 +29,6 @@ def line_revenue(gross: Column | str, discount: Column | str) -> Column:
     return (_c(gross).cast(MONEY) * (F.lit(1) - _c(discount).cast(RATE))).cast("decimal(18,4)")
 
 
-def line_gross(quantity: Column | str, unit_price: Column | str) -> Column:
-    return _c(quantity).cast("decimal(10,0)") * _c(unit_price).cast(MONEY)
-
-
 def cents(col: Column | str) -> Column:
     """A two-decimal amount held as double, in whole cents."""
     return F.rint(_c(col) * F.lit(100.0)).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.exprs import is_blank
@@ -90,6 +90,22 @@ def stage_counts(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFram
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
+def step_counts(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """Rows left after each step of a chain, and how many the step took: one row per step.
+
+    Unlike `stage_counts` the steps may be anything, row duplicates included; each is counted once, so a
+    step that later ones start from should be staged.
+    """
+    out = None
+    for i, (name, df) in enumerate(steps):
+        one = df.agg(F.count(F.lit(1)).alias("rows_left")).select(
+            F.lit(i).alias("step"), F.lit(name).alias("stage"), "rows_left"
+        )
+        out = one if out is None else out.unionByName(one)
+    before = F.lag("rows_left").over(Window.partitionBy(F.lit(0)).orderBy("step"))
+    return out.withColumn("rows_removed", F.coalesce(before - F.col("rows_left"), F.lit(0).cast("long")))
+
+
 # --- checks -------------------------------------------------------------------
 
 
@@ -145,8 +161,11 @@ def numeric_errors(numeric: Sequence[str], positive: Sequence[str] = ()) -> Colu
 
 
 def summary_stats(df: DataFrame, sales: str, profit: str) -> DataFrame:
-    """Totals and extremes in one pass; money is summed as decimal."""
-    s, p = F.col(sales).cast("decimal(18,4)"), F.col(profit).cast("decimal(18,4)")
+    """Totals and extremes in one pass; money is summed as decimal.
+
+    The columns may be text: a blank cell counts as 0, a cell that is no number is left out.
+    """
+    s, p = (_lenient(c) for c in (sales, profit))
     raw = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(s).alias("s"),
@@ -169,14 +188,24 @@ def summary_stats(df: DataFrame, sales: str, profit: str) -> DataFrame:
     )
 
 
+def _lenient(name: str) -> Column:
+    text = F.trim(F.col(f"`{name}`").cast("string"))
+    zero = F.lit(0).cast("decimal(18,4)")
+    return F.when(text.isNull() | (text == ""), zero).otherwise(text.try_cast("decimal(18,4)"))
+
+
 def validation_report(
     df: DataFrame,
     expected: Sequence[str],
     min_rows: int,
     numeric: Sequence[str],
     positive: Sequence[str] = (),
+    size_bytes: int | None = None,
 ) -> DataFrame:
-    """All checks of a file and the overall verdict: one aggregate, five rows."""
+    """All checks of a file and the overall verdict, a row each, from one aggregate.
+
+    `size_bytes` is what the file's store says (None: there is no such file); see `sources.files`.
+    """
     header = header_check(df.columns, expected)
     known = [c for c in expected if c in df.columns]
     raw = df.agg(
@@ -184,7 +213,10 @@ def validation_report(
         empty_cells(df, known).alias("blank"),
         numeric_errors([c for c in numeric if c in known], positive).alias("bad"),
     )
+    exists, filled = size_bytes is not None, bool(size_bytes)
     checks = [
+        ("file_exists", F.lit(exists), F.lit(int(exists)).cast("long"), 1),
+        ("file_not_empty", F.lit(filled), F.lit(int(filled)).cast("long"), 1),
         ("column_headers", F.lit(header["passed"]), F.lit(header["found"]).cast("long"), header["expected"]),
         ("row_count", F.col("n") >= min_rows, F.col("n"), min_rows),
         ("null_values", F.col("blank") == 0, F.col("blank"), 0),
@@ -206,6 +238,20 @@ def validation_report(
     return raw.select(F.inline(F.array(*rows)))
 
 
+def report_document(report: DataFrame, found: Sequence[str], expected: Sequence[str], summary: DataFrame) -> DataFrame:
+    """The whole report as one row: verdict, missing and extra columns, every check, the summary figures."""
+    header = header_check(found, expected)
+    lines = F.sort_array(F.collect_list(F.struct("check_name", "passed", "observed", "expected")))
+    one = report.agg(
+        F.bool_and("passed").alias("passed"),
+        F.lit(",".join(header["missing"])).alias("missing_columns"),
+        F.lit(",".join(header["extra"])).alias("extra_columns"),
+        lines.alias("checks"),
+    )
+    figures = summary.agg(F.first(F.struct("*")).alias("summary")).scalar()
+    return one.withColumn("summary", figures)
+
+
 def record_summary(
     df: DataFrame, key: str, required: Sequence[str], status: str, amount: str,
     active: str = "active", inactive: str = "inactive",

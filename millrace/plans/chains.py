@@ -19,13 +19,12 @@ from millrace.operators.cleaning import (
 from millrace.session import staged
 
 
-def clean_customers(raw: DataFrame) -> DataFrame:
-    """Row duplicates, types, required fields, one row per e-mail, age 18..100, defaults.
+CUSTOMER_DEFAULTS = {"loyalty_points": 0, "gender": "Unknown", "city": "Unknown", "country": "Unknown"}
 
-    The e-mail is made unique before the age test: a first row that then fails takes
-    its copies with it.
-    """
-    typed = drop_duplicate_rows(raw).withColumns(
+
+def known_customers(raw: DataFrame) -> DataFrame:
+    """Typed customers with key, name and e-mail."""
+    typed = raw.withColumns(
         {
             "customer_id": to_number("customer_id").cast("long"),
             "age": to_number("age"),
@@ -33,24 +32,51 @@ def clean_customers(raw: DataFrame) -> DataFrame:
             "signup_date": to_day("signup_date"),
         }
     )
-    known = drop_null(typed, ["customer_id", "name", "email"])
-    unique = first_per_key(known, ["email"], [("customer_id", False)])
-    sane = unique.where(null_or("age", F.col("age").between(18, 100)))
-    return fill_const(
-        sane, {"loyalty_points": 0, "gender": "Unknown", "city": "Unknown", "country": "Unknown"}
-    )
+    return drop_null(typed, ["customer_id", "name", "email"])
+
+
+def one_per_email(known: DataFrame) -> DataFrame:
+    """The smallest key of an e-mail; where keys tie, the other columns decide, so nothing is left to arrival."""
+    ties = [c for c in known.columns if c not in ("email", "customer_id")]
+    return first_per_key(known, ["email"], [("customer_id", False), *[(c, False) for c in ties]])
+
+
+def sane_age(customers: DataFrame) -> DataFrame:
+    return customers.where(null_or("age", F.col("age").between(18, 100)))
+
+
+def valid_customers(raw: DataFrame) -> DataFrame:
+    """Customers that stay.  Whoever only asks which exist need not remove row duplicates first.
+
+    The e-mail is made unique before the age test: a first row that then fails takes its copies with it.
+    """
+    return sane_age(one_per_email(known_customers(raw)))
+
+
+def clean_customers(raw: DataFrame) -> DataFrame:
+    """Row duplicates, types, required fields, one row per e-mail, age 18..100, defaults."""
+    return fill_const(valid_customers(drop_duplicate_rows(raw)), CUSTOMER_DEFAULTS)
+
+
+def customer_steps(raw: DataFrame) -> list[tuple[str, DataFrame]]:
+    """The customer chain step by step, for `quality.step_counts`; shared steps are written once."""
+    unique = staged(drop_duplicate_rows(raw), "unique")
+    known = staged(known_customers(unique), "known")
+    single = staged(one_per_email(known), "single")
+    return [("raw", raw), ("unique_rows", unique), ("complete", known), ("unique_email", single), ("age_in_range", sane_age(single))]
 
 
 def valid_products(raw: DataFrame) -> DataFrame:
-    """Typed products that stay: unique rows with key and name, no price that is not positive.
+    """Typed products that stay: with key and name, no price that is not positive.
 
-    Enough for whoever only asks which products exist.
+    Enough for whoever only asks which products exist; row duplicates do not matter then.
     """
-    typed = drop_duplicate_rows(raw).withColumns(
+    typed = raw.withColumns(
         {
             "product_id": to_number("product_id").cast("long"),
             "price": to_number("price"),
             "stock_qty": to_number("stock_qty").cast("long"),
+            "supplier_id": to_number("supplier_id").cast("long"),
             "created_at": to_day("created_at"),
         }
     )
@@ -60,16 +86,16 @@ def valid_products(raw: DataFrame) -> DataFrame:
 
 def clean_products(raw: DataFrame) -> DataFrame:
     """The median of the valid prices fills the missing ones, constants the rest."""
-    priced = staged(valid_products(raw))
+    priced = staged(valid_products(drop_duplicate_rows(raw)))
     return fill_const(fill_median(priced, "price"), {"stock_qty": 0, "category": "Uncategorised"})
 
 
-def clean_orders(raw: DataFrame, customers: DataFrame, as_of: str) -> DataFrame:
-    """Types, known customer, dated and not after `as_of`, amount, shipping date, defaults.
+def valid_orders(raw: DataFrame, customers: DataFrame, as_of: str) -> DataFrame:
+    """Typed orders of known customers, dated and not after `as_of`, with no negative amount.
 
-    A missing shipping date stays NULL.
+    Enough for whoever only asks which orders exist; row duplicates do not matter then.
     """
-    typed = drop_duplicate_rows(raw).withColumns(
+    typed = raw.withColumns(
         {
             "order_id": to_number("order_id").cast("long"),
             "customer_id": to_number("customer_id").cast("long"),
@@ -80,7 +106,15 @@ def clean_orders(raw: DataFrame, customers: DataFrame, as_of: str) -> DataFrame:
     )
     linked = keep_known(drop_null(typed, ["order_id", "customer_id"]), customers, "customer_id")
     dated = not_after(drop_null(linked, ["order_date"]), "order_date", as_of)
-    paid = dated.where(null_or("total_amount", F.col("total_amount") >= 0))
+    return dated.where(null_or("total_amount", F.col("total_amount") >= 0))
+
+
+def clean_orders(raw: DataFrame, customers: DataFrame, as_of: str) -> DataFrame:
+    """valid_orders without row duplicates, the shipping date repaired, defaults.
+
+    A missing shipping date stays NULL.
+    """
+    paid = valid_orders(drop_duplicate_rows(raw), customers, as_of)
     return fill_const(
         repair_order(paid, "order_date", "ship_date"),
         {
@@ -92,6 +126,11 @@ def clean_orders(raw: DataFrame, customers: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def repaired_dates(orders: DataFrame) -> DataFrame:
+    """How many valid orders were shipped before they were placed: (repaired_dates)."""
+    return orders.agg(F.count_if(F.col("ship_date") < F.col("order_date")).alias("repaired_dates"))
+
+
 def clean_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Types, both foreign keys, positive quantity and price, discount in [0, 1], defaults."""
     typed = drop_duplicate_rows(raw).withColumns(

@@ -134,6 +134,7 @@ def rfm(s: Star, o: Options) -> DataFrame:
     return top_k(rows, 25, F.desc("RFM_Total"), F.asc("ID"))
 
 
+# The reports' names and titles.
 REPORTS: dict[str, tuple[str, Callable[[Star, Options], DataFrame]]] = {
     "revenue": ("Total Revenue by Category", revenue),
     "top_customers": ("Top Customers by Lifetime Value", top_customers),

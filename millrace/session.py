@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -40,11 +41,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_CREATED: dict[str, list[str]] = {}  # scratch folders by application
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the cluster's shared `spark.checkpoint.dir`.
 
-    A machine-local folder is used only in local mode, where driver and
-    executors are one process; on a cluster without the setting this fails.
+    A machine-local folder is used only in local mode, where driver and executors are one process; on a
+    cluster without the setting this fails.  `clean_up` deletes what a session made; it also runs when
+    the driver's Python ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -53,7 +58,37 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _CREATED:
+        _CREATED[app] = []
+        atexit.register(_at_exit, spark)
+    _CREATED[app].append(path)
+    return path
+
+
+def clean_up(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch folders of this session from number `since` on; returns how many were left.
+
+    Frames that read them are gone with them, so call it once results are written elsewhere.
+    """
+    paths = _CREATED.get(spark.sparkContext.applicationId, [])
+    done = 0
+    for path in paths[since:]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        done += bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))
+    del paths[since:]
+    return done
+
+
+def scratch_count(spark: SparkSession) -> int:
+    """How many scratch folders this session has; a mark for `clean_up`."""
+    return len(_CREATED.get(spark.sparkContext.applicationId, []))
+
+
+def _at_exit(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        clean_up(spark)
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -55,6 +55,9 @@ def rows_to_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+MAX_ROW_BYTES = 2**31 - 1  # what one row of a table can hold
+
+
 def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
@@ -64,22 +67,40 @@ def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     )
 
 
+def _names() -> list[Column]:
+    parts = F.split(F.col("path"), "/")
+    return [F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("item_name")]
+
+
+def schemas_in(spark: SparkSession, path: str, glob: str = "*.parquet") -> dict[str, StructType]:
+    """Folder or file name -> columns, for every Parquet table directly below `path`."""
+    below = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{glob}")
+    found = below.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(below) or []
+    return {f.getPath().getName(): spark.read.parquet(f.getPath().toString()).schema for f in found}
+
+
 def file_metadata(
     spark: SparkSession, path: str, glob: str = "*", schemas: Mapping[str, StructType] | None = None
 ) -> DataFrame:
-    """Name, type, size, change time and, where `schemas` has it, the columns per file.
+    """Name, type, size, change time and, where `schemas` has the file or its folder, the columns.
 
-    The content is not read.
+    The content is not read.  `schemas_in` lists a folder's tables.
     """
-    name = F.element_at(F.split(F.col("path"), "/"), -1)
     known = schemas or {}
-    count = label_of(name, {f: len(s.fields) for f, s in known.items()}) if known else F.lit(None)
-    shape = label_of(name, {f: s.simpleString() for f, s in known.items()}) if known else F.lit(None)
-    return _files(spark, path, glob).select(
+
+    def from_schema(facts: dict) -> Column:
+        if not facts:
+            return F.lit(None)
+        return F.coalesce(label_of("item_name", facts), label_of("folder", facts))
+
+    count = from_schema({f: len(s.fields) for f, s in known.items()})
+    shape = from_schema({f: s.simpleString() for f, s in known.items()})
+    return _files(spark, path, glob).select(*_names(), "length", "modificationTime").select(
         F.lit(True).alias("file_exists"),
-        name.alias("item_name"),
+        "folder",
+        "item_name",
         F.lit("File").alias("item_type"),
-        F.element_at(F.split(name, r"\."), -1).alias("extension"),
+        F.element_at(F.split("item_name", r"\."), -1).alias("extension"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("last_modified"),
         count.cast("int").alias("column_count"),
@@ -87,15 +108,41 @@ def file_metadata(
     )
 
 
+def size_bytes(spark: SparkSession, path: str, glob: str = "*") -> int | None:
+    """Bytes of all files below `path`; None if there is nothing."""
+    if not path_exists(spark, path):
+        return None
+    return _files(spark, path, glob).agg(F.sum("length")).first()[0] or 0
+
+
 def file_md5(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """MD5 per file, one task per group of files."""
+    """MD5 per file, the whole content in one row; `text_fingerprint` has no such limit."""
+    large = _files(spark, path, glob).where(F.col("length") > MAX_ROW_BYTES).select("path").limit(1).collect()
+    if large:
+        raise ValueError(f"{large[0]['path']} is larger than a row can be; use text_fingerprint")
     return _files(spark, path, glob).select(
-        F.element_at(F.split("path", "/"), -1).alias("item_name"),
+        *_names(),
         F.col("length").alias("size_bytes"),
         F.md5("content").alias("md5"),
     )
 
 
+def text_fingerprint(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(folder, item_name, lines, fingerprint) of text files of any size.
+
+    Files are split and each task sends two numbers per file: the fingerprint is the sum of the lines'
+    hashes, so it tells changed, missing and added lines, not their order.
+    """
+    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+    total = F.sum(F.xxhash64("value").cast("decimal(38,0)"))
+    return (
+        lines.select("value", F.col("_metadata.file_path").alias("path"))
+        .groupBy("path")
+        .agg(F.count(F.lit(1)).alias("lines"), total.cast("string").alias("fingerprint"))
+        .select(*_names(), "lines", "fingerprint")
+    )
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Ask the path's own file system (object store, HDFS, local)."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -14,40 +14,3 @@ SALES_FILE_MIN_ROWS = 9000
 
 SALES_FILE_TYPES = {"Row ID": "int", "Quantity": "int", "Sales": "double", "Discount": "double", "Profit": "double"}
 SALES_FILE = ", ".join(f"`{c}` {SALES_FILE_TYPES.get(c, 'string')}" for c in SALES_FILE_COLUMNS)
-
-CUSTOMER_MASTER = (
-    "customer_id string, name string, email string, city string, country string, "
-    "age int, purchase_amount double, status string, last_updated string"
-)
-PRODUCT_ORDERS = (
-    "product_id string, product_name string, category string, price double, base_price double, "
-    "status string, amount int, user_id string, region string, priority string"
-)
-
-PATIENTS = (
-    "patient_id string not null, name string, age int, gender string, contact string"
-)
-DIAGNOSES = (
-    "diagnosis_id string not null, icd_code string not null, category string not null"
-)
-ADMISSIONS = (
-    "admission_id string not null, patient_id string not null, diagnosis_id string not null, "
-    "department string, physician string, admission_date date, discharge_date date, "
-    "length_of_stay int, readmitted_within_30_days int"
-)
-
-SHOP_CUSTOMERS = (
-    "customer_id long, first_name string, last_name string, email string, city string, "
-    "state string, join_date date, is_premium boolean"
-)
-SHOP_PRODUCTS = (
-    "product_id long, product_name string, category string, brand string, "
-    "unit_price decimal(10,2), stock_qty int"
-)
-SHOP_ORDERS = (
-    "order_id long, customer_id long, order_date date, status string, total_amount decimal(12,2)"
-)
-SHOP_ORDER_ITEMS = (
-    "item_id long, order_id long, product_id long, quantity int, unit_price decimal(10,2), "
-    "discount_pct decimal(5,2)"
-)

@@ -5,9 +5,10 @@ from millrace.operators import merge as M
 from millrace.operators import relational as R
 from millrace.operators.cleaning import drop_duplicate_rows, latest_per_key
 from millrace.operators.quality import Rules, apply_rules
+from millrace.catalog import QUERIES
 from millrace.catalog.relational import agg_count_distinct
 from millrace.plans import commerce, reports, superstore
-from millrace.session import scratch_dir
+from millrace.session import clean_up, scratch_count, scratch_dir
 from millrace.sources import copying, files, schemas, sinks, snapshots, tables
 from millrace.streaming.incremental import merge_batch, upsert_files
 
@@ -193,6 +194,17 @@ def test_report_names_and_limits(spark, sf):
     assert list(reports.run_report("all", s)) == list(reports.REPORTS)
 
 
+def test_nothing_is_left_behind(spark, sf):
+    """Schemas and views go with the query, scratch folders with the clean-up."""
+    kept = lambda: (len(spark.catalog.listDatabases()), len(spark.catalog.listTables()))
+    before, mark = kept(), scratch_count(spark)
+    for name in ("src_table", "src_namespace", "sink_table_overwrite", "src_view_sql"):
+        assert QUERIES[name](spark, sf).count() > 0
+    assert kept() == before
+    made = scratch_count(spark) - mark
+    assert made > 0 and 0 < clean_up(spark, mark) <= made and scratch_count(spark) == mark
+
+
 def test_shares_add_up(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 5)], "k string, v long")
     assert abs(R.share_of_total(df, "v", "p", 6).agg(F.sum("p")).first()[0] - 100) < 1e-4
@@ -229,6 +241,7 @@ def test_a_cluster_needs_the_shared_folder(spark, monkeypatch):
 
     class Fake:
         conf = Conf()
+        sparkContext = None
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(Fake(), "x")

@@ -95,13 +95,13 @@ def test_clean_customers(spark):
 
 def test_clean_products_takes_the_median_after_bad_prices_left(spark):
     raw = spark.createDataFrame(
-        [("1", "a", None, "10", "1", "2020-01-01"), ("2", "b", "X", "-1", "1", None), ("3", "c", "X", None, None, None),
-         ("4", "d", "X", "20", "2", None), ("5", "e", "X", "0", "2", None), ("6", None, "X", "9", "2", None)],
-        "product_id string, name string, category string, price string, stock_qty string, created_at string",
+        [("1", "a", None, "10", "1", "7", "2020-01-01"), ("2", "b", "X", "-1", "1", "7", None), ("3", "c", "X", None, None, "S-1", None),
+         ("4", "d", "X", "20", "2", None, None), ("5", "e", "X", "0", "2", "7", None), ("6", None, "X", "9", "2", "7", None)],
+        "product_id string, name string, category string, price string, stock_qty string, supplier_id string, created_at string",
     )
     got = chains.clean_products(raw)
-    assert rows(got, "product_id", "price", "category", "stock_qty") == [
-        (1, 10.0, "Uncategorised", 1), (3, 15.0, "X", 0), (4, 20.0, "X", 2)
+    assert rows(got, "product_id", "price", "category", "stock_qty", "supplier_id") == [
+        (1, 10.0, "Uncategorised", 1, 7), (3, 15.0, "X", 0, None), (4, 20.0, "X", 2, None)
     ]
 
 
@@ -181,9 +181,9 @@ def test_report_and_gate(spark):
     df = spark.createDataFrame(
         [("1", "2.5", "1"), ("2", "n/a", "0"), ("3", " ", "x"), ("4", None, "")], "`Row ID` string, Sales string, Quantity string"
     )
-    report = Q.validation_report(df, ["Row ID", "Sales", "Quantity", "Profit"], 3, ["Sales", "Quantity"], ["Quantity"])
+    report = Q.validation_report(df, ["Row ID", "Sales", "Quantity", "Profit"], 3, ["Sales", "Quantity"], ["Quantity"], 10)
     assert rows(report, "check_name", "passed", "observed") == sorted(
-        [("column_headers", False, 3), ("row_count", True, 4), ("null_values", False, 3),
+        [("file_exists", True, 1), ("file_not_empty", True, 1), ("column_headers", False, 3), ("row_count", True, 4), ("null_values", False, 3),
          ("numeric_integrity", False, 5), ("overall", False, 3)], key=str,
     )
     assert Q.header_check(["a", "x"], ["a", "b"]) == {
