@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import configure
+
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -12,6 +19,35 @@ WORD = r"[^\x20\x09-\x0D]+"
 NULL_ID = -(2**63)
 
 
+#: Rows of text are large, so few of them go to a worker at a time.
+BATCH_ROWS = 512
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The library's settings, Arrow batches that stay small with long texts, and workers that find the code."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    _ship(spark)
+    return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send the package to the workers, unless it is on the path they start with."""
+    root, app = Path(__file__).resolve().parents[2], spark.sparkContext.applicationId
+    paths = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    installed = root.name in ("site-packages", "dist-packages")
+    if app in _SHIPPED or installed or root in (Path.cwd(), *paths):
+        return
+    name = Path(tempfile.mkdtemp(prefix="code-")) / "millrace.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted((root / "millrace").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    spark.sparkContext.addPyFile(str(name))
+    _SHIPPED.add(app)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,3 +81,11 @@ def one_per_id(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 def null_id_back(col: Column) -> Column:
     return F.when(col != F.lit(NULL_ID), col)
+
+
+def one_task_each(df: DataFrame) -> DataFrame:
+    """The rows of a short table, such as one of files, dealt over as many tasks.
+
+    The number is given outright, as partitions of a few bytes would else be put together again.
+    """
+    return df.repartition(max(1, df.count()))

@@ -6,9 +6,10 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,12 +26,14 @@ LEET = {
 }
 SWAP, DROP, SHRINK, LITERAL = 1.0, 1.0, 1.0, 4.0
 
-ORDER = 4  # of the character model: 28 symbols, so at most 28 ** 4 different grams
+ORDER = 4  # of the character model: 29 symbols, so at most 29 ** 4 different grams
 START, END, OTHER = "^", "$", "?"
 PREFIXES = (4, 5, 6)
+COSTS = 1 << 17  # costs of single characters a worker remembers
 REMEMBERED = 300_000  # words a worker keeps the result of; beyond that it starts anew
 
-_EDGE = ".,;:?\"'()[]{}<>-_…«»“”„‘’`~=/\\&%"
+_EDGE = ".,;:?\"'()[]{}<>-_…«»“”„‘’`~=/\\&%^"
+_FENCE = re.compile(r"^([^\w\s])\1\1+|([^\w\s])\2\2+$")  # three or more of one sign are no letter
 _TWICE = re.compile(r"(.)\1")
 _PIECES = re.compile(r"[^\W\d_]+")
 
@@ -56,14 +59,14 @@ class CharModel:
             for g, n in self.count[k].items():
                 self.total[g[:-1]] = self.total.get(g[:-1], 0) + n
                 self.kinds[g[:-1]] = self.kinds.get(g[:-1], 0) + 1
-        self.cost = lru_cache(maxsize=1 << 20)(self._cost)
+        self.cost = lru_cache(maxsize=COSTS)(self._cost)
 
     def __getstate__(self):
         return self.count, self.total, self.kinds
 
     def __setstate__(self, state):
         self.count, self.total, self.kinds = state
-        self.cost = lru_cache(maxsize=1 << 20)(self._cost)
+        self.cost = lru_cache(maxsize=COSTS)(self._cost)
 
     def _cost(self, context: str, symbol: str) -> float:
         """-log P(symbol | context of ORDER - 1 symbols)."""
@@ -75,14 +78,42 @@ class CharModel:
         return -math.log(p)
 
 
-def word_grams(words: Counter) -> Counter:
-    """Grams of plain words, with their counts."""
-    grams: Counter = Counter()
-    for w, n in words.items():
-        line = START * (ORDER - 1) + "".join(map(fold, w)) + END
-        for i in range(len(line) - ORDER + 1):
-            grams[line[i : i + ORDER]] += n
-    return grams
+class _Codes(dict):
+    """Code point -> one of 28 symbols as a character; filled as letters turn up."""
+
+    def __missing__(self, point: int) -> str:
+        self[point] = chr(_CODE[fold(chr(point))])
+        return self[point]
+
+
+_CODE = {END: 0, START: 1, **{c: i + 2 for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")}}
+_CODE[OTHER] = 28
+_BASE = 29
+_CODES = _Codes({ord(END): chr(0), ord(START): chr(1)})
+
+
+def word_grams(words: dict[str, int]) -> np.ndarray:
+    """How often each gram occurs in plain words with their counts, by the gram's number in base 29."""
+    total = np.zeros(_BASE**ORDER, np.int64)
+    if not words:
+        return total
+    pad = START * (ORDER - 1)
+    line = "".join([pad + w + END for w in words])
+    codes = np.frombuffer(line.translate(_CODES).encode("ascii"), np.uint8).astype(np.int64)
+    size = np.array([len(w) + ORDER for w in words])
+    weight = np.repeat(np.fromiter(words.values(), np.int64, len(words)), size)
+    number = sum(codes[i : len(codes) - ORDER + 1 + i] * _BASE ** (ORDER - 1 - i) for i in range(ORDER))
+    inside = np.ones(len(codes), bool)  # a gram that starts in a word's last places would reach into the next
+    ends = np.cumsum(size)
+    for i in range(1, ORDER):
+        inside[ends - i] = False
+    inside = inside[: len(number)]
+    return np.bincount(number[inside], weight[: len(number)][inside], len(total)).astype(np.int64)
+
+
+def gram_text(number: int) -> str:
+    symbol = {v: k for k, v in _CODE.items()}
+    return "".join(symbol[number // _BASE**i % _BASE] for i in range(ORDER - 1, -1, -1))
 
 
 def lattice(text: str) -> list[list[tuple[str, float]]]:
@@ -136,43 +167,60 @@ def features(word: str):
             yield word[:n] + "~"
 
 
-@dataclass
+#: Letters that one sign may stand for alike, as one; repeats as one; signs that may be dropped as none.
+_ALIKE = str.maketrans({"l": "i", **{k: v[0].replace("l", "i") for k, v in LEET.items() if k not in "*#+|"}, "|": "i"})
+_NO_LETTER = re.compile(r"[^\w*#+]+|_+")
+
+
+def outline(word: str) -> str:
+    """A form that a word shares with all its disguises, but for wildcards."""
+    return re.sub(r"(.)\1+", r"\1", _NO_LETTER.sub("", word.translate(_ALIKE)))
+
+
 class Restorer:
-    """Words of a text as they are meant.  `known` words are those whose features can matter to a score."""
+    """Words of a text as they are meant.
 
-    model: CharModel
-    weights: dict[str, float] = field(default_factory=dict)
+    With weights at hand, only chunks are decoded in which some weighted feature can turn up at all: its
+    outline must be inside the chunk's, or the chunk hold a wildcard.  The others cannot change a score.
+    """
+
+    def __init__(self, model: CharModel, weights: dict[str, float] | None = None):
+        self.model, self.finder = model, None
+        if weights is not None:
+            self.finder = ahocorasick.Automaton()
+            for f in {outline(f.rstrip("~")) for f in weights} - {""}:
+                self.finder.add_word(f, 1)
+            self.finder.make_automaton()
+
+    def hopeful(self, chunk: str) -> bool:
+        if self.finder is None or any(c in chunk for c in "*#+|"):
+            return True
+        return len(self.finder) > 0 and next(self.finder.iter(outline(chunk)), None) is not None
 
     def readings(self, word: str) -> list[str]:
         """Plain words that a chunk without white space may hold, restored ones included."""
         core = word.strip(_EDGE).rstrip("!")
         if core.isalpha():
-            if not _TWICE.search(core):
-                return [core]
-            return [core, *self._shrunk(core)]
+            if _TWICE.search(core) and self.hopeful(core):
+                return [core, *restore(core, self.model)]
+            return [core]
+        core = _FENCE.sub("", core).strip(_EDGE).rstrip("!")
         plain = _PIECES.findall(core)
         if not plain:
             return []
+        if core.isalpha() and not _TWICE.search(core) or not self.hopeful(core):
+            return plain
         return [*plain, *restore(core, self.model)]
 
-    def _shrunk(self, core: str) -> list[str]:
-        # With weights at hand, a word whose shortest reading has none cannot change a score.
-        if self.weights and not re.search(r"(.)\1\1", core) and not self.known(_TWICE.sub(r"\1", core)):
-            return []
-        return restore(core, self.model)
-
-    def known(self, word: str) -> bool:
-        return any(f in self.weights for f in features(word))
-
     def spaced(self, words: list[str]) -> list[str]:
         """Words that are spelt out in single signs, three or more in a row."""
-        one = np.fromiter((len(w) == 1 for w in words), bool, len(words))
+        one = np.fromiter(map(len, words), np.int64, len(words)) == 1
         if one.sum() < 3:
             return []
         edge = np.flatnonzero(np.diff(np.r_[False, one, False].astype(np.int8)))
         out = []
         for a, b in zip(edge[::2], edge[1::2]):
-            if b - a >= 3:
+            if b - a >= 3 and self.hopeful("".join(words[a:b])):
                 out += restore(" ".join(words[a:b]), self.model)
         return out
 
@@ -186,8 +234,14 @@ class Scorer:
 
     def best(self, words: list[str]) -> tuple:
         """The two strongest (feature, weight) of some words."""
-        found = {f: self.weights[f] for w in words for f in features(w) if f in self.weights}
-        return tuple(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:2])
+        weights, found = self.weights, {}
+        for w in words:
+            if w in weights:
+                found[w] = weights[w]
+            for n in PREFIXES:
+                if len(w) > n and (f := w[:n] + "~") in weights:
+                    found[f] = weights[f]
+        return tuple(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:2]) if found else ()
 
     def evidence(self, text: str | None) -> tuple[float, float]:
         words = text.lower().split() if text else []
@@ -205,30 +259,34 @@ class Scorer:
         return tuple(top + [0.0] * (2 - len(top)))
 
 
-def _plain(word: str) -> str:
-    core = word.strip(_EDGE).rstrip("!")
-    return core if core.isalpha() else ""
-
-
 def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
     """Trained on every word of every text; the alphabet bounds what comes to the driver."""
 
     def count(batches):
-        grams: Counter = Counter()
+        total, words = 0, Counter()
         for b in batches:
-            for at in range(0, len(b), 512):
-                words: Counter = Counter()
-                for t in b["text"].slice(at, 512).to_pylist():
-                    words.update((t or "").lower().split())
-                plain: Counter = Counter()
-                for w, n in words.items():
-                    if p := _plain(w):
-                        plain[p] += n
-                grams.update(word_grams(plain))
-        yield pa.record_batch([pa.array(grams.keys(), pa.string()), pa.array(grams.values(), pa.int64())], names=["gram", "n"])
+            for t in b["text"].to_pylist():
+                words.update((t or "").lower().split())
+            if len(words) > REMEMBERED:
+                total, words = total + word_grams(_plain_words(words)), Counter()
+        total = total + word_grams(_plain_words(words))
+        grams = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(grams), pa.array(total[grams])], names=["gram", "n"])
+
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "gram long, n long")
+    found = rows.groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    return CharModel({gram_text(r["gram"]): r["n"] for r in found})
 
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "gram string, n long")
-    return CharModel({r["gram"]: r["n"] for r in rows.groupBy("gram").agg(F.sum("n").alias("n")).collect()})
+
+def _plain_words(words: Counter) -> dict[str, int]:
+    out: dict[str, int] = {}
+    for w, n in words.items():
+        if not w.isalpha():
+            w = w.strip(_EDGE).rstrip("!")
+            if not w.isalpha():
+                continue
+        out[w] = out.get(w, 0) + n
+    return out
 
 
 @dataclass
@@ -246,14 +304,14 @@ def fold_of(id_col: Column, folds: int) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          folds: int = 5, held_out: int = 0, most_toxic: int = 4000, most_clean: int = 12000, least_docs: int = 4) -> Model:
+          folds: int = 5, held_out: int = 0, most_toxic: int = 4000, most_clean: int = 12000, least_docs: int = 4, least_weight: float = 0.5) -> Model:
     """Character model from all texts, word weights and calibration from labelled rows outside the held-out fold.
 
     The classifier is fitted on at most `most_toxic` and `most_clean` labelled documents, those whose ids hash
     lowest; that bounds all that is collected here.  Of near copies among them one is kept, so that a
     much copied text counts once.  A feature is a restored word or its first 4 to 6 letters; its weight
     is the lower end of its log odds between toxic and clean documents, so that a rare word needs
-    several documents before it counts.  A logistic fit over the two strongest features of a document
+    several documents before it counts; weights of `least_weight` or less are dropped.  A logistic fit over the two strongest features of a document
     gives the score; it sees each half of the sample through weights learnt on the other half.
     Labels that are null are left out, an id with several is toxic if any says so; null ids have none.
     """
@@ -290,7 +348,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for f, counts in seen.items():
             a, b = (sum(x[h] for h in halves) for x in (counts, other.get(f, (0, 0))))
             low = math.log((a + 0.5) / (t + 1)) - math.log((b + 0.5) / (c + 1)) - math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-            if a >= least_docs and low > 0:
+            if a >= least_docs and low > least_weight:
                 out[f] = low
         return out
 
