@@ -8,6 +8,7 @@ from millrace.catalog.registry import AS_OF, big, mean, money, pct, query, star
 from millrace.functions import exprs as X
 from millrace.operators import relational as R
 from millrace.operators.cleaning import exact_median, not_after
+from millrace.operators.windows import row_numbers
 
 from millrace.plans import superstore
 from millrace.plans.commerce import QUARTILE_LABELS, counted
@@ -735,12 +736,14 @@ def agg_histogram(spark, sf):
 
 @query(
     "sort_multi",
-    star("SELECT city, customer_id, CAST(balance AS DOUBLE) AS balance FROM cust"),
+    star("""SELECT city, customer_id, CAST(balance AS DOUBLE) AS balance,
+        row_number() OVER (ORDER BY city, balance DESC, customer_id) AS pos FROM cust"""),
 )
 def sort_multi(spark, sf):
-    return tables.customers(spark, sf).select(
-        "city", "customer_id", F.col("balance").cast("double").alias("balance")
-    ).orderBy(F.asc("city"), F.desc("balance"), F.asc("customer_id"))
+    """Sorted, with the position as a column, so that the order itself can be compared."""
+    order = [("city", False), ("balance", True), ("customer_id", False)]
+    rows = tables.customers(spark, sf).select("city", "customer_id", "balance")
+    return row_numbers(rows, order, out="pos").withColumn("balance", F.col("balance").cast("double")).orderBy("pos")
 
 
 @query(

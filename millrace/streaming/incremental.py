@@ -20,7 +20,10 @@ from millrace.sources import snapshots
 def merge_batch(
     batch: DataFrame, batch_id: int, root: str, keys: Sequence[str], stamp: str, ties: Sequence[str]
 ) -> None:
-    """Merge one micro-batch into the table at `root`, at most once."""
+    """Merge one micro-batch into the table at `root`, at most once.
+
+    A row that comes late changes nothing: a stored row gives way only to a newer `stamp`.
+    """
     spark = batch.sparkSession
     operation = f"MERGE batch {batch_id}"
     log = snapshots.history(spark, root)
@@ -29,8 +32,12 @@ def merge_batch(
     newest = latest_per_key(batch, keys, stamp, ties)
     if snapshots.current_version(spark, root) < 0:
         snapshots.publish(newest, root, operation)
-    else:
-        snapshots.publish(upsert(snapshots.read(spark, root), newest, keys), root, operation)
+        return
+    table = snapshots.read(spark, root)
+    # At most as many stored rows as the batch has keys.
+    stored = table.join(newest.select(*keys), list(keys), "left_semi").select(*keys, F.col(stamp).alias("_stored"))
+    fresh = newest.join(stored, list(keys), "left").where(F.col("_stored").isNull() | (F.col(stamp) > F.col("_stored")))
+    snapshots.publish(upsert(table, fresh.drop("_stored"), keys), root, operation)
 
 
 def upsert_files(

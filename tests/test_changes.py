@@ -7,7 +7,7 @@ from millrace.operators.cleaning import drop_duplicate_rows, latest_per_key
 from millrace.operators.quality import Rules, apply_rules
 from millrace.catalog import QUERIES
 from millrace.catalog.relational import agg_count_distinct
-from millrace.plans import commerce, reports, superstore
+from millrace.plans import commerce, reports, shop, superstore
 from millrace.session import clean_up, scratch_count, scratch_dir
 from millrace.sources import copying, files, schemas, sinks, snapshots, tables
 from millrace.streaming.incremental import merge_batch, upsert_files
@@ -141,6 +141,35 @@ def test_stream_merges_each_batch_once(spark):
     assert snapshots.current_version(spark, root) == version
 
 
+def test_a_late_row_changes_nothing(spark):
+    root = scratch_dir(spark, "table")
+    merge = lambda n, *rows_: merge_batch(spark.createDataFrame(rows_, SCHEMA), n, root, ["id"], "stamp", [])
+    merge(0, ("a", "x", 1.0, "2024-02-01"), ("b", "x", 1.0, "2024-02-01"))
+    merge(1, ("a", "late", 2.0, "2024-01-01"), ("b", "new", 2.0, "2024-03-01"), ("c", "first", 3.0, "2023-01-01"))
+    assert rows(snapshots.read(spark, root), "id", "name") == [("a", "x"), ("b", "new"), ("c", "first")]
+
+
+def test_price_chain_is_one_narrow_scan(spark, sf):
+    plan = shop.foreign_price_chain(tables.products(spark, sf), "PROMO")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "PushedFilters: [IsNotNull(p_type), EqualTo(p_type,PROMO)]" in plan
+    assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_type:string,p_retailprice:double>" in plan
+
+
+def test_care_results_make_only_what_they_need(spark, sf):
+    plan = QUERIES["sql_crosstab"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "prior_admission_count" not in plan and "comorbidity" not in plan and "physician" not in plan
+
+
+@pytest.mark.parametrize(
+    "key, column, down",
+    [("sort_multi", "pos", False), ("gold_department", "performance_score", True), ("sql_department", "performance_score", True),
+     ("gold_by_diagnosis", "readmission_rate", True), ("sql_los_trend", "admission_month", False), ("com_rev_category", "total_revenue", True)],
+)
+def test_lists_come_sorted(spark, sf, key, column, down):
+    got = [r[column] for r in QUERIES[key](spark, sf).collect()]
+    assert got == sorted(got, reverse=down)
+
+
 def test_conditional_copy(spark, tmp_path):
     names = schemas.SALES_FILE_COLUMNS
     line = ['1', "O1", "1/2/2020", "1/3/2020", "Std", "C1", 'Ann "A", Lee\nJr "x"', "S", "US", "X", "Y", "1", "R", "P1",
