@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"  # how the model files write a space
 UNKNOWN_PENALTY = 10.0  # fixed value: below the lowest score, for a character that no piece holds
 SIEVE_BITS = 20  # most substrings are no piece; their highest hash bits tell without a search
+MEMO_BITS = 20  # answers about neighbouring pieces that are kept
 BASE = 0x9E3779B97F4A7C15  # odd multiplier of the substring hash
 REMEMBERED = 300_000  # words a worker keeps the ids of; beyond that it starts anew
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # fixed values of the file format
@@ -71,10 +72,15 @@ class Pieces:
         self.keys, self.at = keys[order], order
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a hash")
+        self.maybe_first = np.zeros(1 << 16, bool)  # characters with which a piece may end, by their lower bits
+        self.maybe_first[[ord(t[-1]) & 0xFFFF for t in texts]] = True
         self.maybe = np.zeros(1 << SIEVE_BITS, bool)
         self.maybe[self.keys >> np.uint64(64 - SIEVE_BITS)] = True
-        self.stands: dict[int, bool] = {}
+        # Whether two pieces may stand side by side, as far as it was asked; newer answers replace older ones.
+        self.asked, self.answer = np.full(1 << MEMO_BITS, -1, np.int64), np.zeros(1 << MEMO_BITS, bool)
+        self.touching = {t[i : i + 2] for t in texts for i in range(len(t) - 1)}
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.word = re.compile(self._word_pattern())
 
     def _word_pattern(self) -> str:
@@ -93,68 +99,88 @@ class Pieces:
             out[:, i + 1] = out[:, i] * np.uint64(BASE) + points[:, i].astype(np.uint64) + np.uint64(1)
         return out
 
-    def _probe(self, points: np.ndarray, running: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, pieces) where a piece lies between two positions; running holds positions first."""
+    def _probe(self, points: np.ndarray, running: np.ndarray, start: int, end: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of `rows`, pieces) where a piece lies between two positions; running holds positions first."""
         n = end - start
-        key = running[end] - running[start] * self.power[n]
-        rows = np.flatnonzero(self.maybe[key >> np.uint64(64 - SIEVE_BITS)])
-        key = key[rows]
+        key = running[end, rows] - running[start, rows] * self.power[n]
+        hit = np.flatnonzero(self.maybe[key >> np.uint64(64 - SIEVE_BITS)])
+        key = key[hit]
         i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = self.keys[i] == key
-        rows, piece = rows[hit], self.at[i[hit]]
-        same = (self.lengths[piece] == n) & (self.points[piece, :n] == points[rows, start:end]).all(1)
-        return rows[same], piece[same]
-
-    def search(self, words: list[str]) -> list[list[int]]:
-        """Pieces (by place in the table; ~code point for a character without one) of words of equal length."""
-        length = len(words[0])
-        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), length)
+        same = self.keys[i] == key
+        hit, piece = hit[same], self.at[i[same]]
+        same = (self.lengths[piece] == n) & (self.points[piece, :n] == points[rows[hit], start:end]).all(1)
+        return hit[same], piece[same]
+
+    def search(self, words: list[str]) -> list[bytes]:
+        """Ids of words of equal length, which advance together position by position."""
+        length, count = len(words[0]), len(words)
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(count, length)
         running = np.ascontiguousarray(self._running(points).T)
-        best = np.full((length + 1, len(words)), -np.inf)
-        best[0] = 0
-        last = np.full((length + 1, len(words)), -1)
-        step = np.ones((length + 1, len(words)), np.int64)
+        best = np.zeros((length + 1, count))
+        last = np.full((length + 1, count), -1)
+        step = np.ones((length + 1, count), np.int64)
+        every = np.arange(count)
         for end in range(1, length + 1):
-            if self.kind == UNIGRAM:  # a character without a piece, unless one is found below
+            if self.kind == UNIGRAM:  # a character without a piece, unless a better way is found
                 best[end] = best[end - 1] + self.lowest
-            for n in range(min(end, self.longest), 0, -1):
-                start = end - n
-                rows, piece = self._probe(points, running, start, end)
-                if self.kind == UNIGRAM:
-                    value = best[start, rows] + self.scores[piece]
+                for n in range(min(end, self.longest), 0, -1):
+                    rows, piece = self._probe(points, running, end - n, end, every)
+                    value = best[end - n, rows] + self.scores[piece]
                     better = (value > best[end, rows]) | ((n == 1) & (step[end, rows] == 1))
-                else:  # one piece at most may stand here, so a word that has it is done
-                    open_ = best[end, rows] < 0
-                    rows, piece = rows[open_], piece[open_]
-                    before = last[start, rows] if start else np.full(len(rows), -1)
-                    better = before < 0
-                    check = np.flatnonzero(~better)
-                    if len(check):
-                        better[check] = self._all_stand(before[check], piece[check])
-                    value = np.zeros(len(rows))
-                rows = rows[better]
-                best[end, rows], last[end, rows], step[end, rows] = value[better], piece[better], n
-            best[end][best[end] == -np.inf] = 0  # the character stands alone
-        out: list[list[int]] = [[] for _ in words]
-        at = np.full(len(words), length)
-        while (at > 0).any():
-            rows = np.flatnonzero(at > 0)
+                    rows = rows[better]
+                    best[end, rows], last[end, rows], step[end, rows] = value[better], piece[better], n
+                continue
+            open_ = every  # one piece at most may stand here, so a word that has it is done
+            for n in range(1, min(end, self.longest) + 1):
+                hit, piece = self._probe(points, running, end - n, end, open_)
+                before = last[end - n, open_[hit]] if end > n else np.full(len(hit), -1)
+                good = before < 0
+                check = np.flatnonzero(~good)
+                if len(check):
+                    good[check] = self._all_stand(before[check], piece[check])
+                hit, piece = hit[good], piece[good]
+                last[end, open_[hit]], step[end, open_[hit]] = piece, n
+                left = np.ones(len(open_), bool)
+                left[hit] = False
+                if n == 1:  # a character without a piece stands alone
+                    left &= self.maybe_first[points[open_, end - 1] & 0xFFFF] | (points[open_, end - 1] > 0xFFFF)
+                open_ = open_[left]
+                if not len(open_):
+                    break
+        return self._walk_back(points, last, step)
+
+    def _walk_back(self, points: np.ndarray, last: np.ndarray, step: np.ndarray) -> list[bytes]:
+        """The pieces along the backpointers of every word, as ids."""
+        length, count = points.shape[1], len(points)
+        at, rows, found = np.full(count, length), np.arange(count), []
+        while len(rows):
             piece = last[at[rows], rows]
             alone = ~points[rows, at[rows] - 1].astype(np.int64)
-            for r, p in zip(rows, np.where(piece >= 0, piece, alone)):
-                out[r].append(int(p))
+            found.append((rows, np.where(piece >= 0, piece, alone)))
             at[rows] -= step[at[rows], rows]
-        return [x[::-1] for x in out]
+            rows = rows[at[rows] > 0]
+        rows, piece = (np.concatenate(x[::-1]) for x in zip(*found))
+        order = np.argsort(rows, kind="stable")
+        rows, piece = rows[order], piece[order]
+        ends = np.cumsum(np.bincount(rows, minlength=count)).tolist()
+        raw = self.ids[np.maximum(piece, 0)].astype("<u4").tobytes()
+        out = [raw[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
+        for r in np.unique(rows[piece < 0]).tolist():
+            out[r] = self._ids(piece[ends[r - 1] if r else 0 : ends[r]].tolist())
+        return out
 
     def _all_stand(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        pair, back = np.unique(left * len(self.texts) + right, return_inverse=True)
-        known = self.stands
-        found = np.empty(len(pair), bool)
-        for i, key in enumerate(pair.tolist()):
-            if key not in known:
-                known[key] = self._stands(self.texts[key // len(self.texts)], self.texts[key % len(self.texts)])
-            found[i] = known[key]
-        return found[back]
+        pair = left * len(self.texts) + right
+        slot = (pair.astype(np.uint64) * np.uint64(BASE) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
+        new = self.asked[slot] != pair
+        found = self.answer[slot]
+        if new.any():
+            keys, back = np.unique(pair[new], return_inverse=True)
+            n = len(self.texts)
+            answers = np.array([self._stands(self.texts[k // n], self.texts[k % n]) for k in keys.tolist()])
+            found[new] = answers[back]
+            self.asked[slot[new]], self.answer[slot[new]] = pair[new], found[new]
+        return found
 
     def _stands(self, left: str, right: str) -> bool:
         """True if merging the characters of both texts ends in just these two pieces."""
@@ -189,19 +215,29 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text.  New words are searched together, by length."""
         split = [self.word.findall(self.normalized(t)) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        for memo in (self.known, self.parts):
+            if len(memo) > REMEMBERED:
+                memo.clear()
+        words = {w: self._parts(w) for w in set().union(*split).difference(self.known)}
         new: dict[int, list[str]] = {}
-        for w in {w for words in split for w in words if w not in self.known}:
-            new.setdefault(len(w), []).append(w)
-        for length, words in new.items():
+        for part in {p for parts in words.values() for p in parts}.difference(self.parts):
+            new.setdefault(len(part), []).append(part)
+        for length, same in new.items():
             rows = max(1, (1 << 18) // length)  # bounds the lattice, whatever the words' length
-            for at in range(0, len(words), rows):
-                part = words[at : at + rows]
-                for w, found in zip(part, self.search(part)):
-                    self.known[w] = self._ids(found)
+            for at in range(0, len(same), rows):
+                some = same[at : at + rows]
+                self.parts.update(zip(some, self.search(some)))
+        for w, parts in words.items():
+            self.known[w] = b"".join([self.parts[p] for p in parts])
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
+    def _parts(self, word: str) -> list[str]:
+        """A word cut where no piece holds the two characters side by side."""
+        if not self.fallback:  # unknown characters in a row make one id
+            return [word]
+        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.touching]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
+
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.table.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
@@ -217,6 +253,32 @@ def load(path: str) -> Pieces:
     return _LOADED[path]
 
 
+def _encoded(pieces: Pieces, texts: list) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u4") for x in pieces.encode([t or "" for t in texts])]
+
+
+def _list_column(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    flat = np.concatenate([*ids, np.empty(0, "<u4")]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def _decoded_columns(pieces: Pieces, ids: list[np.ndarray]) -> list[pa.Array]:
+    text = pa.array([pieces.decode(x) for x in ids], pa.string())
+    return [text, pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())]
+
+
+def _slices(batches, rows: int = 512):
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.slice(at, rows)
+
+
+def _rows(docs: DataFrame, text_col: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    return rows, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>"
+
+
 def encode(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     """(row, ids): every input row as a struct, whatever its columns, and the piece ids of its whole text.
 
@@ -226,17 +288,12 @@ def encode(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
 
     def run(batches):
         pieces = load(model)
-        for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.slice(at, 256)
-                ids = [np.frombuffer(x, "<u4") for x in pieces.encode([t or "" for t in part["text"].to_pylist()])]
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.concatenate([*ids, np.empty(0, "<u4")]).astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                yield pa.record_batch([part["row"], column], names=["row", "ids"])
+        for part in _slices(batches):
+            ids = _encoded(pieces, part["text"].to_pylist())
+            yield pa.record_batch([part["row"], _list_column(ids)], names=["row", "ids"])
 
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>")
+    rows, kind = _rows(docs, text_col)
+    return rows.mapInArrow(run, kind)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -248,11 +305,24 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
     def run(batches):
         pieces = load(model)
-        for b in batches:
-            ids = [np.array(x or [], "<u4") for x in b["ids"].to_pylist()]
-            text = pa.array([pieces.decode(x) for x in ids], pa.string())
-            crc = pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())
-            yield pa.record_batch([b["row"], b["ids"], text, crc], names=["row", "ids", "decoded", "ids_crc32"])
+        for part in _slices(batches):
+            ids = [np.array(x or [], "<u4") for x in part["ids"].to_pylist()]
+            columns = [part["row"], part["ids"], *_decoded_columns(pieces, ids)]
+            yield pa.record_batch(columns, names=["row", "ids", "decoded", "ids_crc32"])
 
     kind = encoded.schema["row"].dataType.simpleString()
     return encoded.select("row", "ids").mapInArrow(run, f"row {kind}, ids array<int>, decoded string, ids_crc32 long")
+
+
+def round_trip(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
+    """decode(encode(docs)) in one pass over the rows, so that a task needs one worker."""
+
+    def run(batches):
+        pieces = load(model)
+        for part in _slices(batches):
+            ids = _encoded(pieces, part["text"].to_pylist())
+            columns = [part["row"], _list_column(ids), *_decoded_columns(pieces, ids)]
+            yield pa.record_batch(columns, names=["row", "ids", "decoded", "ids_crc32"])
+
+    rows, kind = _rows(docs, text_col)
+    return rows.mapInArrow(run, f"{kind}, decoded string, ids_crc32 long")

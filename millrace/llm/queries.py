@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import embed, html, mixing, ngram, pieces, simhash, tokens, topk, toxicity, warc
-from millrace.llm.common import load
-from millrace.session import configure
+from millrace.llm.common import load, prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +20,7 @@ def query(key: str, sql: str | None = None):
     def add(fn):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark), sf_dir)
+            return fn(prepared(spark), sf_dir)
 
         QUERIES[key] = run
         if sql is not None:
@@ -71,7 +70,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_token_ids")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = tokens.token_files(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    found = tokens.token_files(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, with_ids=False)
     return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
@@ -141,7 +140,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_sentencepiece")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    found = pieces.decode(pieces.encode(load(spark, sf_dir, "documents"), model), model)
+    found = pieces.round_trip(load(spark, sf_dir, "documents").select("doc_id", "text"), model)
     return found.select(
         F.col("row.doc_id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),

@@ -73,6 +73,7 @@ def test_rows_come_back(spark, sf):
     rows = plain(spark, sf, 50)
     docs = documents(spark, rows)
     got = pieces.decode(pieces.encode(docs, PATH), PATH).collect()
+    assert sorted(map(str, pieces.round_trip(docs, PATH).collect())) == sorted(map(str, got))
     assert sorted(str(r["row"]["doc_id"]) for r in got) == sorted(str(r[0]) for r in rows)
     library = sentencepiece.SentencePieceProcessor(model_file=PATH)
     for r in got:
