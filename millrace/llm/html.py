@@ -473,8 +473,12 @@ def train(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", sam
     whose ids hash lowest, `chars` characters of each) fill known layouts.  Both bounds hold for the fit
     only; extraction reads every page whole.
     """
-    rows = pages.select(F.substring(F.col(html_col), 1, chars).alias("html"), F.xxhash64(F.col(id_col)).alias("h")).where("html is not null")
-    texts = [t for r in rows.orderBy("h", "html").limit(sample).collect() for t in parse(r["html"]).text if t]
+    ids = pages.where(F.col(html_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"))
+    # Ids first, so that no task sends more than ids; at most `sample` of them.
+    chosen = ids.distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+    rows = pages.select(F.col(id_col).alias("id"), F.substring(F.col(html_col), 1, chars).alias("html"))
+    rows = rows.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("html").alias("html")).where("html is not null")
+    texts = [t for r in sorted(rows.collect()) for t in parse(r["html"]).text if t]
     sentences = sorted({s.strip() for t in texts for s in re.split(r"(?<=[.!?])\s+", t) if 3 <= len(s.split()) <= 40})
     sentences = sentences or ["Some words stand here.", "More of them follow, and end."]
     made = Layouts(sentences, seed)
