@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.quality import Rules, apply_rules
+from millrace.session import staged
 
 
 def checked_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -105,8 +106,8 @@ def apply_order_batch(
     """Append a batch of orders with their items and lower the stock, or change nothing.
 
     One broken rule anywhere, a key that the batch repeats or that is stored already, or one product sold
-    beyond its stock rejects the whole batch: the number of faults is a scalar subquery that every
-    appended row and every stock change depends on.  `publish_batch` stores the three under one commit.
+    beyond its stock rejects the whole batch: every appended row and every stock change depends on the
+    number of faults, which is counted once.  `snapshots.publish_all` stores the three under one commit.
     """
     sold = new_items.groupBy("product_id").agg(F.sum("quantity").alias("_sold"))
     short = stock.join(sold, "product_id").where(F.col("stock") < F.col("_sold"))
@@ -125,7 +126,7 @@ def apply_order_batch(
     bad = faults[0].select(fault)
     for f in faults[1:]:
         bad = bad.unionByName(f.select(fault))
-    bad = bad.agg(F.count("fault")).scalar()
+    bad = staged(bad.agg(F.count("fault").alias("faults")), "faults").scalar()
     lowered = stock.join(sold, "product_id", "left").withColumn(
         "stock",
         F.when((bad == 0) & F.col("_sold").isNotNull(), F.col("stock") - F.col("_sold")).otherwise(
