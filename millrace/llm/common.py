@@ -7,6 +7,8 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +21,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 NULL_ID = -(2**63)
 
 
-#: Rows of text are large, so few of them go to a worker at a time.
-BATCH_ROWS = 512
+#: Rows of text are large, so few of them go to a worker at a time, and fewer still where they are long.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 
 def prepared(spark: SparkSession) -> SparkSession:
     """The library's settings, Arrow batches that stay small with long texts, and workers that find the code."""
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     _ship(spark)
     return spark
 
@@ -48,6 +51,18 @@ def _ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def pieces_of(batches, column: str, limit: int):
+    """Slices of Arrow batches whose texts come to about `limit` bytes; a longer text is a slice of its own."""
+    for b in batches:
+        size = pc.binary_length(b[column]).fill_null(0).to_numpy(zero_copy_only=False)
+        size = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        at = 0
+        while at < len(b):
+            to = max(at + 1, int(np.searchsorted(size, size[at] + limit, side="right")) - 1)
+            yield b.slice(at, to - at)
+            at = to
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,8 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import pieces_of
 from millrace.llm.trees import Boosted, fit
 
+CHUNK = 1 << 20  # bytes of html whose nodes are scored together
+
 # Element kinds of the HTML standard; fixed values.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript template iframe svg math xmp noembed noframes select option button datalist object".split())
@@ -507,11 +510,9 @@ def main_text(pages: DataFrame, model: Boosted, html_col: str = "html") -> DataF
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in batches:
-            for at in range(0, len(b), 128):
-                part = b.slice(at, 128)
-                texts = extract([h or "" for h in part["html"].to_pylist()], shared.value)
-                yield pa.record_batch([part["row"], pa.array(texts, pa.string())], names=["row", "text"])
+        for part in pieces_of(batches, "html", CHUNK):
+            texts = extract([h or "" for h in part["html"].to_pylist()], shared.value)
+            yield pa.record_batch([part["row"], pa.array(texts, pa.string())], names=["row", "text"])
 
     rows = pages.select(F.struct("*").alias("row"), F.col(html_col).alias("html"))
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string")

@@ -7,10 +7,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import pieces_of
 from millrace.llm.files import mapped, new_file
 from millrace.session import scratch_dir, staged
 
@@ -91,16 +91,10 @@ def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, n + 1
 
 
-def chunks(batches, column: str = "text"):
+def chunks(batches):
     """(batch slice, token hashes, tokens per text) for pieces of about CHUNK bytes; a text is never cut."""
-    for b in batches:
-        size = np.r_[0, np.cumsum(pc.binary_length(b[column]).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)]
-        at = 0
-        while at < len(b):
-            to = max(at + 1, int(np.searchsorted(size, size[at] + CHUNK, side="right")) - 1)
-            part = b.slice(at, to - at)
-            yield part, *split(part[column])
-            at = to
+    for part in pieces_of(batches, "text", CHUNK):
+        yield part, *split(part["text"])
 
 
 def add_up(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -10,12 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import pieces_of
+
 SPACE = "▁"  # how the model files write a space
 UNKNOWN_PENALTY = 10.0  # fixed value: below the lowest score, for a character that no piece holds
 SIEVE_BITS = 20  # most substrings are no piece; their highest hash bits tell without a search
 MEMO_BITS = 20  # answers about neighbouring pieces that are kept
 BASE = 0x9E3779B97F4A7C15  # odd multiplier of the substring hash
-REMEMBERED = 300_000  # words a worker keeps the ids of; beyond that it starts anew
+CHUNK = 2 << 20  # bytes of text whose words are searched together
+REMEMBERED = 120_000  # words a worker keeps the ids of; beyond that it starts anew
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # fixed values of the file format
 UNIGRAM, BPE = 1, 2
 
@@ -268,12 +271,6 @@ def _decoded_columns(pieces: Pieces, ids: list[np.ndarray]) -> list[pa.Array]:
     return [text, pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())]
 
 
-def _slices(batches, rows: int = 512):
-    for b in batches:
-        for at in range(0, len(b), rows):
-            yield b.slice(at, rows)
-
-
 def _rows(docs: DataFrame, text_col: str) -> tuple[DataFrame, str]:
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
     return rows, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>"
@@ -288,7 +285,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
 
     def run(batches):
         pieces = load(model)
-        for part in _slices(batches):
+        for part in pieces_of(batches, "text", CHUNK):
             ids = _encoded(pieces, part["text"].to_pylist())
             yield pa.record_batch([part["row"], _list_column(ids)], names=["row", "ids"])
 
@@ -305,9 +302,9 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
     def run(batches):
         pieces = load(model)
-        for part in _slices(batches):
-            ids = [np.array(x or [], "<u4") for x in part["ids"].to_pylist()]
-            columns = [part["row"], part["ids"], *_decoded_columns(pieces, ids)]
+        for b in batches:
+            ids = [np.array(x or [], "<u4") for x in b["ids"].to_pylist()]
+            columns = [b["row"], b["ids"], *_decoded_columns(pieces, ids)]
             yield pa.record_batch(columns, names=["row", "ids", "decoded", "ids_crc32"])
 
     kind = encoded.schema["row"].dataType.simpleString()
@@ -319,7 +316,7 @@ def round_trip(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame
 
     def run(batches):
         pieces = load(model)
-        for part in _slices(batches):
+        for part in pieces_of(batches, "text", CHUNK):
             ids = _encoded(pieces, part["text"].to_pylist())
             columns = [part["row"], _list_column(ids), *_decoded_columns(pieces, ids)]
             yield pa.record_batch(columns, names=["row", "ids", "decoded", "ids_crc32"])

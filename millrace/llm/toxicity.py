@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -29,8 +30,8 @@ SWAP, DROP, SHRINK, LITERAL = 1.0, 1.0, 1.0, 4.0
 ORDER = 4  # of the character model: 29 symbols, so at most 29 ** 4 different grams
 START, END, OTHER = "^", "$", "?"
 PREFIXES = (4, 5, 6)
-COSTS = 1 << 17  # costs of single characters a worker remembers
-REMEMBERED = 300_000  # words a worker keeps the result of; beyond that it starts anew
+REMEMBERED = 200_000  # words a worker keeps the result of; beyond that it starts anew
+HELD_WORDS = 60_000  # words a task holds with their counts or features before it hands them on
 
 _EDGE = ".,;:?\"'()[]{}<>-_…«»“”„‘’`~=/\\&%^"
 _FENCE = re.compile(r"^([^\w\s])\1\1+|([^\w\s])\2\2+$")  # three or more of one sign are no letter
@@ -45,41 +46,8 @@ def fold(ch: str) -> str:
     return base if "a" <= base <= "z" else OTHER
 
 
-class CharModel:
-    """Interpolated character model of words, with absolute discounting."""
-
-    def __init__(self, grams: dict[str, int]):
-        self.count: list[dict[str, int]] = [{} for _ in range(ORDER + 1)]
-        for g, n in grams.items():
-            for k in range(1, ORDER + 1):
-                self.count[k][g[-k:]] = self.count[k].get(g[-k:], 0) + n
-        self.total: dict[str, int] = {}
-        self.kinds: dict[str, int] = {}
-        for k in range(1, ORDER + 1):
-            for g, n in self.count[k].items():
-                self.total[g[:-1]] = self.total.get(g[:-1], 0) + n
-                self.kinds[g[:-1]] = self.kinds.get(g[:-1], 0) + 1
-        self.cost = lru_cache(maxsize=COSTS)(self._cost)
-
-    def __getstate__(self):
-        return self.count, self.total, self.kinds
-
-    def __setstate__(self, state):
-        self.count, self.total, self.kinds = state
-        self.cost = lru_cache(maxsize=COSTS)(self._cost)
-
-    def _cost(self, context: str, symbol: str) -> float:
-        """-log P(symbol | context of ORDER - 1 symbols)."""
-        p = 1 / 28
-        for k in range(1, ORDER + 1):
-            h = context[ORDER - k :]
-            if n := self.total.get(h):
-                p = (max(self.count[k].get(h + symbol, 0) - 0.75, 0) + 0.75 * self.kinds[h] * p) / n
-        return -math.log(p)
-
-
 class _Codes(dict):
-    """Code point -> one of 28 symbols as a character; filled as letters turn up."""
+    """Code point -> one of the symbols as a character; filled as letters turn up."""
 
     def __missing__(self, point: int) -> str:
         self[point] = chr(_CODE[fold(chr(point))])
@@ -90,6 +58,25 @@ _CODE = {END: 0, START: 1, **{c: i + 2 for i, c in enumerate("abcdefghijklmnopqr
 _CODE[OTHER] = 28
 _BASE = 29
 _CODES = _Codes({ord(END): chr(0), ord(START): chr(1)})
+_STATES = _BASE ** (ORDER - 1)
+_BEGIN = sum(_CODE[START] * _BASE**i for i in range(ORDER - 1))  # the state before a word
+
+
+class CharModel:
+    """Interpolated character model of words, with absolute discounting: one cost per state and symbol.
+
+    A state is the last ORDER - 1 symbols as a number in base 29, so the whole model is a table of 29 ** 4
+    single-precision numbers, 2.8 MB whatever it was counted from.
+    """
+
+    def __init__(self, grams: np.ndarray):
+        p = np.full(_BASE, 1 / (_BASE - 1))
+        for k in range(1, ORDER + 1):
+            n = grams.reshape(-1, _BASE**k).sum(0).reshape(-1, _BASE).astype(float)  # by context of k - 1 symbols
+            total, kinds = n.sum(1, keepdims=True), (n > 0).sum(1, keepdims=True)
+            lower = np.broadcast_to(p.reshape(1, -1, _BASE), (_BASE if k > 1 else 1, max(1, _BASE ** (k - 2)), _BASE)).reshape(-1, _BASE)
+            p = np.where(total > 0, (np.maximum(n - 0.75, 0) + 0.75 * kinds * lower) / np.maximum(total, 1), lower).ravel()
+        self.costs = array("f", (-np.log(p)).astype(np.float32).tobytes())
 
 
 def word_grams(words: dict[str, int]) -> np.ndarray:
@@ -99,7 +86,7 @@ def word_grams(words: dict[str, int]) -> np.ndarray:
         return total
     pad = START * (ORDER - 1)
     line = "".join([pad + w + END for w in words])
-    codes = np.frombuffer(line.translate(_CODES).encode("ascii"), np.uint8).astype(np.int64)
+    codes = np.frombuffer(line.translate(_CODES).encode("ascii"), np.uint8).astype(np.int32)
     size = np.array([len(w) + ORDER for w in words])
     weight = np.repeat(np.fromiter(words.values(), np.int64, len(words)), size)
     number = sum(codes[i : len(codes) - ORDER + 1 + i] * _BASE ** (ORDER - 1 - i) for i in range(ORDER))
@@ -111,11 +98,6 @@ def word_grams(words: dict[str, int]) -> np.ndarray:
     return np.bincount(number[inside], weight[: len(number)][inside], len(total)).astype(np.int64)
 
 
-def gram_text(number: int) -> str:
-    symbol = {v: k for k, v in _CODE.items()}
-    return "".join(symbol[number // _BASE**i % _BASE] for i in range(ORDER - 1, -1, -1))
-
-
 def lattice(text: str) -> list[list[tuple[str, float]]]:
     """Readings of each stretch of a disguised word: (letters, " " for a word boundary or a plain sign; cost)."""
     out: list[list[tuple[str, float]]] = []
@@ -139,21 +121,21 @@ def lattice(text: str) -> list[list[tuple[str, float]]]:
 
 def restore(text: str, model: CharModel) -> list[str]:
     """The words of the cheapest path through the lattice under channel and character model (Viterbi)."""
-    begin = START * (ORDER - 1)
-    paths = {begin: (0.0, "")}  # by the last symbols
+    costs, code = model.costs, _CODES
+    paths = {_BEGIN: (0.0, "")}  # by the last symbols
     for readings in lattice(text) + [[(" ", 0.0)]]:
-        after: dict[str, tuple[float, str]] = {}
+        after: dict[int, tuple[float, str]] = {}
         for state, (cost, done) in paths.items():
             for reading, extra in readings:
                 s, c = state, cost + extra
                 for ch in reading:
                     if ch.isalpha():
-                        x = fold(ch)
-                        c += model.cost(s, x)
-                        s = s[1:] + x
-                    elif s != begin:
-                        c += model.cost(s, END)
-                        s = begin
+                        at = s * _BASE + ord(code[ord(ch)])
+                        c += costs[at]
+                        s = at % _STATES
+                    elif s != _BEGIN:
+                        c += costs[s * _BASE]  # END
+                        s = _BEGIN
                 if s not in after or c < after[s][0]:
                     after[s] = c, done + reading
         paths = after
@@ -267,15 +249,17 @@ def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
         for b in batches:
             for t in b["text"].to_pylist():
                 words.update((t or "").lower().split())
-            if len(words) > REMEMBERED:
+            if len(words) > HELD_WORDS:
                 total, words = total + word_grams(_plain_words(words)), Counter()
         total = total + word_grams(_plain_words(words))
         grams = np.flatnonzero(total)
         yield pa.record_batch([pa.array(grams), pa.array(total[grams])], names=["gram", "n"])
 
     rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "gram long, n long")
-    found = rows.groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return CharModel({gram_text(r["gram"]): r["n"] for r in found})
+    grams = np.zeros(_BASE**ORDER, np.int64)
+    for r in rows.groupBy("gram").agg(F.sum("n").alias("n")).collect():
+        grams[r["gram"]] = r["n"]
+    return CharModel(grams)
 
 
 def _plain_words(words: Counter) -> dict[str, int]:
@@ -326,9 +310,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # At most most_toxic + most_clean rows.
     chosen = F.broadcast(picked[0].unionByName(picked[1]))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
+    # An id that repeats is one document here, with the least of its texts.
+    rows = rows.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     signed = staged(rows.repartition(tasks).mapInArrow(_signed, SIGNED), "signed")
-    sample = staged(signed.join(F.broadcast(_one_of_near_copies(signed)), ["id", "sign"], "left_semi"), "sample")
+    sample = staged(signed.join(F.broadcast(_one_of_near_copies(signed)), "id", "left_semi"), "sample")
     totals = {(r["toxic"], r["half"]): r["n"] for r in sample.groupBy("toxic", "half").agg(F.count("*").alias("n")).collect()}
     size = {(y, h): totals.get((y, h), 0) for y in (0, 1) for h in (0, 1)}
     toxic, clean = size[1, 0] + size[1, 1], size[0, 0] + size[0, 1]
@@ -363,7 +349,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(chars, weights((0, 1)), _logistic(x, np.array([r["toxic"] for r in crossed], float)))
 
 
-SIGNED = "id long, toxic int, half int, sign long, signature array<long>, text string"
+SIGNED = "id long, toxic int, half int, signature array<long>, text string"
 BANDS, ROWS = 6, 4  # smallest shingle hashes, four to a band: near copies agree in some band, other texts hardly ever
 
 
@@ -382,23 +368,22 @@ def _signed(batches):
                 x = h[at : at + (1 << 14), None] * turns
                 low = np.minimum(low, (x ^ (x >> np.uint64(29))).min(0))
             signatures.append([xxhash.xxh64_intdigest(band.tobytes()) >> 1 for band in low.reshape(BANDS, ROWS)])
-        sign = pa.array([int(s[0]) for s in signatures], pa.int64())
         half = pa.array([xxhash.xxh64_intdigest(str(i)) % 2 for i in b["id"].to_pylist()], pa.int32())
         yield pa.record_batch(
-            [b["id"].cast(pa.int64()), b["toxic"], half, sign, pa.array(signatures, pa.list_(pa.int64())), b["text"]],
+            [b["id"].cast(pa.int64()), b["toxic"], half, pa.array(signatures, pa.list_(pa.int64())), b["text"]],
             names=[c.split()[0] for c in SIGNED.split(", ")],
         )
 
 
 def _one_of_near_copies(signed: DataFrame) -> DataFrame:
-    """(id, sign) of one row of each group that shares signature hashes; the sample is bounded, so this is local."""
-    rows = sorted((r["id"], r["sign"], *r["signature"]) for r in signed.select("id", "sign", "signature").collect())
+    """(id) of one row of each group that shares signature hashes; the sample is bounded, so this is local."""
+    rows = sorted((r["id"], *r["signature"]) for r in signed.select("id", "signature").collect())
     first: dict[tuple[int, int], int] = {}
-    links = [(i, first.setdefault((k, h), i)) for i, r in enumerate(rows) for k, h in enumerate(r[2:])]
+    links = [(i, first.setdefault((k, h), i)) for i, r in enumerate(rows) for k, h in enumerate(r[1:])]
     a, b = np.array(links, np.int64).reshape(-1, 2).T
     root = local_roots(len(rows), a, b)
-    kept = [rows[i][:2] for i in np.flatnonzero(root == np.arange(len(rows)))]
-    return signed.sparkSession.createDataFrame(kept, "id long, sign long")
+    kept = [rows[i][:1] for i in np.flatnonzero(root == np.arange(len(rows)))]
+    return signed.sparkSession.createDataFrame(kept, "id long")
 
 
 def _document_counts(rows: DataFrame, chars, wanted) -> DataFrame:
@@ -418,7 +403,7 @@ def _document_counts(rows: DataFrame, chars, wanted) -> DataFrame:
                     found |= memo[w]
                 spelt = {f for w in restorer.spaced(words) for f in features(w)}
                 n[half].update(found | (spelt if wanted is None else spelt & wanted.value))
-                if len(memo) > REMEMBERED:
+                if len(memo) > HELD_WORDS:
                     memo.clear()
             names = list(n[0].keys() | n[1].keys())
             columns = [pa.array(names, pa.string()), *(pa.array([c[f] for f in names], pa.int64()) for c in n)]
