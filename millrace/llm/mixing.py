@@ -65,15 +65,11 @@ def copies(
     without words has target 0 and none of its rows is taken.  Empty input gives empty output.  `doc`
     holds the input row whole, whatever its columns are called (null with keep_rows=False).
     """
-    row = F.struct("*") if keep_rows else F.lit(None).cast("struct<>")
-    rows = docs.select(
-        row.alias("doc"),
-        F.col(id_col).alias("id"),
-        F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size"),
-    )
-    if not keep_rows:
-        rows = staged(rows.drop("doc"), "sizes").withColumn("doc", F.lit(None).cast("string"))
+    narrow = [F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")]
+    if keep_rows:
+        rows = docs.select(F.struct("*").alias("doc"), *narrow)
+    else:  # written first, as the bounds of the ranges take one more pass
+        rows = staged(docs.select(*narrow), "sizes").withColumn("doc", F.lit(None).cast("string"))
     order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("id").asc_nulls_first()]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     dealt = staged(dealt.withColumn("at", F.monotonically_increasing_id()), "dealt")

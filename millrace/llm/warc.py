@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.common import one_task_each
 from millrace.llm.files import new_file, open_file
 from millrace.session import scratch_dir, staged
 
@@ -212,7 +213,7 @@ def index(arcs: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows), INDEX_TYPES)], names=INDEX_NAMES)
 
-    return staged(arcs.repartition("arc").mapInArrow(run, INDEX), "index")
+    return staged(one_task_each(arcs).mapInArrow(run, INDEX), "index")
 
 
 INDEX_NAMES = [c.split()[0] for c in INDEX.split(", ")]
@@ -264,7 +265,9 @@ def convert(arcs: DataFrame, revisit_bytes: int = 0) -> DataFrame:
                 out.write(member(warc_record(fields, head if first else r.body)))
         return pa.table({"warc": [uri]})
 
-    return staged(choice.groupBy("arc").applyInArrow(write, "warc string"), "warcs")
+    # Choices are few bytes; the number of tasks is that of the files they are about.
+    dealt = choice.repartition(max(1, arcs.count()), "arc")
+    return staged(dealt.groupBy("arc").applyInArrow(write, "warc string"), "warcs")
 
 
 # Reading -----------------------------------------------------------------------------------------
@@ -325,7 +328,7 @@ def read_warcs(warcs: DataFrame) -> DataFrame:
                     columns = [pa.array(x, t) for x, t in zip(zip(*rows), RECORD_TYPES)]
                     yield pa.record_batch(columns, names=[c.split()[0] for c in RECORD.split(", ")])
 
-    return warcs.repartition("warc").mapInArrow(run, RECORD)
+    return one_task_each(warcs).mapInArrow(run, RECORD)
 
 
 def page_archive(pages: DataFrame, revisit_bytes: int = 0, id_col: str = "page_id", url_col: str = "url",
