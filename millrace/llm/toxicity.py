@@ -298,6 +298,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     several documents before it counts; weights of `least_weight` or less are dropped.  A logistic fit over the two strongest features of a document
     gives the score; it sees each half of the sample through weights learnt on the other half.
     Labels that are null are left out, an id with several is toxic if any says so; null ids have none.
+    Without labels of both kinds every text gets one score, the share of toxic labels; without any, 1/3.
     """
     chars = char_model(docs, text_col)
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
@@ -319,7 +320,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     size = {(y, h): totals.get((y, h), 0) for y in (0, 1) for h in (0, 1)}
     toxic, clean = size[1, 0] + size[1, 1], size[0, 0] + size[0, 1]
     if not toxic or not clean:
-        return Model(chars, {}, np.array([math.log((toxic + 1) / (clean + 1)), 0.0, 0.0]))
+        return Model(chars, {}, np.array([math.log((toxic + 1) / (clean + 2)), 0.0, 0.0]))
 
     shared = sample.sparkSession.sparkContext.broadcast(chars)
     seen = _document_counts(sample.where("toxic = 1"), shared, None).where(F.expr(f"n0 + n1 >= {least_docs}"))

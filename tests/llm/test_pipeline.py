@@ -3,12 +3,13 @@
 from collections import Counter
 
 import public_tokenizers
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import toxicity
-from tests.llm.odd import words
+from tests.llm.odd import documents, words
 from tests.llm.test_mixing import reshared
 from tests.llm.test_simhash import brute
 
@@ -68,6 +69,18 @@ def test_ids_are_the_model_s(spark, sf):
     assert all(r["ids"] == library.encode(text[r["doc_id"]]) and r["same_text"] for r in got)
 
 
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_odd_and_no_documents(spark, sf, name):
+    odd = documents(spark)
+    out = stage(name)(spark, odd, sf)
+    assert out.count() > 0
+    if name != "sentencepiece":
+        assert out.columns == odd.columns
+    if name in ("toxicity", "sentencepiece"):  # none of them is toxic, none is lost
+        assert out.count() == odd.count()
+    assert stage(name)(spark, documents(spark, []), sf).count() == 0
+
+
 def test_the_whole_pipeline(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     table = spark.read.parquet(f"{sf}/documents.parquet")

@@ -84,7 +84,8 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.scored(documents(spark, []), toxicity.train(documents(spark, []), none)).count() == 0
     model = toxicity.train(documents(spark), none)
-    assert {r["score"] for r in toxicity.scored(documents(spark), model).collect()} == {0.5}
+    scores = {r["score"] for r in toxicity.scored(documents(spark), model).collect()}
+    assert len(scores) == 1 and scores.pop() == pytest.approx(1 / 3)  # nothing says a text is toxic
 
 
 def test_labels_of_one_class(spark):
