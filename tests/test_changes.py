@@ -141,6 +141,22 @@ def test_stream_merges_each_batch_once(spark):
     assert snapshots.current_version(spark, root) == version
 
 
+def test_every_file_of_a_folder_has_a_structure(spark, sf):
+    known = files.schemas_in(spark, sf)
+    facts = files.file_metadata(spark, sf, "*.parquet", known).collect()
+    assert len(facts) >= len(known) == 14
+    assert all(r["structure"] and r["column_count"] > 0 for r in facts)
+
+
+def test_a_fingerprint_sees_changed_lines(spark):
+    prints = []
+    for lines in (["a", "b", "b"], ["b", "a", "b"], ["a", "b"], ["a", "b", "c"]):
+        path = scratch_dir(spark, "lines")
+        spark.createDataFrame([(x,) for x in lines], "v string").coalesce(1).write.text(path)
+        prints.append(files.text_fingerprint(spark, path, "*.txt").first()["fingerprint"])
+    assert prints[0] == prints[1] and len(set(prints)) == 3
+
+
 def test_a_late_row_changes_nothing(spark):
     root = scratch_dir(spark, "table")
     merge = lambda n, *rows_: merge_batch(spark.createDataFrame(rows_, SCHEMA), n, root, ["id"], "stamp", [])
