@@ -12,53 +12,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import NULL_ID, null_id_back
+from millrace.llm.common import NULL_ID, null_id_back, one_task_each, pieces_of
 from millrace.llm.files import new_file, open_file
 from millrace.session import scratch_dir, staged
 
 MAGIC = b"MRTOK\x001\n"
 HEAD = struct.Struct("<qqqq")  # documents, ids, control bytes, data bytes of a segment
+CHUNK = 2 << 20  # bytes of text that are encoded at a time
 SEGMENT_IDS = 1 << 20  # a segment is closed once it holds this many ids
-CACHED_WORDS = 300_000  # words a worker remembers; beyond that it starts anew
+CACHED_WORDS = 1_800_000  # chunks a worker remembers; beyond that it starts anew
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs but the apostrophe, which may begin a word's ending
+WORD_END = "</w>"  # how a vocabulary marks the last piece of a word
 
+MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 # Lengths of the four values of each control byte, two bits each, lowest first.
 LENGTHS = (((np.arange(256)[:, None] >> (2 * np.arange(4))) & 3) + 1).astype(np.uint8)
 
 
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control, data): each value in 1 to 4 little-endian bytes, four lengths to a control byte."""
-    ranks = ranks.astype("<u4")
+def encode_ranks(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(control bytes, data bytes, control bytes per document, data bytes per document) of documents in a row.
+
+    Each value takes 1 to 4 little-endian bytes, four lengths go to a control byte, and every document
+    starts a control byte of its own.
+    """
+    ranks, slots = ranks.astype("<u4"), -(-counts // 4) * 4
     extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = extra
+    codes = np.zeros(int(slots.sum()), np.uint8)
+    codes[_filled(counts, slots)] = extra
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
     data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
-    return control.tobytes(), data.tobytes()
+    ends = np.concatenate([[0], np.cumsum(extra.astype(np.int64) + 1)])[np.cumsum(counts)]
+    return control, data, slots // 4, np.diff(ends, prepend=0)
+
+
+def _filled(counts: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Which slots hold a value; the others fill a document's last control byte."""
+    at = np.arange(int(slots.sum())) - np.repeat(np.cumsum(slots) - slots, slots)
+    return at < np.repeat(counts, slots)
 
 
 def decode_ranks(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
     """Values of a row of documents with `counts` values each; every document starts a control byte."""
-    slots = -(-counts // 4) * 4
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()
-    at = np.arange(len(lengths)) - np.repeat(np.cumsum(slots) - slots, slots)
-    lengths = lengths[at < np.repeat(counts, slots)].astype(np.int64)
-    ends = np.cumsum(lengths)
-    starts = ends - lengths
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
-    out = raw[starts].astype(np.uint32)
-    for k in (1, 2, 3):
-        more = np.flatnonzero(lengths > k)
-        out[more] |= raw[starts[more] + k].astype(np.uint32) << np.uint32(8 * k)
-    return out
+    lengths = lengths[_filled(counts, -(-counts // 4) * 4)].astype(np.int64)
+    starts = np.cumsum(lengths) - lengths
+    # Four bytes from every position as one number; a value is those at its start, as many as it has.
+    raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
+    four = raw[:-3] | raw[1:-2] << np.uint32(8) | raw[2:-1] << np.uint32(16) | raw[3:] << np.uint32(24)
+    return four[starts] & MASKS[lengths]
 
 
 class WordEncoder:
     """Ids of whole texts from a tokenizer that never joins across white space.
 
-    Such a tokenizer gives a text the ids of its space-separated words in turn, so a word is encoded once
-    and remembered.  Words are split at space, tab and line ends only; any other white space stays
-    inside a word for the tokenizer to deal with.
+    Such a tokenizer gives a text the ids of its space-separated chunks in turn, so a chunk is encoded once
+    and remembered.  Texts are split at ASCII white space only; any other stays inside a chunk for the
+    tokenizer to deal with.  Chunks that are letters, or letters and then signs, share the ids of their
+    letters; if the tokenizer marks word ends, many of those are encoded in one call and told
+    apart by the marks.
     """
 
     def __init__(self, path: str):
@@ -67,19 +79,56 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.signs: dict[str, bytes] = {"": b""}
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [t.split() for t in texts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
-        for at in range(0, len(new), 8192):
-            part = new[at : at + 8192]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for w, e in zip(part, found):
-                self.known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        if len(self.letters) > CACHED_WORDS:
+            self.letters.clear()
+        if len(self.signs) > CACHED_WORDS:
+            self.signs = {"": b""}
+        known, letters = self.known, self.letters
+        new = list(set().union(*split).difference(known))
+        line = b" ".join(new)  # decoded and lower-cased in one go
+        whole, parts = [], []
+        if new:
+            for w, chunk, low in zip(new, line.decode("utf-8", "replace").split(" "), line.lower().decode("utf-8", "replace").split(" ")):
+                core = chunk.rstrip(SIGNS)
+                if core.isalpha() and (core.isascii() or core.lower().isalpha()):
+                    stop = chunk[len(core) :]
+                    if stop not in self.signs:
+                        self.signs[stop] = self._each([stop])[0]
+                    parts.append((w, low[: len(core)], self.signs[stop]))
+                else:
+                    whole.append((w, chunk))
+        cores = list({core for _, core, _ in parts}.difference(letters))
+        for at in range(0, len(cores), 256):
+            letters.update(zip(cores[at : at + 256], self._words(cores[at : at + 256])))
+        known.update([(w, letters[core] + stop) for w, core, stop in parts])
+        for at in range(0, len(whole), 8192):
+            part = whole[at : at + 8192]
+            known.update(zip((w for w, _ in part), self._each([c for _, c in part])))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+    def _each(self, chunks: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters; one by one where the marks do not tell them apart."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._each(words)
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -92,29 +141,51 @@ def encoder(path: str) -> WordEncoder:
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, ids): ids of each text and the end id, little-endian, in two bytes where all fit."""
+    """(id, n, ids, counts): ids of each text and the end id, little-endian, in two bytes where all fit.
+
+    Each task adds a last row that holds only `counts`: how often it met each id, as 64-bit numbers.
+    """
 
     def run(batches):
         words = encoder(tokenizer)
-        end = struct.pack("<I", end_id)
-        for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.slice(at, 256)
-                ids = [np.frombuffer(x + end, "<u4") for x in words([t or b"" for t in part["text"].to_pylist()])]
-                small = [x.astype("<u2") if x.max() < 1 << 16 else x for x in ids]
-                yield pa.record_batch(
-                    [part["id"], pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in small], pa.binary())],
-                    names=["id", "n", "ids"],
-                )
+        end, total = struct.pack("<I", end_id), np.zeros(0, np.int64)
+        for part in pieces_of(batches, "text", CHUNK):
+            ids = words([t or b"" for t in part["text"].to_pylist()])
+            n = np.array([len(x) // 4 + 1 for x in ids], np.int64)
+            flat = np.frombuffer(end.join([*ids, b""]), "<u4")
+            width = 2 if flat.max() < 1 << 16 else 4
+            seen = np.bincount(flat, minlength=len(total))
+            seen[: len(total)] += total
+            total = seen
+            columns = [part["id"], pa.array(n), _binary(flat.astype(f"<u{width}"), n * width), pa.nulls(len(n), pa.binary())]
+            yield pa.record_batch(columns, names=ENCODED_NAMES)
+        last = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())]
+        yield pa.record_batch(last, names=ENCODED_NAMES)
 
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).cast("binary").alias("text")
     )
-    return rows.mapInArrow(run, "id long, n long, ids binary")
+    return rows.mapInArrow(run, ENCODED)
 
 
-def _wide(ids: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4").astype(np.uint32)
+ENCODED = "id long, n long, ids binary, counts binary"
+ENCODED_NAMES = [c.split()[0] for c in ENCODED.split(", ")]
+
+
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary column whose values lie one after the other in `data`."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _wide(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, ids per document) of a batch."""
+    n = b["n"].to_numpy()
+    ids = b["ids"].to_pylist()
+    raw = b"".join(ids)
+    if len(raw) in (2 * n.sum(), 4 * n.sum()):  # one width throughout
+        return np.frombuffer(raw, "<u2" if len(raw) == 2 * n.sum() else "<u4"), n
+    return np.concatenate([np.frombuffer(x, f"<u{len(x) // k}").astype("<u4") for x, k in zip(ids, n.tolist())]), n
 
 
 def write_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
@@ -128,22 +199,18 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
     """
     spark = docs.sparkSession
     folder = scratch_dir(spark, "tokens")
-    path = scratch_dir(spark, "encoded")
-    encode(docs, tokenizer, end_id, id_col, text_col).write.option("compression", "zstd").parquet(path)
-    encoded = spark.read.schema("id long, n long, ids binary").parquet(path)
+    rows = staged(encode(docs, tokenizer, end_id, id_col, text_col), "encoded")
+    encoded = rows.where("counts is null").select("id", "n", "ids")
 
     def count(batches):
-        total = np.zeros(0, np.int64)
         for b in batches:
-            for n, ids in zip(b["n"].to_pylist(), b["ids"].to_pylist()):
-                seen = np.bincount(_wide(ids, n))
-                if len(seen) > len(total):
-                    total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
-                total[: len(seen)] += seen
-        used = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(used), pa.array(total[used])], names=["id", "n"])
-
-    counts = encoded.select("n", "ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            for raw in b["counts"].to_pylist():
+                n = np.frombuffer(raw, np.int64)
+                used = np.flatnonzero(n)
+                yield pa.record_batch([pa.array(used), pa.array(n[used])], names=["id", "n"])
+
+    counts = rows.where("counts is not null").select("counts").mapInArrow(count, "id long, n long")
+    counts = counts.groupBy("id").agg(F.sum("n").alias("n"))
     ranked = [r["id"] for r in sorted(counts.collect(), key=lambda r: (-r["n"], r["id"]))]
     id_of = np.array(ranked, "<u4")
     _, out = new_ranks(folder)
@@ -157,13 +224,12 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
     cuts = np.array(sorted(set(cuts or [])), np.int64)
 
     def code(batches):
-        for b in batches:
-            ids, n = b["id"].to_numpy(), b["n"].to_pylist()
-            coded = [encode_ranks(rank_of[_wide(x, k)]) for x, k in zip(b["ids"].to_pylist(), n)]
-            control, data = ([x[i] for x in coded] for i in (0, 1))
-            bucket = np.searchsorted(cuts, ids, side="left").astype(np.int32)
+        for part in pieces_of(batches, "ids", CHUNK):
+            ids, n = _wide(part)
+            control, data, controls, sizes = encode_ranks(rank_of[ids], n)
+            bucket = np.searchsorted(cuts, part["id"].to_numpy(), side="left").astype(np.int32)
             yield pa.record_batch(
-                [pa.array(bucket), b["id"], b["n"], pa.array(control, pa.binary()), pa.array(data, pa.binary())],
+                [pa.array(bucket), part["id"], part["n"], _binary(control, controls), _binary(data, sizes)],
                 names=["bucket", "id", "n", "control", "data"],
             )
 
@@ -236,8 +302,9 @@ def segments(uri: str, id_of: np.ndarray):
             yield ids, counts, id_of[ranks]
 
 
-def read_files(manifest: DataFrame, folder: str) -> DataFrame:
-    """(id, start, n_tokens, ids_crc32, ids) of every document in the files; start counts all ids before it."""
+def read_files(manifest: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
+    """(id, start, n_tokens, ids_crc32[, ids]) of every document in the files; start counts all ids before it."""
+    names = ["id", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
     ahead = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)  # one row per file
     files = manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0)))
 
@@ -250,19 +317,21 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
                     raw, ends = tokens.astype("<u4").tobytes(), np.cumsum(counts)
                     parts = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends, counts)]
                     crc = pa.array([zlib.crc32(p) for p in parts], pa.int64())
-                    columns = [pa.array(ids), pa.array(start + ends - counts), pa.array(counts), crc, pa.array(parts, pa.binary())]
-                    yield pa.record_batch(columns, names=["id", "start", "n_tokens", "ids_crc32", "ids"])
+                    columns = [pa.array(ids), pa.array(start + ends - counts), pa.array(counts), crc]
+                    columns += [pa.array(parts, pa.binary())] if with_ids else []
+                    yield pa.record_batch(columns, names=names)
                     start += int(ends[-1]) if len(ends) else 0
 
-    spread = files.select("file", "start").repartition("file")
-    found = spread.mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    found = one_task_each(files.select("file", "start")).mapInArrow(
+        run, "id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
+    )
     return found.withColumn("id", null_id_back(F.col("id")))
 
 
-def token_files(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the token files of `docs` and read them back: (id, start, n_tokens, ids_crc32, ids).
+def token_files(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """Write the token files of `docs` and read them back: (id, start, n_tokens, ids_crc32[, ids]).
 
     One row per document, whatever else `docs` holds: rows that repeat come as often as they are there,
     null and empty texts are the end id alone, a null id sorts first.  Empty input: no file, no row.
     """
-    return read_files(*write_files(docs, tokenizer, end_id, id_col, text_col))
+    return read_files(*write_files(docs, tokenizer, end_id, id_col, text_col), with_ids)
