@@ -19,17 +19,21 @@ CHUNK = 1 << 20  # bytes of html whose nodes are scored together
 
 # Element kinds of the HTML standard; fixed values.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe svg math xmp noembed noframes select option button datalist object".split())
+RAW = set("script style textarea title noscript template iframe svg math xmp noembed noframes select button datalist object".split())
 BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split()
 )
-#: An opening tag that ends an open element of these kinds, up to the nearest element that bounds them.
+#: An opening tag that ends the open elements of these kinds, up to the nearest element that bounds them.
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
-    "tbody": ("thead", "tbody", "tfoot"), "tfoot": ("thead", "tbody"), "body": ("head",),
+    "tbody": ("thead", "tbody", "tfoot", "tr", "td", "th"), "tfoot": ("thead", "tbody", "tr", "td", "th"), "body": ("head",),
+    "option": ("option",), "rt": ("rt", "rp"), "rp": ("rt", "rp"),
+}
+BOUNDS = {
+    "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
+    "tbody": ("table",), "tfoot": ("table",), "rt": ("ruby",), "rp": ("ruby",),
 }
-BOUNDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
 
 #: Words of class, id, role and label attributes, by what they hint at.
 HINTS = {
@@ -52,7 +56,9 @@ KIND_OF = {k: i for i, k in enumerate(KINDS)}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_MAY_HIDE = re.compile(r"hidden|style", re.I)
+_NAMED = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -89,40 +95,64 @@ def hints_of(attributes: str) -> int:
     return bits
 
 
+def hides(attributes: str) -> bool:
+    """Whether an element's attributes hide it: hidden (but not until-found), aria-hidden true, or display none in its style.
+
+    As in browsers, the first attribute of a name counts, and of a style the last display, important ones first.
+    """
+    if not _MAY_HIDE.search(attributes):
+        return False
+    values: dict[str, str] = {}
+    for name, *value in _NAMED.findall(attributes):
+        values.setdefault(name.lower(), unescape("".join(value)).strip().lower())
+    if values.get("hidden", "until-found") != "until-found" or values.get("aria-hidden") == "true":
+        return True
+    shown, important = "", False
+    for declaration in _COMMENT.sub(" ", values.get("style", "")).split(";"):
+        name, _, value = declaration.partition(":")
+        value, mark, _ = value.partition("!")
+        if name.strip() == "display" and (mark or not important):
+            shown, important = value.strip(), bool(mark)
+    return shown == "none"
+
+
 def parse(html: str) -> Page:
     """A page's block elements and its blocks of text.
 
     Inline elements join their neighbours' block, a line break is white space in it; block elements start
     and end blocks.  Character references are decoded and white space becomes one space.  What is never
-    text (scripts, styles, buttons, hidden elements, the head) is left out.  Unclosed, misnested and
-    unknown elements are taken as browsers take them, roughly.
+    text (scripts, styles, buttons, options, hidden elements, the head) is left out.  Unclosed, misnested and
+    unknown elements are taken as browsers take them, roughly; a hidden element ends where it would end
+    if it were shown.  The whole page (html, body) is never taken as hidden, as its scripts would show it.
     """
     page = Page()
     page.add("html", -1)
-    stack: list[tuple[str, int]] = [("html", 0)]  # open elements; inline ones have no node
+    # Open elements (name, node, whether it hides what is below); inline ones have node -1, blocks in a hidden one -2.
+    stack: list[tuple[str, int, bool]] = [("html", 0, False)]
     block: list[str] = []
     state = [0, 0]  # linked characters and inline elements of the block
-    links = 0
+    links = hidden = 0  # how many open elements are links, and how many hide
 
     def flush() -> None:
         text = " ".join("".join(block).split())
         if text:
-            node = next(n for _, n in reversed(stack) if n >= 0)
+            node = next(n for _, n, _ in reversed(stack) if n >= 0)
             page.add("#text", node, 0, text, state[0], state[1])
         block.clear()
         state[0] = state[1] = 0
 
     def close(depth: int) -> None:
-        nonlocal links
-        for name, node in reversed(stack[depth:]):
+        nonlocal links, hidden
+        for name, node, hiding in reversed(stack[depth:]):
             if node >= 0:
                 flush()
                 page.end[node] = len(page.kind)
             links -= name == "a"
+            hidden -= hiding
         del stack[depth:]
 
     def put(raw: str) -> None:
-        if raw:
+        if raw and not hidden:
             text = unescape(raw) if "&" in raw else raw
             block.append(text)
             if links:
@@ -140,26 +170,27 @@ def parse(html: str) -> Page:
             continue
         if m[1]:
             where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if where and not (name not in BLOCK and any(n >= 0 for _, n in stack[where:])):
+            if where and not (name not in BLOCK and any(n != -1 for _, n, _ in stack[where:])):
                 close(where)
             elif where:  # an inline element across blocks ends without ending them
                 links -= name == "a"
-                stack[where] = ("", -1)
-            elif name == "p":
+                hidden -= stack[where][2]
+                stack[where] = ("", -1, False)
+            elif name == "p" and not hidden:
                 flush()
             continue
         attributes = m[3]
-        hidden = bool(attributes) and bool(_HIDDEN.search(attributes))
-        if (name in RAW or hidden and name not in VOID) and not attributes.endswith("/") and name != "body":
+        if name in RAW and not attributes.endswith("/"):
             at = _skip(html, at, name)
             block.append(" ")
             continue
         if name in VOID:
-            if name == "hr":
+            if name == "hr" and not hidden:
                 flush()
             elif name in ("br", "img", "input"):
                 block.append(" ")
             continue
+        hiding = name == "option" or hides(attributes) and not attributes.endswith("/") and name != "body"
         if name in BLOCK:
             if name in ("html", "body") and any(s[0] == name for s in stack[1:]):
                 continue
@@ -169,19 +200,26 @@ def parse(html: str) -> Page:
             where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == "p"), 0)
             if where:  # any block element ends an open paragraph
                 close(where)
+        if name in CLOSES:
+            where = 0
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in CLOSES.get(name, ()):
-                    close(i)
-                    break
-                if stack[i][0] in BOUNDS.get(name, ()):
+                if stack[i][0] in CLOSES[name]:
+                    where = i
+                elif stack[i][0] in BOUNDS.get(name, ()):
                     break
+            if where:
+                close(where)
+        if hiding or hidden:
+            block.append(" ")
+            stack.append((name, -2 if name in BLOCK else -1, hiding))
+            hidden += hiding
+            links += name == "a"
+        elif name in BLOCK:
             flush()
-            parent = next(n for _, n in reversed(stack) if n >= 0)
-            if name == "head":
-                stack.append((name, -1))
-            stack.append((name, page.add(name, parent, hints_of(attributes)))) if name != "head" else None
+            parent = next(n for _, n, _ in reversed(stack) if n >= 0)
+            stack.append((name, -1 if name == "head" else page.add(name, parent, hints_of(attributes)), False))
         else:
-            stack.append((name, -1))
+            stack.append((name, -1, False))
             links += name == "a"
             state[1] += 1
     close(1)

@@ -97,6 +97,32 @@ def test_broken_markup(model, page):
     assert len(html.extract([page, PAGE], model)) == 2
 
 
+@pytest.mark.parametrize(
+    "attributes, hidden",
+    [("hidden", True), ('hidden=""', True), ("class=a hidden", True), ('HIDDEN="hidden" id=x', True), ('aria-hidden="true"', True), ("aria-hidden=TRUE", True),
+     ('style="display:none"', True), ("style='color:red; DISPLAY : none !important;display:block'", True), ('style="display:none;display:block"', False),
+     ('style="overflow:hidden"', False), ('class="overflow-hidden"', False), ('class="hidden-xs hidden"', False), ('aria-hidden="false"', False), ('data-hidden="0"', False),
+     ('data-hidden="true"', False), ('title="The hidden valley"', False), ('title="display:none"', False), ('hidden="until-found"', False), ("hidden=until-found", False), ('style="--display:none"', False)],
+)
+def test_hidden_by_the_attribute_of_that_name(model, attributes, hidden):
+    assert html.hides(" " + attributes) == hidden
+    got = html.parse(f"<main>before it <div {attributes}><p>inside it</p></div>behind it</main>").text
+    assert [t for t in got if t] == (["before it behind it"] if hidden else ["before it", "inside it", "behind it"])
+    page = PAGE.replace("<article>", f"<article {attributes}>")
+    assert (TEXT.split("\n")[1] in html.extract([page], model)[0]) != hidden
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [("<p hidden>x<p>y<p>z", "y z"), ("<p hidden>x<div>y</div>", "y"), ("<ul><li>w<li hidden>x<ul><li>no</ul><li>y</ul>z", "w y z"), ("<div><p hidden>x</div>y", "y"),
+     ("<table><tr><td hidden>x<td>y<tr hidden><td>no<td>no<tr><td>z</table>", "y z"), ("<dl><dt hidden>x<dd>y<dt>z</dl>", "y z"), ("<dl><dt>w<dd hidden>x<dd>y</dl>", "w y"),
+     ("<div><option hidden>x<option>no</div><p>y", "y"), ("<div hidden><div>x</div>no</div>y", "y"), ("<span hidden>x<b>no</b></span>y", "y"), ("<p>w <span hidden>x<p>y", "w y"),
+     ("<table><tbody hidden><tr><td><table><tbody><tr><td>no</table>no<tbody><tr><td>y</table>", "y"), ("<div hidden><hr>x<script>no</script></p>no<br></div>y", "y")],
+)
+def test_hidden_elements_end_where_others_do(page, texts):
+    assert [t for t in html.parse(page).text if t] == texts.split()
+
+
 def test_rows(spark, model):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "", ""), (3, "w", "<article><p>" + "long words go on, " * 60_000 + "</p></article>", "y")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string").repartition(2)
