@@ -112,7 +112,7 @@ def lattice(text: str) -> list[list[tuple[str, float]]]:
         elif ch in LEET:
             kept = (f" {text[i:j]} ", LITERAL * run)
             swapped = [(x * n, SWAP * n) for x in LEET[ch] for n in ({1, run} if run < 3 else {1, 2})]
-            out.append([kept, *swapped, *([("", DROP)] if ch in "!*#|+" else [])])
+            out.append([kept, *swapped, *([("", DROP)] if ch in WILD else [])])
         else:
             out.append([("", DROP), (" ", 0.0)])
         i = j
@@ -149,21 +149,25 @@ def features(word: str):
             yield word[:n] + "~"
 
 
-#: Letters that one sign may stand for alike, as one; repeats as one; signs that may be dropped as none.
-_ALIKE = str.maketrans({"l": "i", **{k: v[0].replace("l", "i") for k, v in LEET.items() if k not in "*#+|"}, "|": "i"})
-_NO_LETTER = re.compile(r"[^\w*#+]+|_+")
+#: Signs that stand for several letters or may be dropped as well: what they are is only known by decoding.
+WILD = "!*#|+"
+#: Letters that one sign may stand for alike, as one; repeats as one; whatever else is no letter as none.
+_ALIKE = str.maketrans({"l": "i", **{k: v[0].replace("l", "i") for k, v in LEET.items() if k not in WILD}})
 
 
 def outline(word: str) -> str:
-    """A form that a word shares with all its disguises, but for wildcards."""
-    return re.sub(r"(.)\1+", r"\1", _NO_LETTER.sub("", word.translate(_ALIKE)))
+    """A form that a word shares with all its disguises, but for wild signs."""
+    word = word.translate(_ALIKE)
+    return re.sub(r"(.)\1+", r"\1", word if word.isalpha() else "".join(filter(str.isalpha, word)))
 
 
 class Restorer:
     """Words of a text as they are meant.
 
     With weights at hand, only chunks are decoded in which some weighted feature can turn up at all: its
-    outline must be inside the chunk's, or the chunk hold a wildcard.  The others cannot change a score.
+    outline must be inside the chunk's, or the chunk hold a wild sign.  The others cannot change a score: a
+    path through the lattice keeps the outline of each of its words, as all else than a wild sign is either
+    the letter of its outline, dropped where the outline drops it, or a boundary.
     """
 
     def __init__(self, model: CharModel, weights: dict[str, float] | None = None):
@@ -175,7 +179,7 @@ class Restorer:
             self.finder.make_automaton()
 
     def hopeful(self, chunk: str) -> bool:
-        if self.finder is None or any(c in chunk for c in "*#+|"):
+        if self.finder is None or any(c in chunk for c in WILD):
             return True
         return len(self.finder) > 0 and next(self.finder.iter(outline(chunk)), None) is not None
 

@@ -55,6 +55,23 @@ def test_plain_words_stay(trained):
     assert restorer.readings("2024") == []
 
 
+@pytest.mark.parametrize("sign", [*toxicity.LEET, *".-_ ²٣½Ⅷ", "!.", "!!", "!|"])
+def test_the_filter_changes_no_score(trained, sign):
+    """What is not decoded has no weighted feature, whatever sign stands in between."""
+    model = trained[0]
+    with_filter, without = (toxicity.Scorer(model.chars, model.weights) for _ in range(2))
+    without.restorer = toxicity.Restorer(model.chars)
+    words = [b[:i] + sign + b[i:] for b in BAD + PLAIN for i in range(1, len(b))]
+    words += [x.join(b) for b in BAD + PLAIN for x in (sign, f" {sign} ", f".{sign}")] + [sign.join(b[i : i + 2] for i in range(0, len(b), 2)) for b in BAD]
+    assert [with_filter.evidence(w) for w in words] == [without.evidence(w) for w in words]
+
+
+@pytest.mark.parametrize("text", ["st!upid", "i!diot", "los!er", "s!t!u!p!i!d", "s.t!u.p!i.d", "s ! t u p i d"])
+def test_dropped_exclamation_marks(trained, text):
+    model = trained[0]
+    assert toxicity.Scorer(model.chars, model.weights).evidence(f"you are {text} now")[0] > 0
+
+
 def test_held_out_accuracy(spark, trained):
     model, rows, labels = trained
     score = {r["id"]: r["score"] for r in toxicity.scored(documents(spark, rows), model).selectExpr("row.doc_id as id", "score").collect()}
