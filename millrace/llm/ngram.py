@@ -20,8 +20,9 @@ MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)  # fixed values of a public 64-bi
 UNMIX = tuple(pow(m, -1, 1 << 64) for m in MIX)
 END = U64(0)  # hash of the token that ends every text; no word has it
 CHUNK = 2 << 20  # bytes of text that are split at a time
-HELD = 4 << 20  # distinct grams a task holds before it hands them on
-PART = 1 << 21  # words whose statistics one task adds up
+HELD = 4 << 20  # distinct words or pairs a task holds before it hands them on; of longer grams, which hardly repeat, a quarter
+PART = 1 << 20  # words, or grams of one order, whose statistics one task adds up
+SLICE = 1 << 19  # grams whose place in the orders below is looked up at a time
 BIG = 255  # counts from here on are kept beside the byte array
 
 _WHITE = np.zeros(256, bool)
@@ -108,11 +109,24 @@ def add_up(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return all_grams[starts], np.add.reduceat(all_counts[order], starts) if len(starts) else np.empty(0, np.int64)
 
 
-def _hand_on(grams: np.ndarray, counts: np.ndarray, bits: int):
-    """Rows (bucket, grams, counts): the sorted grams, cut by their highest bits."""
-    cuts = np.searchsorted(grams, [U64(b << (64 - bits)) for b in range(1, 1 << bits)]) if bits else []
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers as a byte that says how many bytes they need, then all lowest bytes, all next ones, and so on."""
+    need = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([need]) + x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :need].T.tobytes()
+
+
+def _from_planes(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8, offset=1).reshape(blob[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : blob[0]] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _hand_on(grams: np.ndarray, counts: np.ndarray, bits: int, width: int):
+    """Rows (bucket, grams, counts): the sorted grams as steps from one to the next, cut by the highest of their bits."""
+    cuts = np.searchsorted(grams, np.array([b << (width - bits) for b in range(1, 1 << bits)], U64)) if bits else []
     rows = [
-        (i, g.tobytes(), (c.astype("<u1") if c.max() < 256 else c.astype("<i8")).tobytes())
+        (i, _planes(np.diff(g, prepend=U64(0))), (c.astype("<u1") if c.max() < 256 else c.astype("<i8")).tobytes())
         for i, (g, c) in enumerate(zip(np.split(grams, cuts), np.split(counts, cuts)))
         if len(g)
     ]
@@ -121,7 +135,7 @@ def _hand_on(grams: np.ndarray, counts: np.ndarray, bits: int):
         yield pa.record_batch([pa.array(bucket, pa.int32()), pa.array(g, pa.binary()), pa.array(c, pa.binary())], names=["bucket", "grams", "counts"])
 
 
-def counted(texts: DataFrame, grams_of, bits: int) -> DataFrame:
+def counted(texts: DataFrame, grams_of, bits: int, width: int, most: int) -> DataFrame:
     """(bucket, grams, counts): gram counts of each task, added up before they move."""
 
     def run(batches):
@@ -131,27 +145,27 @@ def counted(texts: DataFrame, grams_of, bits: int) -> DataFrame:
             grams.append(g)
             counts.append(c)
             held += len(g)
-            if held > 2 * HELD:
+            if held > 2 * most:
                 g, c = add_up(grams, counts)
                 grams, counts, held = [g], [c], len(g)
-                if held > HELD:
-                    yield from _hand_on(g, c, bits)
+                if held > most:
+                    yield from _hand_on(g, c, bits, width)
                     grams, counts, held = [], [], 0
-        yield from _hand_on(*add_up(grams, counts), bits)
+        yield from _hand_on(*add_up(grams, counts), bits, width)
 
     return texts.mapInArrow(run, "bucket int, grams binary, counts binary")
 
 
 def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    grams = [np.frombuffer(x, U64) for x in table["grams"].to_pylist()]
+    grams = [np.cumsum(_from_planes(x), dtype=U64) for x in table["grams"].to_pylist()]
     counts = [np.frombuffer(x, "<u1" if len(x) == len(g) else "<i8").astype(np.int64) for x, g in zip(table["counts"].to_pylist(), grams)]
     return add_up(grams, counts)
 
 
-def _write(folder: str, name: str, *arrays: np.ndarray) -> list[str]:
+def _write(folder: str, name: str, *arrays: np.ndarray, suffix: str = ".bin") -> list[str]:
     out = []
     for i, a in enumerate(arrays):
-        uri, f = new_file(folder, f"{name}-{i}", ".bin")
+        uri, f = new_file(folder, f"{name}-{i}", suffix)
         with f:
             f.write(np.ascontiguousarray(a))
         out.append(uri)
@@ -159,19 +173,38 @@ def _write(folder: str, name: str, *arrays: np.ndarray) -> list[str]:
 
 
 class Sorted:
-    """A sorted hash array over several files, by the highest bits, with counts beside it."""
+    """A sorted array of hashes or numbers over several files, by the highest of its bits, with counts beside it."""
 
-    def __init__(self, files: list[tuple[int, list[str]]], bits: int):
-        self.bits, self.parts, self.first, at = bits, {}, {}, 0
+    def __init__(self, files: list[tuple[int, list[str]]], bits: int, width: int):
+        self.bits, self.width, self.parts, self.first, at = bits, width, {}, {}, 0
         for bucket, (grams, small, place, big) in sorted(files):
             self.parts[bucket] = mapped(grams, U64), mapped(small, np.uint8), mapped(place, np.int64), mapped(big, np.int64)
             self.first[bucket] = at
             at += len(self.parts[bucket][0])
+        self.buckets, self.starts = list(self.first), np.array([*self.first.values(), at])
+
+    def slices(self, bucket: int):
+        """(position of the first, grams, counts) of a bucket, SLICE at a time."""
+        grams, small, place, big = self.parts[bucket]
+        for at in range(0, len(grams), SLICE):
+            counts = small[at : at + SLICE].astype(np.int64)
+            a, b = np.searchsorted(place, (at, at + SLICE))
+            counts[place[a:b] - at] = big[a:b]
+            yield self.first[bucket] + at, np.asarray(grams[at : at + SLICE]), counts
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The grams at sorted positions."""
+        out = np.empty(len(places), U64)
+        cuts = np.searchsorted(places, self.starts)
+        for bucket, start, a, b in zip(self.buckets, self.starts, cuts, cuts[1:]):
+            if a < b:
+                out[a:b] = self.parts[bucket][0][places[a:b] - start]
+        return out
 
     def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position or -1, count) of each gram; the grams come sorted, so reads go one way through the files."""
         where, count = np.full(len(grams), -1, np.int64), np.zeros(len(grams), np.int64)
-        buckets = (grams >> U64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(grams), np.int64)
+        buckets = (grams >> U64(self.width - self.bits)).astype(np.int64) if self.bits else np.zeros(len(grams), np.int64)
         starts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(grams) else []
         for a, b in zip(starts, [*starts[1:], len(grams)]):
             if buckets[a] not in self.parts:
@@ -208,183 +241,286 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 @dataclass
 class Model:
-    """Where the model's files are, and its few global numbers."""
+    """Where the model's files are, and its few global numbers; lists and dicts go by the order of a gram, from 1.
+
+    A gram is known by its position in the sorted array of its order.  A pair is two word numbers, mixed; a
+    longer gram is the position of all but its last word, and the number of that word.
+    """
 
-    words: list[tuple[int, list[str]]]
-    word_bits: int
-    pairs: list[tuple[int, list[str]]]
-    pair_bits: int
-    parts: list[tuple[int, list[str]]]
+    order: int
+    grams: dict[int, list[tuple[int, list[str]]]]
+    bits: dict[int, int]  # that tell the buckets of an order apart
+    parts: dict[int, list[tuple[int, list[str]]]]
     texts: int  # texts it learnt from
     tokens: int
-    types: int
-    follow: int  # different pairs
-    pair_discounts: tuple[float, float, float]
-    word_discounts: tuple[float, float, float]
-    word_kinds: tuple[int, int, int]  # words that follow 1, 2, 3 or more different ones
+    sizes: dict[int, int]  # different grams
+    cuts: dict[int, tuple[float, float, float]]  # discounts
+    part: int  # grams whose statistics are in one set of files
+    kinds: tuple[int, int, int] = (0, 0, 0)  # words that follow 1, 2, 3 or more different ones
     loaded: dict = field(default_factory=dict)
 
     def __getstate__(self):
         return {**self.__dict__, "loaded": {}}
 
-    def files(self, name: str):
-        """The mapped files; a worker opens them once."""
-        if name not in self.loaded:
-            key = (name, str(getattr(self, name)))
+    @property
+    def types(self) -> int:
+        return self.sizes.get(1, 0)
+
+    @property
+    def pair_bits(self) -> int:
+        return self.bits[2]
+
+    def width(self, k: int) -> int:
+        """Bits of the numbers that stand for grams."""
+        if k < 3:
+            return 64
+        width = self.types.bit_length() + self.sizes[k - 1].bit_length()
+        if width > 64:
+            raise OverflowError(f"more different words and grams of {k - 1} than 64 bits can number together")
+        return width
+
+    def level(self, k: int) -> Sorted:
+        """The mapped grams of an order; a worker opens them once."""
+        if ("grams", k) not in self.loaded:
+            key = ("grams", k, str(self.grams[k]))
+            if key not in _OPEN:
+                _OPEN[key] = Sorted(self.grams[k], self.bits[k], self.width(k))
+            self.loaded["grams", k] = _OPEN[key]
+        return self.loaded["grams", k]
+
+    def columns(self, k: int) -> dict[int, list[np.ndarray]]:
+        if ("parts", k) not in self.loaded:
+            key = ("parts", k, str(self.parts[k]))
             if key not in _OPEN:
-                if name == "parts":
-                    _OPEN[key] = {p: [mapped(u, np.int64 if i == 0 else np.int32) for i, u in enumerate(f)] for p, f in self.parts}
-                else:
-                    _OPEN[key] = Sorted(getattr(self, name), getattr(self, name[:-1] + "_bits"))
-            self.loaded[name] = _OPEN[key]
-        return self.loaded[name]
-
-    def statistics(self, ids: np.ndarray) -> np.ndarray:
-        """(words before it; pairs it begins with count 1, 2, 3 or more) for each word id, sorted."""
-        out = np.zeros((4, len(ids)), np.int64)
-        part = ids // PART
-        for p in np.unique(part):
-            here = np.flatnonzero(part == p)
-            if p in self.files("parts"):
-                for i, column in enumerate(self.files("parts")[p]):
-                    out[i, here] = column[ids[here] % PART]
+                _OPEN[key] = {p: [mapped(u, u.rsplit(".", 2)[1]) for u in f] for p, f in self.parts[k]}
+            self.loaded["parts", k] = _OPEN[key]
+        return self.loaded["parts", k]
+
+    def statistics(self, k: int, places: np.ndarray, columns=range(5)) -> np.ndarray:
+        """Of each gram of order k: (different words before it; sum of the adjusted counts of the grams that it
+        begins; how many of those have 1, 2, 3 or more); zeros for a place of -1."""
+        line, back = np.unique(places, return_inverse=True)
+        out = np.zeros((len(columns), len(line)), np.int64)
+        part = line // self.part
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(line) else []
+        files = self.columns(k) if k in self.parts else {}
+        for a, b in zip(starts, [*starts[1:], len(line)]):
+            if part[a] in files:
+                for i, c in enumerate(columns):
+                    out[i, a:b] = files[part[a]][c][line[a:b] % self.part]
+        return out[:, back]
+
+    def adjusted(self, k: int, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The counts that gram probabilities of an order go by: below the highest, different words before a gram.
+
+        Nothing comes before a gram from the start of a text; it keeps its count.
+        """
+        if k == self.order:
+            return counts
+        before = self.statistics(k, places, (0,))[0]
+        return np.where(before > 0, before, counts)
+
+    def numbers(self, k: int, context: np.ndarray, words: np.ndarray) -> np.ndarray:
+        context, words = context.astype(U64), words.astype(U64)
+        return mix((context << U64(32)) | words) if k == 2 else (context << U64(self.types.bit_length())) | words
+
+    def taken_apart(self, k: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position of all but the last word, last word) of grams."""
+        low = U64(32 if k == 2 else self.types.bit_length())
+        numbers = unmix(numbers) if k == 2 else numbers
+        return (numbers >> low).astype(np.int64), (numbers & ((U64(1) << low) - U64(1))).astype(np.int64)
+
+    def without_first(self, k: int, context: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The positions, one order lower, of grams without their first word."""
+        if k == 2:
+            return words
+        line, back = np.unique(context, return_inverse=True)
+        shorter = self.without_first(k - 1, *self.taken_apart(k - 1, self.level(k - 1).at(line)))
+        return self.level(k - 1).find_all(self.numbers(k - 1, shorter[back], words))[0]
+
+    def contexts(self, k: int, below: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """For each token the position of the k - 1 words before it, or -1; `below` has those that end in each token.
+
+        The number after all words stands for the start of a text; nothing is before that.
+        """
+        out = np.roll(below, 1)
+        out[np.cumsum(n) - n] = self.types if k == 2 else -1
         return out
 
+    def walk(self, tokens: np.ndarray, n: np.ndarray, order: int):
+        """(order, context, position or -1, count) of the grams of each order that end in each token."""
+        ids, count = self.level(1).find_all(tokens)
+        yield 1, None, ids, count
+        below = ids
+        for k in range(2, order + 1):
+            context = self.contexts(k, below, n)
+            known = (context >= 0) & (ids >= 0)
+            below, count = np.full(len(tokens), -1, np.int64), np.zeros(len(tokens), np.int64)
+            if self.grams.get(k):
+                below[known], count[known] = self.level(k).find_all(self.numbers(k, context[known], ids[known]))
+            yield k, context, below, count
+
     def log10(self, tokens: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log10 P of every token after the one before it, its count in training)."""
-        line, back = np.unique(tokens, return_inverse=True)
-        ids, count = self.files("words").find(line)
-        known = np.where(ids >= 0, ids, 0)
-        before, *begins = self.statistics(known)
-        before = np.where(ids >= 0, before, 0)
+        """(log10 P of every token after the ones before it, its count in training)."""
         least = 1 / (self.types + 1)
-        if self.follow:
-            cut = np.select([before >= 3, before == 2, before == 1], self.word_discounts[::-1], 0.0)
-            spare = sum(d * k for d, k in zip(self.word_discounts, self.word_kinds)) / self.follow
-            word_p = (before - cut) / self.follow + spare * least
-        else:
-            word_p = np.full(len(line), least)
-        total = np.where(ids >= 0, count, 0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            spare = sum(d * b for d, b in zip(self.pair_discounts, begins)) / total
-        spare = np.where(total > 0, spare, 1.0)
-
-        # The id after all words stands for the start of a text.
-        start = np.zeros(len(tokens), bool)
-        start[np.cumsum(n) - n] = True
-        previous = np.roll(back, 1)
-        left = np.where(start, self.types, ids[previous])
-        start_spare, start_total = 1.0, self.texts
-        if self.texts:
-            _, *begins = self.statistics(np.array([self.types]))
-            start_spare = float(sum(d * b[0] for d, b in zip(self.pair_discounts, begins)) / self.texts)
-        both = (left >= 0) & (ids[back] >= 0)
-        pair_count = np.zeros(len(tokens), np.int64)
-        grams = mix((left[both].astype(U64) << U64(32)) | ids[back][both].astype(U64))
-        pair_count[both] = self.files("pairs").find_all(grams)[1]
-        cut = np.select([pair_count >= 3, pair_count == 2, pair_count == 1], self.pair_discounts[::-1], 0.0)
-        context = np.maximum(np.where(start, start_total, total[previous]), 1)
-        p = (pair_count - cut) / context + np.where(start, start_spare, spare[previous]) * word_p[back]
-        return np.log10(p), count[back]
+        for k, context, place, count in self.walk(tokens, n, self.order):
+            if k == 1:
+                known = count
+                p = np.full(len(tokens), least)
+                if follow := self.sizes.get(2, 0):
+                    before = self.statistics(1, place, (0,))[0]
+                    spare = sum(d * m for d, m in zip(self.cuts[1], self.kinds)) / follow
+                    p = (before - _cut(before, self.cuts[1])) / follow + spare * least
+                continue
+            total, *begins = self.statistics(k - 1, context, (1, 2, 3, 4))
+            a = self.adjusted(k, place, count)
+            spare = sum(d * b for d, b in zip(self.cuts[k], begins))
+            p = np.where(total > 0, (a - _cut(a, self.cuts[k]) + spare * p) / np.maximum(total, 1), p)
+        return np.log10(p), known
+
+
+def _cut(counts: np.ndarray, discount: tuple[float, float, float]) -> np.ndarray:
+    return np.select([counts >= 3, counts == 2, counts == 1], discount[::-1], 0.0)
 
 
 _OPEN: dict = {}
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Count words and pairs of all texts of `docs` and write the model below the shared folder.
+def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
+    """Count the grams of up to `order` words of all texts of `docs` and write the model below the shared folder.
 
-    Words are numbered by their place in the sorted array of word hashes; a pair is two numbers in 64 bits,
-    so only words are told apart by hash.  Each task adds its grams up and hands them on sorted, cut
-    into buckets by hash: a hot word or pair is one entry a task.  A bucket becomes one file.  The
-    number of buckets follows the bytes of text, so each stays the same size as the corpus grows.
+    Words are numbered by their place in the sorted array of word hashes; longer grams are numbers of 64 bits
+    made of the position of all but the last word and of that word, so only words are told apart by hash.
+    Each task adds its grams up and hands them on sorted, as steps, cut into buckets: a hot gram is one
+    entry a task.  A bucket becomes one file.  The number of buckets follows the bytes of text, so each
+    stays the same size as the corpus grows.  A text starts with one sign of its own and ends in END; grams
+    that would begin before that are left out.  Below the highest order a gram counts by the different
+    words before it, or if it begins with the start, by its count.
     Null texts are empty texts; no texts give a model in which everything is equally likely.
     """
+    if order < 2:
+        raise ValueError("a model needs pairs at least")
     spark = docs.sparkSession
     folder = scratch_dir(spark, "ngrams")
     rows = docs.select(F.col(text_col).cast("binary").alias("text"))
     texts, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    word_bits = max(0, math.ceil(math.log2(max(size, 1) / (256 << 20))))
-    pair_bits = max(0, math.ceil(math.log2(max(size, 1) / (48 << 20))))
+    whole = {k: math.ceil(math.log2(max(size, 1) / ((256, 48, 24)[min(k, 3) - 1] << 20))) for k in range(1, order + 1)}
+    half = (0.5, 1.0, 1.5)
+    model = Model(order, {}, {k: max(0, b) for k, b in whole.items()}, {}, texts, 0, {}, {k: half for k in whole}, PART)
+
+    for k in range(1, order + 1):
+        model.bits[k] = min(model.bits[k], model.width(k))
+
+        found = counted(rows, _grams_of(model, k), model.bits[k], model.width(k), HELD if k < 3 else HELD // 4)
+        found = found.groupBy("bucket").applyInArrow(_bucket_writer(f"grams{k}", folder), "bucket int, files array<string>, types long, tokens long")
+        found = staged(found, f"grams{k}").collect()  # a row per file
+        model.grams[k], model.sizes[k] = [(r["bucket"], r["files"]) for r in found], sum(r["types"] for r in found)
+        if k == 1:
+            model.tokens = sum(r["tokens"] for r in found)
+            if model.types >= (1 << 32) - 1:
+                raise OverflowError("more words than 32 bits can number")
+        model.loaded = {}
+
+    for k in range(order, 1, -1):
+        if not model.grams[k]:
+            continue
+        buckets = spark.createDataFrame([(b,) for b, _ in model.grams[k]], "bucket int")
+        traced = buckets.repartition(len(model.grams[k]), "bucket").mapInArrow(_traced(model, k), TRACED)
+        parts = staged(traced.groupBy("part").applyInArrow(_part_writer(model, k - 1, folder), PARTS), f"parts{k - 1}")
+        parts = parts.collect()  # a row per PART grams
+        model.parts[k - 1] = [(r["part"], r["files"]) for r in parts]
+        model.cuts[k] = discounts(*[sum(r["kinds"][i] for r in parts) for i in range(4)])
+        model.loaded = {}
+        if k == 2:
+            kinds = [sum(r["before"][i] for r in parts) for i in range(5)]
+            model.cuts[1] = discounts(*kinds[:4])
+            model.kinds = kinds[0], kinds[1], sum(kinds[2:])
+    return model
+
 
-    def write_words(table: pa.Table) -> pa.Table:
+def _bucket_writer(name: str, folder: str):
+    def write(table: pa.Table) -> pa.Table:
         grams, counts = _gathered(table)
         bucket = table["bucket"][0].as_py()
-        uris = _write(folder, f"words-{bucket:06d}", grams, *_count_arrays(counts))
+        uris = _write(folder, f"{name}-{bucket:06d}", grams, *_count_arrays(counts))
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "files": [uris], "types": [len(grams)], "tokens": [int(counts.sum())]})
 
-    found = counted(rows, lambda tokens, n: tokens, word_bits)
-    found = found.groupBy("bucket").applyInArrow(write_words, "bucket int, files array<string>, types long, tokens long")
-    found = staged(found, "words").collect()  # a row per file
-    words = [(r["bucket"], r["files"]) for r in found]
-    types, tokens = sum(r["types"] for r in found), sum(r["tokens"] for r in found)
-    if types >= (1 << 32) - 1:
-        raise OverflowError("more words than 32 bits can number")
-    model = Model(words, word_bits, [], pair_bits, [], texts, tokens, types, 0, (0.5, 1.0, 1.5), (0.5, 1.0, 1.5), (0, 0, 0))
-
-    def pairs_of(hashes, n):
-        ids = model.files("words").find_all(hashes)[0].astype(U64)
-        left = np.roll(ids, 1)
-        left[np.cumsum(n) - n] = U64(types)
-        return mix((left << U64(32)) | ids)
-
-    def write_pairs(table: pa.Table) -> pa.Table:
-        grams, counts = _gathered(table)
-        bucket = table["bucket"][0].as_py()
-        uris = _write(folder, f"pairs-{bucket:06d}", grams, *_count_arrays(counts))
-        pair = unmix(grams)
-        left, right = (pair >> U64(32)).astype(np.int64), (pair & U64(0xFFFFFFFF)).astype(np.int64)
-        kinds = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
-        out = []
-        for p in range(types // PART + 1):
-            a, b = left // PART == p, right // PART == p
-            after = np.bincount(right[b] % PART, minlength=1)
-            begins = [np.bincount(left[a & k] % PART, minlength=1) for k in (counts == 1, counts == 2, counts >= 3)]
-            blobs = [_sparse(x) for x in (after, *begins)]
-            out.append((bucket, uris if p == 0 else None, len(grams) if p == 0 else 0, [int(k) if p == 0 else 0 for k in kinds], p, blobs))
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), PAIR_TYPES)], names=PAIR_NAMES)
-
-    found = counted(rows, pairs_of, pair_bits).groupBy("bucket").applyInArrow(write_pairs, PAIR_SCHEMA)
-    found = staged(found, "pairs")
-    files = found.where("files is not null").select("bucket", "files", "types", "kinds").collect()  # a row per file
-    model.pairs = [(r["bucket"], r["files"]) for r in files]
-    model.follow = sum(r["types"] for r in files)
-    model.pair_discounts = discounts(*[sum(r["kinds"][k] for r in files) for k in range(4)])
-
-    def write_parts(table: pa.Table) -> pa.Table:
-        p = table["part"][0].as_py()
-        total = np.zeros((4, min(PART, types + 1 - p * PART)), np.int64)
-        for blobs in table["blobs"].to_pylist():
-            for line, blob in zip(total, blobs):
-                _add_sparse(line, blob)
-        uris = _write(folder, f"part-{p:06d}", total[0], *total[1:].astype(np.int32))
-        kinds = [int(k) for k in np.bincount(np.minimum(total[0], 5), minlength=6)[1:]]
-        return pa.table({"part": pa.array([p], pa.int32()), "files": [uris], "kinds": [kinds]})
-
-    parts = found.select("part", "blobs").groupBy("part").applyInArrow(write_parts, "part int, files array<string>, kinds array<long>")
-    parts = staged(parts, "parts").collect()  # a row per PART words
-    model.parts = [(r["part"], r["files"]) for r in parts]
-    kinds = [sum(r["kinds"][k] for r in parts) for k in range(5)]
-    model.word_discounts = discounts(*kinds[:4])
-    model.word_kinds = kinds[0], kinds[1], sum(kinds[2:])
-    model.loaded = {}
-    return model
+    return write
+
+
+def _grams_of(model: Model, k: int):
+    if k == 1:
+        return lambda tokens, n: tokens
 
+    def numbers(tokens, n):
+        ids = below = None
+        for j, _, place, _ in model.walk(tokens, n, k - 1):
+            ids, below = (place if j == 1 else ids), place
+        context = model.contexts(k, below, n)
+        there = context >= 0
+        return model.numbers(k, context[there], ids[there])
 
-PAIR_SCHEMA = "bucket int, files array<string>, types long, kinds array<long>, part int, blobs array<binary>"
-PAIR_NAMES = [c.split()[0] for c in PAIR_SCHEMA.split(", ")]
-PAIR_TYPES = [pa.int32(), pa.list_(pa.string()), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.binary())]
+    return numbers
 
 
-def _sparse(counts: np.ndarray) -> bytes:
-    """Places and counts of what is not zero; steps between places are small, so the blob packs well."""
-    place = np.flatnonzero(counts)
-    return np.concatenate([np.diff(place, prepend=0), counts[place]]).astype("<u4").tobytes()
+TRACED = "part int, kinds array<long>, before binary, begins binary"
+PARTS = "part int, files array<string>, kinds array<long>, before array<long>"
 
 
-def _add_sparse(line: np.ndarray, blob: bytes) -> None:
-    step, n = np.frombuffer(blob, "<u4").reshape(2, -1).astype(np.int64)
-    line[np.cumsum(step)] += n
+def _traced(model: Model, k: int):
+    """Rows (part of order k - 1, counts of counts, words before, grams begun) of what SLICE grams of a bucket add."""
+
+    def run(batches):
+        buckets = (bucket for b in batches for bucket in b["bucket"].to_pylist())
+        for bucket in buckets:
+            for first, numbers, counts in model.level(k).slices(bucket):
+                counts = model.adjusted(k, first + np.arange(len(counts)), counts)
+                context, words = model.taken_apart(k, numbers)
+                before = _by_place(model.without_first(k, context, words))
+                begins = _by_place(context, counts, counts == 1, counts == 2, counts >= 3)
+                kinds = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()
+                out = []
+                for p in np.union1d(before[0] // model.part, begins[0] // model.part).tolist():
+                    out.append((p, [0] * 4 if out else kinds, _slice(before, p * model.part, model.part), _slice(begins, p * model.part, model.part)))
+                types = (pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+                yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out), types)], names=[c.split()[0] for c in TRACED.split(", ")])
+
+    return run
+
+
+def _by_place(place: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Distinct places in order, and per place the sum of each of the values, or how often it came."""
+    order = np.argsort(place, kind="stable")
+    place = place[order]
+    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    sums = [np.add.reduceat(v[order].astype(np.int64), starts) for v in values] or [np.diff(np.r_[starts, len(place)])]
+    return [place[starts], *sums]
+
+
+def _slice(sums: list[np.ndarray], first: int, size: int) -> bytes:
+    """What falls into a part: steps between places, and the sums."""
+    a, b = np.searchsorted(sums[0], (first, first + size))
+    return _planes(np.concatenate([np.diff(sums[0][a:b] - first, prepend=0), *[x[a:b] for x in sums[1:]]]))
+
+
+def _part_writer(model: Model, k: int, folder: str):
+    def write(table: pa.Table) -> pa.Table:
+        p = table["part"][0].as_py()
+        total = np.zeros((5, min(model.part, model.sizes[k] + 1 - p * model.part)), np.int64)
+        for name, lines in (("before", total[:1]), ("begins", total[1:])):
+            for blob in table[name].to_pylist():
+                step, *sums = _from_planes(blob).astype(np.int64).reshape(1 + len(lines), -1)
+                lines[:, np.cumsum(step)] += sums
+        uris = []
+        for i, line in enumerate(total):
+            kind = np.min_scalar_type(int(line.max(initial=0)))
+            uris += _write(folder, f"part{k}-{p:06d}-{i}", line.astype(kind), suffix=f".{kind}.bin")
+        kinds = np.array(table["kinds"].to_pylist()).sum(0).tolist()
+        before = np.bincount(np.minimum(total[0], 5), minlength=6)[1:].tolist()
+        types = (pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        return pa.Table.from_arrays([pa.array([x], t) for x, t in zip((p, uris, kinds, before), types)], names=[c.split()[0] for c in PARTS.split(", ")])
+
+    return write
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -84,7 +84,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    model = ngram.train(docs.where(~held_out))
+    model = ngram.train(docs.where(~held_out), order=3)
     found = ngram.scores(docs, model).withColumnRenamed("id", "doc_id")
     return found.select(
         "doc_id",

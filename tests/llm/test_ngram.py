@@ -68,6 +68,64 @@ def test_scores(spark, sf, part, monkeypatch):
     assert len(got) == len(rows)
 
 
+def brute_of_order(order, train, texts):
+    """Scores by the definition: grams as tuples that begin at most with the start of a text."""
+    def grams(line, k):
+        line = [None, *line]
+        return [tuple(line[i - k + 1 : i + 1]) for i in range(max(1, k - 1), len(line))]
+
+    lines = [[*lowered(t), END] for t in train]
+    adjusted = {k: Counter(g for line in lines for g in grams(line, k)) for k in range(1, order + 1)}
+    for k in range(1, order):
+        before = Counter(g[1:] for g in adjusted[k + 1])
+        adjusted[k] = Counter({g: n if k > 1 and g[0] is None else before[g] for g, n in adjusted[k].items()})
+    cuts = {}
+    for k, c in adjusted.items():
+        n = Counter(c.values())
+        cuts[k] = ngram.discounts(n[1], n[2], n[3], n[4])
+    total, spare = Counter(), Counter()
+    for k, c in adjusted.items():
+        for g, n in c.items():
+            total[g[:-1]] += n
+            spare[g[:-1]] += cuts[k][min(n, 3) - 1]
+
+    def p(g):
+        lower = p(g[1:]) if len(g) > 1 else 1 / (len(adjusted[1]) + 1)
+        n = adjusted[len(g)][g]
+        return (n - (cuts[len(g)][min(n, 3) - 1] if n else 0) + spare[g[:-1]] * lower) / total[g[:-1]] if total[g[:-1]] else lower
+
+    def score(t):
+        line = [None, *lowered(t), END]
+        return sum(math.log10(p(tuple(line[max(0, i - order + 1) : i + 1]))) for i in range(1, len(line)))
+
+    return [score(t) for t in texts], p, adjusted[1]
+
+
+@pytest.mark.parametrize("order, part", [(2, 1 << 21), (3, 1 << 21), (3, 64), (4, 1 << 21)])
+def test_scores_of_any_order(spark, sf, order, part, monkeypatch):
+    monkeypatch.setattr(ngram, "PART", part)
+    rows = plain(spark, sf, 60) if part == 64 else plain(spark, sf)
+    learnt = [r for i, r in enumerate(rows) if i % 3]
+    model = ngram.train(documents(spark, learnt), order=order)
+    got = sorted((str(r["id"]), r["n_tokens"], r["score"]) for r in ngram.scores(documents(spark, rows, 2), model).collect())
+    want = sorted((str(r[0]), len(lowered(r[1])) + 1, x) for r, x in zip(rows, brute_of_order(order, [r[1] for r in learnt], [r[1] for r in rows])[0]))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-9)
+
+
+def test_two_words_of_context_tell(spark):
+    """After "b" alone, "c" and "d" are alike; after "a b" and "x b" they are not."""
+    model = ngram.train(documents(spark, [(i, t, "en", "s") for i, t in enumerate(["a b c", "x b d"] * 20)]), order=3)
+    got = {r["id"]: r["score"] for r in ngram.scores(documents(spark, [(1, "a b c", "en", "s"), (2, "a b d", "en", "s")]), model).collect()}
+    assert got[1] > got[2] + 0.5
+
+
+def test_probabilities_of_triples_sum_to_one():
+    _, p, word = brute_of_order(3, ["a b a b c", "a b d", "d d d e", "b a", "c"] * 3, [])
+    for context in ((None,), (None, "a"), ("a", "b"), ("d", "d"), ("b", "never seen"), ("never", "seen")):
+        assert sum(p((*context, w)) for w in [*(g[0] for g in word), "new"]) == pytest.approx(1)
+
+
 def test_probabilities_sum_to_one(spark):
     texts = ["a b a b c", "a b d", "d d d e", "b a", "c"] * 3
     _, p, word = brute(texts, [])
