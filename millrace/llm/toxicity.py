@@ -292,7 +292,7 @@ def fold_of(id_col: Column, folds: int) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          folds: int = 5, held_out: int = 0, most_toxic: int = 4000, most_clean: int = 12000, least_docs: int = 4, least_weight: float = 0.5) -> Model:
+          folds: int = 5, held_out: int = 0, most_toxic: int = 4000, most_clean: int = 12000, least_docs: int = 4, least_weight: float = 0.0) -> Model:
     """Character model from all texts, word weights and calibration from labelled rows outside the held-out fold.
 
     The classifier is fitted on at most `most_toxic` and `most_clean` labelled documents, those whose ids hash

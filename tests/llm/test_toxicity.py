@@ -55,6 +55,15 @@ def test_plain_words_stay(trained):
     assert restorer.readings("2024") == []
 
 
+def test_weak_words_count(spark):
+    """A word that is only somewhat more frequent in toxic texts is evidence, too."""
+    rows, labels = corpus()
+    rows = [(i, text + " perhaps" * (i % 20 < (11 if y else 7)), *rest) for (i, text, *rest), (_, _, y) in zip(rows, labels)]
+    model = toxicity.train(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert 0 < model.weights["perhaps"] < 0.5
+    assert toxicity.Scorer(model.chars, model.weights).evidence("the house perhaps")[0] > 0
+
+
 @pytest.mark.parametrize("sign", [*toxicity.LEET, *".-_ ²٣½Ⅷ", "!.", "!!", "!|"])
 def test_the_filter_changes_no_score(trained, sign):
     """What is not decoded has no weighted feature, whatever sign stands in between."""
