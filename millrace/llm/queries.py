@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embed, html, mixing, ngram, pieces, simhash, tokens, topk, toxicity, warc
+from millrace.llm import embed, html, mixing, ngram, pieces, simhash, spelling, tokens, topk, toxicity, warc
 from millrace.llm.common import load, prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,38 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @query("op10_exact_top_k", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(load(spark, sf_dir, "embeddings"), k=20, scale=64, query_every=20)
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of a text of code points below U+0800, in DuckDB: bytes and eight shifts behind each, folded."""
+    points = f"list_transform(string_split({text}, ''), lambda c: unicode(c))"
+    octets = f"flatten(list_transform({points}, lambda p: CASE WHEN p < 128 THEN [p] ELSE [192 + (p >> 6), 128 + (p & 63)] END))"
+    steps = f"flatten(list_transform({octets}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    fold = "lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce(list_prepend(4294967295, CAST({steps} AS BIGINT[])), {fold}), 4294967295)"
+
+
+# Two words are near if one of them without a letter is the other, or both without the letter at one place are the same.
+OP11_SQL = f"""
+WITH RECURSIVE r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS name, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+u AS (SELECT name, run, count(*) AS times FROM r GROUP BY ALL),
+h AS (SELECT run, times, CAST({crc32_sql("name || ':' || run")} AS BIGINT) AS h FROM u),
+o AS (SELECT times, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h),
+w AS MATERIALIZED (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM o WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+d AS MATERIALIZED (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS less
+    FROM (SELECT word, unnest(range(0, length(word))) AS i FROM w)),
+p AS (SELECT a.word AS a, b.word AS b FROM d a JOIN d b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+    UNION SELECT d.word, w.word FROM d JOIN w ON w.word = d.less UNION SELECT w.word, d.word FROM d JOIN w ON w.word = d.less),
+b AS (SELECT p.a, count(*) AS n_near, arg_min(p.b, (-w.n, p.b)) AS form, max(w.n) AS form_n FROM p JOIN w ON w.word = p.b GROUP BY p.a),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.form_n >= 2 * w.n THEN b.form END AS form,
+    CASE WHEN b.form_n >= 2 * w.n THEN b.form_n END AS form_n FROM w LEFT JOIN b ON b.a = w.word),
+c AS (SELECT word, word AS at FROM f UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, e.at AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM f JOIN c e ON e.word = f.word JOIN f z ON z.word = e.at AND z.form IS NULL
+"""
+
+
+@query("op11_spelling_variants", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir, "documents"), every=97, shortest=5, least=3, factor=2)
