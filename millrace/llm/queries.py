@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embed, html, mixing, ngram, pieces, simhash, spelling, tokens, topk, toxicity, warc
+from millrace.llm import embed, html, language, mixing, ngram, pieces, simhash, spelling, tokens, topk, toxicity, warc
 from millrace.llm.common import load, prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,34 @@ FROM f JOIN c e ON e.word = f.word JOIN f z ON z.word = e.at AND z.form IS NULL
 @query("op11_spelling_variants", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(load(spark, sf_dir, "documents"), every=97, shortest=5, least=3, factor=2)
+
+
+OP13_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, lang, lower(text) AS low, coalesce({crc32_sql("CAST(doc_id AS VARCHAR)")} % 4 = 2, FALSE) AS held_out FROM documents),
+s AS (SELECT row, string_split(' ' || trim(regexp_replace(low, '[^\pL\pM]+', ' ', 'g'), ' ') || ' ', '') AS l FROM d
+    WHERE regexp_matches(low, '[\pL\pM]')),
+z AS (SELECT row, unnest(list_zip(l, l[2:], l[3:])) AS t FROM s),
+c AS (SELECT row, t[1] AS a, t[2] AS b, t[3] AS c FROM z),
+g AS (SELECT row, a AS gram FROM c WHERE a <> ' ' UNION ALL SELECT row, a || b FROM c WHERE b IS NOT NULL
+    UNION ALL SELECT row, a || b || c FROM c WHERE c IS NOT NULL AND b <> ' '),
+n AS MATERIALIZED (SELECT row, gram, count(*) AS n FROM g GROUP BY row, gram),
+t AS (SELECT d.lang, n.gram, sum(n.n) AS n FROM n JOIN d USING (row) WHERE NOT d.held_out AND d.lang IS NOT NULL GROUP BY d.lang, n.gram),
+p AS MATERIALIZED (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS rank FROM t QUALIFY rank <= 300),
+m AS (SELECT row, gram, row_number() OVER (PARTITION BY row ORDER BY n DESC, gram) AS rank FROM n QUALIFY rank <= 300),
+a AS (SELECT m.row, k.lang, sum(coalesce(abs(m.rank - p.rank), 300)) AS away, 300 * count(*) AS most
+    FROM m CROSS JOIN (SELECT DISTINCT lang FROM p) k LEFT JOIN p ON p.lang = k.lang AND p.gram = m.gram GROUP BY m.row, k.lang),
+o AS (SELECT row, lang, away, most, row_number() OVER (PARTITION BY row ORDER BY away, lang) AS rank FROM a),
+f AS (SELECT row, max(lang) FILTER (rank = 1) AS lang, max(away) FILTER (rank = 1) AS nearest,
+    coalesce(max(away) FILTER (rank = 2), max(most)) AS second FROM o GROUP BY row)
+SELECT d.doc_id, d.held_out, CASE WHEN regexp_matches(d.low, '\pL') THEN coalesce(f.lang, 'und') ELSE 'und' END AS lang_pred,
+    CASE WHEN f.second > 0 AND regexp_matches(d.low, '\pL') THEN 1 - CAST(f.nearest AS DOUBLE) / CAST(f.second AS DOUBLE) ELSE 0 END AS score
+FROM d LEFT JOIN f USING (row)
+"""
+
+
+@query("op13_language", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    found = language.predicted(docs, language.train(docs.where(~held_out))).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
