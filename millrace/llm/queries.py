@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embed, html, language, mixing, ngram, pieces, simhash, spelling, tokens, topk, toxicity, warc
+from millrace.llm import embed, html, language, mixing, ngram, phrases, pieces, simhash, spelling, tokens, topk, toxicity, warc
 from millrace.llm.common import load, prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,6 +216,35 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(load(spark, sf_dir, "documents"), every=97, shortest=5, least=3, factor=2)
 
 
+OP12_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+s AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+z AS (SELECT lang, unnest(list_zip(w, w[2:], w[3:], w[4:])) AS t FROM s),
+g AS (SELECT lang, t[1] AS phrase, 1 AS m FROM z UNION ALL SELECT lang, t[1] || ' ' || t[2], 2 FROM z WHERE t[2] IS NOT NULL
+    UNION ALL SELECT lang, t[1] || ' ' || t[2] || ' ' || t[3], 3 FROM z WHERE t[3] IS NOT NULL
+    UNION ALL SELECT lang, t[1] || ' ' || t[2] || ' ' || t[3] || ' ' || t[4], 4 FROM z WHERE t[4] IS NOT NULL),
+f AS MATERIALIZED (SELECT lang, phrase, m, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w)) AS n FROM s GROUP BY lang),
+c AS (SELECT * FROM f WHERE m > 1),
+k AS (SELECT lang, phrase, m, f, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM c),
+x AS (SELECT k.lang, k.phrase, k.f, k, a.f AS l, b.f AS r, (2000000::HUGEINT * k.f) // (a.f + b.f) AS score
+    FROM k JOIN f a ON a.lang = k.lang AND a.phrase = array_to_string(w[:k], ' ')
+    JOIN f b ON b.lang = k.lang AND b.phrase = array_to_string(w[k + 1:], ' ')),
+b AS (SELECT lang, phrase, f AS a, arg_min(struct_pack(l, r, score), (score, k)) AS cut FROM x GROUP BY ALL),
+o AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN c d ON d.lang = c.lang AND d.m > c.m AND 100 * d.f >= 80 * c.f
+    AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ')),
+r AS (SELECT lang, phrase, a, cut.l AS l, cut.r AS r, cut.score AS score, CAST(row_number() OVER
+    (PARTITION BY lang ORDER BY cut.score DESC, a DESC, phrase) AS INTEGER) AS rank FROM b ANTI JOIN o USING (lang, phrase))
+SELECT r.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_phrases", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(load(spark, sf_dir, "documents"), words=4, least=30, share=80, factor=2_000_000, most=2000)
+
+
 OP13_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, lang, lower(text) AS low, coalesce({crc32_sql("CAST(doc_id AS VARCHAR)")} % 4 = 2, FALSE) AS held_out FROM documents),
 s AS (SELECT row, string_split(' ' || trim(regexp_replace(low, '[^\pL\pM]+', ' ', 'g'), ' ') || ' ', '') AS l FROM d
