@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +17,10 @@ from millrace.llm.ngram import mix
 from millrace.session import scratch_dir, staged
 
 NO_LANG = "und"
-CHUNK = 2 << 20  # bytes of text split at a time
-HELD = 2 << 20  # entries of counters a task holds before it hands them on
-MERGED = 1 << 20  # entries merged at a time
+CHUNK = 1 << 18  # bytes of text split at a time
+HELD = 1 << 19  # entries of counters a task holds before it hands them on
+MERGED = 1 << 18  # entries merged at a time
+BLOCKS, BLOCK = 1 << 13, 1 << 18  # blocks that stripes are dealt in: at least so many, and one for so many words
 SHARE = 1 << 16  # occurrences of a prefix that go with one part of its stripe
 I64, U64 = np.int64, np.uint64
 
@@ -161,16 +163,19 @@ def write_table(grams: DataFrame) -> tuple[DataFrame, Table]:
         with out:
             for c in ("h", "a", "b", "n"):
                 out.write(rows[c].to_numpy().astype(I64).tobytes())
-        rows = rows.append_column("uri", pa.array([uri]).take(pa.array(np.zeros(rows.num_rows, I64))))
-        yield from rows.append_column("at", pa.array(np.arange(rows.num_rows))).to_batches(max_chunksize=1 << 14)
+        part = np.full(rows.num_rows, TaskContext.get().partitionId(), np.int32)
+        rows = rows.append_column("at", pa.array(np.arange(len(part)))).append_column("part", pa.array(part))
+        once = pa.concat_arrays([pa.array([uri]), pa.nulls(len(part) - 1, pa.string())])
+        yield from rows.append_column("uri", once).to_batches(max_chunksize=1 << 14)
 
     dealt = grams.mapInArrow(hashed, f"{kinds}, h long").repartitionByRange("h").sortWithinPartitions("h", "a", "b")
-    rows = staged(dealt.mapInArrow(write, f"{kinds}, h long, uri string, at long"), "grams")
-    files = sorted(rows.groupBy("uri").agg(F.min("h").alias("h"), F.count("*").alias("n")).collect(), key=lambda r: r["h"])
+    rows = staged(dealt.mapInArrow(write, f"{kinds}, h long, at long, part int, uri string"), "grams")
+    files = rows.groupBy("part").agg(F.max("uri").alias("uri"), F.min("h").alias("h"), F.count("*").alias("n")).collect()
+    files.sort(key=lambda r: r["h"])
     offsets = np.concatenate([[0], np.cumsum([r["n"] for r in files], dtype=I64)]).astype(I64)
     table = Table([r["uri"] for r in files], np.array([r["h"] for r in files], I64), offsets)
-    starts = spark.createDataFrame(list(zip(table.uris, offsets[:-1].tolist())), "uri string, start long")
-    return rows.join(starts, "uri").withColumn("id", F.col("start") + F.col("at")).drop("h", "uri", "at", "start"), table
+    starts = spark.createDataFrame([(r["part"], int(o)) for r, o in zip(files, offsets)], "part int, start long")
+    return rows.join(starts, "part").withColumn("id", F.col("start") + F.col("at")).drop("h", "uri", "at", "part", "start"), table
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -275,14 +280,18 @@ def _both(grams: np.ndarray, piece: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
-def stripes(rows: DataFrame, tables: list[Table], least: int, part_of: int = SHARE, hold: int = HELD, at_once: int = MERGED) -> DataFrame:
+def stripes(
+    rows: DataFrame, tables: list[Table], least: int, tokens: int = 0, part_of: int = SHARE, hold: int = HELD, at_once: int = MERGED
+) -> DataFrame:
     """(prefix, total, next, n): for every frequent gram the words that follow it at least `least` times, and all its occurrences.
 
-    A task counts into stripes of its own; those of one prefix meet and are added up entry by entry.  The
+    A task counts into stripes of its own and hands them on in blocks, dealt by prefix; the stripes of one
+    prefix meet and are added up entry by entry.  There are more blocks the more `tokens` there are.  The
     stripe of a prefix with very many occurrences is cut into parts by its next words, one for every `part_of`
-    of its count; then `total` is that of the part.
+    of its count, which lie in blocks of their own; then `total` is that of the part.
     """
     shared = rows.sparkSession.sparkContext.broadcast(tables)
+    blocks = max(BLOCKS, tokens // BLOCK)
 
     def count(batches):
         held, size = [], 0
@@ -293,10 +302,10 @@ def stripes(rows: DataFrame, tables: list[Table], least: int, part_of: int = SHA
                 held = [distinct(*map(np.concatenate, zip(*held)))]
                 size = len(held[0][0])
                 if size > hold // 2:
-                    yield from _rows(*held.pop(), shared.value[-1], part_of)
+                    yield from _blocks(*held.pop(), shared.value[-1], part_of, blocks)
                     size = 0
         if held:
-            yield from _rows(*distinct(*map(np.concatenate, zip(*held))), shared.value[-1], part_of)
+            yield from _blocks(*distinct(*map(np.concatenate, zip(*held))), shared.value[-1], part_of, blocks)
 
     def merge(batches):
         rest, size = [], 0
@@ -305,9 +314,8 @@ def stripes(rows: DataFrame, tables: list[Table], least: int, part_of: int = SHA
             size += len(b["next"].flatten())
             if size > at_once:
                 table = pa.Table.from_batches(rest)
-                prefix, part = table["prefix"].to_numpy(), table["part"].to_numpy()
-                new = (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])
-                done = int(np.flatnonzero(np.r_[True, new])[-1])  # the last stripe may go on
+                block = table["block"].to_numpy()
+                done = int(np.flatnonzero(np.r_[True, block[1:] != block[:-1]])[-1])  # the last block may go on
                 if done:
                     yield _merged(table.slice(0, done), least)
                     rest = table.slice(done).combine_chunks().to_batches()
@@ -315,41 +323,40 @@ def stripes(rows: DataFrame, tables: list[Table], least: int, part_of: int = SHA
         if rest:
             yield _merged(pa.Table.from_batches(rest), least)
 
-    kinds = "prefix long, part int, parts int, next array<long>, n array<long>"
-    dealt = rows.mapInArrow(count, kinds).repartition("prefix", "part").sortWithinPartitions("prefix", "part")
+    kinds = "block long, prefix array<long>, next array<long>, n array<long>"
+    dealt = rows.mapInArrow(count, kinds).repartition("block").sortWithinPartitions("block")
     return dealt.mapInArrow(merge, "prefix long, total long, next array<long>, n array<long>")
 
 
-def _rows(prefix: np.ndarray, nxt: np.ndarray, n: np.ndarray, table: Table, part_of: int):
-    """Stripes as rows: one for every prefix and part."""
+def _blocks(prefix: np.ndarray, nxt: np.ndarray, n: np.ndarray, table: Table, part_of: int, blocks: int):
+    """Entries of stripes as rows: one for every block that has some."""
     if not len(prefix):
         return
     starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
     sizes = np.diff(np.r_[starts, len(prefix)])
     parts = np.repeat(1 + table.counts(prefix[starts]) // part_of, sizes)
-    part = (mix(nxt.view(U64)) % parts.astype(U64)).astype(I64)
-    order = np.lexsort((part, prefix))
-    prefix, nxt, n, part, parts = (x[order] for x in (prefix, nxt, n, part, parts))
-    starts = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])])
-    ends = np.r_[starts, len(prefix)].astype(np.int32)
-    lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (nxt, n)]
-    ints = [pa.array(x[starts], pa.int32()) for x in (part, parts)]
-    out = pa.table([pa.array(prefix[starts]), *ints, *lists], names=["prefix", "part", "parts", "next", "n"])
-    yield from out.to_batches(max_chunksize=1 << 14)
+    part = mix(nxt.view(U64)) % parts.astype(U64)
+    block = 2 * (mix(prefix.view(U64) + mix(part)) % U64(blocks)).astype(I64) + (parts > 1)  # stripes in parts have odd blocks
+    order = np.argsort(block, kind="stable")
+    block = block[order]
+    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+    ends = pa.array(np.r_[starts, len(block)].astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (prefix, nxt, n)]
+    out = pa.record_batch([pa.array(block[starts]), *lists], names=["block", "prefix", "next", "n"])
+    yield from (out.slice(at, 1 << 10) for at in range(0, len(out), 1 << 10))
 
 
 def _merged(table: pa.Table, least: int) -> pa.RecordBatch:
-    table = table.combine_chunks()
-    sizes = pc.list_value_length(table["next"]).to_numpy().astype(I64)
-    flat = [pc.list_flatten(table[c]).to_numpy() for c in ("next", "n")]
-    prefix, nxt, n = distinct(np.repeat(table["prefix"].to_numpy(), sizes), *flat)
+    """Stripes with an entry that counts, and all that come in parts, as another part may have one."""
+    odd = np.repeat(table["block"].to_numpy() & 1, pc.list_value_length(table["prefix"]).to_numpy()) > 0
+    prefix, nxt, n = (pc.list_flatten(table[c]).combine_chunks().to_numpy() for c in ("prefix", "next", "n"))
+    in_parts = np.unique(prefix[odd])
+    prefix, nxt, n = distinct(prefix, nxt, n)
     starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
     total = np.add.reduceat(n, starts)
     many = (n >= least) & (nxt > 0)
     kept = np.add.reduceat(many.astype(I64), starts)
-    owners, parts = table["prefix"].to_numpy(), table["parts"].to_numpy()
-    cut = parts[np.searchsorted(owners, prefix[starts])] > 1  # other parts of this prefix need its total
-    stay = (kept > 0) | cut
+    stay = (kept > 0) | np.isin(prefix[starts], in_parts)
     ends = np.concatenate([[0], np.cumsum(kept[stay])]).astype(np.int32)
     lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (nxt[many] - 1, n[many])]
     return pa.record_batch([pa.array(prefix[starts][stay]), pa.array(total[stay]), *lists], names=["prefix", "total", "next", "n"])
@@ -416,9 +423,10 @@ def collocations(
     none = F.array().cast("array<bigint>")
     ids = [F.lit(None).cast("long").alias(c) for c in ("prefix", "next", "suffix")]
     level = grams.select("id", "lang", *ids, "n", F.col("word").alias("last"), F.col("word").alias("phrase"), none.alias("firsts"), none.alias("rests"))
-    tables, found, best, candidates = [table], None, None, []
+    tokens = counts.where("word IS NULL").agg(F.sum("n")).first()[0] or 0
+    tables, candidates = [table], []
     while len(table) and len(tables) < words:
-        found = staged(stripes(rows, tables, least), "stripes")
+        found = staged(stripes(rows, tables, least, tokens), "stripes")
         entries = found.select("prefix", F.explode(F.arrays_zip("next", "n")).alias("e"))
         grams, table = write_table(entries.select(F.col("prefix").alias("a"), F.col("e.next").alias("b"), F.col("e.n").alias("n")))
         longer = staged(_longer(found, grams, level, None if len(tables) == 1 else level), "level")

@@ -94,7 +94,7 @@ def test_cut_and_handed_on_stripes_are_the_same(spark, sf):
         return entries, {p: total[p] for p, _ in entries}
 
     want = flat(phrases.stripes(rows, tables, 3))
-    assert want[0] and flat(phrases.stripes(rows, tables, 3, part_of=5, hold=50, at_once=7)) == want
+    assert want[0] and flat(phrases.stripes(rows, tables, 3, tokens=1 << 34, part_of=5, hold=50, at_once=7)) == want
     counts = tables[0].counts(np.arange(len(tables[0])))
     assert all(counts[p] == n for p, n in want[1].items())  # a stripe's total is the count of its prefix
 
