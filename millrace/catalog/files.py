@@ -20,8 +20,8 @@ from millrace.session import scratch_dir, staged
 from millrace.sources import copying, files, schemas, sinks, snapshots, tables
 
 
-# Some names get quotes, a comma and a line break; both engines read the rule.
-_NAME = """CASE WHEN c_custkey % 7 = 0 THEN concat('"', c_name, '", the', chr(10), '"first"') WHEN c_custkey % 5 = 0
+# Some names get quotes, a comma and a line break, some are empty and some missing; both engines read the rule.
+_NAME = """CASE WHEN c_custkey % 11 = 0 THEN '' WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN concat('"', c_name, '", the', chr(10), '"first"') WHEN c_custkey % 5 = 0
     THEN concat(c_name, ' "jr", Lee') ELSE c_name END"""
 _CUSTOMERS = f"SELECT c_custkey, {_NAME} AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 

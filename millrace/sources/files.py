@@ -9,41 +9,73 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.functions.exprs import label_of
+from millrace.sources import records
 
 
-# How every delimited file is written and read here: quotes inside a cell are doubled.  A blank cell is NULL, so
-# an empty text comes back as NULL.
+# How every delimited file is written and read here: quotes inside a cell are doubled.
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
 
+# A blank cell is NULL and a quoted blank one an empty text: the reader takes this for NULL instead of the blank
+# text.  It is made of noncharacters, which no text holds.
+NO_VALUE = "\uffff\uffff"
+_READ = {**CSV_FORMAT, "nullValue": NO_VALUE, "mode": "PERMISSIVE"}
 
-def _csv(spark: SparkSession, multi_line: bool):
-    """A reader for what `write_csv` wrote.
 
-    With `multi_line` a cell may hold line breaks; a file is then one task, so write many files.  Without
-    it files are split, and a quoted line break ends the row.
+def _read_csv(
+    spark: SparkSession, path: str, schema: str | None, infer: bool, corrupt: str | None, multi_line: bool
+) -> DataFrame:
+    """Cells by `schema` (DDL text), by inferred types, or as text.
+
+    With `multi_line` a cell may hold line breaks, and still every split of a file is a task of its own:
+    where a scan finds no such cell Spark's reader splits the files, else the records are put together first
+    (`millrace.sources.records`).  Without it there is no scan, and a line break ends the row wherever it is.
     """
-    return spark.read.options(**CSV_FORMAT, mode="PERMISSIVE", multiLine=multi_line)
+    reader = spark.read.options(**_READ)
+    if corrupt:
+        schema = f"{schema}, `{corrupt}` string"
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    found = records.layout(spark, path) if multi_line else None
+    if found is None or found.plain:
+        if found:
+            reader = reader.option("lineSep", "\n")
+        return (reader.schema(schema) if schema else reader.option("inferSchema", infer)).csv(path)
+    cells = records.records(spark, path, found).where(~F.col("first")).select("record")
+    options = {**_READ, "multiLine": True} | ({"columnNameOfCorruptRecord": corrupt} if corrupt else {})
+    if schema is None:
+        names = spark.read.options(**CSV_FORMAT, multiLine=True).csv(path).columns  # the first record only
+        types = _inferred(cells, options) if infer else []
+        kinds = types if len(types) == len(names) else ["string"] * len(names)
+        schema = ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in zip(names, kinds))
+    text = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items()}
+    return cells.select(F.from_csv("record", schema, text).alias("cells")).select("cells.*")
+
+
+def _inferred(cells: DataFrame, options: dict) -> list[str]:
+    """Types of the cells of records, by the reader's own rules."""
+    spark = cells.sparkSession
+    lines = getattr(cells._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = spark.read.options(**{**options, "header": False, "inferSchema": True})
+    return [f.dataType.simpleString() for f in DataFrame(reader._jreader.csv(lines), spark).schema]
 
 
 def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Header and inferred types: a second pass over the file, for exploring only."""
-    return _csv(spark, multi_line).option("inferSchema", True).csv(path)
+    """Header and inferred types: one more pass over the file, for exploring only."""
+    return _read_csv(spark, path, None, True, None, multi_line)
 
 
 def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Every column as text, to be coerced later without losing a row."""
-    return _csv(spark, multi_line).option("inferSchema", False).csv(path)
+    return _read_csv(spark, path, None, False, None, multi_line)
 
 
 def read_csv_typed(
     spark: SparkSession, path: str, schema: str, corrupt: str | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """An explicit schema (DDL text); with `corrupt`, malformed rows are kept as text in that column."""
-    reader = _csv(spark, multi_line)
-    if corrupt:
-        schema = f"{schema}, `{corrupt}` string"
-        reader = reader.option("columnNameOfCorruptRecord", corrupt)
-    return reader.schema(schema).csv(path)
+    """An explicit schema (DDL text); with `corrupt`, malformed rows are kept as text in that column.
+
+    A quoted blank cell is malformed where the column is not text.
+    """
+    return _read_csv(spark, path, schema, False, corrupt, multi_line)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.sources.files import CSV_FORMAT
+from millrace.sources.files import CSV_FORMAT, NO_VALUE
 
 
 def write_csv(df: DataFrame, path: str) -> int:
-    """CSV with header, overwrite, blanks kept; returns the rows written."""
+    """CSV with header, overwrite, blanks kept; returns the rows written.
+
+    NULL is a blank cell and an empty text a quoted one.  A NULL that is alone in its row is written out, as
+    readers skip blank lines.
+    """
     seen = Observation()
     watched = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     (
         watched.write.mode("overwrite")
-        .options(**CSV_FORMAT)
+        .options(**CSV_FORMAT, nullValue=NO_VALUE if len(df.columns) == 1 else "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

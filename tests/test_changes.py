@@ -205,7 +205,7 @@ def test_conditional_copy(spark, tmp_path):
     assert e.value.code == "FILE_NOT_FOUND"
 
 
-@pytest.mark.parametrize("cell", ['Ann "A", Lee', 'two\nlines, "q"', '"', '""', ",", " pad ", None, "back\\slash\\", "ü—東"])
+@pytest.mark.parametrize("cell", ["", "cr\rx", "a\r\nb", 'Ann "A", Lee', 'two\nlines, "q"', '"', '""', ",", " pad ", None, "back\\slash\\", "ü—東"])
 def test_cells_survive_a_file(spark, cell):
     path = scratch_dir(spark, "cells")
     sinks.write_csv(spark.createDataFrame([(1, cell, "next"), (2, "x", "y")], "id int, t string, u string"), path)
