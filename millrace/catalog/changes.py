@@ -72,8 +72,11 @@ _SIDES = f""", l AS (SELECT order_id, line_number, product_id, supplier_id, quan
         FROM m FULL JOIN s ON s.order_id = m.order_id AND s.line_number = m.line_number"""),
 )
 def merge_upsert(spark, sf):
-    merged = M.upsert(_master(spark, sf), _increment(spark, sf), KEYS)
-    return merged.withColumn("price", F.col("price").cast("double"))
+    """Stored in ranges of orders; the merge rewrites the ranges that the increment has orders in."""
+    root, master = scratch_dir(spark, "lines"), _master(spark, sf)
+    snapshots.publish(master, root, "WRITE", by=snapshots.key_ranges(tables.orders(spark, sf), "order_id"))
+    snapshots.merge(_increment(spark, sf), root, KEYS, "MERGE")
+    return snapshots.read(spark, root).withColumn("price", F.col("price").cast("double"))
 
 
 @query(
@@ -118,7 +121,7 @@ _APPLIED = """, s AS (SELECT i.product_id, sum(i.quantity) AS q FROM item i JOIN
 
 
 def _apply_batch(spark, sf, stored_again):
-    """Orders, items and stock after the batch, stored under one commit and read back.
+    """Orders, items and stock after the batch: one more folder of orders and of items and a new stock, under one commit.
 
     With `stored_again` one of the batch's orders is in the stored table already.
     """
@@ -144,11 +147,11 @@ def _apply_batch(spark, sf, stored_again):
         },
         foreign={"order_id": (pending, "order_id"), "product_id": (s.products, "product_id")},
     )
-    after = M.apply_order_batch(
-        settled, old_items, stock, pending, new_items, order_rules, item_rules, item_key=_ITEM_KEY
-    )
     root = scratch_dir(spark, "shop")
-    snapshots.publish_all(dict(zip(("orders", "items", "stock"), after)), root, "BATCH")
+    snapshots.publish_all({"orders": settled, "items": old_items, "stock": stock}, root, "WRITE")
+    orders, items, left = (snapshots.read_table(spark, root, n) for n in ("orders", "items", "stock"))
+    done = M.order_batch(orders, items, left, pending, new_items, order_rules, item_rules, item_key=_ITEM_KEY)
+    snapshots.append_all(spark, root, "BATCH", {"orders": done.orders, "items": done.items}, {"stock": done.stock})
     orders, items, left = (snapshots.read_table(spark, root, n) for n in ("orders", "items", "stock"))
     return union_all(
         [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,7 +93,15 @@ def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     ).withColumn("rows_after", F.col("rows_before") + F.col("inserted_rows"))
 
 
-def apply_order_batch(
+class OrderBatch(NamedTuple):
+    """What a batch adds, and the stock after it; no added row and the old stock if the batch was rejected."""
+
+    orders: DataFrame
+    items: DataFrame
+    stock: DataFrame
+
+
+def order_batch(
     orders: DataFrame,
     items: DataFrame,
     stock: DataFrame,
@@ -102,12 +111,13 @@ def apply_order_batch(
     item_rules: Rules,
     order_key: Sequence[str] = ("order_id",),
     item_key: Sequence[str] = ("order_id", "product_id"),
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Append a batch of orders with their items and lower the stock, or change nothing.
+) -> OrderBatch:
+    """Add a batch of orders with their items and lower the stock, or change nothing.
 
     One broken rule anywhere, a key that the batch repeats or that is stored already, or one product sold
-    beyond its stock rejects the whole batch: every appended row and every stock change depends on the
-    number of faults, which is counted once.  `snapshots.publish_all` stores the three under one commit.
+    beyond its stock rejects the whole batch: every added row and every stock change depends on the
+    number of faults, which is counted once.  Stored orders and items are only probed for the batch's keys;
+    `snapshots.append_all` stores the three under one commit without touching them.
     """
     sold = new_items.groupBy("product_id").agg(F.sum("quantity").alias("_sold"))
     short = stock.join(sold, "product_id").where(F.col("stock") < F.col("_sold"))
@@ -133,8 +143,10 @@ def apply_order_batch(
             F.col("stock")
         ),
     )
-    return (
-        orders.unionByName(new_orders.where(bad == 0)),
-        items.unionByName(new_items.where(bad == 0)),
-        lowered.drop("_sold"),
-    )
+    return OrderBatch(new_orders.where(bad == 0), new_items.where(bad == 0), lowered.drop("_sold"))
+
+
+def apply_order_batch(orders: DataFrame, items: DataFrame, stock: DataFrame, *batch, **keys) -> OrderBatch:
+    """The three tables after `order_batch`."""
+    done = order_batch(orders, items, stock, *batch, **keys)
+    return OrderBatch(orders.unionByName(done.orders), items.unionByName(done.items), done.stock)

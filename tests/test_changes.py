@@ -290,3 +290,105 @@ def test_a_cluster_needs_the_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(Fake(), "x")
+
+
+def files_below(root):
+    """file -> (bytes, change time) of all data files."""
+    import os
+
+    found = {}
+    for folder, _, names in os.walk(root):
+        if "/_log" not in folder:
+            for n in names:
+                if n.endswith(".parquet"):
+                    facts = os.stat(f"{folder}/{n}")
+                    found[f"{folder}/{n}".removeprefix(root)] = (facts.st_size, facts.st_mtime_ns)
+    return found
+
+
+LINES = "id long, line int, name string"
+
+
+def lines_of(spark, ids, name):
+    return spark.createDataFrame([(i, i % 3, name) for i in ids], LINES)
+
+
+def test_a_merge_leaves_untouched_ranges_alone(spark):
+    root = scratch_dir(spark, "ranges")
+    first = lines_of(spark, range(1000), "old")
+    by = snapshots.key_ranges(first, "id", rows=100, least=4)
+    assert by == "`id` div 100"
+    snapshots.publish(first, root, "WRITE", by)
+    before, parts = files_below(root), snapshots.parts(spark, root)
+    assert len(parts) == 10 and sum(p.row_count for p in parts) == 1000
+    assert snapshots.merge(lines_of(spark, [5, 250, 251, 1700, -20], "new"), root, ["id", "line"], "MERGE") == 1
+    after = files_below(root)
+    assert all(after[f] == facts for f, facts in before.items())  # nothing that was there is changed
+    kept = {p.folder for p in parts} & {p.folder for p in snapshots.parts(spark, root)}
+    assert len(kept) == 8  # ranges 0 and 2 are new, so are 17 and that of the negative key, which is 0
+    added = {f.split("/_part=")[1].split("/")[0] for f in after if f not in before}
+    assert added == {"0", "2", "17"}
+    want = [(i, i % 3, "new" if i in (5, 250, 251) else "old") for i in range(1000)] + [(1700, 2, "new"), (-20, 1, "new")]
+    assert rows(snapshots.read(spark, root)) == sorted(want, key=str)
+    assert rows(snapshots.read(spark, root, 0)) == rows(first)
+    assert [(r.version, r.operation, r.row_count) for r in snapshots.history(spark, root).collect()] == [(1, "MERGE", 1002), (0, "WRITE", 1000)]
+
+
+def test_a_merge_reads_only_the_ranges_it_touches(spark):
+    root = scratch_dir(spark, "ranges")
+    snapshots.publish(lines_of(spark, range(100), "old"), root, "WRITE", "id div 10")
+    seen = {}
+
+    def combine(stored, source):
+        seen["rows"] = stored.count()
+        return M.upsert(stored, source, ["id", "line"])
+
+    snapshots.merge(lines_of(spark, [33, 34, 500], "new"), root, ["id", "line"], "MERGE", combine=combine)
+    assert seen["rows"] == 10 and snapshots.read(spark, root).count() == 101
+    assert snapshots.merge(lines_of(spark, [], "new"), root, ["id", "line"], "MERGE") == 2
+    assert snapshots.read(spark, root).where("name = 'new'").count() == 3
+    with pytest.raises(FileNotFoundError):
+        snapshots.parts(spark, root, 9)
+
+
+def test_null_keys_and_empty_tables_have_a_range(spark):
+    root = scratch_dir(spark, "ranges")
+    snapshots.publish(lines_of(spark, [], "old"), root, "WRITE", "id div 10")
+    assert snapshots.read(spark, root).columns == ["id", "line", "name"] and snapshots.read(spark, root).count() == 0
+    snapshots.merge(spark.createDataFrame([(None, 1, "a"), (3, 1, "b")], LINES), root, ["id", "line"], "MERGE")
+    assert rows(snapshots.read(spark, root)) == [(3, 1, "b"), (None, 1, "a")]
+    plain = scratch_dir(spark, "plain")
+    snapshots.publish(lines_of(spark, [1], "old"), plain, "WRITE")
+    with pytest.raises(ValueError, match="not stored by key ranges"):
+        snapshots.merge(lines_of(spark, [1], "new"), plain, ["id"], "MERGE")
+
+
+def test_what_an_append_writes_grows_with_the_batch(spark):
+    root = scratch_dir(spark, "shop")
+    stock = spark.range(50)
+    snapshots.publish_all({"orders": spark.range(200_000), "items": spark.range(300_000), "stock": stock}, root, "WRITE")
+    sizes = []
+    for n in (10, 10_000):
+        before = files_below(root)
+        snapshots.append_all(spark, root, f"BATCH {n}", {"orders": spark.range(n), "items": spark.range(2 * n)}, {"stock": stock})
+        after = files_below(root)
+        assert all(after[f] == facts for f, facts in before.items())
+        sizes.append(sum(size for f, (size, _) in after.items() if f not in before))
+    whole = sum(size for size, _ in files_below(f"{root}/v=0").values())
+    assert sizes[0] < sizes[1] < whole / 5
+    assert [snapshots.read_table(spark, root, t).count() for t in ("orders", "items", "stock")] == [210_010, 320_020, 50]
+    assert snapshots.history(spark, root).first()["row_count"] == 210_010 + 320_020 + 50
+    assert snapshots.read_table(spark, root, "orders", 1).count() == 200_010
+
+
+def test_a_stream_rewrites_only_its_ranges(spark):
+    root = scratch_dir(spark, "table")
+    schema = "id long, name string, stamp string"
+    merge = lambda n, *rows_: merge_batch(spark.createDataFrame(rows_, schema), n, root, ["id"], "stamp", [], "id div 10")
+    merge(0, *[(i, "x", "2024-02-01") for i in range(50)])
+    first = {p.folder for p in snapshots.parts(spark, root)}
+    merge(1, (7, "late", "2024-01-01"), (8, "new", "2024-03-01"), (60, "first", "2023-01-01"))
+    merge(1, (9, "again", "2025-01-01"))
+    assert len(first & {p.folder for p in snapshots.parts(spark, root)}) == 4
+    changed = snapshots.read(spark, root).where("name <> 'x'")
+    assert rows(changed, "id", "name") == [(60, "first"), (8, "new")]
