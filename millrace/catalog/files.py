@@ -147,13 +147,18 @@ def src_namespace(spark, sf):
     return _in_namespace(spark, "geo", work)
 
 
-# One text file per region, its lines in a fixed order, so that a statement can rebuild every byte.
-_REGION_LINES = """regions AS (SELECT n_regionkey AS region, c_custkey,
+# One file per region and 10,000 customer keys, its lines in a fixed order, so that a statement can rebuild every byte.
+_KEYS_A_FILE = 10_000
+_REGION_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+_REGION_FILES = f"""regions AS (SELECT 'part=' || n_regionkey || '-' || (c_custkey // {_KEYS_A_FILE}) AS folder, c_custkey,
         concat_ws('|', CAST(c_custkey AS STRING), c_name, CAST(c_nationkey AS STRING), c_mktsegment) AS line
         FROM customer JOIN nation ON n_nationkey = c_nationkey),
-    bodies AS (SELECT 'region=' || region AS folder, string_agg(line, chr(10) ORDER BY c_custkey) || chr(10) AS body,
-        count(*) AS lines FROM regions GROUP BY region)"""
-_REGION_SCHEMA = "struct<c_custkey:bigint,c_name:string,c_nationkey:int,c_mktsegment:string>"
+    bodies AS (SELECT folder, '{'|'.join(_REGION_COLUMNS)}' || chr(10) || string_agg(line, chr(10) ORDER BY c_custkey) || chr(10) AS body,
+        count(*) + 1 AS lines FROM regions GROUP BY folder)"""
+_SPARK_TYPES = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float'
+    WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+    WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'DOUBLE[]' THEN 'array<double>' ELSE data_type END"""
+_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()
 
 
 def _region_files(spark, sf):
@@ -161,35 +166,44 @@ def _region_files(spark, sf):
     people = tables.load(spark, sf, "customer").join(
         tables.load(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey")
     )
-    line = F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name", F.col("c_nationkey").cast("string"), "c_mktsegment")
-    rows = people.select(F.col("n_regionkey").alias("region"), "c_custkey", line.alias("line"))
-    dealt = rows.repartition("region").sortWithinPartitions("region", "c_custkey")
-    dealt.select("region", "line").write.partitionBy("region").text(path)
+    part = F.concat_ws("-", "n_regionkey", F.floor(F.col("c_custkey") / _KEYS_A_FILE))
+    rows = people.select(part.alias("part"), *_REGION_COLUMNS)
+    dealt = rows.repartition("part").sortWithinPartitions("part", "c_custkey")
+    dealt.write.options(header=True, sep="|").partitionBy("part").csv(path)
     return path
 
 
 @query(
     "src_file_metadata",
-    f"""WITH {_REGION_LINES} SELECT true AS file_exists, folder, 'File' AS item_type, 'txt' AS extension,
-        CAST(octet_length(encode(body)) AS BIGINT) AS size_bytes, 4 AS column_count, '{_REGION_SCHEMA}' AS structure FROM bodies""",
+    f"""WITH {_REGION_FILES} SELECT true AS file_exists, folder, 'File' AS item_type, 'csv' AS extension,
+        CAST(octet_length(encode(body)) AS BIGINT) AS size_bytes, {len(_REGION_COLUMNS)} AS column_count,
+        'struct<{','.join(f'{c}:string' for c in _REGION_COLUMNS)}>' AS structure FROM bodies
+        UNION ALL SELECT true, table_name, 'File', 'parquet', NULL, CAST(count(*) AS INTEGER),
+        'struct<' || string_agg(column_name || ':' || {_SPARK_TYPES}, ',' ORDER BY ordinal_position) || '>'
+        FROM information_schema.columns WHERE table_name IN ({', '.join(f"'{t}'" for t in _TABLES)}) GROUP BY table_name""",
 )
 def src_file_metadata(spark, sf):
-    """Facts and structure of every file of a folder."""
-    shape = tables.load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").schema
-    known = {f"region={i}": shape for i in range(tables.load(spark, sf, "region").count())}
-    facts = files.file_metadata(spark, _region_files(spark, sf), "*.txt", known)
-    return facts.drop("item_name", "last_modified")
+    """Facts and structure of the region files, and the structure of every table's files, as a footer says it.
+
+    SQL cannot see the size of a table's file, so only that of the region files is given.
+    """
+    made = files.file_metadata(spark, _region_files(spark, sf), "*.csv", "|").drop("item_name", "last_modified")
+    found = files.file_metadata(spark, sf, "*.parquet")
+    table = F.array_join(F.filter(F.array("folder", "item_name"), lambda x: x.endswith(".parquet")), "/")
+    name = F.regexp_extract(table, r"^([^./]+)\.parquet", 1)
+    stored = found.select("file_exists", name.alias("folder"), "item_type", "extension", "column_count", "structure").distinct()
+    return made.unionByName(stored, allowMissingColumns=True)
 
 
 @query(
     "src_file_md5",
-    f"""WITH {_REGION_LINES} SELECT folder, CAST(octet_length(encode(body)) AS BIGINT) AS size_bytes, md5(body) AS md5,
+    f"""WITH {_REGION_FILES} SELECT folder, CAST(octet_length(encode(body)) AS BIGINT) AS size_bytes, md5(body) AS md5,
         lines FROM bodies""",
 )
 def src_file_md5(spark, sf):
     path = _region_files(spark, sf)
-    sums = files.file_md5(spark, path, "*.txt").drop("item_name")
-    return sums.join(files.text_fingerprint(spark, path, "*.txt").select("folder", "lines"), "folder")
+    sums = files.file_md5(spark, path, "*.csv").drop("item_name")
+    return sums.join(files.text_fingerprint(spark, path, "*.csv").select("folder", "lines"), "folder")
 
 
 # --- writers -----------------------------------------------------------------------------

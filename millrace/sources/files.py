@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import csv
+import hashlib
+from io import TextIOWrapper
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType
 
-from millrace.functions.exprs import label_of
 from millrace.sources import records
 
 
@@ -87,10 +92,13 @@ def rows_to_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-MAX_ROW_BYTES = 2**31 - 1  # what one row of a table can hold
+ROW_BYTES = 64 << 20  # a larger file is streamed by its task, not loaded as one row
+PIECE_BYTES = 8 << 20
+FILES_A_TASK = 64  # whose structure one task reads
 
 
 def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Spark's listing of all files below `path`, which leaves out empty ones."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -104,39 +112,54 @@ def _names() -> list[Column]:
     return [F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("item_name")]
 
 
-def schemas_in(spark: SparkSession, path: str, glob: str = "*.parquet") -> dict[str, StructType]:
-    """Folder or file name -> columns, for every Parquet table directly below `path`."""
-    below = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{glob}")
-    found = below.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(below) or []
-    return {f.getPath().getName(): spark.read.parquet(f.getPath().toString()).schema for f in found}
+def _opened(uri: str):
+    """A stream over a file, from whatever store pyarrow finds the address in."""
+    store, path = pafs.FileSystem.from_uri(uri)
+    return store.open_input_file(path)
 
 
-def file_metadata(
-    spark: SparkSession, path: str, glob: str = "*", schemas: Mapping[str, StructType] | None = None
-) -> DataFrame:
-    """Name, type, size, change time and, where `schemas` has the file or its folder, the columns.
+def structure_of(uri: str, delimiter: str = ",") -> tuple[int, str] | None:
+    """(columns, structure) of a file: the footer of a Parquet file, else the names in the first record, all text.
+
+    A file without a first record has no structure.
+    """
+    with _opened(uri) as file:
+        if file.size() >= 12 and file.read(4) == b"PAR1":
+            schema = from_arrow_schema(pq.read_schema(file), prefer_timestamp_ntz=True)
+            return len(schema.fields), schema.simpleString()
+        file.seek(0)
+        text = TextIOWrapper(file, "utf-8-sig", newline="")
+        first = next((r for r in csv.reader(text, delimiter=delimiter) if r), None)
+        text.detach()
+    if first is None:
+        return None
+    return len(first), StructType([StructField(c, StringType()) for c in first]).simpleString()
+
+
+def file_metadata(spark: SparkSession, path: str, glob: str = "*", delimiter: str = ",") -> DataFrame:
+    """Name, type, size, change time and structure of every file, a row each.
 
-    The content is not read.  `schemas_in` lists a folder's tables.
+    Tasks read the files' footers or first records, never the rest; the listing is Spark's own.
     """
-    known = schemas or {}
+    listed = _files(spark, path, glob).select("path", "length", "modificationTime")
 
-    def from_schema(facts: dict) -> Column:
-        if not facts:
-            return F.lit(None)
-        return F.coalesce(label_of("item_name", facts), label_of("folder", facts))
+    def shapes(batches):
+        for b in batches:
+            found = [structure_of(p, delimiter) or (None, None) for p in b["path"].to_pylist()]
+            b = b.append_column("column_count", pa.array([n for n, _ in found], pa.int32()))
+            yield b.append_column("structure", pa.array([t for _, t in found], pa.string()))
 
-    count = from_schema({f: len(s.fields) for f, s in known.items()})
-    shape = from_schema({f: s.simpleString() for f, s in known.items()})
-    return _files(spark, path, glob).select(*_names(), "length", "modificationTime").select(
+    dealt = listed.repartition(max(1, -(-listed.count() // FILES_A_TASK)))
+    known = dealt.mapInArrow(shapes, "path string, length long, modificationTime timestamp, column_count int, structure string")
+    return known.select(
         F.lit(True).alias("file_exists"),
-        "folder",
-        "item_name",
+        *_names(),
         F.lit("File").alias("item_type"),
-        F.element_at(F.split("item_name", r"\."), -1).alias("extension"),
+        F.element_at(F.split(F.element_at(F.split("path", "/"), -1), r"\."), -1).alias("extension"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("last_modified"),
-        count.cast("int").alias("column_count"),
-        shape.cast("string").alias("structure"),
+        "column_count",
+        "structure",
     )
 
 
@@ -147,16 +170,32 @@ def size_bytes(spark: SparkSession, path: str, glob: str = "*") -> int | None:
     return _files(spark, path, glob).agg(F.sum("length")).first()[0] or 0
 
 
-def file_md5(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """MD5 per file, the whole content in one row; `text_fingerprint` has no such limit."""
-    large = _files(spark, path, glob).where(F.col("length") > MAX_ROW_BYTES).select("path").limit(1).collect()
-    if large:
-        raise ValueError(f"{large[0]['path']} is larger than a row can be; use text_fingerprint")
-    return _files(spark, path, glob).select(
-        *_names(),
-        F.col("length").alias("size_bytes"),
-        F.md5("content").alias("md5"),
-    )
+def file_md5(spark: SparkSession, path: str, glob: str = "*", row_bytes: int = ROW_BYTES, piece: int = PIECE_BYTES) -> DataFrame:
+    """(folder, item_name, size_bytes, md5) of every file, whatever its size.
+
+    A digest is taken in order, so a file is one task's work.  Files up to `row_bytes` are loaded by Spark's
+    own reader; a larger one is streamed in pieces of `piece` bytes, so the task holds one piece.
+    """
+    files = _files(spark, path, glob)
+    small = files.where(F.col("length") <= row_bytes).select("path", "length", F.md5("content").alias("md5"))
+    large = files.where(F.col("length") > row_bytes).select("path", "length")
+    n = large.count()
+    if n:
+
+        def digests(batches):
+            for b in batches:
+                yield b.append_column("md5", pa.array([_streamed_md5(p, piece) for p in b["path"].to_pylist()], pa.string()))
+
+        small = small.unionByName(large.repartition(n).mapInArrow(digests, "path string, length long, md5 string"))
+    return small.select(*_names(), F.col("length").alias("size_bytes"), "md5")
+
+
+def _streamed_md5(uri: str, piece: int) -> str:
+    digest = hashlib.md5()
+    with _opened(uri) as file:
+        while data := file.read(piece):
+            digest.update(data)
+    return digest.hexdigest()
 
 
 def text_fingerprint(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

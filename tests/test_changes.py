@@ -142,10 +142,36 @@ def test_stream_merges_each_batch_once(spark):
 
 
 def test_every_file_of_a_folder_has_a_structure(spark, sf):
-    known = files.schemas_in(spark, sf)
-    facts = files.file_metadata(spark, sf, "*.parquet", known).collect()
-    assert len(facts) >= len(known) == 14
-    assert all(r["structure"] and r["column_count"] > 0 for r in facts)
+    """Footers say what Spark's own reader says of each table."""
+    facts = {r["item_name"].split(".")[0]: r for r in files.file_metadata(spark, sf, "*.parquet").collect()}
+    assert len(facts) == 14
+    for name, r in facts.items():
+        schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
+        assert (r["column_count"], r["structure"]) == (len(schema.fields), schema.simpleString())
+
+
+def test_structure_of_text_files(spark, tmp_path):
+    texts = {"e.csv": "\n\n", "a.csv": '\ufeffx,"two, ""q""\nlines",z\n1,2,3\n', "b.csv": "", "c.csv": "\n\nonly", "d.csv": "x" * 100_000 + ",y\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, encoding="utf-8", newline="")
+    got = {r["item_name"]: (r["column_count"], r["structure"]) for r in files.file_metadata(spark, str(tmp_path), "*.csv").collect()}
+    assert got == {
+        "a.csv": (3, 'struct<x:string,two, "q"\nlines:string,z:string>'),  # b.csv is empty, so not listed
+        "e.csv": (None, None), "c.csv": (1, "struct<only:string>"), "d.csv": (2, f"struct<{'x' * 100_000}:string,y:string>"),
+    }
+    assert files.file_metadata(spark, str(tmp_path), "*.none").count() == 0
+
+
+@pytest.mark.parametrize("row_bytes, piece", [(1 << 20, 7), (1000, 7), (0, 1 << 20)])
+def test_md5_of_files_of_any_size(spark, tmp_path, row_bytes, piece):
+    """Small files as rows, large ones in pieces: the same digests."""
+    import hashlib
+
+    bodies = {f"{n}.bin": bytes(i * 7 % 256 for i in range(n)) for n in (1, 6, 7, 8, 999, 1000, 1001, 50_000)}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    got = rows(files.file_md5(spark, str(tmp_path), "*.bin", row_bytes, piece), "item_name", "size_bytes", "md5")
+    assert got == sorted([(n, len(b), hashlib.md5(b).hexdigest()) for n, b in bodies.items()], key=str)
 
 
 def test_a_fingerprint_sees_changed_lines(spark):
