@@ -10,8 +10,8 @@ from millrace.functions import exprs as X
 from millrace.operators import cleaning as C
 from millrace.operators import quality as Q
 from millrace.plans import care, chains, superstore
-from millrace.session import scratch_dir, staged
-from millrace.sources import files, sinks, tables
+from millrace.session import scratch_dir
+from millrace.sources import files, sinks, snapshots, tables
 from millrace.sources.schemas import SALES_FILE_COLUMNS, SALES_FILE_MIN_ROWS, SALES_FILE_NUMERIC
 
 AS_OF = "2000-01-01"
@@ -413,12 +413,10 @@ def dq_report(spark, sf):
         UNION ALL SELECT 'null_rows', missing, missing = 0 FROM m"""),
 )
 def dq_gate(spark, sf):
-    """Keep the latest row per line, then the gate must hold; it raises if it does not."""
-    latest = dq_keep_latest(spark, sf)
-    checks = Q.gate_checks(latest, ["order_id", "line_number"], ["order_id", "line_number", "ship_date"])
-    checks = staged(checks, "checks")  # run once, read by the gate and by the caller
-    Q.require(checks)
-    return checks
+    """The latest row per line becomes a version if the gate holds, all in one job; it raises if it does not."""
+    root, keys = scratch_dir(spark, "gated"), ["order_id", "line_number"]
+    write = lambda rows, gate: snapshots.publish(rows, root, "CLEAN", gate=gate)
+    return Q.observed_gate(dq_keep_latest(spark, sf), keys, [*keys, "ship_date"], write)
 
 
 _TYPED_CUSTOMERS = """SELECT TRY_CAST(customer_id AS BIGINT) AS customer_id, name, email, TRY_CAST(age AS DOUBLE) AS age FROM u"""
@@ -436,8 +434,9 @@ _TYPED_CUSTOMERS = """SELECT TRY_CAST(customer_id AS BIGINT) AS customer_id, nam
         SELECT *, coalesce(lag(rows_left) OVER (ORDER BY step) - rows_left, 0) AS rows_removed FROM c""",
 )
 def dq_stage_counts(spark, sf):
-    """The customer chain, row duplicates and repeated e-mails included."""
-    return Q.step_counts(chains.customer_steps(_raw(spark, sf, "customers")))
+    """The customer chain, row duplicates and repeated e-mails included, counted while its result is stored."""
+    root = scratch_dir(spark, "customers")
+    return Q.step_counts(_raw(spark, sf, "customers"), chains.CUSTOMER_STEPS, lambda df: snapshots.publish(df, root, "CLEAN"))
 
 
 # --- rules -----------------------------------------------------------------------------

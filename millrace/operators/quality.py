@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.exprs import is_blank
+from millrace.session import metrics, rows_seen
 
 
 class QualityError(RuntimeError):
@@ -90,20 +92,57 @@ def stage_counts(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFram
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
-def step_counts(steps: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Rows left after each step of a chain, and how many the step took: one row per step.
+Step = tuple[str, Callable[[DataFrame], DataFrame]]
 
-    Unlike `stage_counts` the steps may be anything, row duplicates included; each is counted once, so a
-    step that later ones start from should be staged.
+
+def step_counts(raw: DataFrame, steps: Sequence[Step], write: Callable[[DataFrame], object]) -> DataFrame:
+    """Rows left after each step of a chain, and how many the step took, counted while `write` runs the chain once.
+
+    Unlike `stage_counts` the steps may be anything, row duplicates included.  A step's rows are observed in
+    the job that writes its result.  Where that job had to run tasks again, which may count rows twice, each
+    step is counted by a job of its own.
     """
-    out = None
-    for i, (name, df) in enumerate(steps):
-        one = df.agg(F.count(F.lit(1)).alias("rows_left")).select(
-            F.lit(i).alias("step"), F.lit(name).alias("stage"), "rows_left"
-        )
-        out = one if out is None else out.unionByName(one)
-    before = F.lag("rows_left").over(Window.partitionBy(F.lit(0)).orderBy("step"))
-    return out.withColumn("rows_removed", F.coalesce(before - F.col("rows_left"), F.lit(0).cast("long")))
+    spark, frames, seen = raw.sparkSession, [raw], [Observation()]
+    df = raw.observe(seen[0], F.count(F.lit(1)).alias("rows"))
+    for _, step in steps:
+        seen.append(Observation())
+        frames.append(step(frames[-1]))
+        df = step(df).observe(seen[-1], F.count(F.lit(1)).alias("rows"))
+    with _Watched(spark) as jobs:
+        write(df)
+    if jobs.ran_again():
+        counts = [f.count() for f in frames]
+    else:
+        counts = [rows_seen(o, f) for o, f in zip(seen, frames)]
+    names = ["raw", *[n for n, _ in steps]]
+    rows = [(i, n, c, max(0, counts[max(i - 1, 0)] - c)) for i, (n, c) in enumerate(zip(names, counts))]
+    return spark.createDataFrame(rows, "step int, stage string, rows_left long, rows_removed long")
+
+
+class _Watched:
+    """The jobs that a block starts on this thread."""
+
+    def __init__(self, spark: SparkSession):
+        self.context, self.group = spark.sparkContext, f"watched-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> _Watched:
+        self.before = self.context.getLocalProperty(_GROUP)
+        self.context.setLocalProperty(_GROUP, self.group)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.context.setLocalProperty(_GROUP, self.before)
+
+    def ran_again(self) -> bool:
+        """True if a task failed or a stage was tried again, or Spark does not know any more."""
+        tracker = self.context.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(self.group)]
+        stages = [tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds]
+        ran = [s for s in stages if s is not None]
+        return not all(jobs) or any(s.numFailedTasks or s.currentAttemptId or s.numCompletedTasks > s.numTasks for s in ran)
+
+
+_GROUP = "spark.jobGroup.id"
 
 
 # --- checks -------------------------------------------------------------------
@@ -289,10 +328,7 @@ def record_summary(
 
 def gate_checks(df: DataFrame, keys: Sequence[str], required: Sequence[str]) -> DataFrame:
     """(check_name, observed, passed) for leftover duplicates and NULLs."""
-    missing = F.lit(False)
-    for c in required:
-        missing = missing | F.col(c).isNull()
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("m"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(_missing(required)).alias("m"))
     row = per_key.agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("long")).alias("duplicate_rows"),
         F.coalesce(F.sum("m"), F.lit(0).cast("long")).alias("null_rows"),
@@ -301,6 +337,39 @@ def gate_checks(df: DataFrame, keys: Sequence[str], required: Sequence[str]) ->
     return out.withColumn("passed", F.col("observed") == 0)
 
 
+def _missing(required: Sequence[str]) -> Column:
+    missing = F.lit(False)
+    for c in required:
+        missing = missing | F.col(c).isNull()
+    return missing
+
+
+def observed_gate(
+    df: DataFrame, keys: Sequence[str], required: Sequence[str], write: Callable[[DataFrame, Callable[[], None]], object]
+) -> DataFrame:
+    """`gate_checks` taken while `write` stores the rows; returns the checks, all passed.
+
+    `write(rows, gate)` stores `rows`, calls `gate` and makes them visible only if that does not raise, as
+    `snapshots.publish` does.  Rows of a key are numbered where they lie together already, so a frame that
+    comes out of a window or aggregate on the keys is not dealt again, and as nothing is dealt behind the
+    checks a task that runs twice counts once.
+    """
+    seen, place = Observation(), Window.partitionBy(*keys).orderBy(*keys)
+    numbered = df.withColumn("_place", F.row_number().over(place))
+    checks = {"duplicate_rows": F.count_if(F.col("_place") > 1), "null_rows": F.count_if(_missing(required))}
+    watched = numbered.observe(seen, *[c.alias(n) for n, c in checks.items()]).drop("_place")
+    result = []
+
+    def gate() -> None:
+        found = metrics(seen, lambda: dict.fromkeys(checks, 0))  # nothing seen: no rows
+        rows = [(n, found[n], found[n] == 0) for n in checks]
+        result.append(df.sparkSession.createDataFrame(rows, "check_name string, observed long, passed boolean"))
+        require(result[0])
+
+    write(watched, gate)
+    return result[0]
+
+
 def require(checks: DataFrame) -> None:
     """Raise if any row of a check table has passed = false (an action on a few rows)."""
     failed = checks.where(~F.col("passed")).collect()

@@ -58,12 +58,13 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     return fill_const(valid_customers(drop_duplicate_rows(raw)), CUSTOMER_DEFAULTS)
 
 
-def customer_steps(raw: DataFrame) -> list[tuple[str, DataFrame]]:
-    """The customer chain step by step, for `quality.step_counts`; shared steps are written once."""
-    unique = staged(drop_duplicate_rows(raw), "unique")
-    known = staged(known_customers(unique), "known")
-    single = staged(one_per_email(known), "single")
-    return [("raw", raw), ("unique_rows", unique), ("complete", known), ("unique_email", single), ("age_in_range", sane_age(single))]
+#: The customer chain step by step, for `quality.step_counts`.
+CUSTOMER_STEPS = [
+    ("unique_rows", drop_duplicate_rows),
+    ("complete", known_customers),
+    ("unique_email", one_per_email),
+    ("age_in_range", sane_age),
+]
 
 
 def valid_products(raw: DataFrame) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Runtime settings every plan in this package assumes.  They only steer the
 # physical plan (adaptive skew handling, time zone), never the result, except
@@ -44,6 +46,22 @@ def configure(spark: SparkSession) -> SparkSession:
 _CREATED: dict[str, list[str]] = {}  # scratch folders by application
 
 
+def metrics(seen: Observation, otherwise: Callable[[], dict]) -> dict:
+    """What an observation saw; `otherwise` where it saw nothing at all.
+
+    Where the optimiser finds out that no row can come, it takes the observation out of the plan with the rest.
+    """
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return otherwise()
+
+
+def rows_seen(seen: Observation, df: DataFrame) -> int:
+    """The observed count named `rows` of what was written from `df`."""
+    return metrics(seen, lambda: {"rows": df.count()})["rows"]
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the cluster's shared `spark.checkpoint.dir`.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.cleaning import first_per_key
 from millrace.operators.windows import Order
+from millrace.session import metrics
 from millrace.sources.files import path_exists, read_csv_typed
 from millrace.sources.sinks import write_csv
 
@@ -46,7 +47,7 @@ def conditional_copy(
     typed = read_csv_typed(spark, source, schema, corrupt=_MALFORMED)
     typed = typed.observe(seen, F.count(_MALFORMED).alias("malformed")).drop(_MALFORMED)
     rows = write_csv(typed, target)
-    return CopyResult(target, rows, seen.get["malformed"])
+    return CopyResult(target, rows, metrics(seen, lambda: {"malformed": 0})["malformed"])  # nothing seen: no rows
 
 
 def split_dimension(flat: DataFrame, key: str, attributes: list[str], order: Order) -> DataFrame:

@@ -220,3 +220,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     found = fs.globStatus(target)
     return found is not None and len(found) > 0
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder with all below it; False if there was nothing."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))

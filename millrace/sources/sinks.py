@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import rows_seen
 from millrace.sources.files import CSV_FORMAT, NO_VALUE
 
 
@@ -23,7 +24,7 @@ def write_csv(df: DataFrame, path: str) -> int:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    return seen.get["rows"]
+    return rows_seen(seen, df)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
@@ -33,7 +34,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return seen.get["rows"]
+    return rows_seen(seen, df)
 
 
 def overwrite_table(df: DataFrame, table: str, path: str | None = None) -> int:
@@ -46,7 +47,7 @@ def overwrite_table(df: DataFrame, table: str, path: str | None = None) -> int:
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
-    return seen.get["rows"]
+    return rows_seen(seen, df)
 
 
 def analyze_table(spark: SparkSession, table: str, columns: list[str] | None = None) -> None:
@@ -68,4 +69,4 @@ def write_json_report(report: DataFrame, path: str) -> int:
     seen = Observation()
     watched = report.observe(seen, F.count(F.lit(1)).alias("rows"))
     watched.repartition(1).write.mode("overwrite").json(path)
-    return seen.get["rows"]
+    return rows_seen(seen, report)

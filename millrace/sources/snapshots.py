@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.merge import upsert
-from millrace.sources.files import path_exists
+from millrace.session import rows_seen
+from millrace.sources.files import delete, path_exists
 
 _LOG = "version long, committed_at timestamp, operation string, row_count long"
 _COMMIT = f"{_LOG}, parts array<struct<tbl: string, by: string, part: string, folder: string, row_count: bigint>>"
@@ -74,9 +75,13 @@ def _read_parts(spark: SparkSession, root: str, found: Sequence[Part]) -> DataFr
     return spark.read.parquet(*[f"{root}/{p.folder}".rstrip("/") for p in found])
 
 
-def publish(df: DataFrame, root: str, operation: str, by: str | None = None) -> int:
+def publish(
+    df: DataFrame, root: str, operation: str, by: str | None = None, gate: Callable[[], None] | None = None
+) -> int:
     """Write `df` as the next version and commit it; returns the version.
 
+    `gate` is called between the two: if it raises, what was written is deleted and there is no new version.
+
     With `by`, a whole-number SQL expression of the row such as `key_ranges` gives, rows are stored in a folder
     for each of its values, and `merge` rewrites only the folders it has to.
 
@@ -85,7 +90,7 @@ def publish(df: DataFrame, root: str, operation: str, by: str | None = None) ->
     one writer at a time publish.  A directory left by a writer that died before its commit is skipped
     by taking the next free number.
     """
-    return _publish({"": (df, by)}, root, operation)
+    return _publish({"": (df, by)}, root, operation, gate=gate)
 
 
 def publish_all(tables: Mapping[str, DataFrame], root: str, operation: str) -> int:
@@ -161,6 +166,7 @@ def _publish(
     operation: str,
     kept: Sequence[Part] = (),
     spark: SparkSession | None = None,
+    gate: Callable[[], None] | None = None,
 ) -> int:
     spark = spark or next(iter(tables.values()))[0].sparkSession
     version = current_version(spark, root) + 1
@@ -170,6 +176,12 @@ def _publish(
     with ThreadPoolExecutor(max(1, len(tables))) as pool:  # a short table's jobs need not wait for a long one's
         written = [pool.submit(_write, df, root, folder(name), name, by) for name, (df, by) in tables.items()]
     now = [*kept, *[p for w in written for p in w.result()]]
+    if gate:
+        try:
+            gate()
+        except Exception:
+            delete(spark, f"{root}/v={version}")
+            raise
     rows = sum(p.row_count for p in now)
     commit = spark.createDataFrame([(version, operation, rows, [tuple(p) for p in now])], _COMMIT.replace("committed_at timestamp, ", ""))
     commit = commit.select("version", F.current_timestamp().alias("committed_at"), "operation", "row_count", "parts")
@@ -181,7 +193,7 @@ def _write(df: DataFrame, root: str, folder: str, name: str, by: str | None) ->
     if by is None:
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(f"{root}/{folder}")
-        return [Part(name, None, None, folder, seen.get["rows"])]
+        return [Part(name, None, None, folder, rows_seen(seen, df))]
     cut = df.select("*", _part(by))
     # Rows of a range come together, and adaptive execution splits a range that is too much for a task.
     cut.hint("rebalance", _PART).write.mode("errorifexists").partitionBy(_PART).parquet(f"{root}/{folder}")
