@@ -363,8 +363,8 @@ def observed_gate(
     def gate() -> None:
         found = metrics(seen, lambda: dict.fromkeys(checks, 0))  # nothing seen: no rows
         rows = [(n, found[n], found[n] == 0) for n in checks]
+        _require([(name, n) for name, n, passed in rows if not passed])
         result.append(df.sparkSession.createDataFrame(rows, "check_name string, observed long, passed boolean"))
-        require(result[0])
 
     write(watched, gate)
     return result[0]
@@ -372,9 +372,12 @@ def observed_gate(
 
 def require(checks: DataFrame) -> None:
     """Raise if any row of a check table has passed = false (an action on a few rows)."""
-    failed = checks.where(~F.col("passed")).collect()
+    _require([(r["check_name"], r["observed"]) for r in checks.where(~F.col("passed")).collect()])
+
+
+def _require(failed: Sequence[tuple[str, object]]) -> None:
     if failed:
-        raise QualityError("; ".join(f"{r['check_name']}: {r['observed']}" for r in failed))
+        raise QualityError("; ".join(f"{name}: {observed}" for name, observed in failed))
 
 
 # --- rules with quarantine --------------------------------------------------------

@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,7 +175,8 @@ def _publish(
         version += 1
     folder = lambda name: f"v={version}/{name}".rstrip("/")
     with ThreadPoolExecutor(max(1, len(tables))) as pool:  # a short table's jobs need not wait for a long one's
-        written = [pool.submit(_write, df, root, folder(name), name, by) for name, (df, by) in tables.items()]
+        write = inheritable_thread_target(_write)  # the jobs belong to the caller's group
+        written = [pool.submit(write, df, root, folder(name), name, by) for name, (df, by) in tables.items()]
     now = [*kept, *[p for w in written for p in w.result()]]
     if gate:
         try:

@@ -50,6 +50,32 @@ def test_steps_are_counted_apart_where_tasks_ran_again(spark, monkeypatch):
     assert Q.step_counts(raw, STEPS, lambda df: snapshots.publish(df, root, "AGAIN")).collect() == want
 
 
+def test_the_writing_job_is_watched(spark):
+    """A task that fails once is seen; the counts are right all the same."""
+    folder = scratch_dir(spark, "flaky")
+    os.makedirs(folder)
+
+    def flaky(batches):
+        import os as o
+
+        yield from batches
+        try:
+            o.mkdir(f"{folder}/failed")
+        except FileExistsError:
+            return
+        raise RuntimeError("once")
+
+    with Q._Watched(spark) as jobs:
+        snapshots.publish(frame(spark), scratch_dir(spark, "calm"), "CLEAN")
+    assert not jobs.ran_again() and spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+    with Q._Watched(spark) as jobs:
+        try:
+            snapshots.publish(frame(spark).mapInArrow(flaky, SCHEMA), scratch_dir(spark, "flaky"), "CLEAN")
+        except Exception:
+            pass  # a local session does not try a task again
+    assert jobs.ran_again()
+
+
 def test_no_copy_is_staged_for_the_counts(spark, sf, monkeypatch):
     import millrace.plans.chains as chains
 
