@@ -6,13 +6,11 @@ returns what it reads back, so the statement to match is the one on the source t
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from millrace.catalog import dirt
 from millrace.catalog.quality import REPORT_SQL, SALES_FILE_SQL, SUMMARY_SQL, raw, sales_csv, sales_file, sales_report
-from millrace.catalog.registry import money, query, star
+from millrace.catalog.registry import in_namespace, money, query, star
 from millrace.operators import quality as Q
 from millrace.operators.cleaning import drop_null, latest_per_key
 from millrace.plans import superstore
@@ -99,21 +97,6 @@ def src_rows(spark, sf):
     return counts.join(states, "status").select("label", "orders")
 
 
-def _in_namespace(spark, label, work):
-    """Run `work` with a new namespace current, step back and take the namespace away.
-
-    Its tables lie in the scratch folder, so what `work` returns can still be read.
-    """
-    name = f"{label}_{uuid.uuid4().hex}"
-    before, tables_at = spark.catalog.currentDatabase(), scratch_dir(spark, f"{label}-tables")
-    sinks.use_namespace(spark, name, scratch_dir(spark, label))
-    try:
-        return work(name, tables_at)
-    finally:
-        spark.catalog.setCurrentDatabase(before)
-        spark.sql(f"DROP SCHEMA {name} CASCADE")
-
-
 @query("src_table", "SELECT * FROM supplier")
 def src_table(spark, sf):
     def work(name, path):
@@ -121,7 +104,7 @@ def src_table(spark, sf):
         sinks.analyze_table(spark, f"{name}.supplier_master", ["s_suppkey"])
         return spark.table(f"{name}.supplier_master")
 
-    return _in_namespace(spark, "care", work)
+    return in_namespace(spark, "care", work)
 
 
 _BY_TYPE = """SELECT p_type, count(*) AS products, CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) AS list_value
@@ -144,7 +127,7 @@ def src_namespace(spark, sf):
             "n_name", "n_regionkey"
         )
 
-    return _in_namespace(spark, "geo", work)
+    return in_namespace(spark, "geo", work)
 
 
 # One file per region and 10,000 customer keys, its lines in a fixed order, so that a statement can rebuild every byte.
@@ -239,7 +222,7 @@ def sink_table_overwrite(spark, sf):
         n = sinks.overwrite_table(rows.select("customer_id", "name", "country"), f"{name}.customer_master", f"{path}/customers")
         return spark.table(f"{name}.customer_master").withColumn("rows_written", F.lit(n).cast("long"))
 
-    return _in_namespace(spark, "shop", work)
+    return in_namespace(spark, "shop", work)
 
 
 def _publish_lines(spark, sf):

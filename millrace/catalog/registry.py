@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import configure
+from millrace.session import configure, scratch_dir
+from millrace.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +38,21 @@ def query(key: str, sql: str | None = None):
     return add
 
 
+def in_namespace(spark, label, work):
+    """Run `work` with a new namespace current, step back and take the namespace away.
+
+    Its tables lie in the scratch folder, so what `work` returns can still be read.
+    """
+    name = f"{label}_{uuid.uuid4().hex}"
+    before, tables_at = spark.catalog.currentDatabase(), scratch_dir(spark, f"{label}-tables")
+    sinks.use_namespace(spark, name, scratch_dir(spark, label))
+    try:
+        return work(name, tables_at)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP SCHEMA {name} CASCADE")
+
+
 # The entity tables of millrace.sources.tables, said in SQL.
 _ENTITIES = """
 cust AS (SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS city,

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from millrace.catalog.registry import AS_OF, big, mean, money, pct, query, star
+from millrace.catalog.registry import AS_OF, ORACLES, big, in_namespace, mean, money, pct, query, star
 from millrace.functions import exprs as X
 from millrace.operators import relational as R
 from millrace.operators.cleaning import exact_median, not_after
 from millrace.operators.windows import row_numbers
 
-from millrace.plans import superstore
+from millrace.plans import commerce, superstore
 from millrace.plans.commerce import QUARTILE_LABELS, counted
-from millrace.sources import tables
+from millrace.session import scratch_dir, staged
+from millrace.sources import layout, tables
 
 # --- projections ----------------------------------------------------------------
 
@@ -201,6 +204,34 @@ def flt_sargable_year(spark, sf):
     )
 
 
+@query("flt_year_partitioned", ORACLES["flt_sargable_year"])
+def flt_year_partitioned(spark, sf):
+    """Orders stored by month; the year's folders are the only ones opened."""
+    stored = layout.write_monthly(tables.orders(spark, sf), "order_date", scratch_dir(spark, "monthly"))
+    return stored.where(layout.stored_in_year("order_date", 1998)).select(
+        "order_id", "order_date", F.col("amount").cast("double").alias("amount")
+    )
+
+
+@query(
+    "com_rev_third_quarter",
+    star(f"""SELECT strftime(order_date, '%Y-%m') AS year_month, count(DISTINCT order_id) AS num_orders,
+        {big('sum(quantity)')} AS units_sold, {money('sum(revenue)')} AS monthly_revenue
+        FROM sold WHERE quarter(order_date) = 3 GROUP BY 1"""),
+)
+def com_rev_third_quarter(spark, sf):
+    """Orders stored by month meet a calendar; which folders it needs is found while the query runs."""
+    s = tables.star(spark, sf)
+    stored = layout.write_monthly(s.orders, "order_date", scratch_dir(spark, "monthly"))
+    calendar = staged(layout.months_of(stored), "calendar")
+    third = layout.in_months(stored, calendar.where("quarter = 3"))
+    months = commerce.monthly_revenue(replace(s, orders=third), ("P",))
+    return months.select(
+        X.year_month("month_start").alias("year_month"), "num_orders", F.col("units").alias("units_sold"),
+        X.rounded("revenue").alias("monthly_revenue"),
+    )
+
+
 @query(
     "flt_future",
     star("SELECT order_id, order_date FROM ord WHERE order_date <= DATE '2000-01-01'"),
@@ -296,14 +327,7 @@ def join_full(spark, sf):
         JOIN prod p ON p.product_id = i.product_id"""),
 )
 def join_three_way(spark, sf):
-    s = tables.star(spark, sf)
-    return s.items.join(s.orders.select("order_id", "order_date"), "order_id").join(
-        s.products.select("product_id", "name"), "product_id"
-    ).select(
-        "order_id", "order_date", "name", "line_number", "quantity",
-        F.col("gross").cast("double").alias("gross"),
-        F.col("discount").cast("double").alias("discount"),
-    )
+    return commerce.lines_with_product(tables.star(spark, sf))
 
 
 @query(
@@ -313,17 +337,22 @@ def join_three_way(spark, sf):
         JOIN prod p ON p.product_id = s.product_id GROUP BY 1, 2"""),
 )
 def join_star(spark, sf):
-    s = tables.star(spark, sf)
-    facts = s.items.join(counted(s.orders, ("P",)).select("order_id", "customer_id"), "order_id")
-    return (
-        facts.join(s.customers.select("customer_id", "city"), "customer_id")
-        .join(s.products.select("product_id", "category"), "product_id")
-        .groupBy("city", "category")
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            X.rounded(X.money_sum("revenue_units", 4)).alias("revenue"),
-        )
-    )
+    return commerce.revenue_by_city_and_category(tables.star(spark, sf), ("P",))
+
+
+def _bucketed(spark, sf, plan):
+    """`plan` on orders and lines stored in buckets of the order."""
+    return in_namespace(spark, "buckets", lambda name, path: plan(layout.bucketed_star(tables.star(spark, sf), name, path)))
+
+
+@query("join_star_bucketed", ORACLES["join_star"])
+def join_star_bucketed(spark, sf):
+    return _bucketed(spark, sf, lambda s: commerce.revenue_by_city_and_category(s, ("P",)))
+
+
+@query("join_three_way_bucketed", ORACLES["join_three_way"])
+def join_three_way_bucketed(spark, sf):
+    return _bucketed(spark, sf, commerce.lines_with_product)
 
 
 @query(
@@ -431,15 +460,15 @@ def join_left_default(spark, sf):
         AND date_trunc('month', k.order_date) <> f.c GROUP BY 1"""),
 )
 def join_band_residual(spark, sf):
-    """Orders are counted per customer and day before the equi join with the band test."""
+    """Orders are counted per customer and day; days meet the cohorts of their bin only."""
     orders = tables.orders(spark, sf)
     days = counted(orders, ("P",)).groupBy("customer_id", "order_date").agg(
         F.count(F.lit(1)).alias("n")
     )
-    first = _first_months(orders).withColumnRenamed("customer_id", "who")
-    band = F.abs(X.days_between("order_date", "cohort") - 30) <= 15
-    other_month = X.month_start("order_date") != F.col("cohort")
-    hits = days.join(first, (F.col("customer_id") == F.col("who")) & band & other_month)
+    first = _first_months(orders).withColumn("cohort_day", F.unix_date("cohort"))
+    placed = days.withColumn("day", F.unix_date("order_date"))
+    near = R.band_join(placed, first, ["customer_id"], "day", "cohort_day", 15, 45)
+    hits = near.where(X.month_start("order_date") != F.col("cohort"))
     return (
         hits.groupBy("cohort", "customer_id")
         .agg(F.sum("n").alias("n"))
@@ -631,6 +660,22 @@ def agg_count_distinct(spark, sf):
     return orders.join(products, F.col("return_flag").eqNullSafe(F.col("_f"))).drop("_f")
 
 
+@query(
+    "agg_approx_distinct",
+    star("""SELECT CAST(year(order_date) AS INTEGER) AS year, count(DISTINCT customer_id) AS customers, true AS estimate_is_close
+        FROM kept GROUP BY 1"""),
+)
+def agg_approx_distinct(spark, sf):
+    """The exact count per year beside the estimate from stored sketches of its months: 5 % off at most."""
+    s = tables.star(spark, sf)
+    sketches = staged(commerce.customer_sketches(s, ("P",)), "sketches")
+    estimate = commerce.approximate_customers(sketches, F.year("month").alias("year")).withColumnRenamed("customers", "estimate")
+    pairs = counted(s.orders, ("P",)).select(F.year("order_date").alias("year"), "customer_id").distinct()
+    exact = pairs.groupBy("year").agg(F.count("customer_id").alias("customers"))
+    close = F.abs(F.col("estimate") - F.col("customers")) <= F.col("customers") * 0.05 + 1
+    return exact.join(estimate, "year").select("year", "customers", close.alias("estimate_is_close"))
+
+
 @query(
     "agg_group_expr",
     star("""SELECT strftime(order_date, '%Y-%m') AS month, count(*) AS num_orders,
@@ -711,6 +756,18 @@ def agg_crosstab(spark, sf):
     )
 
 
+_NATIONS = ", ".join(f'count(*) FILTER (country = {i}) AS "{i}"' for i in range(25))
+
+
+@query("agg_crosstab_wide", star(f"SELECT city, {_NATIONS} FROM cust GROUP BY city"))
+def agg_crosstab_wide(spark, sf):
+    """One column per nation; a nation without customers anywhere still has one, as the nations are known."""
+    people = tables.customers(spark, sf)
+    wide = R.pivot_counts(people, "city", "country")
+    nations = [str(r[0]) for r in tables.load(spark, sf, "nation").select("n_nationkey").collect()]
+    return wide.select("city", *[(F.col(f"`{n}`") if n in wide.columns else F.lit(0)).cast("long").alias(n) for n in nations])
+
+
 @query(
     "agg_value_counts",
     star("SELECT payment_method, count(*) AS count FROM ord GROUP BY payment_method"),

@@ -46,6 +46,46 @@ def rows_at_group_max(df: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
+def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, center: str, low: int, high: int) -> DataFrame:
+    """Rows of both sides with equal `keys` whose whole number `at` lies `low` to `high` above `center`.
+
+    Numbers fall into bins as wide as the band, and the band of a center meets two bins at most.  So the bin
+    is part of the join key: a key that holds a large part of the rows is dealt over as many tasks as it has
+    bins, and rows far from each other never meet.  Rows without a key or number are in no pair; the `keys`
+    come once, from the left.
+    """
+    width = high - low + 1
+    if width < 1:
+        raise ValueError("the band is empty")
+    bins = F.array_distinct(F.array(*[F.floor((F.col(center) + x) / width) for x in (low, high)]))
+    near = right.where(F.col(center).isNotNull()).withColumn("_bin", F.explode(bins))
+    near = near.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    binned = left.withColumn("_bin", F.floor(F.col(at) / width)).withColumnRenamed("_bin", "_left_bin")
+    on = (F.col("_left_bin") == F.col("_bin")) & (F.col(at) - F.col(center)).between(low, high)
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_r_{k}"))
+    return binned.join(near, on).drop("_bin", "_left_bin", *[f"_r_{k}" for k in keys])
+
+
+def pivot_counts(df: DataFrame, row: str, column: str, most: int = 1000, null_label: str = "none") -> DataFrame:
+    """A column of counts for every label of `column`, 0 where a pair does not occur; NULL has the column `null_label`.
+
+    The labels are found first.  More than `most` of them raise, as does one that reads like `null_label`:
+    nothing is dropped to make the table fit.
+    """
+    text = F.col(column).cast("string")
+    found = [r[0] for r in df.select(text.alias("label")).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} labels")
+    if None in found and null_label in found:
+        raise ValueError(f"{null_label!r} is a label of {column}")
+    labels = sorted(null_label if x is None else x for x in found)
+    if not labels:
+        return df.select(row).distinct()
+    counts = df.groupBy(row, F.coalesce(text, F.lit(null_label)).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.groupBy(row).pivot("_label", labels).agg(F.sum("_n")).fillna(0, labels)
+
+
 def check_limit(limit: int) -> int:
     """Report sizes are 1..1000."""
     if isinstance(limit, bool) or not isinstance(limit, int) or not 1 <= limit <= MAX_LIMIT:

@@ -145,6 +145,42 @@ def revenue_by_category(s: Star, excluded=EXCLUDED) -> DataFrame:
     ).orderBy(F.desc("total_revenue"))
 
 
+def revenue_by_city_and_category(s: Star, excluded=EXCLUDED) -> DataFrame:
+    """Lines and revenue over the whole star."""
+    facts = s.items.join(counted(s.orders, excluded).select("order_id", "customer_id"), "order_id")
+    return (
+        facts.join(s.customers.select("customer_id", "city"), "customer_id")
+        .join(s.products.select("product_id", "category"), "product_id")
+        .groupBy("city", "category")
+        .agg(F.count(F.lit(1)).alias("lines"), rounded(money_sum("revenue_units", 4)).alias("revenue"))
+    )
+
+
+def lines_with_product(s: Star) -> DataFrame:
+    """Every line with its order's day and its product's name."""
+    return s.items.join(s.orders.select("order_id", "order_date"), "order_id").join(
+        s.products.select("product_id", "name"), "product_id"
+    ).select(
+        "order_id", "order_date", "name", "line_number", "quantity",
+        F.col("gross").cast("double").alias("gross"),
+        F.col("discount").cast("double").alias("discount"),
+    )
+
+
+def customer_sketches(s: Star, excluded=EXCLUDED, precision: int = 12) -> DataFrame:
+    """(month, customers): a sketch of the distinct customers of each month, a few kilobytes whatever their number.
+
+    Sketches of any months unite, which distinct counts do not; `precision` 12 errs by about 1.6 %.
+    """
+    month = month_start("order_date").alias("month")
+    return counted(s.orders, excluded).groupBy(month).agg(F.hll_sketch_agg("customer_id", F.lit(precision)).alias("customers"))
+
+
+def approximate_customers(sketches: DataFrame, *period: Column) -> DataFrame:
+    """Distinct customers of each period, from the sketches of its months."""
+    return sketches.groupBy(*period).agg(F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("customers"))
+
+
 def revenue_by_month(s: Star, excluded=EXCLUDED) -> DataFrame:
     return (
         monthly_revenue(s, excluded)
