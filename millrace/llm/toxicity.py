@@ -122,9 +122,9 @@ def lattice(text: str) -> list[list[tuple[str, float]]]:
 def restore(text: str, model: CharModel) -> list[str]:
     """The words of the cheapest path through the lattice under channel and character model (Viterbi)."""
     costs, code = model.costs, _CODES
-    paths = {_BEGIN: (0.0, "")}  # by the last symbols
+    paths: dict[int, tuple] = {_BEGIN: (0.0, None)}  # by the last symbols: cost, and the readings so far, last one first
     for readings in lattice(text) + [[(" ", 0.0)]]:
-        after: dict[int, tuple[float, str]] = {}
+        after: dict[int, tuple] = {}
         for state, (cost, done) in paths.items():
             for reading, extra in readings:
                 s, c = state, cost + extra
@@ -137,9 +137,13 @@ def restore(text: str, model: CharModel) -> list[str]:
                         c += costs[s * _BASE]  # END
                         s = _BEGIN
                 if s not in after or c < after[s][0]:
-                    after[s] = c, done + reading
+                    after[s] = c, (done, reading)
         paths = after
-    return _PIECES.findall(min(paths.values())[1])
+    done, out = paths[_BEGIN][1], []  # every path has ended with the boundary
+    while done is not None:
+        done, reading = done
+        out.append(reading)
+    return _PIECES.findall("".join(reversed(out)))
 
 
 def features(word: str):
@@ -167,14 +171,18 @@ class Restorer:
     With weights at hand, only chunks are decoded in which some weighted feature can turn up at all: its
     outline must be inside the chunk's, or the chunk hold a wild sign.  The others cannot change a score: a
     path through the lattice keeps the outline of each of its words, as all else than a wild sign is either
-    the letter of its outline, dropped where the outline drops it, or a boundary.
+    the letter of its outline, dropped where the outline drops it, or a boundary.  A chunk of letters alone
+    has no boundary inside, so it is one word, and a feature, which is a word or its first letters, can only
+    stand at its front.
     """
 
     def __init__(self, model: CharModel, weights: dict[str, float] | None = None):
         self.model, self.finder = model, None
         if weights is not None:
             self.finder = ahocorasick.Automaton()
-            for f in {outline(f.rstrip("~")) for f in weights} - {""}:
+            self.outlines = {outline(f.rstrip("~")) for f in weights} - {""}
+            self.lengths = sorted({len(f) for f in self.outlines})
+            for f in self.outlines:
                 self.finder.add_word(f, 1)
             self.finder.make_automaton()
 
@@ -183,11 +191,17 @@ class Restorer:
             return True
         return len(self.finder) > 0 and next(self.finder.iter(outline(chunk)), None) is not None
 
+    def hopeful_letters(self, chunk: str) -> bool:
+        if self.finder is None:
+            return True
+        line = outline(chunk)
+        return any(line[:n] in self.outlines for n in self.lengths)
+
     def readings(self, word: str) -> list[str]:
         """Plain words that a chunk without white space may hold, restored ones included."""
         core = word.strip(_EDGE).rstrip("!")
         if core.isalpha():
-            if _TWICE.search(core) and self.hopeful(core):
+            if _TWICE.search(core) and self.hopeful_letters(core):
                 return [core, *restore(core, self.model)]
             return [core]
         core = _FENCE.sub("", core).strip(_EDGE).rstrip("!")

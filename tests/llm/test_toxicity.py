@@ -75,6 +75,71 @@ def test_the_filter_changes_no_score(trained, sign):
     assert [with_filter.evidence(w) for w in words] == [without.evidence(w) for w in words]
 
 
+def test_the_filter_on_letters_changes_no_score(trained):
+    """Chunks of letters alone: repeats, features inside, in front and run together."""
+    model, draw = trained[0], random.Random(9)
+    with_filter, without = (toxicity.Scorer(model.chars, model.weights) for _ in range(2))
+    without.restorer = toxicity.Restorer(model.chars)
+    words, decoded = [], 0
+    for _ in range(4000):
+        parts = "".join(draw.choices([*BAD, *PLAIN, "ii", "l", "é", "ll"], k=draw.randint(1, 3)))
+        words.append("".join(c * draw.choice([1, 1, 1, 2, 3]) for c in parts))
+    assert [with_filter.evidence(w) for w in words] == [without.evidence(w) for w in words]
+    decoded = sum(with_filter.restorer.hopeful_letters(w) for w in words)
+    assert 0 < decoded < len(words) / 2
+    assert decoded < sum(with_filter.restorer.hopeful(w) for w in words)
+
+
+def cheapest(text, model):
+    """The words of the cheapest of all paths through a lattice, each followed to its end."""
+    best = None
+
+    def follow(rest, state, cost, done):
+        nonlocal best
+        if not rest:
+            if best is None or cost < best[0] - 1e-9:
+                best = cost, done
+            return
+        for reading, extra in rest[0]:
+            s, c = state, cost + extra
+            for ch in reading:
+                if ch.isalpha():
+                    at = s * toxicity._BASE + ord(toxicity._CODES[ord(ch)])
+                    c += model.costs[at]
+                    s = at % toxicity._STATES
+                elif s != toxicity._BEGIN:
+                    c += model.costs[s * toxicity._BASE]
+                    s = toxicity._BEGIN
+            follow(rest[1:], s, c, done + reading)
+
+    follow(toxicity.lattice(text) + [[(" ", 0.0)]], toxicity._BEGIN, 0.0, "")
+    return best[0], toxicity._PIECES.findall(best[1])
+
+
+def test_restoring_against_all_paths(trained):
+    model, draw = trained[0].chars, random.Random(4)
+    signs = [*toxicity.LEET, *"abdeilost", ".", "-", " "]
+    for _ in range(150):
+        text = "".join(draw.choice(signs) * draw.choice([1, 1, 2]) for _ in range(draw.randint(1, 6)))
+        cost, words = cheapest(text, model)
+        got = toxicity.restore(text, model)
+        if got != words:  # another path of the same cost
+            assert cheapest(" ".join(got), model)[0] <= cost + 1e-6 or pytest.fail(text)
+
+
+def test_long_chunks_take_time_in_proportion(trained):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        toxicity.restore("ab1+x/" * n, trained[0].chars)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    short, long = min(seconds(20_000) for _ in range(2)), seconds(160_000)
+    assert long < 16 * short + 1  # eight times the text
+
+
 @pytest.mark.parametrize("text", ["st!upid", "i!diot", "los!er", "s!t!u!p!i!d", "s.t!u.p!i.d", "s ! t u p i d"])
 def test_dropped_exclamation_marks(trained, text):
     model = trained[0]
