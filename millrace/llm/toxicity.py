@@ -30,7 +30,7 @@ SWAP, DROP, SHRINK, LITERAL = 1.0, 1.0, 1.0, 4.0
 ORDER = 4  # of the character model: 29 symbols, so at most 29 ** 4 different grams
 START, END, OTHER = "^", "$", "?"
 PREFIXES = (4, 5, 6)
-REMEMBERED = 200_000  # words a worker keeps the result of; beyond that it starts anew
+REMEMBERED = 500_000  # words a worker keeps the result of; beyond that it starts anew
 HELD_WORDS = 60_000  # words a task holds with their counts or features before it hands them on
 
 _EDGE = ".,;:?\"'()[]{}<>-_…«»“”„‘’`~=/\\&%^"
