@@ -18,7 +18,7 @@ SIEVE_BITS = 20  # most substrings are no piece; their highest hash bits tell wi
 MEMO_BITS = 20  # answers about neighbouring pieces that are kept
 BASE = 0x9E3779B97F4A7C15  # odd multiplier of the substring hash
 CHUNK = 2 << 20  # bytes of text whose words are searched together
-REMEMBERED = 120_000  # words a worker keeps the ids of; beyond that it starts anew
+REMEMBERED, REMEMBERED_CHARS = 240_000, 8 << 20  # words a worker keeps the ids of, and their letters; beyond that it starts anew
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # fixed values of the file format
 UNIGRAM, BPE = 1, 2
 
@@ -84,6 +84,7 @@ class Pieces:
         self.touching = {t[i : i + 2] for t in texts for i in range(len(t) - 1)}
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.letters = [0, 0]  # in each
         self.word = re.compile(self._word_pattern())
 
     def _word_pattern(self) -> str:
@@ -218,20 +219,23 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text.  New words are searched together, by length."""
         split = [self.word.findall(self.normalized(t)) for t in texts]
-        for memo in (self.known, self.parts):
-            if len(memo) > REMEMBERED:
+        for i, memo in enumerate((self.known, self.parts)):
+            if len(memo) > REMEMBERED or self.letters[i] > REMEMBERED_CHARS:
                 memo.clear()
+                self.letters[i] = 0
         words = {w: self._parts(w) for w in set().union(*split).difference(self.known)}
         new: dict[int, list[str]] = {}
         for part in {p for parts in words.values() for p in parts}.difference(self.parts):
             new.setdefault(len(part), []).append(part)
         for length, same in new.items():
             rows = max(1, (1 << 18) // length)  # bounds the lattice, whatever the words' length
+            self.letters[1] += length * len(same)
             for at in range(0, len(same), rows):
                 some = same[at : at + rows]
                 self.parts.update(zip(some, self.search(some)))
         for w, parts in words.items():
             self.known[w] = b"".join([self.parts[p] for p in parts])
+            self.letters[0] += len(w)
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
     def _parts(self, word: str) -> list[str]:
