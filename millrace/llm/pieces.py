@@ -18,7 +18,7 @@ SIEVE_BITS = 20  # most substrings are no piece; their highest hash bits tell wi
 MEMO_BITS = 20  # answers about neighbouring pieces that are kept
 BASE = 0x9E3779B97F4A7C15  # odd multiplier of the substring hash
 CHUNK = 2 << 20  # bytes of text whose words are searched together
-REMEMBERED, REMEMBERED_CHARS = 240_000, 8 << 20  # words a worker keeps the ids of, and their letters; beyond that it starts anew
+REMEMBERED, LETTERS_A_WORD = 120_000, 32  # words a worker keeps the ids of, and their letters on average; beyond that it starts anew
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # fixed values of the file format
 UNIGRAM, BPE = 1, 2
 
@@ -85,6 +85,7 @@ class Pieces:
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.letters = [0, 0]  # in each
+        self.remembered = REMEMBERED
         self.word = re.compile(self._word_pattern())
 
     def _word_pattern(self) -> str:
@@ -220,7 +221,7 @@ class Pieces:
         """Little-endian 32-bit ids of each text.  New words are searched together, by length."""
         split = [self.word.findall(self.normalized(t)) for t in texts]
         for i, memo in enumerate((self.known, self.parts)):
-            if len(memo) > REMEMBERED or self.letters[i] > REMEMBERED_CHARS:
+            if len(memo) > self.remembered or self.letters[i] > self.remembered * LETTERS_A_WORD:
                 memo.clear()
                 self.letters[i] = 0
         words = {w: self._parts(w) for w in set().union(*split).difference(self.known)}
@@ -245,6 +246,10 @@ class Pieces:
         cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.touching]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
 
+    def forget(self) -> None:
+        """Give back what words take; a worker lives on when its task is done."""
+        self.known, self.parts, self.letters = {}, {}, [0, 0]
+
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.table.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
@@ -253,10 +258,11 @@ class Pieces:
 _LOADED: dict[str, Pieces] = {}
 
 
-def load(path: str) -> Pieces:
+def load(path: str, remembered: int = REMEMBERED) -> Pieces:
     if path not in _LOADED:
         with open(path, "rb") as f:
             _LOADED[path] = Pieces(f.read())
+    _LOADED[path].remembered = remembered
     return _LOADED[path]
 
 
@@ -292,6 +298,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
         for part in pieces_of(batches, "text", CHUNK):
             ids = _encoded(pieces, part["text"].to_pylist())
             yield pa.record_batch([part["row"], _list_column(ids)], names=["row", "ids"])
+        pieces.forget()
 
     rows, kind = _rows(docs, text_col)
     return rows.mapInArrow(run, kind)
@@ -315,15 +322,19 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.select("row", "ids").mapInArrow(run, f"row {kind}, ids array<int>, decoded string, ids_crc32 long")
 
 
-def round_trip(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
-    """decode(encode(docs)) in one pass over the rows, so that a task needs one worker."""
+def round_trip(docs: DataFrame, model: str, text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
+    """decode(encode(docs)) in one pass over the rows, so that a task needs one worker.
+
+    `remembered` words are kept with their ids: more of them take memory of the worker and save time.
+    """
 
     def run(batches):
-        pieces = load(model)
+        pieces = load(model, remembered)
         for part in pieces_of(batches, "text", CHUNK):
             ids = _encoded(pieces, part["text"].to_pylist())
             columns = [part["row"], _list_column(ids), *_decoded_columns(pieces, ids)]
             yield pa.record_batch(columns, names=["row", "ids", "decoded", "ids_crc32"])
+        pieces.forget()
 
     rows, kind = _rows(docs, text_col)
     return rows.mapInArrow(run, f"{kind}, decoded string, ids_crc32 long")

@@ -140,7 +140,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_sentencepiece")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    found = pieces.round_trip(load(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    found = pieces.round_trip(load(spark, sf_dir, "documents").select("doc_id", "text"), model, remembered=240_000)
     return found.select(
         F.col("row.doc_id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
@@ -154,7 +154,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = toxicity.train(docs, load(spark, sf_dir, "labels"), folds=5, held_out=0)
-    found = toxicity.scored(docs, model)
+    found = toxicity.scored(docs, model, remembered=500_000)
     held_out = F.coalesce(toxicity.fold_of(F.col("row.doc_id"), 5) == 0, F.lit(False))
     return found.select(
         F.col("row.doc_id").alias("doc_id"),

@@ -30,7 +30,7 @@ SWAP, DROP, SHRINK, LITERAL = 1.0, 1.0, 1.0, 4.0
 ORDER = 4  # of the character model: 29 symbols, so at most 29 ** 4 different grams
 START, END, OTHER = "^", "$", "?"
 PREFIXES = (4, 5, 6)
-REMEMBERED = 500_000  # words a worker keeps the result of; beyond that it starts anew
+REMEMBERED = 200_000  # words a worker keeps the result of; beyond that it starts anew
 HELD_WORDS = 60_000  # words a task holds with their counts or features before it hands them on
 
 _EDGE = ".,;:?\"'()[]{}<>-_…«»“”„‘’`~=/\\&%^"
@@ -228,8 +228,8 @@ class Restorer:
 class Scorer:
     """Evidence of a text: the weights of the two strongest features of its restored words."""
 
-    def __init__(self, model: CharModel, weights: dict[str, float]):
-        self.restorer, self.weights = Restorer(model, weights), weights
+    def __init__(self, model: CharModel, weights: dict[str, float], remembered: int = REMEMBERED):
+        self.restorer, self.weights, self.remembered = Restorer(model, weights), weights, remembered
         self.memo: dict[str, tuple] = {}
 
     def best(self, words: list[str]) -> tuple:
@@ -245,7 +245,7 @@ class Scorer:
 
     def evidence(self, text: str | None) -> tuple[float, float]:
         words = text.lower().split() if text else []
-        if len(self.memo) > REMEMBERED:
+        if len(self.memo) > self.remembered:
             self.memo.clear()
         memo, found = self.memo, {}
         for w in set(words):
@@ -446,12 +446,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     return beta
 
 
-def _evidence(rows: DataFrame, keep: str, kind: str, model: Model) -> DataFrame:
+def _evidence(rows: DataFrame, keep: str, kind: str, model: Model, remembered: int = REMEMBERED) -> DataFrame:
     """(keep, strongest, second, score) for rows of (keep, text)."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        scorer = Scorer(shared.value.chars, shared.value.weights)
+        scorer = Scorer(shared.value.chars, shared.value.weights, remembered)
         for b in batches:
             x = np.array([scorer.evidence(t.as_py()) for t in b["text"]], float).reshape(-1, 2)
             yield pa.record_batch(
@@ -462,11 +462,12 @@ def _evidence(rows: DataFrame, keep: str, kind: str, model: Model) -> DataFrame:
     return rows.select(keep, "text").mapInArrow(run, f"`{keep}` {kind}, strongest double, second double, score double")
 
 
-def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def scored(docs: DataFrame, model: Model, text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """(row, score): every input row as a struct, whatever its columns, and its score from 0 to 1.
 
     Only the text is looked at, whole.  Null and empty texts have no evidence and get the lowest score;
-    repeated rows get the same score each.
+    repeated rows get the same score each.  `remembered` words are kept with their result: more of them take
+    memory of the worker and save time.
     """
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-    return _evidence(rows, "row", rows.schema["row"].dataType.simpleString(), model).select("row", "score")
+    return _evidence(rows, "row", rows.schema["row"].dataType.simpleString(), model, remembered).select("row", "score")
