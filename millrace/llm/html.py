@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass, field
 from html import escape, unescape
 
@@ -54,7 +56,9 @@ KINDS = (
 )
 KIND_OF = {k: i for i, k in enumerate(KINDS)}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_TAG_END = re.compile(r"(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>")
+_MARKS = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _MAY_HIDE = re.compile(r"hidden|style", re.I)
 _NAMED = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -116,6 +120,35 @@ def hides(attributes: str) -> bool:
     return shown == "none"
 
 
+class TagEnds:
+    """Where tags end: at the first > that is in no quotes.
+
+    A page may hold a quote that is never closed, and many tags before it.  The first time no end is found,
+    the ends from every mark are worked out once, from the back, so that no stretch is read again and again.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.marks, self.ends = html, None, []
+
+    def find(self, at: int) -> int | None:
+        """One past the > that ends a tag whose attributes start at `at`; None if there is none."""
+        if self.marks is None:
+            m = _TAG_END.match(self.html, at)
+            if m:
+                return m.end()
+            self.marks = [m.start() for m in _MARKS.finditer(self.html)]
+            self.ends = [None] * (len(self.marks) + 1)
+            later: dict[str, int] = {}  # the next mark of each kind
+            for i in range(len(self.marks) - 1, -1, -1):
+                mark = self.html[self.marks[i]]
+                if mark == ">":
+                    self.ends[i] = self.marks[i] + 1
+                elif mark in later:
+                    self.ends[i] = self.ends[later[mark] + 1]
+                later[mark] = i
+        return self.ends[bisect_left(self.marks, at)]
+
+
 def parse(html: str) -> Page:
     """A page's block elements and its blocks of text.
 
@@ -131,13 +164,15 @@ def parse(html: str) -> Page:
     stack: list[tuple[str, int, bool]] = [("html", 0, False)]
     block: list[str] = []
     state = [0, 0]  # linked characters and inline elements of the block
+    nodes = [0]  # the nodes of the stack
+    opened: Counter[str] = Counter()  # how often each name is open
+    tags = TagEnds(html)
     links = hidden = 0  # how many open elements are links, and how many hide
 
     def flush() -> None:
         text = " ".join("".join(block).split())
         if text:
-            node = next(n for _, n, _ in reversed(stack) if n >= 0)
-            page.add("#text", node, 0, text, state[0], state[1])
+            page.add("#text", nodes[-1], 0, text, state[0], state[1])
         block.clear()
         state[0] = state[1] = 0
 
@@ -147,10 +182,22 @@ def parse(html: str) -> Page:
             if node >= 0:
                 flush()
                 page.end[node] = len(page.kind)
+                nodes.pop()
+            opened[name] -= 1
             links -= name == "a"
             hidden -= hiding
         del stack[depth:]
 
+    def innermost(name: str) -> int:
+        """The place of the last open element of a name, 0 if there is none."""
+        return next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name) if opened[name] else 0
+
+    def push(name: str, node: int, hiding: bool) -> None:
+        stack.append((name, node, hiding))
+        opened[name] += 1
+        if node >= 0:
+            nodes.append(node)
+
     def put(raw: str) -> None:
         if raw and not hidden:
             text = unescape(raw) if "&" in raw else raw
@@ -158,30 +205,36 @@ def parse(html: str) -> Page:
             if links:
                 state[0] += len(text)
 
-    at = 0
+    at = done = 0  # where to look on, and how far the page has been taken
     while True:
         m = _TOKEN.search(html, at)
-        put(html[at : m.start() if m else len(html)])
+        end = m and (tags.find(m.end()) if m[2] else m.end())
+        if m and end is None:  # a tag without an end is text
+            at = m.end()
+            continue
+        put(html[done : m.start() if m else len(html)])
         if not m:
             break
-        at = m.end()
+        at = done = end
         name = m[2] and m[2].lower()
         if not name:
             continue
         if m[1]:
-            where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
+            where = innermost(name)
             if where and not (name not in BLOCK and any(n != -1 for _, n, _ in stack[where:])):
                 close(where)
             elif where:  # an inline element across blocks ends without ending them
                 links -= name == "a"
                 hidden -= stack[where][2]
+                opened[name] -= 1
+                opened[""] += 1
                 stack[where] = ("", -1, False)
             elif name == "p" and not hidden:
                 flush()
             continue
-        attributes = m[3]
+        attributes = html[m.end() : end - 1]
         if name in RAW and not attributes.endswith("/"):
-            at = _skip(html, at, name)
+            at = done = _skip(html, at, name)
             block.append(" ")
             continue
         if name in VOID:
@@ -192,34 +245,35 @@ def parse(html: str) -> Page:
             continue
         hiding = name == "option" or hides(attributes) and not attributes.endswith("/") and name != "body"
         if name in BLOCK:
-            if name in ("html", "body") and any(s[0] == name for s in stack[1:]):
+            if name in ("html", "body") and opened[name]:
                 continue
             if name == "html":
                 page.hints[0] |= hints_of(attributes)
                 continue
-            where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == "p"), 0)
+            where = innermost("p")
             if where:  # any block element ends an open paragraph
                 close(where)
         if name in CLOSES:
-            where = 0
+            where, left = 0, sum(opened[x] for x in CLOSES[name])
             for i in range(len(stack) - 1, 0, -1):
+                if not left:
+                    break
                 if stack[i][0] in CLOSES[name]:
-                    where = i
+                    where, left = i, left - 1
                 elif stack[i][0] in BOUNDS.get(name, ()):
                     break
             if where:
                 close(where)
         if hiding or hidden:
             block.append(" ")
-            stack.append((name, -2 if name in BLOCK else -1, hiding))
+            push(name, -2 if name in BLOCK else -1, hiding)
             hidden += hiding
             links += name == "a"
         elif name in BLOCK:
             flush()
-            parent = next(n for _, n, _ in reversed(stack) if n >= 0)
-            stack.append((name, -1 if name == "head" else page.add(name, parent, hints_of(attributes)), False))
+            push(name, -1 if name == "head" else page.add(name, nodes[-1], hints_of(attributes)), False)
         else:
-            stack.append((name, -1, False))
+            push(name, -1, False)
             links += name == "a"
             state[1] += 1
     close(1)
@@ -234,12 +288,14 @@ _ENDS: dict[str, re.Pattern] = {}
 def _skip(html: str, at: int, name: str) -> int:
     """The place behind the end tag that belongs to an element whose content is no text."""
     if name not in _ENDS:
-        _ENDS[name] = re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])[^>]*>", re.I)
+        _ENDS[name] = re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])", re.I)
     depth = 1
     nests = name not in ("script", "style", "textarea", "title", "xmp")
     while m := _ENDS[name].search(html, at):
-        at = m.end()
-        depth += -1 if m[1] else int(nests and not m[0].endswith("/>"))
+        at = html.find(">", m.end()) + 1
+        if not at:
+            break
+        depth += -1 if m[1] else int(nests and html[at - 2] != "/")
         if depth == 0:
             return at
     return len(html)
@@ -284,25 +340,22 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray]:
     lists = below((kind == KIND_OF["li"]).astype(float))
     paragraphs = below((kind == KIND_OF["p"]).astype(float))
 
-    depth = np.zeros(len(kind))
-    above = hints.copy()
-    above_kind = np.zeros((len(kind), 6), bool)  # inside nav, aside, header, footer, form, article or main
     own_kind = [np.isin(kind, [KIND_OF[k] for k in g.split()]) for g in ("nav", "aside", "header", "footer", "form", "article main")]
     own_kind = np.stack(own_kind, axis=1)
-    # Parents come before children, so one pass per level of depth is enough.
-    depth[:] = np.where(root, 0, -1)
-    level = root
-    while level.any():
-        nxt = (depth[parent] >= 0) & (depth < 0)
-        depth[nxt] = depth[parent[nxt]] + 1
-        above[nxt] |= above[parent[nxt]]
-        above_kind[nxt] = above_kind[parent[nxt]] | own_kind[parent[nxt]]
-        level = nxt
+    # Over all ancestors: those of the first 1, 2, 4, ... levels above, until every path has reached its root.
+    depth = (~root).astype(float)
+    above = hints.copy()
+    above_kind = own_kind[parent] & ~root[:, None]  # inside nav, aside, header, footer, form, article or main
+    up = parent
+    while depth[up].any():
+        depth, above, above_kind = depth + depth[up], above | above[up], above_kind | above_kind[up]
+        up = up[up]
+    above |= above[up]
 
     # Siblings: place among the parent's children, and the one before and after.
     order = np.lexsort((at, parent, root))
     kids = order[~root[order]]
-    same = np.r_[False, parent[kids][1:] == parent[kids][:-1]]
+    same = np.r_[False, parent[kids][1:] == parent[kids][:-1]][: len(kids)]
     start = np.flatnonzero(~same)
     place, count = np.zeros(len(kind)), np.ones(len(kind))
     if len(kids):

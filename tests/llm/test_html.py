@@ -1,5 +1,6 @@
 """Main text of pages: known layouts, the test pages, and broken markup."""
 
+import random
 import re
 from html import unescape
 
@@ -130,3 +131,63 @@ def test_rows(spark, model):
     assert got == {(1, len(TEXT)), (None, 0), (2, 0), (3, 60_000 * 18 - 1)}
     empty = spark.createDataFrame([], pages.schema)
     assert html.main_text(empty, html.train(empty, layouts=30, trees=3)).count() == 0
+
+
+def test_tag_ends_as_one_pattern_finds_them():
+    """With quotes open, crossed and never closed, from every place."""
+    import re
+
+    whole = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
+    draw = random.Random(8)
+    for _ in range(3000):
+        text = "".join(draw.choices("ab>\"' ", k=draw.randint(0, 14)))
+        ends = html.TagEnds(text)
+        for at in (*range(len(text) + 1), 0):
+            m = whole.match(text, at)
+            assert ends.find(at) == (m and m.end())
+
+
+@pytest.mark.parametrize(
+    "page", [lambda n: '<a "' * n, lambda n: "<div>x" * n, lambda n: "<div><li>" * n, lambda n: "<b>" * n + "<p>x</p>" * n,
+             lambda n: "<script>" + "</script " * n, lambda n: "<p hidden>" * n, lambda n: "<!" * n, lambda n: "&amp;" * n],
+)
+def test_odd_pages_take_time_in_proportion(page):
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        html.features([html.parse(page(n))])
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(160_000) < 16 * min(seconds(20_000) for _ in range(2)) + 1  # eight times the page
+
+
+def test_deep_nodes_know_their_ancestors():
+    page = html.parse("<nav class=menu>" + "<div>" * 1000 + "deep" + "</div>" * 1000 + "</nav><p>flat</p>")
+    inside = html.features([page, html.parse("<p>other</p>")])[0]
+    deep, flat = (page.text.index(t) for t in ("deep", "flat"))
+    assert not (inside[deep] == inside[flat]).all()
+    assert html.parse("<p>x" * 3).kind == ["html", "p", "#text", "p", "#text", "p", "#text"]
+
+
+def test_pages_without_any_node():
+    assert html.features([html.parse(""), html.parse("<!-- x -->")])[0].shape[0] == 2
+
+
+def test_decode_against_all_consistent_choices():
+    draw = random.Random(12)
+    for _ in range(60):
+        n = draw.randint(1, 11)
+        page = html.Page()
+        for i in range(n):
+            page.add("#text", draw.randrange(i) if i else -1, 0, f"t{i}")
+        gain = np.array([draw.choice([-3, -2, -1, 1, 2, 4]) + i / 64 for i in range(n)])
+        best = None
+        for chosen in range(1 << n):
+            taken = [i for i in range(n) if chosen >> i & 1]
+            if 0 in taken and all(i == 0 or page.parent[i] in taken for i in taken):
+                total = sum(gain[i] for i in taken)
+                if best is None or total > best[0]:
+                    best = total, taken
+        assert html.decode(page, gain) == "\n".join(f"t{i}" for i in best[1])
