@@ -175,7 +175,7 @@ def _publish(
         version += 1
     folder = lambda name: f"v={version}/{name}".rstrip("/")
     with ThreadPoolExecutor(max(1, len(tables))) as pool:  # a short table's jobs need not wait for a long one's
-        write = inheritable_thread_target(_write)  # the jobs belong to the caller's group
+        write = inheritable_thread_target(spark)(_write)  # the jobs belong to the caller's group
         written = [pool.submit(write, df, root, folder(name), name, by) for name, (df, by) in tables.items()]
     now = [*kept, *[p for w in written for p in w.result()]]
     if gate:
