@@ -183,9 +183,12 @@ def warc_date(arc_date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:]}Z"
 
 
-def record_id(archive: str, seq: int) -> str:
-    """The same for the same place in the same archive, so a rerun writes the same identifiers."""
-    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{archive}#{seq}')}"
+def record_id(uri: str, archive: str, seq: int) -> str:
+    """The same for the same place in the same archive, so a rerun writes the same identifiers.
+
+    Old crawlers gave many archives one inner name, so the file's address is part of it.
+    """
+    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{uri}|{archive}#{seq}')}"
 
 
 def warc_record(fields: list[tuple[str, str]], block: bytes) -> bytes:
@@ -209,7 +212,7 @@ def index(arcs: DataFrame) -> DataFrame:
                         head, payload = split_http(r.body)
                         page = header(head, ID_HEADER)
                         page = int(page) if page and page.lstrip("-").isdigit() else None
-                        rows.append((uri, r.seq, record_id(r.name, r.seq), page, len(payload), sha1(payload)))
+                        rows.append((uri, r.seq, record_id(uri, r.name, r.seq), page, len(payload), sha1(payload)))
                 if rows:
                     yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows), INDEX_TYPES)], names=INDEX_NAMES)
 
@@ -245,14 +248,14 @@ def convert(arcs: DataFrame, revisit_bytes: int = 0) -> DataFrame:
                 date = warc_date(r.date)
                 if n == 0:
                     info = f"software: millrace\r\nformat: WARC File Format 1.1\r\nisPartOf: {r.name}\r\n".encode()
-                    fields = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<{record_id(r.name, 0)}>"), ("WARC-Date", date)]
+                    fields = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<{record_id(arc, r.name, 0)}>"), ("WARC-Date", date)]
                     out.write(member(warc_record([*fields, ("Content-Type", "application/warc-fields")], info)))
                 head, payload = split_http(r.body)
                 first = refers[r.seq]
                 kind = "revisit" if first else "response" if head else "resource"
                 fields = [
                     ("WARC-Type", kind),
-                    ("WARC-Record-ID", f"<{record_id(r.name, r.seq)}>"),
+                    ("WARC-Record-ID", f"<{record_id(arc, r.name, r.seq)}>"),
                     ("WARC-Date", date),
                     ("WARC-Target-URI", r.url),
                     ("WARC-IP-Address", r.ip),

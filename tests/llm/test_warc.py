@@ -84,6 +84,26 @@ def test_old_archives_are_converted(spark, tmp_path, version, packed):
         assert list(warc.warc_records(f, "x")) == found
 
 
+def test_archives_of_one_inner_name_keep_their_records_apart(spark, tmp_path):
+    """Two files with the same name, inner name and places; each revisit refers to the one response of its payload."""
+    def page(i, body):
+        return ("http://a.example/", "text/html", f"HTTP/1.0 200 OK\r\nX-Page-Id: {i}\r\n\r\n{body}".encode())
+
+    for folder, records in {"a": [page(1, "x"), page(2, "y")], "b": [page(3, "y"), page(4, "x"), page(5, "z")]}.items():
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "old.arc").write_bytes(arc(1, records))
+    files = warc.convert(warc.arc_files(spark, f"{tmp_path}/*/old.arc"))
+    names = []
+    for r in files.collect():
+        with warc.reader(r["warc"]) as f:
+            names += [h["warc-record-id"] for h, _ in warc.warc_records(f, "x")]
+    assert len(names) == len(set(names)) == 7
+    rows = warc.read_warcs(files).collect()
+    page_of = {r["record"].strip("<>"): r["id"] for r in rows}
+    found = sorted((r["id"], r["type"], page_of.get((r["refers"] or "").strip("<>"))) for r in rows)
+    assert found == [(1, "response", None), (2, "response", None), (3, "revisit", 2), (4, "revisit", 1), (5, "response", None)]
+
+
 @pytest.mark.parametrize("spoil", [lambda a: a[:-3], lambda a: re.sub(rb"text/html \d+", b"text/html -1", a), lambda a: b"junk\n" + a])
 def test_damaged_archives_raise(spoil):
     data = spoil(arc(1, [("http://a.example/", "text/html", HTTP)]))
