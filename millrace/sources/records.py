@@ -69,22 +69,30 @@ def records(spark: SparkSession, path: str, found: Layout | None = None, broadca
     else:
         numbered = lines.withColumn("at", F.monotonically_increasing_id()).join(found.splits, ["file", "start"])
         dealt = numbered.repartition("file", "start").sortWithinPartitions("file", "start", "at").drop("at")
-    pieces = dealt.select("file", "start", "inside", "line").mapInArrow(_assemble, _PIECES)
-    pieces = staged(pieces, "records")
-    torn = pieces.where(F.col("kind") != WHOLE)
+    dealt = dealt.select("file", "start", "inside", "line")
+    # The files are cut twice rather than written once more: of the torn pieces there are two a split, and only they are staged.
+    torn = staged(dealt.mapInArrow(_torn, _PIECES), "torn")
     # Within a file: a tail begins a record, the middles and the head after it belong to it.
     order = Window.partitionBy("file").orderBy("start", "kind")
     group = F.sum((F.col("kind") == TAIL).cast("int")).over(order)
     piece = F.struct("start", "kind", "record")
     joined = torn.withColumn("group", group).groupBy("file", "group").agg(F.max("first").alias("first"), F.sort_array(F.collect_list(piece)).alias("pieces"))
     text = F.array_join(F.transform("pieces", lambda p: p["record"]), "\n")
-    whole = pieces.where(F.col("kind") == WHOLE).select("record", "first")
+    whole = dealt.mapInArrow(_whole, _PIECES).select("record", "first")
     return whole.unionByName(joined.select(F.regexp_replace(text, "\r$", "").alias("record"), "first"))
 
 
-def _assemble(batches):
-    """Cut the lines of each split into records; a split may go on in the next batch."""
-    split = _Split(None, None, False)
+def _whole(batches):
+    return _assemble(batches, whole=True)
+
+
+def _torn(batches):
+    return _assemble(batches, whole=False)
+
+
+def _assemble(batches, whole: bool):
+    """Cut the lines of each split into records, and hand on the whole ones or the pieces; a split may go on in the next batch."""
+    split = _Split(None, None, False, whole)
     for b in batches:
         if not len(b):
             continue
@@ -93,14 +101,14 @@ def _assemble(batches):
         for lo, hi in zip(cuts, [*cuts[1:], len(b)]):
             if (file[lo], start[lo]) != (split.file, split.start):
                 yield from split.end()
-                split = _Split(file[lo], start[lo], b["inside"][lo].as_py())
+                split = _Split(file[lo], start[lo], b["inside"][lo].as_py(), whole)
             yield from split.feed(b["line"].slice(lo, hi - lo))
     yield from split.end()
 
 
 class _Split:
-    def __init__(self, file, start, inside: bool):
-        self.file, self.start, self.inside = file, start, inside
+    def __init__(self, file, start, inside: bool, whole: bool):
+        self.file, self.start, self.inside, self.whole = file, start, inside, whole
         self.open: list[str] = []  # lines of a record that has not ended
         self.torn = inside  # that record began in an earlier split
         self.named = start != 0  # the file's first record has been seen, or is not in this split
@@ -117,20 +125,21 @@ class _Split:
         if self.open or self.torn:
             first = int(ends[0]) + 1
             text = "\n".join([*self.open, *lines.slice(0, first).to_pylist()])
-            yield self._rows([text], HEAD if self.torn else WHOLE)
+            yield from self._rows([text], HEAD if self.torn else WHOLE)
             self.open, self.torn, ends = [], False, ends[1:]
         if len(ends):
-            cuts = np.r_[first, ends + 1].astype(np.int32) - first
-            groups = pa.ListArray.from_arrays(pa.array(cuts), lines.slice(first, int(cuts[-1])))
-            yield self._rows(pc.binary_join(groups, "\n"), WHOLE)
+            if self.whole or not self.named:
+                cuts = np.r_[first, ends + 1].astype(np.int32) - first
+                groups = pa.ListArray.from_arrays(pa.array(cuts), lines.slice(first, int(cuts[-1])))
+                yield from self._rows(pc.binary_join(groups, "\n"), WHOLE)
             first = int(ends[-1]) + 1
         self.open = lines.slice(first).to_pylist()
 
     def end(self):
         if self.open or self.torn:
-            yield self._rows(["\n".join(self.open)], MIDDLE if self.torn else TAIL)
+            yield from self._rows(["\n".join(self.open)], MIDDLE if self.torn else TAIL)
 
-    def _rows(self, texts, kind: int) -> pa.RecordBatch:
+    def _rows(self, texts, kind: int):
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         if kind == WHOLE:
             texts = pc.replace_substring_regex(texts, "\r$", "")
@@ -142,5 +151,7 @@ class _Split:
         first = np.zeros(n, bool)
         if n and not self.named:
             first[0] = self.named = True
+        if (kind == WHOLE) != self.whole:
+            return
         columns = [pa.array([x] * n, t) for x, t in ((self.file, pa.int64()), (self.start, pa.int64()), (kind, pa.int32()))]
-        return pa.record_batch([*columns, pa.array(first), texts], names=[c.split()[0] for c in _PIECES.split(", ")])
+        yield pa.record_batch([*columns, pa.array(first), texts], names=[c.split()[0] for c in _PIECES.split(", ")])

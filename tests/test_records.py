@@ -99,3 +99,15 @@ def test_malformed_records_are_kept(spark, small_splits):
     got = sorted(((r["i"], r["t"], r["d"], r["bad"] is not None) for r in back.collect()), key=str)
     assert got == sorted([(1, "a\nb", 2.5, False), (None, "c\nd", 1.0, True), (3, "", None, True), (None, None, None, False)], key=str)
     assert back.where(F.col("bad").isNotNull()).count() == 2
+
+
+def test_only_torn_pieces_are_written(spark, small_splits, monkeypatch):
+    """Of n splits at most a beginning and an end each go to the store, however many rows the file has."""
+    path, written = scratch_dir(spark, "torn"), {}
+    sinks.write_csv(spark.createDataFrame(cells(2000, 4), SCHEMA).coalesce(2), path)
+    found = records.layout(spark, path)
+    monkeypatch.setattr(records, "staged", lambda df, label: written.setdefault(label, df))
+    got = records.records(spark, path, found)
+    assert not found.plain and got.count() == 2002
+    assert [df.where(F.col("kind") == records.WHOLE).count() for df in written.values()] == [0]
+    assert all(df.count() <= 2 * found.count for df in written.values())
