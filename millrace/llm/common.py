@@ -29,6 +29,8 @@ def prepared(spark: SparkSession) -> SparkSession:
     """The library's settings, Arrow batches that stay small with long texts, and workers that find the code."""
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # Workers hold what their operator bounds, not a share of the shuffle, and a worker's start costs more than a larger task.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     _ship(spark)
     return spark
 

@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A compressed shuffle block of 64 MB, the default, takes a task of sorts and hash tables twenty times that in memory.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     # Split a skewed join partition even where that costs one more shuffle for
     # the aggregate above it: one order or customer may hold a third of all rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

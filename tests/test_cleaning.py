@@ -210,3 +210,17 @@ def test_rules_name_every_reason(spark):
     assert rows(bad, "id", "reasons") == [
         (2, ["check:price", "unique:email"]), (3, ["not_null:email", "foreign:parent"])
     ]
+
+
+def test_region_revenue_deals_the_lines_once(spark, sf):
+    """Distinct lines are found where the join by order left them, even if no side is broadcast."""
+    from millrace.catalog import QUERIES
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["clean_region_revenue"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert dealt and not any("sales#" in line or "product_id#" in line for line in dealt)
