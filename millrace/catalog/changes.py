@@ -9,7 +9,7 @@ from millrace.operators import merge as M
 from millrace.operators.cleaning import latest_per_key
 from millrace.operators.quality import Rules
 from millrace.operators.relational import union_all
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, staged
 from millrace.sources import snapshots, tables
 
 CUT = "2000-01-01"
@@ -130,8 +130,12 @@ def _apply_batch(spark, sf, stored_again):
     settled = s.orders.where("status <> 'P'")
     if stored_again:
         settled = settled.unionByName(pending.orderBy("order_id").limit(1))
-    new_items = s.items.join(pending.select("order_id"), "order_id", "left_semi")
-    old_items = s.items.join(pending.select("order_id"), "order_id", "left_anti")
+    # One join says of every line whether it comes with the batch.  Amounts made of a line's columns are not stored.
+    lines = s.items.drop("revenue", "gross_cents", "revenue_units")
+    in_batch = pending.select("order_id").distinct().withColumn("in_batch", F.lit(True))
+    lines = staged(lines.join(in_batch, "order_id", "left"), "lines")
+    new_items = lines.where("in_batch").drop("in_batch")
+    old_items = lines.where("in_batch IS NULL").drop("in_batch")
     stock = s.products.select("product_id", (F.col("stock") * 1000).cast("long").alias("stock"))
     order_rules = Rules(
         not_null=["order_id", "customer_id", "order_date"],

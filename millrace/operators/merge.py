@@ -119,7 +119,7 @@ def order_batch(
     number of faults, which is counted once.  Stored orders and items are only probed for the batch's keys;
     `snapshots.append_all` stores the three under one commit without touching them.
     """
-    sold = new_items.groupBy("product_id").agg(F.sum("quantity").alias("_sold"))
+    sold = staged(new_items.groupBy("product_id").agg(F.sum("quantity").alias("_sold")), "sold")
     short = stock.join(sold, "product_id").where(F.col("stock") < F.col("_sold"))
     broken = (
         apply_rules(new_orders, order_rules)
@@ -130,8 +130,13 @@ def order_batch(
     faults = [broken, short]
     for stored, new, key in ((orders, new_orders, order_key), (items, new_items, item_key)):
         keys = new.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-        # The batch is the small side: its keys are looked for in the stored table.
-        faults += [keys.where("_n > 1"), stored.select(*key).join(keys.select(*key), list(key), "left_semi")]
+        # The batch is the small side: its keys are looked for in the stored table, whole ones only among the rows whose
+        # first column the batch has too.
+        known, first = stored.select(*key), key[0]
+        if len(key) > 1:
+            met = staged(known.select(first).distinct().join(new.select(first), first, "left_semi"), "met")
+            known = known.join(met, first, "left_semi")
+        faults += [keys.where("_n > 1"), known.join(keys.select(*key), list(key), "left_semi")]
     fault = F.lit(1).alias("fault")
     bad = faults[0].select(fault)
     for f in faults[1:]:

@@ -418,3 +418,24 @@ def test_a_stream_rewrites_only_its_ranges(spark):
     assert len(first & {p.folder for p in snapshots.parts(spark, root)}) == 4
     changed = snapshots.read(spark, root).where("name <> 'x'")
     assert rows(changed, "id", "name") == [(60, "first"), (8, "new")]
+
+
+def test_a_batch_joins_the_lines_once_and_probes_by_order(spark, sf, monkeypatch):
+    """The lines are told apart by one join, and only stored keys whose order the batch has are compared in full."""
+    from millrace.catalog import changes
+    from millrace.operators import merge
+
+    staged, kept = changes.staged, {}
+
+    def keep(df, label):
+        kept[label] = staged(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(changes, "staged", keep)
+    monkeypatch.setattr(merge, "staged", keep)
+    done = changes._apply_batch(spark, sf, stored_again=False)
+    lines = kept["lines"]
+    assert lines.count() == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert not {"revenue", "gross_cents", "revenue_units"} & set(lines.columns)
+    assert 0 < lines.where("in_batch").count() < lines.count()
+    assert kept["met"].count() == 0 and done.where("kind = 'item'").count() > 0
