@@ -230,21 +230,19 @@ def running_by_period(df: DataFrame, period: str, total: Column, out: str) -> Da
     return df.join(F.broadcast(running), F.col(period).eqNullSafe(F.col("_p"))).drop("_p")
 
 
+def distinct_counts(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """Distinct values per group, a row for each group that has one: distinct pairs first, then a count."""
+    pairs = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
+    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+
+
 def distinct_per_key(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Distinct values of the group on each of its rows.
 
-    Distinct pairs first, then a count per group joined back, instead of carrying a
-    set on every row.
+    Counted per group and joined back, instead of carrying a set on every row.
     """
     keys = list(keys)
-    counts = (
-        df.select(*keys, value)
-        .where(F.col(value).isNotNull())
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(out))
-        .select(*[F.col(k).alias(f"_v{i}") for i, k in enumerate(keys)], out)
-    )
+    counts = distinct_counts(df, keys, value, out).select(*[F.col(k).alias(f"_v{i}") for i, k in enumerate(keys)], out)
     on = F.lit(True)
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"_v{i}"))

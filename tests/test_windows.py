@@ -163,3 +163,16 @@ def test_any_rows(spark, pairs):
     got = W.ranks(df, [("v", True)], ["k"], rank="r", splits=4)
     plain = F.rank().over(Window.partitionBy("k").orderBy(F.desc("v")))
     assert rows(got, "id", "r") == rows(df.withColumn("r", plain), "id", "r")
+
+
+def test_the_enriched_rows_meet_patients_and_their_index_in_one_join(spark, sf):
+    from millrace.catalog import QUERIES
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["silver_enriched"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "patient_id" in line]
+    assert dealt and not any("coalesce(patient_id" in line and "_range" not in line and "_r#" not in line for line in dealt)
