@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 from dataclasses import dataclass, field
 
@@ -22,6 +23,7 @@ END = U64(0)  # hash of the token that ends every text; no word has it
 CHUNK = 2 << 20  # bytes of text that are split at a time
 HELD = 4 << 20  # distinct words or pairs a task holds before it hands them on; of longer grams, which hardly repeat, a quarter
 PART = 1 << 20  # words, or grams of one order, whose statistics one task adds up
+GATHERED = 1 << 18  # grams from all tasks that are added up at a time
 SLICE = 1 << 19  # grams whose place in the orders below is looked up at a time
 BIG = 255  # counts from here on are kept beside the byte array
 
@@ -54,7 +56,7 @@ def _powers(n: int) -> list[np.ndarray]:
     if not _POWERS or len(_POWERS[0]) <= n:
         _POWERS[:] = []
         for base in (STEP, pow(STEP, -1, 1 << 64)):
-            line = np.full(max(n, CHUNK * 2) + 1, base, U64)
+            line = np.full(max(n, CHUNK) + 1, base, U64)
             line[0] = 1
             _POWERS.append(np.multiply.accumulate(line))
     return _POWERS
@@ -156,10 +158,20 @@ def counted(texts: DataFrame, grams_of, bits: int, width: int, most: int) -> Dat
     return texts.mapInArrow(run, "bucket int, grams binary, counts binary")
 
 
-def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    grams = [np.cumsum(_from_planes(x), dtype=U64) for x in table["grams"].to_pylist()]
-    counts = [np.frombuffer(x, "<u1" if len(x) == len(g) else "<i8").astype(np.int64) for x, g in zip(table["counts"].to_pylist(), grams)]
-    return add_up(grams, counts)
+def _gathered(table: pa.Table):
+    """(distinct grams in order, sum of their counts) of a bucket, range by range; about GATHERED entries make a range.
+
+    Every row comes sorted, so a range is a slice of each; equal grams never fall into two ranges.
+    """
+    grams = [np.cumsum(_from_planes(x.as_buffer()), dtype=U64) for x in table["grams"]]
+    counts = [np.frombuffer(x.as_buffer(), np.uint8) for x in table["counts"]]
+    counts = [c if len(c) == len(g) else c.view("<i8") for c, g in zip(counts, grams)]
+    step = 64
+    marks = np.sort(np.concatenate([g[::step] for g in grams]))
+    cuts = np.unique(marks[GATHERED // step :: GATHERED // step])
+    cuts = [np.r_[0, np.searchsorted(g, cuts), len(g)] for g in grams]
+    for i in range(len(cuts[0]) - 1):
+        yield add_up([g[c[i] : c[i + 1]] for g, c in zip(grams, cuts)], [n[c[i] : c[i + 1]].astype(np.int64) for n, c in zip(counts, cuts)])
 
 
 def _write(folder: str, name: str, *arrays: np.ndarray, suffix: str = ".bin") -> list[str]:
@@ -299,16 +311,18 @@ class Model:
     def statistics(self, k: int, places: np.ndarray, columns=range(5)) -> np.ndarray:
         """Of each gram of order k: (different words before it; sum of the adjusted counts of the grams that it
         begins; how many of those have 1, 2, 3 or more); zeros for a place of -1."""
-        line, back = np.unique(places, return_inverse=True)
-        out = np.zeros((len(columns), len(line)), np.int64)
-        part = line // self.part
-        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(line) else []
+        out = np.zeros((len(columns), len(places)), np.int64)
+        part = places // self.part
+        order = np.argsort((part + 1).astype(np.min_scalar_type(int(part.max(initial=0)) + 1)), kind="stable")  # small numbers sort in one pass
+        part = part[order]
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
         files = self.columns(k) if k in self.parts else {}
-        for a, b in zip(starts, [*starts[1:], len(line)]):
+        for a, b in zip(starts, [*starts[1:], len(part)]):
             if part[a] in files:
+                at = places[order[a:b]] % self.part
                 for i, c in enumerate(columns):
-                    out[i, a:b] = files[part[a]][c][line[a:b] % self.part]
-        return out[:, back]
+                    out[i, order[a:b]] = files[part[a]][c][at]
+        return out
 
     def adjusted(self, k: int, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The counts that gram probabilities of an order go by: below the highest, different words before a gram.
@@ -440,10 +454,17 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
 
 def _bucket_writer(name: str, folder: str):
     def write(table: pa.Table) -> pa.Table:
-        grams, counts = _gathered(table)
-        bucket = table["bucket"][0].as_py()
-        uris = _write(folder, f"{name}-{bucket:06d}", grams, *_count_arrays(counts))
-        return pa.table({"bucket": pa.array([bucket], pa.int32()), "files": [uris], "types": [len(grams)], "tokens": [int(counts.sum())]})
+        bucket, types, tokens = table["bucket"][0].as_py(), 0, 0
+        with contextlib.ExitStack() as opened:
+            uris, files = zip(*[new_file(folder, f"{name}-{bucket:06d}-{i}", ".bin") for i in range(4)])
+            for f in files:
+                opened.enter_context(f)
+            for grams, counts in _gathered(table):
+                small, place, big = _count_arrays(counts)
+                for f, a in zip(files, (grams, small, place + types, big)):
+                    f.write(np.ascontiguousarray(a))
+                types, tokens = types + len(grams), tokens + int(counts.sum())
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "files": [list(uris)], "types": [types], "tokens": [tokens]})
 
     return write
 

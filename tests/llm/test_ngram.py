@@ -1,8 +1,11 @@
 """The language model against a plain Kneser-Ney in Python."""
 
 import math
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import ngram
@@ -156,3 +159,24 @@ def test_mix_is_a_bijection():
 
     x = np.random.default_rng(0).integers(0, 2**64, 1000, dtype=np.uint64)
     assert (ngram.unmix(ngram.mix(x)) == x).all()
+
+
+def test_a_bucket_is_added_up_in_little_memory(tmp_path):
+    rng = np.random.default_rng(3)
+    runs = [np.unique(rng.integers(0, 1 << 22, 150_000, dtype=np.uint64) << ngram.U64(40)) for _ in range(12)]
+    runs += [np.array([5, 6, 1 << 62], np.uint64)]
+    counts = [rng.integers(1, 90, len(g)) for g in runs[:-1]] + [np.array([7, 1000, 255])]
+    table = pa.Table.from_batches([b for g, c in zip(runs, counts) for b in ngram._hand_on(g, c, 0, 64)])
+    tracemalloc.start()
+    row = ngram._bucket_writer("grams", tmp_path.as_uri())(table).to_pylist()[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * sum(map(len, runs))
+    want = Counter()
+    for g, c in zip(runs, counts):
+        want.update(dict(zip(g.tolist(), c.tolist())))
+    found = ngram.Sorted([(0, row["files"])], 0, 64)
+    grams = np.array(sorted(want), np.uint64)
+    assert (row["types"], row["tokens"]) == (len(want), sum(want.values()))
+    assert np.array_equal(found.at(np.arange(len(grams))), grams)
+    assert found.find(grams)[1].tolist() == [want[g] for g in grams.tolist()]
