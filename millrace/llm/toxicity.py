@@ -9,6 +9,7 @@ from array import array
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -36,6 +37,7 @@ HELD_WORDS = 60_000  # words a task holds with their counts or features before i
 _EDGE = ".,;:?\"'()[]{}<>-_…«»“”„‘’`~=/\\&%^"
 _FENCE = re.compile(r"^([^\w\s])\1\1+|([^\w\s])\2\2+$")  # three or more of one sign are no letter
 _TWICE = re.compile(r"(.)\1")
+_REPEATED = re.compile(r"(.)\1+")
 _PIECES = re.compile(r"[^\W\d_]+")
 
 
@@ -159,10 +161,15 @@ WILD = "!*#|+"
 _ALIKE = str.maketrans({"l": "i", **{k: v[0].replace("l", "i") for k, v in LEET.items() if k not in WILD}})
 
 
+def squeezed(word: str) -> str:
+    """A word with each repeated letter once."""
+    return _REPEATED.sub(r"\1", word)
+
+
 def outline(word: str) -> str:
     """A form that a word shares with all its disguises, but for wild signs."""
     word = word.translate(_ALIKE)
-    return re.sub(r"(.)\1+", r"\1", word if word.isalpha() else "".join(filter(str.isalpha, word)))
+    return squeezed(word if word.isalpha() else "".join(filter(str.isalpha, word)))
 
 
 class Restorer:
@@ -173,7 +180,8 @@ class Restorer:
     path through the lattice keeps the outline of each of its words, as all else than a wild sign is either
     the letter of its outline, dropped where the outline drops it, or a boundary.  A chunk of letters alone
     has no boundary inside, so it is one word, and a feature, which is a word or its first letters, can only
-    stand at its front.
+    stand at its front.  Its letters stay, some repeats aside, so it is only decoded if, repeats aside, it is a
+    word or begins with first letters that have a weight and are not among the features it has as it stands.
     """
 
     def __init__(self, model: CharModel, weights: dict[str, float] | None = None):
@@ -181,7 +189,11 @@ class Restorer:
         if weights is not None:
             self.finder = ahocorasick.Automaton()
             self.outlines = {outline(f.rstrip("~")) for f in weights} - {""}
-            self.lengths = sorted({len(f) for f in self.outlines})
+            self.words: dict[str, set[str]] = {}
+            self.fronts: dict[str, set[str]] = {}
+            for f in weights:
+                (self.fronts if f.endswith("~") else self.words).setdefault(squeezed(f.rstrip("~")), set()).add(f)
+            self.lengths = sorted({len(f) for f in self.fronts})
             for f in self.outlines:
                 self.finder.add_word(f, 1)
             self.finder.make_automaton()
@@ -194,8 +206,10 @@ class Restorer:
     def hopeful_letters(self, chunk: str) -> bool:
         if self.finder is None:
             return True
-        line = outline(chunk)
-        return any(line[:n] in self.outlines for n in self.lengths)
+        line, own = squeezed(chunk), set(features(chunk))
+        if not own.issuperset(self.words.get(line, ())):
+            return True
+        return any(not own.issuperset(self.fronts.get(line[:n], ())) for n in self.lengths)
 
     def readings(self, word: str) -> list[str]:
         """Plain words that a chunk without white space may hold, restored ones included."""
@@ -229,33 +243,38 @@ class Scorer:
     """Evidence of a text: the weights of the two strongest features of its restored words."""
 
     def __init__(self, model: CharModel, weights: dict[str, float], remembered: int = REMEMBERED):
-        self.restorer, self.weights, self.remembered = Restorer(model, weights), weights, remembered
-        self.memo: dict[str, tuple] = {}
-
-    def best(self, words: list[str]) -> tuple:
-        """The two strongest (feature, weight) of some words."""
-        weights, found = self.weights, {}
+        self.restorer, self.remembered = Restorer(model, weights), remembered
+        # Features are numbered from the strongest on, so the two strongest are the two smallest numbers.
+        names = sorted(weights, key=lambda f: (-weights[f], f))
+        self.strengths = [weights[f] for f in names]
+        self.whole = {f: i for i, f in enumerate(names) if not f.endswith("~")}
+        self.starts = [(n, {f[:n]: i for i, f in enumerate(names) if f.endswith("~") and len(f) == n + 1}) for n in PREFIXES]
+        self.memo: dict[str, tuple[int, ...]] = {}
+
+    def best(self, words: list[str]) -> tuple[int, ...]:
+        """The numbers of the two strongest features of some words."""
+        found = set()
         for w in words:
-            if w in weights:
-                found[w] = weights[w]
-            for n in PREFIXES:
-                if len(w) > n and (f := w[:n] + "~") in weights:
-                    found[f] = weights[f]
-        return tuple(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:2]) if found else ()
+            if w in self.whole:
+                found.add(self.whole[w])
+            size = len(w)
+            for n, starts in self.starts:
+                if size <= n:
+                    break
+                if (f := starts.get(w[:n])) is not None:
+                    found.add(f)
+        return tuple(sorted(found)[:2]) if found else ()
 
     def evidence(self, text: str | None) -> tuple[float, float]:
         words = text.lower().split() if text else []
         if len(self.memo) > self.remembered:
             self.memo.clear()
-        memo, found = self.memo, {}
-        for w in set(words):
-            x = memo.get(w)
-            if x is None:
-                x = memo[w] = self.best(self.restorer.readings(w))
-            if x:
-                found.update(x)
+        memo, kinds = self.memo, set(words)
+        for w in kinds.difference(memo):
+            memo[w] = self.best(self.restorer.readings(w))
+        found = set(chain.from_iterable(map(memo.__getitem__, kinds)))
         found.update(self.best(self.restorer.spaced(words)))
-        top = sorted(found.values(), reverse=True)[:2]
+        top = [self.strengths[i] for i in sorted(found)[:2]]
         return tuple(top + [0.0] * (2 - len(top)))
 
 

@@ -183,3 +183,22 @@ def test_labels_of_one_class(spark):
     labels = spark.createDataFrame([(i, 0, 0) for i in range(901, 909)], "doc_id long, quality int, toxic int")
     model = toxicity.train(documents(spark), labels)
     assert all(r["score"] < 0.5 for r in toxicity.scored(documents(spark), model).collect())
+
+
+def test_words_that_can_gain_nothing_are_not_decoded(monkeypatch):
+    model = toxicity.CharModel(toxicity.word_grams({"common": 9, "ideas": 5, "stupid": 7, "balloon": 2}))
+    weights = {"common": 0.5, "comm~": 0.25, "stupid": 3.0, "stup~": 2.5, "balo~": 1.0, "come": 4.0}
+    texts = ["common", "commonly commons", "sttupid", "stuupid ideas", "balloon", "come coome", "", None, "assess common stupid", "c o m e on"]
+    every = toxicity.Restorer(model)
+    want = []
+    for t in texts:
+        words = (t or "").lower().split()
+        read = [*(r for w in words for r in every.readings(w)), *every.spaced(words)]
+        top = sorted((weights[f] for f in {f for r in read for f in toxicity.features(r)} if f in weights), reverse=True)
+        want.append(tuple((top + [0.0, 0.0])[:2]))
+    decoded = []
+    monkeypatch.setattr(toxicity, "restore", lambda text, chars, real=toxicity.restore: decoded.append(text) or real(text, chars))
+    scorer = toxicity.Scorer(model, weights)
+    assert [scorer.evidence(t) for t in texts] == want
+    assert {"sttupid", "stuupid", "balloon", "coome"} <= set(decoded)
+    assert not {"common", "commonly", "commons", "assess"} & set(decoded)
