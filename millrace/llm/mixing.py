@@ -59,16 +59,20 @@ def copies(
 
     Rows are dealt by range of (source, size, id), so a hot source spreads over many tasks; ranks are the
     position in the partition plus the rows of the source in the partitions before, one row per partition
-    and source.  The dealt rows are written once, so a recomputed task cannot change them.
+    and source.  The dealt rows are written once, so a recomputed task cannot change them.  They are
+    numbers and sources alone: the range of the largest documents would hold most of the text.  Whole rows
+    are written with a number and meet their copies by it, in a hash join that sorts no text.
 
     Nulls: a null source is a source of its own, a null text has size 0, a null id comes first.  A source
     without words has target 0 and none of its rows is taken.  Empty input gives empty output.  `doc`
     holds the input row whole, whatever its columns are called (null with keep_rows=False).
     """
     narrow = [F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")]
+    # Written first, as the bounds of the ranges take one more pass.
     if keep_rows:
-        rows = docs.select(F.struct("*").alias("doc"), *narrow)
-    else:  # written first, as the bounds of the ranges take one more pass
+        whole = staged(docs.select(F.struct("*").alias("doc"), *narrow).withColumn("row", F.monotonically_increasing_id()), "rows")
+        rows = whole.drop("doc")
+    else:
         rows = staged(docs.select(*narrow), "sizes").withColumn("doc", F.lit(None).cast("string"))
     order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("id").asc_nulls_first()]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -91,14 +95,17 @@ def copies(
     on = (dealt["part"] == plan["part"]) & dealt["source"].eqNullSafe(plan["source"])
     rank = plan["ahead"] + dealt["at"] - plan["first"]
     crossed = F.floor(plan["offset"] + plan["step"] * (rank + 1)) - F.floor(plan["offset"] + plan["step"] * rank)
-    return dealt.join(plan, on).select(
-        dealt["doc"],
+    found = dealt.join(plan, on).select(
+        dealt["row" if keep_rows else "doc"],
         dealt["id"],
         dealt["size"],
         plan["source_size"],
         plan["target"],
         F.least(crossed, F.lit(most)).cast("long").alias("copies"),
     )
+    if keep_rows:
+        found = whole.select("row", "doc").join(found.hint("shuffle_hash"), "row").drop("row")
+    return found
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

@@ -74,3 +74,15 @@ def test_a_hot_source_stops_at_three_times_the_others(spark):
 def test_empty(spark):
     assert mixing.copies(documents(spark, [])).count() == 0
     assert mixing.mix(documents(spark, [])).count() == 0
+
+
+def test_texts_are_neither_dealt_by_size_nor_sorted(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(mixing, "staged", lambda df, label, real=mixing.staged: kept.setdefault(label, df.columns) and real(df, label))
+    rows = [(i, "w " * (i % 50), "en", "ab"[i % 2]) for i in range(400)] + [(7, "w w w", "en", "a"), (None, "w", "en", None)]
+    mixed = mixing.mix(documents(spark, rows))
+    assert "doc" in kept["rows"] and "doc" not in kept["dealt"]
+    plan = mixed._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert "ShuffledHashJoin" in joins[0]  # the outermost: of whole rows and their copies
+    assert {(r["doc_id"], r["text"]) for r in mixed.collect()} <= {r[:2] for r in rows}
