@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import math
 from dataclasses import dataclass, field
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +21,13 @@ STEP = 0x9E3779B97F4A7C15  # odd multiplier of the word hash
 MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)  # fixed values of a public 64-bit finalizer
 UNMIX = tuple(pow(m, -1, 1 << 64) for m in MIX)
 END = U64(0)  # hash of the token that ends every text; no word has it
-CHUNK = 2 << 20  # bytes of text that are split at a time
+CHUNK = 2 << 20  # bytes of text whose words are looked up at a time
+PIECE = 1 << 18  # bytes of text that are split at a time
 HELD = 4 << 20  # distinct words or pairs a task holds before it hands them on; of longer grams, which hardly repeat, a quarter
 PART = 1 << 20  # words, or grams of one order, whose statistics one task adds up
-GATHERED = 1 << 18  # grams from all tasks that are added up at a time
+GATHERED = 1 << 18  # grams of all runs that are added up at a time
+ROW = 1 << 15  # grams a row carries: the JVM holds a value of more than half a region of its heap in regions of its own
+SENT = 1 << 20  # bytes of rows that leave a worker at a time
 SLICE = 1 << 19  # grams whose place in the orders below is looked up at a time
 BIG = 255  # counts from here on are kept beside the byte array
 
@@ -56,7 +60,7 @@ def _powers(n: int) -> list[np.ndarray]:
     if not _POWERS or len(_POWERS[0]) <= n:
         _POWERS[:] = []
         for base in (STEP, pow(STEP, -1, 1 << 64)):
-            line = np.full(max(n, CHUNK) + 1, base, U64)
+            line = np.full(max(n, PIECE) + 1, base, U64)
             line[0] = 1
             _POWERS.append(np.multiply.accumulate(line))
     return _POWERS
@@ -95,9 +99,10 @@ def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(batches):
-    """(batch slice, token hashes, tokens per text) for pieces of about CHUNK bytes; a text is never cut."""
+    """(batch slice, token hashes, tokens per text) for slices of about CHUNK bytes; a text is never cut."""
     for part in pieces_of(batches, "text", CHUNK):
-        yield part, *split(part["text"])
+        tokens, n = zip(*(split(p["text"]) for p in pieces_of([part], "text", PIECE)))
+        yield part, np.concatenate(tokens), np.concatenate(n)
 
 
 def add_up(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -117,61 +122,87 @@ def _planes(x: np.ndarray) -> bytes:
     return bytes([need]) + x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :need].T.tobytes()
 
 
-def _from_planes(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8, offset=1).reshape(blob[0], -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, : blob[0]] = planes.T
-    return out.view("<u8").ravel()
+def _packed(rising: np.ndarray, *beside: np.ndarray) -> bytes:
+    """The first of the rising numbers and how many there are, the steps between them, and what stands beside each."""
+    steps = np.diff(rising, prepend=rising[:1])
+    return b"".join([rising[:1].astype("<u8").tobytes(), len(rising).to_bytes(4, "little"), *map(_planes, (steps, *beside))])
+
+
+def _unpacked(blob) -> list[np.ndarray]:
+    data = np.frombuffer(blob, np.uint8)
+    n, at, out = int.from_bytes(data[8:12].tobytes(), "little"), 12, []
+    while at < len(data):
+        need = int(data[at])
+        planes = data[at + 1 : at + 1 + need * n].reshape(need, n)
+        at += 1 + need * n
+        if need == 1:
+            out.append(planes[0])
+        else:
+            x = np.zeros((n, 8), np.uint8)
+            x[:, :need] = planes.T
+            out.append(x.view("<u8").ravel())
+    return [np.cumsum(out[0], dtype=U64) + U64(int.from_bytes(data[:8].tobytes(), "little")), *out[1:]]
+
+
+def _batches(rows, columns: dict[str, pa.DataType]):
+    """Record batches of about SENT bytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= SENT:
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*held), columns.values())], names=list(columns))
+            held, size = [], 0
+    if held:
+        yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*held), columns.values())], names=list(columns))
 
 
 def _hand_on(grams: np.ndarray, counts: np.ndarray, bits: int, width: int):
-    """Rows (bucket, grams, counts): the sorted grams as steps from one to the next, cut by the highest of their bits."""
+    """Rows (bucket, grams): sorted grams and their counts, cut by the highest bits of the grams and after ROW of them."""
     cuts = np.searchsorted(grams, np.array([b << (width - bits) for b in range(1, 1 << bits)], U64)) if bits else []
-    rows = [
-        (i, _planes(np.diff(g, prepend=U64(0))), (c.astype("<u1") if c.max() < 256 else c.astype("<i8")).tobytes())
+    rows = (
+        (i, _packed(g[at : at + ROW], c[at : at + ROW]))
         for i, (g, c) in enumerate(zip(np.split(grams, cuts), np.split(counts, cuts)))
-        if len(g)
-    ]
-    if rows:
-        bucket, g, c = zip(*rows)
-        yield pa.record_batch([pa.array(bucket, pa.int32()), pa.array(g, pa.binary()), pa.array(c, pa.binary())], names=["bucket", "grams", "counts"])
+        for at in range(0, len(g), ROW)
+    )
+    yield from _batches(rows, {"bucket": pa.int32(), "grams": pa.binary()})
 
 
 def counted(texts: DataFrame, grams_of, bits: int, width: int, most: int) -> DataFrame:
-    """(bucket, grams, counts): gram counts of each task, added up before they move."""
+    """(bucket, grams): gram counts of each task, added up before they move."""
 
     def run(batches):
-        grams, counts, held = [], [], 0
+        runs, held = [], 0
         for _, tokens, n in chunks(batches):
             g, c = np.unique(grams_of(tokens, n), return_counts=True)
-            grams.append(g)
-            counts.append(c)
+            runs.append((g, c.astype(np.min_scalar_type(int(c.max(initial=0))))))
             held += len(g)
             if held > 2 * most:
-                g, c = add_up(grams, counts)
-                grams, counts, held = [g], [c], len(g)
+                runs = list(_added(runs))
+                held = sum(len(g) for g, _ in runs)
                 if held > most:
-                    yield from _hand_on(g, c, bits, width)
-                    grams, counts, held = [], [], 0
-        yield from _hand_on(*add_up(grams, counts), bits, width)
+                    for g, c in runs:
+                        yield from _hand_on(g, c, bits, width)
+                    runs, held = [], 0
+        for g, c in _added(runs):
+            yield from _hand_on(g, c, bits, width)
 
-    return texts.mapInArrow(run, "bucket int, grams binary, counts binary")
+    return texts.mapInArrow(run, "bucket int, grams binary")
 
 
-def _gathered(table: pa.Table):
-    """(distinct grams in order, sum of their counts) of a bucket, range by range; about GATHERED entries make a range.
+def _added(runs: list[tuple[np.ndarray, np.ndarray]]):
+    """(distinct grams in order, sum of their counts) of runs of sorted grams and their counts, range by range.
 
-    Every row comes sorted, so a range is a slice of each; equal grams never fall into two ranges.
+    A range is a slice of each run, about GATHERED entries together; equal grams never fall into two ranges.
     """
-    grams = [np.cumsum(_from_planes(x.as_buffer()), dtype=U64) for x in table["grams"]]
-    counts = [np.frombuffer(x.as_buffer(), np.uint8) for x in table["counts"]]
-    counts = [c if len(c) == len(g) else c.view("<i8") for c, g in zip(counts, grams)]
+    if not runs:
+        return
     step = 64
-    marks = np.sort(np.concatenate([g[::step] for g in grams]))
+    marks = np.sort(np.concatenate([g[::step] for g, _ in runs]))
     cuts = np.unique(marks[GATHERED // step :: GATHERED // step])
-    cuts = [np.r_[0, np.searchsorted(g, cuts), len(g)] for g in grams]
+    cuts = [np.r_[0, np.searchsorted(g, cuts), len(g)] for g, _ in runs]
     for i in range(len(cuts[0]) - 1):
-        yield add_up([g[c[i] : c[i + 1]] for g, c in zip(grams, cuts)], [n[c[i] : c[i + 1]].astype(np.int64) for n, c in zip(counts, cuts)])
+        yield add_up([g[c[i] : c[i + 1]] for (g, _), c in zip(runs, cuts)], [n[c[i] : c[i + 1]].astype(np.int64) for (_, n), c in zip(runs, cuts)])
 
 
 def _write(folder: str, name: str, *arrays: np.ndarray, suffix: str = ".bin") -> list[str]:
@@ -459,7 +490,7 @@ def _bucket_writer(name: str, folder: str):
             uris, files = zip(*[new_file(folder, f"{name}-{bucket:06d}-{i}", ".bin") for i in range(4)])
             for f in files:
                 opened.enter_context(f)
-            for grams, counts in _gathered(table):
+            for grams, counts in _added([_unpacked(x.as_buffer()) for x in table["grams"]]):
                 small, place, big = _count_arrays(counts)
                 for f, a in zip(files, (grams, small, place + types, big)):
                     f.write(np.ascontiguousarray(a))
@@ -485,26 +516,29 @@ def _grams_of(model: Model, k: int):
 
 
 TRACED = "part int, kinds array<long>, before binary, begins binary"
+TRACED_TYPES = {"part": pa.int32(), "kinds": pa.list_(pa.int64()), "before": pa.binary(), "begins": pa.binary()}
 PARTS = "part int, files array<string>, kinds array<long>, before array<long>"
 
 
 def _traced(model: Model, k: int):
     """Rows (part of order k - 1, counts of counts, words before, grams begun) of what SLICE grams of a bucket add."""
 
+    def rows(first, numbers, counts):
+        counts = model.adjusted(k, first + np.arange(len(counts)), counts)
+        context, words = model.taken_apart(k, numbers)
+        before = _by_place(model.without_first(k, context, words))
+        begins = _by_place(context, counts, counts == 1, counts == 2, counts >= 3)
+        kinds = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()  # told once
+        for p in np.union1d(before[0] // model.part, begins[0] // model.part).tolist():
+            for b, g in zip_longest(*(_slices(x, p * model.part, model.part) for x in (before, begins)), fillvalue=b""):
+                yield p, kinds, b, g
+                kinds = [0] * 4
+
     def run(batches):
         buckets = (bucket for b in batches for bucket in b["bucket"].to_pylist())
         for bucket in buckets:
-            for first, numbers, counts in model.level(k).slices(bucket):
-                counts = model.adjusted(k, first + np.arange(len(counts)), counts)
-                context, words = model.taken_apart(k, numbers)
-                before = _by_place(model.without_first(k, context, words))
-                begins = _by_place(context, counts, counts == 1, counts == 2, counts >= 3)
-                kinds = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()
-                out = []
-                for p in np.union1d(before[0] // model.part, begins[0] // model.part).tolist():
-                    out.append((p, [0] * 4 if out else kinds, _slice(before, p * model.part, model.part), _slice(begins, p * model.part, model.part)))
-                types = (pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary())
-                yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out), types)], names=[c.split()[0] for c in TRACED.split(", ")])
+            for found in model.level(k).slices(bucket):
+                yield from _batches(rows(*found), TRACED_TYPES)
 
     return run
 
@@ -518,10 +552,12 @@ def _by_place(place: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [place[starts], *sums]
 
 
-def _slice(sums: list[np.ndarray], first: int, size: int) -> bytes:
-    """What falls into a part: steps between places, and the sums."""
-    a, b = np.searchsorted(sums[0], (first, first + size))
-    return _planes(np.concatenate([np.diff(sums[0][a:b] - first, prepend=0), *[x[a:b] for x in sums[1:]]]))
+def _slices(sums: list[np.ndarray], first: int, size: int):
+    """What falls into a part, ROW places at a time."""
+    a, b = np.searchsorted(sums[0], (first, first + size)).tolist()
+    for at in range(a, b, ROW):
+        places, *others = (x[at : min(at + ROW, b)] for x in sums)
+        yield _packed(places - first, *others)
 
 
 def _part_writer(model: Model, k: int, folder: str):
@@ -529,9 +565,11 @@ def _part_writer(model: Model, k: int, folder: str):
         p = table["part"][0].as_py()
         total = np.zeros((5, min(model.part, model.sizes[k] + 1 - p * model.part)), np.int64)
         for name, lines in (("before", total[:1]), ("begins", total[1:])):
-            for blob in table[name].to_pylist():
-                step, *sums = _from_planes(blob).astype(np.int64).reshape(1 + len(lines), -1)
-                lines[:, np.cumsum(step)] += sums
+            for blob in table[name]:
+                if blob.as_buffer().size:
+                    places, *sums = _unpacked(blob.as_buffer())
+                    for line, x in zip(lines, sums):
+                        line[places.view(np.int64)] += x.astype(np.int64)
         uris = []
         for i, line in enumerate(total):
             kind = np.min_scalar_type(int(line.max(initial=0)))

@@ -180,3 +180,49 @@ def test_a_bucket_is_added_up_in_little_memory(tmp_path):
     assert (row["types"], row["tokens"]) == (len(want), sum(want.values()))
     assert np.array_equal(found.at(np.arange(len(grams))), grams)
     assert found.find(grams)[1].tolist() == [want[g] for g in grams.tolist()]
+
+
+class Texts:
+    """Stands for a table: gives back the function that its tasks would run."""
+
+    @staticmethod
+    def mapInArrow(run, _):
+        return run
+
+
+def test_a_task_counts_in_little_memory():
+    """Distinct words throughout: what is held, its sum and what leaves the task must not lie there several times over."""
+    made = np.char.mod("%07x ", np.random.default_rng(4).permutation(1 << 20)).reshape(-1, 256)
+    batch = pa.record_batch([pa.array(["".join(line).encode() for line in made], pa.binary())], names=["text"])
+    run = ngram.counted(Texts, lambda tokens, n: tokens, 2, 64, ngram.HELD)
+    found, largest, sent = [], 0, 0
+    ngram.split(batch["text"][:1])  # its table stays
+    tracemalloc.start()
+    for b in run([batch.slice(at, 512) for at in range(0, len(batch), 512)]):
+        found += [tuple(r.values()) for r in b.to_pylist()]
+        largest, sent = max(largest, *(len(r[1]) for r in found)), max(sent, b.nbytes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert largest < 1 << 19 and sent < 1 << 21
+    assert peak < 44 << 20
+    words, counts = zip(*(ngram._unpacked(blob) for _, blob in found))
+    assert len(np.unique(np.concatenate(words))) == (1 << 20) + 1
+    assert sum(int(c.astype(np.int64).sum()) for c in counts) == (1 << 20) + len(batch)
+    assert all((w >> ngram.U64(62) == b).all() for w, (b, _) in zip(words, found))
+
+
+@pytest.mark.parametrize("beside", [[], [np.array([3, 0, 255], np.uint8)], [np.array([1, 1 << 40, 0]), np.array([0, 0, 0])]])
+def test_rising_numbers_come_back(beside):
+    for rising in (np.array([0, 1, 2], np.uint64), np.array([5, 5 + (1 << 30), (1 << 64) - 1], np.uint64)):
+        back = ngram._unpacked(ngram._packed(rising, *beside))
+        assert [x.tolist() for x in back] == [x.tolist() for x in (rising, *beside)]
+
+
+def test_what_buckets_add_moves_in_small_rows(spark, monkeypatch):
+    monkeypatch.setattr(ngram, "ROW", 64)
+    texts = [" ".join(f"w{(i * j) % 997}" for j in range(60)) for i in range(60)]
+    model = ngram.train(documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), order=3)
+    for k in (2, 3):
+        for bucket, _ in model.grams[k]:
+            rows = [r for b in ngram._traced(model, k)([pa.record_batch([pa.array([bucket])], names=["bucket"])]) for r in b.to_pylist()]
+            assert len(rows) > 1 and all(len(ngram._unpacked(x)[0]) <= 64 for r in rows for x in (r["before"], r["begins"]) if x)
