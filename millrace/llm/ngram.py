@@ -340,19 +340,17 @@ class Model:
         return self.loaded["parts", k]
 
     def statistics(self, k: int, places: np.ndarray, columns=range(5)) -> np.ndarray:
-        """Of each gram of order k: (different words before it; sum of the adjusted counts of the grams that it
-        begins; how many of those have 1, 2, 3 or more); zeros for a place of -1."""
+        """Of each gram of order k, in rising order: (different words before it; sum of the adjusted counts of the
+        grams that it begins; how many of those have 1, 2, 3 or more)."""
         out = np.zeros((len(columns), len(places)), np.int64)
         part = places // self.part
-        order = np.argsort((part + 1).astype(np.min_scalar_type(int(part.max(initial=0)) + 1)), kind="stable")  # small numbers sort in one pass
-        part = part[order]
         starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
         files = self.columns(k) if k in self.parts else {}
         for a, b in zip(starts, [*starts[1:], len(part)]):
             if part[a] in files:
-                at = places[order[a:b]] % self.part
+                at = places[a:b] % self.part
                 for i, c in enumerate(columns):
-                    out[i, order[a:b]] = files[part[a]][c][at]
+                    out[i, a:b] = files[part[a]][c][at]
         return out
 
     def adjusted(self, k: int, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -393,35 +391,59 @@ class Model:
         return out
 
     def walk(self, tokens: np.ndarray, n: np.ndarray, order: int):
-        """(order, context, position or -1, count) of the grams of each order that end in each token."""
-        ids, count = self.level(1).find_all(tokens)
-        yield 1, None, ids, count
-        below = ids
-        for k in range(2, order + 1):
-            context = self.contexts(k, below, n)
-            known = (context >= 0) & (ids >= 0)
-            below, count = np.full(len(tokens), -1, np.int64), np.zeros(len(tokens), np.int64)
-            if self.grams.get(k):
-                below[known], count[known] = self.level(k).find_all(self.numbers(k, context[known], ids[known]))
-            yield k, context, below, count
+        """(order, position or -1 of the gram that ends in each token, (tokens it can end in, which of the different
+        grams theirs is, position or -1 and count of each of those)) of each order.
+
+        Different grams come in rising order, so what is read of them is read one way through the files.
+        """
+        ids = below = None
+        for k in range(1, order + 1):
+            known, numbers = np.full(len(tokens), bool(k == 1 or self.grams.get(k))), tokens
+            if k > 1:
+                context = self.contexts(k, below, n)
+                known &= (context >= 0) & (ids >= 0)
+                numbers = self.numbers(k, context[known], ids[known])
+            line, back = np.unique(numbers, return_inverse=True)
+            where, count = self.level(k).find(line) if len(line) else (np.empty(0, np.int64),) * 2
+            below = _spread(where, back, known, -1)
+            ids = below if k == 1 else ids
+            yield k, below, (known, back, where, count)
 
     def log10(self, tokens: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log10 P of every token after the ones before it, its count in training)."""
-        least = 1 / (self.types + 1)
-        for k, context, place, count in self.walk(tokens, n, self.order):
+        least, firsts = 1 / (self.types + 1), np.cumsum(n) - n
+        for k, _, (known, back, where, count) in self.walk(tokens, n, self.order):
+            there = where >= 0
+            about = np.zeros((5, len(where)), np.int64)
+            if k < self.order:
+                about[:, there] = self.statistics(k, where[there])
             if k == 1:
-                known = count
+                tally = _spread(count, back, known, 0)
                 p = np.full(len(tokens), least)
                 if follow := self.sizes.get(2, 0):
-                    before = self.statistics(1, place, (0,))[0]
                     spare = sum(d * m for d, m in zip(self.cuts[1], self.kinds)) / follow
-                    p = (before - _cut(before, self.cuts[1])) / follow + spare * least
-                continue
-            total, *begins = self.statistics(k - 1, context, (1, 2, 3, 4))
-            a = self.adjusted(k, place, count)
-            spare = sum(d * b for d, b in zip(self.cuts[k], begins))
-            p = np.where(total > 0, (a - _cut(a, self.cuts[k]) + spare * p) / np.maximum(total, 1), p)
-        return np.log10(p), known
+                    p = ((about[0] - _cut(about[0], self.cuts[1])) / follow + spare * least)[back]
+            else:
+                a = np.where(about[0] > 0, about[0], count)
+                own = _spread(a - _cut(a, self.cuts[k]), back, known, 0)
+                p = np.where(total > 0, (own + spares * p) / np.maximum(total, 1), p)
+            if k < self.order:  # what the gram before a token says of the words after it
+                start = self.statistics(1, np.array([self.types]))[1:, 0] if k == 1 else np.zeros(4, np.int64)
+                total = np.roll(_spread(about[1], back, known, 0), 1)
+                spares = np.roll(_spread(_spare(about[2:], self.cuts[k + 1]), back, known, 0), 1)
+                total[firsts], spares[firsts] = start[0], _spare(start[1:], self.cuts[k + 1])
+        return np.log10(p), tally
+
+
+def _spread(values: np.ndarray, back: np.ndarray, known: np.ndarray, missing) -> np.ndarray:
+    """The values of different grams, for each token."""
+    out = np.full(len(known), missing, values.dtype)
+    out[known] = values[back]
+    return out
+
+
+def _spare(begins: np.ndarray, discount: tuple[float, float, float]):
+    return sum(d * b for d, b in zip(discount, begins))
 
 
 def _cut(counts: np.ndarray, discount: tuple[float, float, float]) -> np.ndarray:
@@ -506,7 +528,7 @@ def _grams_of(model: Model, k: int):
 
     def numbers(tokens, n):
         ids = below = None
-        for j, _, place, _ in model.walk(tokens, n, k - 1):
+        for j, place, _ in model.walk(tokens, n, k - 1):
             ids, below = (place if j == 1 else ids), place
         context = model.contexts(k, below, n)
         there = context >= 0
