@@ -294,9 +294,12 @@ _TYPED = ", ".join(
         (SELECT count(*) FROM file WHERE TRY_CAST("Sales" AS DOUBLE) IS NULL) AS rows_malformed FROM file"""),
 )
 def pipe_conditional_copy(spark, sf):
-    """The sales file, then its typed copy to a stamped target, all columns."""
+    """The sales file, then its typed copy to a stamped target, all columns.
+
+    The file to be copied is kept compressed; the target is plain text, as the copy's contract has it.
+    """
     source, folder = scratch_dir(spark, "sales-file"), scratch_dir(spark, "processed")
-    sinks.write_csv(sales_file(spark, sf), source)
+    sinks.write_csv(sales_file(spark, sf), source, "gzip")
     done = copying.conditional_copy(
         spark, source, folder, schemas.SALES_FILE, "superstore", "20010901_000000"
     )

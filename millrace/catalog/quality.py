@@ -343,13 +343,16 @@ _FILE_EXPRS = {
 
 
 def sales_file(spark, sf):
-    """All sold lines in the layout of the sales file, every column text."""
+    """All sold lines in the layout of the sales file, every column text.
+
+    Customers meet the orders and products the lines before the two meet, so lines are dealt twice, and only
+    once with other tables' columns; revenue, made of two columns of a line, is made behind the joins.
+    """
     s = tables.star(spark, sf)
-    wide = (
-        s.items.join(s.orders, "order_id")
-        .join(s.customers.withColumnRenamed("name", "cust_name"), "customer_id")
-        .join(s.products.select("product_id", F.col("name").alias("prod_name"), "category", "brand"), "product_id")
-    )
+    bought = s.orders.join(s.customers.withColumnRenamed("name", "cust_name"), "customer_id")
+    goods = s.products.select("product_id", F.col("name").alias("prod_name"), "category", "brand")
+    wide = s.items.drop("revenue").join(goods, "product_id").join(bought, "order_id")
+    wide = wide.withColumn("revenue", X.line_revenue("gross", "discount"))
     return wide.select(*[F.expr(e).alias(n) for n, e in _FILE_EXPRS.items()])
 
 

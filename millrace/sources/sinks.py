@@ -9,21 +9,22 @@ from millrace.session import rows_seen
 from millrace.sources.files import CSV_FORMAT, NO_VALUE
 
 
-def write_csv(df: DataFrame, path: str) -> int:
+PACKED_ROWS = 250_000  # rows of a compressed file at most, as only one task can read it
+
+
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> int:
     """CSV with header, overwrite, blanks kept; returns the rows written.
 
     NULL is a blank cell and an empty text a quoted one.  A NULL that is alone in its row is written out, as
-    readers skip blank lines.
+    readers skip blank lines.  Plain text can be split by readers; with `compression` (a codec's name, like
+    gzip) it cannot, so a task begins another file after `PACKED_ROWS` rows.
     """
     seen = Observation()
     watched = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    (
-        watched.write.mode("overwrite")
-        .options(**CSV_FORMAT, nullValue=NO_VALUE if len(df.columns) == 1 else "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    writer = watched.write.mode("overwrite").options(**CSV_FORMAT, nullValue=NO_VALUE if len(df.columns) == 1 else "")
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", PACKED_ROWS)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return rows_seen(seen, df)
 
 

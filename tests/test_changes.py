@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,9 +8,10 @@ from millrace.operators import relational as R
 from millrace.operators.cleaning import drop_duplicate_rows, latest_per_key
 from millrace.operators.quality import Rules, apply_rules
 from millrace.catalog import QUERIES
+from millrace.catalog.quality import sales_file
 from millrace.catalog.relational import agg_count_distinct
 from millrace.plans import commerce, reports, shop, superstore
-from millrace.session import clean_up, scratch_count, scratch_dir
+from millrace.session import _CREATED, clean_up, scratch_count, scratch_dir
 from millrace.sources import copying, files, schemas, sinks, snapshots, tables
 from millrace.streaming.incremental import merge_batch, upsert_files
 
@@ -231,6 +234,50 @@ def test_conditional_copy(spark, tmp_path):
     assert e.value.code == "FILE_NOT_FOUND"
 
 
+@pytest.fixture
+def shop(spark, tmp_path):
+    """A folder with the tables of a sales file: 60 lines, some names with line breaks and quotes."""
+    day = "timestamp '2001-02-03'"
+    tables = {
+        "customer": (5, "id AS c_custkey, concat('Ann \"', id, '\"') AS c_name, 1 AS c_nationkey, 'BUILDING' AS c_mktsegment, 1.5D AS c_acctbal"),
+        "part": (14, "id AS p_partkey, concat('pen ', id) AS p_name, 'T' AS p_type, 'B' AS p_brand, 9.5D AS p_retailprice, 3 AS p_size"),
+        "orders": (20, f"id AS o_orderkey, id % 6 AS o_custkey, {day} AS o_orderdate, 'F' AS o_orderstatus, 7.5D AS o_totalprice, '1-URGENT' AS o_orderpriority"),
+        "lineitem": (60, f"id % 20 AS l_orderkey, id % 15 AS l_partkey, id AS l_suppkey, cast(id % 4 AS int) AS l_linenumber, "
+                         f"cast(id AS double) AS l_quantity, if(id = 9, null, id * 1.25D) AS l_extendedprice, 0.05D AS l_discount, {day} AS l_shipdate, 'R' AS l_returnflag"),
+    }
+    for name, (n, columns) in tables.items():
+        spark.sql(f"SELECT {columns} FROM range({n})").write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_the_sales_file_deals_lines_twice(spark, shop):
+    """Once to the products and once to the orders, which have their customers by then, even if no side is broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sales_file(spark, shop)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    dealt = 0
+    for i, line in enumerate(plan):
+        below = next((j for j in range(i + 1, len(plan)) if depth[j] <= depth[i]), len(plan))
+        dealt += "Exchange hashpartitioning" in line and any("FileScan" in x and "l_orderkey" in x for x in plan[i:below])
+    assert dealt == 2
+
+
+def test_the_copied_file_is_compressed_and_the_copy_is_plain(spark, shop):
+    mark = len(_CREATED.get(spark.sparkContext.applicationId, []))
+    copied = QUERIES["pipe_conditional_copy"](spark, shop)
+    made = _CREATED[spark.sparkContext.applicationId][mark:]
+    names = [n for p in made if "sales-file" in p or "processed" in p for _, _, found in os.walk(p) for n in found if n.startswith("part-")]
+    assert {n.split(".", 1)[1] for n in names} == {"csv", "csv.gz"}
+    want = sales_file(spark, shop)
+    typed = [F.col(f"`{c}`").try_cast(schemas.SALES_FILE_TYPES.get(c, "string")).alias(c) for c in schemas.SALES_FILE_COLUMNS]
+    assert rows(copied.drop("rows_copied", "rows_malformed")) == rows(want.select(*typed))
+    assert {(r.rows_copied, r.rows_malformed) for r in copied.collect()} == {(want.count(), want.where("Sales IS NOT NULL AND try_cast(Sales AS double) IS NULL").count())}
+
+
 @pytest.mark.parametrize("cell", ["", "cr\rx", "a\r\nb", 'Ann "A", Lee', 'two\nlines, "q"', '"', '""', ",", " pad ", None, "back\\slash\\", "ü—東"])
 def test_cells_survive_a_file(spark, cell):
     path = scratch_dir(spark, "cells")

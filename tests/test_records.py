@@ -111,3 +111,15 @@ def test_only_torn_pieces_are_written(spark, small_splits, monkeypatch):
     assert not found.plain and got.count() == 2002
     assert [df.where(F.col("kind") == records.WHOLE).count() for df in written.values()] == [0]
     assert all(df.count() <= 2 * found.count for df in written.values())
+
+
+def test_compressed_files_are_cut_for_many_tasks(spark, small_splits, monkeypatch):
+    monkeypatch.setattr(sinks, "PACKED_ROWS", 50)
+    rows, path = cells(300, 5), scratch_dir(spark, "packed")
+    assert sinks.write_csv(spark.createDataFrame(rows, SCHEMA).coalesce(1), path, "gzip") == 300
+    names = [f.split("/")[-1] for f in spark.read.text(path).inputFiles()]
+    assert len(names) == 6 and all(n.endswith(".csv.gz") for n in names)
+    back = files.read_csv_typed(spark, path, SCHEMA)
+    assert bag(back) == sorted(map(repr, rows)) and back.rdd.getNumPartitions() >= 6
+    text = [tuple(None if x is None else str(x) for x in r) for r in rows]
+    assert bag(files.read_csv_strings(spark, path)) == sorted(map(repr, text))
