@@ -376,9 +376,9 @@ def dq_summary_stats(spark, sf):
 
 
 def sales_csv(spark, sf):
-    """(the file as text columns, its size) after a round trip through the store."""
+    """(the file as text columns, its size) after a round trip through the store, where it is kept compressed."""
     path = scratch_dir(spark, "sales-file")
-    sinks.write_csv(sales_file(spark, sf), path)
+    sinks.write_csv(sales_file(spark, sf), path, "gzip")
     return files.read_csv_strings(spark, path), files.size_bytes(spark, path)
 
 

@@ -278,6 +278,19 @@ def test_the_copied_file_is_compressed_and_the_copy_is_plain(spark, shop):
     assert {(r.rows_copied, r.rows_malformed) for r in copied.collect()} == {(want.count(), want.where("Sales IS NOT NULL AND try_cast(Sales AS double) IS NULL").count())}
 
 
+@pytest.mark.parametrize("key", ["dq_report"])
+def test_reported_files_are_compressed(spark, shop, key):
+    mark = len(_CREATED.get(spark.sparkContext.applicationId, []))
+    report = QUERIES[key](spark, shop)
+    made = [p for p in _CREATED[spark.sparkContext.applicationId][mark:] if "sales-file" in p]
+    names = [n for p in made for _, _, found in os.walk(p) for n in found if n.startswith("part-")]
+    assert len(made) == 1 and names and all(n.endswith(".csv.gz") for n in names)
+    file = sales_file(spark, shop)
+    blank = sum(file.where(F.trim(F.coalesce(f"`{c}`", F.lit(""))) == "").count() for c in schemas.SALES_FILE_COLUMNS)
+    got = {r["check_name"]: (r["passed"], r["observed"]) for r in report.collect()}
+    assert got["row_count"] == (False, file.count()) and got["null_values"] == (False, blank) and got["column_headers"] == (True, 21)
+
+
 @pytest.mark.parametrize("cell", ["", "cr\rx", "a\r\nb", 'Ann "A", Lee', 'two\nlines, "q"', '"', '""', ",", " pad ", None, "back\\slash\\", "ü—東"])
 def test_cells_survive_a_file(spark, cell):
     path = scratch_dir(spark, "cells")
