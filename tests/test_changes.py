@@ -278,7 +278,7 @@ def test_the_copied_file_is_compressed_and_the_copy_is_plain(spark, shop):
     assert {(r.rows_copied, r.rows_malformed) for r in copied.collect()} == {(want.count(), want.where("Sales IS NOT NULL AND try_cast(Sales AS double) IS NULL").count())}
 
 
-@pytest.mark.parametrize("key", ["dq_report"])
+@pytest.mark.parametrize("key", ["dq_report", "sink_json_report"])
 def test_reported_files_are_compressed(spark, shop, key):
     mark = len(_CREATED.get(spark.sparkContext.applicationId, []))
     report = QUERIES[key](spark, shop)
