@@ -14,7 +14,7 @@ passes it through `staged` first.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from millrace.session import staged
 
 ROWS_PER_RANGE = 1_000_000
+BUCKETS = 1 << 14  # in which groups are counted to find the large ones
 
 # A sort term: a column name with True for descending.
 Order = Sequence[tuple[str, bool]]
@@ -116,12 +117,44 @@ def row_numbers(
     return prefix_sums(df, order, {out: F.lit(1).cast("long")}, keys, splits=splits)
 
 
+def crowded(df: DataFrame, keys: Sequence[str]) -> Column | None:
+    """True for rows whose group may have more than `ROWS_PER_RANGE` rows; None if there is no such group.
+
+    Groups are counted by a hash of their keys, so a task sends no more counts than there are `BUCKETS`, whatever
+    the number of groups.  A bucket over the limit may also be one of many small groups.
+    """
+    bucket = F.pmod(F.hash(*keys), F.lit(BUCKETS))
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    over = [r["bucket"] for r in counts.where(F.col("n") > ROWS_PER_RANGE).collect()]
+    return bucket.isin(over) if over else None
+
+
 def prior_counts(
-    df: DataFrame, order: Order, keys: Sequence[str], out: str, splits: int | None = None
+    df: DataFrame,
+    order: Order,
+    keys: Sequence[str],
+    out: str,
+    splits: int | None = None,
+    attach: Callable[[DataFrame], DataFrame] = lambda counted: counted,
 ) -> DataFrame:
-    """How many rows of the group come before this one."""
-    numbered = row_numbers(df, order, keys, "_seq", splits)
-    return numbered.withColumn(out, F.col("_seq") - 1).drop("_seq")
+    """How many rows of the group come before this one.
+
+    Groups that a task can sort are dealt whole, in one shuffle; only rows of larger ones are cut into ranges
+    (all rows with `splits`).  `attach` is applied to the counted rows of either way: a join on `keys` in it
+    finds groups that were dealt whole where they are.
+    """
+
+    def cut(rows: DataFrame) -> DataFrame:
+        numbered = row_numbers(rows, order, keys, "_seq", splits)
+        return attach(numbered.withColumn(out, F.col("_seq") - 1).drop("_seq"))
+
+    if splits or not keys:
+        return cut(df)
+    before = F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_columns(order))).cast("long") - 1
+    hot = crowded(df, keys)
+    if hot is None:
+        return attach(df.withColumn(out, before))
+    return attach(df.where(~hot).withColumn(out, before)).unionByName(cut(df.where(hot)))
 
 
 def ranks(

@@ -176,3 +176,75 @@ def test_the_enriched_rows_meet_patients_and_their_index_in_one_join(spark, sf):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "patient_id" in line]
     assert dealt and not any("coalesce(patient_id" in line and "_range" not in line and "_r#" not in line for line in dealt)
+
+
+@pytest.mark.parametrize("limit", [15, 500, 10**6])
+def test_only_large_groups_are_cut(spark, monkeypatch, limit):
+    """Prior counts with NULL keys and a hot one, whichever groups are dealt whole; both ways are joined on."""
+    df = skewed(spark).withColumn("k", F.when(F.col("k") != 7, F.col("k")))
+    order, cut = [("v", True), ("id", False)], []
+    plain = F.row_number().over(Window.partitionBy("k").orderBy(*W.sort_columns(order))) - 1
+    numbered = W.row_numbers
+    monkeypatch.setattr(W, "ROWS_PER_RANGE", limit)
+    monkeypatch.setattr(W, "row_numbers", lambda rows, *a: cut.append(rows) or numbered(rows, *a))
+    names = spark.range(60).selectExpr("id AS k", "id * 2 AS twice")
+    got = W.prior_counts(df, order, ["k"], "prior", attach=lambda rows: rows.join(names, "k", "left"))
+    want = df.withColumn("prior", plain).join(names, "k", "left")
+    assert rows(got, "id", "k", "v", "prior", "twice") == rows(want, "id", "k", "v", "prior", "twice")
+    sizes = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    large = {k for k, n in sizes.items() if n > limit}
+    assert len(cut) == bool(large) and all(large <= {r["k"] for r in c.select("k").distinct().collect()} for c in cut)
+    if limit == 500:  # one group, and what shares its bucket at most
+        assert len(large) == 1 and cut[0].select("k").distinct().count() < 5
+
+
+def wide_admissions(spark, n=400):
+    i = F.col("id")
+    day = F.date_add(F.lit("2024-01-01"), (i * 7 % 90).cast("int"))
+    return spark.range(n).select(
+        (i % 350).alias("admission_id"), F.when(i % 3 == 0, 1).when(i % 41 != 0, i % 23).alias("patient_id"),
+        F.when(i % 37 != 0, i % 19).alias("diagnosis_id"), F.lit(" ICU").alias("department"),
+        F.when(i % 5 != 0, F.concat(F.lit("Dr. "), (i % 9).cast("string"))).alias("physician"), day.alias("admission_date"),
+        F.date_add(day, (i % 11).cast("int")).alias("discharge_date"), F.lit(1).alias("length_of_stay"),
+        (i % 2).cast("int").alias("readmitted_within_30_days"), i.alias("row_id"),
+    )
+
+
+def enriched(spark):
+    from millrace.plans import care
+
+    person = spark.range(40).selectExpr(
+        "if(id = 30, null, id % 20) AS patient_id", "if(id % 4 = 0, null, concat('p', id)) AS name", "cast(id * 3 AS int) AS age",
+        "'F' AS gender", "cast(null AS string) AS contact", "id AS row_id",
+    )
+    code = spark.range(25).selectExpr("id % 15 AS diagnosis_id", "concat('I', id) AS icd_code", "if(id = 3, null, 'c') AS category", "id AS row_id")
+    order = {t: [("row_id", False)] for t in ("patients", "diagnoses", "admissions")}
+    return lambda *columns: care.enrich(person, code, wide_admissions(spark), order, columns or care.SILVER_COLUMNS)
+
+
+def test_enriched_rows_are_the_same_however_patients_are_dealt(spark, monkeypatch):
+    silver = enriched(spark)
+    whole = rows(silver(), "*")
+    assert len(whole) > 200
+    monkeypatch.setattr(W, "ROWS_PER_RANGE", 30)
+    assert rows(silver(), "*") == whole
+    some = ["admission_id", "prior_admission_count", "comorbidity_index", "icd_code"]
+    known = rows(silver(*some), *some)
+    monkeypatch.setattr(W, "ROWS_PER_RANGE", 10**6)
+    assert rows(silver(*some), *some) == known == rows(silver(), *some)
+
+
+def test_valid_admissions_are_dealt_once_more(spark):
+    """To their patients, where they are counted too; diagnoses are attached before they are stored."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = enriched(spark)()._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    dealt = 0
+    for i, line in enumerate(plan):
+        below = next((j for j in range(i + 1, len(plan)) if depth[j] <= depth[i]), len(plan))
+        dealt += "Exchange" in line and any("FileScan" in x and "physician" in x for x in plan[i:below])
+    assert dealt == 1
