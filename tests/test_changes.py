@@ -235,7 +235,7 @@ def test_conditional_copy(spark, tmp_path):
 
 
 @pytest.fixture
-def shop(spark, tmp_path):
+def sold(spark, tmp_path):
     """A folder with the tables of a sales file: 60 lines, some names with line breaks and quotes."""
     day = "timestamp '2001-02-03'"
     tables = {
@@ -250,12 +250,12 @@ def shop(spark, tmp_path):
     return str(tmp_path)
 
 
-def test_the_sales_file_deals_lines_twice(spark, shop):
+def test_the_sales_file_deals_lines_twice(spark, sold):
     """Once to the products and once to the orders, which have their customers by then, even if no side is broadcast."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = sales_file(spark, shop)._jdf.queryExecution().executedPlan().toString().splitlines()
+        plan = sales_file(spark, sold)._jdf.queryExecution().executedPlan().toString().splitlines()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
@@ -266,26 +266,26 @@ def test_the_sales_file_deals_lines_twice(spark, shop):
     assert dealt == 2
 
 
-def test_the_copied_file_is_compressed_and_the_copy_is_plain(spark, shop):
+def test_the_copied_file_is_compressed_and_the_copy_is_plain(spark, sold):
     mark = len(_CREATED.get(spark.sparkContext.applicationId, []))
-    copied = QUERIES["pipe_conditional_copy"](spark, shop)
+    copied = QUERIES["pipe_conditional_copy"](spark, sold)
     made = _CREATED[spark.sparkContext.applicationId][mark:]
     names = [n for p in made if "sales-file" in p or "processed" in p for _, _, found in os.walk(p) for n in found if n.startswith("part-")]
     assert {n.split(".", 1)[1] for n in names} == {"csv", "csv.gz"}
-    want = sales_file(spark, shop)
+    want = sales_file(spark, sold)
     typed = [F.col(f"`{c}`").try_cast(schemas.SALES_FILE_TYPES.get(c, "string")).alias(c) for c in schemas.SALES_FILE_COLUMNS]
     assert rows(copied.drop("rows_copied", "rows_malformed")) == rows(want.select(*typed))
     assert {(r.rows_copied, r.rows_malformed) for r in copied.collect()} == {(want.count(), want.where("Sales IS NOT NULL AND try_cast(Sales AS double) IS NULL").count())}
 
 
 @pytest.mark.parametrize("key", ["dq_report", "sink_json_report"])
-def test_reported_files_are_compressed(spark, shop, key):
+def test_reported_files_are_compressed(spark, sold, key):
     mark = len(_CREATED.get(spark.sparkContext.applicationId, []))
-    report = QUERIES[key](spark, shop)
+    report = QUERIES[key](spark, sold)
     made = [p for p in _CREATED[spark.sparkContext.applicationId][mark:] if "sales-file" in p]
     names = [n for p in made for _, _, found in os.walk(p) for n in found if n.startswith("part-")]
     assert len(made) == 1 and names and all(n.endswith(".csv.gz") for n in names)
-    file = sales_file(spark, shop)
+    file = sales_file(spark, sold)
     blank = sum(file.where(F.trim(F.coalesce(f"`{c}`", F.lit(""))) == "").count() for c in schemas.SALES_FILE_COLUMNS)
     got = {r["check_name"]: (r["passed"], r["observed"]) for r in report.collect()}
     assert got["row_count"] == (False, file.count()) and got["null_values"] == (False, blank) and got["column_headers"] == (True, 21)
